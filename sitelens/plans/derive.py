@@ -62,3 +62,46 @@ def page_snapshot_exprs(dialect: str = "spark") -> list[str]:
 
 def page_snapshots(pages: DataFrame) -> DataFrame:
     return pages.selectExpr(*page_snapshot_exprs("spark"))
+
+
+# JSON-LD variants for product pages, chosen by p_partkey % 10.
+_P_NUM = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)"
+
+
+def _ld(body: str) -> str:
+    return f"concat('<script type=\"application/ld+json\">', {body}, '</script>')"
+
+
+def product_snapshot_exprs(dialect: str = "spark") -> list[str]:
+    """part(p_partkey, p_name, p_retailprice) -> product page snapshots."""
+    valid = lambda avail: (
+        "concat('{\"@context\":\"https://schema.org\",\"@type\":\"Product\",\"name\":\"', p_name, "
+        f"'\",\"offers\":{{\"@type\":\"Offer\",\"price\":', {_P_NUM}, "
+        f"',\"priceCurrency\":\"EUR\",\"availability\":\"https://schema.org/{avail}\"}}}}')")
+    blocks = (
+        "CASE p_partkey % 10 "
+        f"WHEN 0 THEN {_ld(valid('InStock'))} "
+        f"WHEN 1 THEN {_ld(chr(39) + '[{\"@type\":\"BreadcrumbList\"},{\"@type\":[\"Product\"],\"name\":\"' + chr(39) + ', p_name, ' + chr(39) + '\",\"offers\":[{\"price\":\"' + chr(39) + ', ' + _P_NUM + ', ' + chr(39) + '\",\"priceCurrency\":\"USD\",\"availability\":\"https://schema.org/OutOfStock\"},{\"price\":\"1\"}]}]' + chr(39))} "
+        f"WHEN 2 THEN {_ld(chr(39) + '{\"@type\":\"ProductGroup\",\"name\":\"' + chr(39) + ', p_name, ' + chr(39) + '\"}' + chr(39))} "
+        f"WHEN 3 THEN {_ld(chr(39) + '{\"@type\":\"Product\",\"offers\":[]}' + chr(39))} "
+        f"WHEN 4 THEN {_ld(chr(39) + '{\"@type\":\"Product\",\"offers\":null}' + chr(39))} "
+        f"WHEN 5 THEN {_ld(chr(39) + '{\"@graph\":[{\"@type\":\"Product\"}]}' + chr(39))} "
+        f"WHEN 6 THEN concat({_ld(chr(39) + '{\"@type\":\"Product\",' + chr(39))}, {_ld(valid('OutOfStock'))}) "
+        f"WHEN 7 THEN concat({_ld(valid('InStock'))}, "
+        f"{_ld(chr(39) + '{\"@type\":\"Product\",\"offers\":{\"price\":3,\"availability\":null}}' + chr(39))}) "
+        f"WHEN 8 THEN {_ld(chr(39) + '[{\"@type\":\"Product\",\"offers\":[]},' + chr(39) + ', ' + valid('InStock') + ', ' + chr(39) + ']' + chr(39))} "
+        "ELSE '' END")
+    return [
+        "p_partkey",
+        "concat('https://shop.example.it/it/', CAST(p_partkey AS STRING), '-', replace(p_name, ' ', '-'), "
+        "CASE WHEN p_partkey % 50 = 49 THEN '.HTML' ELSE '.html' END) AS url",
+        "CAST(CASE WHEN p_partkey % 23 = 5 THEN 404 ELSE 200 END AS INTEGER) AS status",
+        "'text/html; charset=utf-8' AS content_type",
+        f"concat('<!DOCTYPE html><html><head><title>', p_name, '</title>', {blocks}, "
+        "'</head><body><h1>', p_name, '</h1></body></html>') AS html",
+        "CASE WHEN p_partkey % 31 = 7 THEN 'ConnectionError: connection refused' END AS fetch_error",
+    ]
+
+
+def product_snapshots(part: DataFrame) -> DataFrame:
+    return part.selectExpr(*product_snapshot_exprs("spark"))

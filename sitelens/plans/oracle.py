@@ -114,3 +114,34 @@ SELECT page_id, "URL", "Title" FROM (
   SELECT *, row_number() OVER (PARTITION BY "Title" ORDER BY page_id) AS rn
   FROM ({_audit_sql()}) a WHERE "Title" IS DISTINCT FROM 'Mancante') d
 WHERE rn > 1"""
+
+
+# Structured data: predicted from the variant key of each derived page.
+_SD_PRICE = "CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS VARCHAR)"
+_SD_PRICE_TEXT = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)"
+
+ORACLE["structured_data"] = f"""
+WITH prod AS ({'SELECT p_retailprice, ' + ', '.join(derive.product_snapshot_exprs('duckdb')) + ' FROM part'}),
+pr AS (
+  SELECT url, status, fetch_error, k,
+    CASE WHEN k IN (5, 9) THEN '❌ NO' ELSE '✅ SI' END AS found,
+    CASE k WHEN 0 THEN {_SD_PRICE} WHEN 1 THEN {_SD_PRICE_TEXT} WHEN 2 THEN 'Mancante'
+           WHEN 6 THEN {_SD_PRICE} WHEN 7 THEN '3' ELSE 'N/D' END AS price,
+    CASE k WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'Mancante' WHEN 6 THEN 'EUR'
+           WHEN 7 THEN 'Mancante' ELSE 'N/D' END AS currency,
+    CASE k WHEN 0 THEN '🟢 Disponibile' WHEN 1 THEN '🔴 Esaurito' WHEN 2 THEN '⚠️ Non specificata'
+           WHEN 6 THEN '🔴 Esaurito' WHEN 7 THEN '🟢 Disponibile' ELSE 'N/D' END AS avail
+  FROM (SELECT *, p_partkey % 10 AS k FROM prod)),
+pg AS (
+  SELECT url, status, fetch_error, '❌ NO' AS found, 'N/D' AS price, 'N/D' AS currency, 'N/D' AS avail
+  FROM ({_snap()})),
+allp AS (SELECT url, status, fetch_error, found, price, currency, avail FROM pr
+         UNION ALL SELECT * FROM pg)
+SELECT url AS "URL",
+  CASE WHEN fetch_error IS NOT NULL THEN 'Errore' WHEN status <> 200 THEN '❌ NO' ELSE found END
+    AS "Prodotto Trovato",
+  CASE WHEN fetch_error IS NOT NULL THEN NULL WHEN status <> 200 THEN 'Errore HTTP' ELSE price END AS "Prezzo",
+  CASE WHEN fetch_error IS NOT NULL OR status <> 200 THEN NULL ELSE currency END AS "Valuta",
+  CASE WHEN fetch_error IS NOT NULL THEN NULL WHEN status <> 200 THEN 'N/D' ELSE avail END AS "Disponibilità",
+  fetch_error AS "Errore"
+FROM allp WHERE ends_with(url, '.html')"""

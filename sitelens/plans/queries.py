@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit as audit_ops
 from ..operators import rules as rule_ops
+from ..operators import structured as structured_ops
 from ..sources.tables import read_table
 from . import derive
 
@@ -67,3 +68,20 @@ def q_priority_pages(spark, sf_dir):
 def q_duplicate_titles(spark, sf_dir):
     dups = rule_ops.duplicate_titles(site_audit(spark, sf_dir), order_col="page_id")
     return dups.select("page_id", "URL", "Title")
+
+
+# -- step 4: structured data ----------------------------------------------
+
+def shop_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and product pages together, as one crawl of one site would be."""
+    products = derive.product_snapshots(
+        read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice"))
+    cols = ["url", "status", "content_type", "html", "fetch_error"]
+    return site_snapshots(spark, sf_dir).select(*cols).unionByName(products.select(*cols))
+
+
+@register("structured_data")
+def q_structured_data(spark, sf_dir):
+    snaps = shop_snapshots(spark, sf_dir)
+    listed = snaps.select(F.col("url").alias("URL"))
+    return structured_ops.structured_data_audit(listed, snaps)
