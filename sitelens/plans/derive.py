@@ -24,8 +24,8 @@ def _rx(dialect: str, subject: str, pattern: str, repl: str) -> str:
     return f"regexp_replace({subject}, '{pattern}', '{repl}'{flags})"
 
 
-def page_snapshot_exprs(dialect: str = "spark") -> list[str]:
-    """pages(page_id, url, html) -> page snapshot columns."""
+def page_snapshot_stages(dialect: str = "spark") -> list[list[str]]:
+    """pages(page_id, url, html) -> page snapshot columns, as staged projections."""
     head = ("concat("
             "CASE page_id % 5 WHEN 0 THEN concat('<meta name=\"description\" content=\"Pagina ', "
             "CAST(page_id AS STRING), ' del sito\">') "
@@ -40,28 +40,39 @@ def page_snapshot_exprs(dialect: str = "spark") -> list[str]:
     body = ("concat(repeat('<h2>Sezione</h2>', CAST(page_id % 4 AS INTEGER)), "
             "CASE page_id % 3 WHEN 0 THEN '<img src=\"a.png\"><img alt=\" \" src=\"b.png\"><img alt=\"foto\" src=\"c.png\">' "
             "WHEN 1 THEN '<img alt src=\"d.png\"><img alt=\"x\">' ELSE '' END, '</article>')")
-    h = f"replace(replace(html, '</head>', {head}), '</article>', {body})"
-    title_blank = _rx(dialect, h, "<title>[^<]*</title>", "<title> </title>")
-    title_gone = _rx(dialect, h, "<title>[^<]*</title>", "")
-    h = (f"CASE WHEN page_id % 53 = 13 THEN {title_blank} "
-         f"WHEN page_id % 59 = 17 THEN {title_gone} ELSE {h} END")
-    h1_empty = _rx(dialect, h, "<h1>[^<]*</h1>", "<h1></h1>")
-    h1_gone = _rx(dialect, h, "<h1>[^<]*</h1>", "")
-    h = (f"CASE WHEN page_id % 43 = 2 THEN {h1_empty} "
-         f"WHEN page_id % 47 = 3 THEN {h1_gone} ELSE {h} END")
+    title = (f"CASE WHEN page_id % 53 = 13 THEN {_rx(dialect, 'html', '<title>[^<]*</title>', '<title> </title>')} "
+             f"WHEN page_id % 59 = 17 THEN {_rx(dialect, 'html', '<title>[^<]*</title>', '')} ELSE html END AS html")
+    h1 = (f"CASE WHEN page_id % 43 = 2 THEN {_rx(dialect, 'html', '<h1>[^<]*</h1>', '<h1></h1>')} "
+          f"WHEN page_id % 47 = 3 THEN {_rx(dialect, 'html', '<h1>[^<]*</h1>', '')} ELSE html END AS html")
     return [
-        "page_id",
-        "url",
-        "CAST(CASE WHEN page_id % 17 = 3 THEN 404 WHEN page_id % 29 = 5 THEN 500 ELSE 200 END AS INTEGER) AS status",
-        "CASE WHEN page_id % 19 = 4 THEN 'application/pdf' WHEN page_id % 37 = 9 THEN NULL "
-        "ELSE 'text/html; charset=utf-8' END AS content_type",
-        f"{h} AS html",
-        "CASE WHEN page_id % 41 = 11 THEN 'ReadTimeout: read timed out' END AS fetch_error",
+        ["page_id", "url", f"replace(replace(html, '</head>', {head}), '</article>', {body}) AS html"],
+        ["page_id", "url", title],
+        ["page_id", "url", h1],
+        ["page_id", "url",
+         "CAST(CASE WHEN page_id % 17 = 3 THEN 404 WHEN page_id % 29 = 5 THEN 500 ELSE 200 END AS INTEGER) AS status",
+         "CASE WHEN page_id % 19 = 4 THEN 'application/pdf' WHEN page_id % 37 = 9 THEN NULL "
+         "ELSE 'text/html; charset=utf-8' END AS content_type",
+         "html",
+         "CASE WHEN page_id % 41 = 11 THEN 'ReadTimeout: read timed out' END AS fetch_error"],
     ]
 
 
+def apply_stages(df: DataFrame, stages: list[list[str]]) -> DataFrame:
+    for stage in stages:
+        df = df.selectExpr(*stage)
+    return df
+
+
+def stages_sql(stages: list[list[str]], source: str) -> str:
+    """The same staged projections as nested DuckDB SELECTs."""
+    sql = f"SELECT * FROM {source}"
+    for i, stage in enumerate(stages):
+        sql = f"SELECT {', '.join(stage)} FROM ({sql}) s{i}"
+    return sql
+
+
 def page_snapshots(pages: DataFrame) -> DataFrame:
-    return pages.selectExpr(*page_snapshot_exprs("spark"))
+    return apply_stages(pages, page_snapshot_stages("spark"))
 
 
 # JSON-LD variants for product pages, chosen by p_partkey % 10.
@@ -105,3 +116,34 @@ def product_snapshot_exprs(dialect: str = "spark") -> list[str]:
 
 def product_snapshots(part: DataFrame) -> DataFrame:
     return part.selectExpr(*product_snapshot_exprs("spark"))
+
+
+def backlink_snapshot_stages(dialect: str = "spark") -> list[list[str]]:
+    """Page snapshots with one link to our domain placed by page_id % 5.
+
+    0: inside the article, 1: in the footer, 2: image link in an aside,
+    3: blank link in a plain div, 4: no link.
+    """
+    own = f"https://{OWN_DOMAIN}"
+    html = (
+        "CASE page_id % 5 "
+        f"WHEN 0 THEN replace(html, '</article>', concat('<a href=\"{own}/prodotti?ref=', "
+        "CAST(page_id AS STRING), '\">Scarpe da lavoro</a></article>')) "
+        f"WHEN 1 THEN replace(html, '</footer>', '<a href=\"{own}/\">mysite</a></footer>') "
+        f"WHEN 2 THEN replace(html, '<footer>', '<aside><a href=\"http://{OWN_DOMAIN}/x\"><img src=\"logo.png\"></a></aside><footer>') "
+        f"WHEN 3 THEN replace(html, '<footer>', '<div class=\"links\"><a href=\"{own}/y\">  </a></div><footer>') "
+        "ELSE html END AS html")
+    return page_snapshot_stages(dialect) + [["page_id", "url", "status", html, "fetch_error"]]
+
+
+def backlink_snapshots(pages: DataFrame) -> DataFrame:
+    return apply_stages(pages, backlink_snapshot_stages("spark"))
+
+
+def backlink_export_exprs() -> list[str]:
+    """A search-console style export: host, linking page, rank."""
+    return [
+        "regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS `Sito`",
+        "url AS `Pagina di collegamento`",
+        "page_id AS `Rank`",
+    ]

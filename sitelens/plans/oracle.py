@@ -14,7 +14,7 @@ ORACLE: dict[str, str] = {}
 
 
 def _snap() -> str:
-    return f"SELECT {', '.join(derive.page_snapshot_exprs('duckdb'))} FROM pages"
+    return derive.stages_sql(derive.page_snapshot_stages("duckdb"), "pages")
 
 
 def _decode(x: str) -> str:
@@ -145,3 +145,33 @@ SELECT url AS "URL",
   CASE WHEN fetch_error IS NOT NULL THEN NULL WHEN status <> 200 THEN 'N/D' ELSE avail END AS "Disponibilità",
   fetch_error AS "Errore"
 FROM allp WHERE ends_with(url, '.html')"""
+
+
+# Backlinks: the tier is predicted from where the derivation put the link;
+# toxicity is read from the page text (markup, scripts, styles, comments removed).
+ORACLE["url_column_detect"] = """
+WITH e AS (SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS sito, url AS pagina, page_id AS rnk FROM pages)
+SELECT CASE WHEN bool_or(contains(sito, 'http')) THEN 'Sito'
+            WHEN bool_or(contains(pagina, 'http')) THEN 'Pagina di collegamento'
+            WHEN bool_or(contains(CAST(rnk AS VARCHAR), 'http')) THEN 'Rank' END AS url_column
+FROM e"""
+
+_TEXT = ("lower(" + _decode("regexp_replace(regexp_replace(html, "
+         "'(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g')") + ")")
+
+ORACLE["backlink_audit"] = f"""
+WITH s AS ({derive.stages_sql(derive.backlink_snapshot_stages("duckdb"), "pages")}),
+t AS (SELECT *, regexp_matches({_TEXT}, 'casino|betting|crypto|porn') AS toxic,
+             fetch_error IS NULL AND status = 200 AND page_id % 5 <> 4 AS scored FROM s)
+SELECT url AS "URL Sorgente",
+  CASE WHEN fetch_error IS NOT NULL THEN 'ERRORE' WHEN status <> 200 THEN 'OFFLINE'
+       WHEN page_id % 5 = 4 THEN 'RIMOSSO' WHEN toxic THEN '💀 TOSSICO'
+       WHEN page_id % 5 = 0 THEN '⭐️ ECCELLENTE' WHEN page_id % 5 IN (1, 2) THEN '🔴 SCARSO'
+       ELSE '🟡 MEDIO' END AS "Tipo Risultato",
+  CAST(CASE WHEN NOT scored OR toxic THEN 0 WHEN page_id % 5 = 0 THEN 10
+            WHEN page_id % 5 IN (1, 2) THEN 2 ELSE 5 END AS INTEGER) AS "Power Score",
+  CASE WHEN NOT scored THEN 'N/D' WHEN page_id % 5 = 0 THEN 'Scarpe da lavoro'
+       WHEN page_id % 5 = 1 THEN 'mysite' ELSE '[Immagine/Vuoto]' END AS "Anchor Text",
+  CASE WHEN fetch_error IS NOT NULL THEN fetch_error WHEN status <> 200 THEN 'Errore Connessione'
+       WHEN page_id % 5 = 4 THEN 'Link non più presente' ELSE 'Attivo' END AS "Note"
+FROM t"""

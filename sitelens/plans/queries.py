@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit as audit_ops
+from ..operators import backlinks as backlink_ops
 from ..operators import rules as rule_ops
 from ..operators import structured as structured_ops
 from ..sources.tables import read_table
@@ -85,3 +86,20 @@ def q_structured_data(spark, sf_dir):
     snaps = shop_snapshots(spark, sf_dir)
     listed = snaps.select(F.col("url").alias("URL"))
     return structured_ops.structured_data_audit(listed, snaps)
+
+
+# -- step 5: backlinks ------------------------------------------------------
+
+def backlink_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "pages", "page_id", "url").selectExpr(*derive.backlink_export_exprs())
+
+
+@register("url_column_detect")
+def q_url_column_detect(spark, sf_dir):
+    return backlink_ops.url_column(backlink_export(spark, sf_dir))
+
+
+@register("backlink_audit")
+def q_backlink_audit(spark, sf_dir):
+    snaps = derive.backlink_snapshots(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return backlink_ops.backlink_audit(backlink_export(spark, sf_dir), snaps, derive.OWN_DOMAIN)
