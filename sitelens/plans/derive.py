@@ -147,3 +147,85 @@ def backlink_export_exprs() -> list[str]:
         "url AS `Pagina di collegamento`",
         "page_id AS `Rank`",
     ]
+
+
+# -- sitemaps: root -> region groups -> nation chunks -> customer pages ------
+SITEMAP_ROOT = f"{SHOP}/sitemap_index.xml"
+CHUNK = 500          # links per generated sitemap file (bounded group size)
+_URLSET = '<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+_INDEX = '<?xml version="1.0" encoding="UTF-8"?><sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+
+
+def _loc(wrapper: str, c) -> F.Column:
+    return F.concat(F.lit(f"<{wrapper}><loc>"), c, F.lit(f"</loc></{wrapper}>"))
+
+
+def sitemap_snapshots(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFrame:
+    """(url, status, xml) for every generated sitemap file.
+
+    Nation sitemaps hold at most CHUNK customers each; region sitemaps list
+    at most CHUNK chunk-groups; one region sitemap links back to the root
+    (a cycle); one nation chunk in eleven answers 404.
+    """
+    cust = customer.select("c_custkey", "c_nationkey").withColumn(
+        "chunk", F.floor(F.col("c_custkey") / CHUNK))
+    nat_url = F.concat(F.lit(f"{SHOP}/sitemaps/nation_"), F.col("c_nationkey").cast("string"),
+                       F.lit("_"), F.col("chunk").cast("string"), F.lit(".xml"))
+    nat_maps = (cust.groupBy("c_nationkey", "chunk")
+                .agg(F.concat_ws("", F.collect_list(_loc("url", F.concat(
+                    F.lit(f"{SHOP}/it/customer/"), F.col("c_custkey").cast("string"))))).alias("body"))
+                .select(nat_url.alias("url"),
+                        F.when((F.col("c_nationkey") + F.col("chunk")) % 11 == 10, F.lit(404))
+                         .otherwise(F.lit(200)).cast("int").alias("status"),
+                        F.concat(F.lit(_URLSET), F.col("body"), F.lit("</urlset>")).alias("xml")))
+    chunks = (cust.select("c_nationkey", "chunk").distinct()
+              .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey")
+              .select(F.col("n_regionkey").alias("r"), F.floor(F.col("chunk") / CHUNK).alias("g"),
+                      nat_url.alias("loc")))
+    reg_url = F.concat(F.lit(f"{SHOP}/sitemaps/region_"), F.col("r").cast("string"), F.lit("_"),
+                       F.col("g").cast("string"), F.lit(".xml"))
+    extra = (chunks.select("r", "g").distinct()
+             .select("r", "g", F.concat(F.lit(f"{SHOP}/it/region/"), F.col("r").cast("string")).alias("loc"))
+             .unionByName(chunks.filter((F.col("r") == 0) & (F.col("g") == 0)).select(
+                 "r", "g", F.lit(SITEMAP_ROOT).alias("loc")).limit(1)))
+    reg_maps = (chunks.unionByName(extra).groupBy("r", "g")
+                .agg(F.concat_ws("", F.collect_list(_loc("sitemap", F.col("loc")))).alias("body"))
+                .select(reg_url.alias("url"), F.lit(200).alias("status"),
+                        F.concat(F.lit(_INDEX), F.col("body"), F.lit("</sitemapindex>")).alias("xml")))
+    root_extra = F.concat(
+        _loc("sitemap", F.lit(f"\n   {SHOP}/it/  ")),
+        _loc("sitemap", F.lit(f"{SHOP}/feed?f=a.xml")),
+        _loc("url", F.lit(f"{SHOP}/it/search?q=a&amp;p=2")))
+    root = (chunks.select("r", "g").distinct()
+            .agg(F.concat_ws("", F.collect_list(_loc("sitemap", reg_url))).alias("body"))
+            .select(F.lit(SITEMAP_ROOT).alias("url"), F.lit(200).alias("status"),
+                    F.concat(F.lit(_INDEX), F.col("body"), root_extra, F.lit("</sitemapindex>")).alias("xml")))
+    cols = ["url", "status", "xml"]
+    return nat_maps.select(*cols).unionByName(reg_maps.select(*cols)).unionByName(root.select(*cols))
+
+
+# -- keywords ---------------------------------------------------------------
+
+def keyword_seeds(part: DataFrame) -> DataFrame:
+    """Seeds: the distinct first words of part names."""
+    return part.select(F.split(F.col("p_name"), " ", 2).getItem(0).alias("seed")).distinct()
+
+
+def keyword_corpus(part: DataFrame) -> DataFrame:
+    """(keyword, popularity): part names and name + type, counted."""
+    names = part.select(F.col("p_name").alias("keyword"))
+    typed = part.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("keyword"))
+    return names.unionByName(typed).groupBy("keyword").agg(F.count(F.lit(1)).alias("popularity"))
+
+
+def suggestion_payload_exprs() -> list[str]:
+    """One captured response per part row; some are malformed by design."""
+    return [
+        "split(p_name, ' ', 2)[0] AS seed",
+        "p_name AS query",
+        "CASE WHEN p_partkey % 13 = 0 THEN 'not json' "
+        "WHEN p_partkey % 17 = 0 THEN concat('[\"', p_name, '\"]') "
+        "WHEN p_partkey % 19 = 0 THEN concat('[\"', p_name, '\",\"ab\"]') "
+        "ELSE concat('[\"', p_name, '\",[\"', p_name, ' ', lower(p_type), '\",\"', p_name, ' ', "
+        "lower(p_brand), '\"],[],{}]') END AS payload",
+    ]

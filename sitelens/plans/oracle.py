@@ -175,3 +175,74 @@ SELECT url AS "URL Sorgente",
   CASE WHEN fetch_error IS NOT NULL THEN fetch_error WHEN status <> 200 THEN 'Errore Connessione'
        WHEN page_id % 5 = 4 THEN 'Link non più presente' ELSE 'Attivo' END AS "Note"
 FROM t"""
+
+
+# Sitemaps: the same site as an edge relation; reachability by recursive UNION.
+_SHOP = derive.SHOP
+_EDGES = f"""
+cust AS (SELECT c_custkey, c_nationkey, c_custkey // 500 AS chunk FROM customer),
+nat AS (SELECT DISTINCT c_nationkey AS n, chunk, n_regionkey AS r,
+          '{_SHOP}/sitemaps/nation_' || n || '_' || chunk || '.xml' AS u
+        FROM cust JOIN nation ON n_nationkey = c_nationkey),
+reg AS (SELECT DISTINCT r, chunk // 500 AS g,
+          '{_SHOP}/sitemaps/region_' || r || '_' || (chunk // 500) || '.xml' AS u FROM nat),
+edges AS (
+  SELECT nat.u AS parent, '{_SHOP}/it/customer/' || c_custkey AS loc
+    FROM cust JOIN nat ON nat.n = cust.c_nationkey AND nat.chunk = cust.chunk
+    WHERE (nat.n + nat.chunk) % 11 <> 10
+  UNION ALL SELECT reg.u, nat.u FROM nat JOIN reg ON reg.r = nat.r AND reg.g = nat.chunk // 500
+  UNION ALL SELECT u, '{_SHOP}/it/region/' || r FROM reg
+  UNION ALL SELECT u, '{derive.SITEMAP_ROOT}' FROM reg WHERE r = 0 AND g = 0
+  UNION ALL SELECT '{derive.SITEMAP_ROOT}', u FROM reg
+  UNION ALL SELECT '{derive.SITEMAP_ROOT}', '{_SHOP}/it/'
+  UNION ALL SELECT '{derive.SITEMAP_ROOT}', '{_SHOP}/feed?f=a.xml'
+  UNION ALL SELECT '{derive.SITEMAP_ROOT}', '{_SHOP}/it/search?q=a&p=2')"""
+
+ORACLE["sitemap_edges"] = f"""
+WITH {_EDGES}
+SELECT parent, loc, contains(lower(loc), '.xml') AS is_sitemap FROM edges"""
+
+ORACLE["sitemap_expand"] = f"""
+WITH RECURSIVE {_EDGES},
+reach(u) AS (SELECT '{derive.SITEMAP_ROOT}'
+             UNION SELECT e.loc FROM edges e JOIN reach ON e.parent = reach.u
+                   WHERE contains(lower(e.loc), '.xml'))
+SELECT DISTINCT loc AS url FROM edges
+WHERE parent IN (SELECT u FROM reach) AND NOT contains(lower(loc), '.xml')"""
+
+
+# Keywords: probes by a cross join with the 27 suffixes; suggestions by a
+# starts_with join and a windowed top-10.
+_LETTERS = ", ".join(["NULL"] + [f"'{chr(c)}'" for c in range(ord('a'), ord('z') + 1)])
+_PROBES = f"""
+seeds AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS seed FROM part),
+probes AS (SELECT seed, letter, concat_ws(' ', seed, letter) AS query
+           FROM seeds CROSS JOIN (SELECT unnest([{_LETTERS}]) AS letter))"""
+_SUGGEST = f"""
+WITH {_PROBES},
+corpus AS (SELECT keyword, count(*) AS popularity FROM (
+             SELECT p_name AS keyword FROM part
+             UNION ALL SELECT concat_ws(' ', p_name, lower(p_type)) FROM part) GROUP BY keyword),
+hits AS (SELECT seed, query, keyword,
+           row_number() OVER (PARTITION BY seed, query ORDER BY popularity DESC, keyword) AS rk
+         FROM probes JOIN corpus ON starts_with(keyword, query))"""
+
+ORACLE["keyword_probes"] = f"WITH {_PROBES} SELECT * FROM probes"
+ORACLE["keyword_suggest"] = f"""{_SUGGEST}
+SELECT seed, query, keyword AS suggestion, CAST(rk AS INTEGER) AS rank FROM hits WHERE rk <= 10"""
+ORACLE["keyword_expand"] = f"""{_SUGGEST}
+SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10"""
+ORACLE["keyword_preview"] = f"""{_SUGGEST},
+kw AS (SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10)
+SELECT * FROM (SELECT seed, "Keyword", CAST(row_number() OVER (PARTITION BY seed ORDER BY "Keyword") AS INTEGER) AS pos
+               FROM kw) WHERE pos <= 30"""
+ORACLE["keyword_payloads"] = """
+WITH p AS (
+  SELECT split_part(p_name, ' ', 1) AS seed, p_partkey, p_name, p_type, p_brand FROM part),
+s AS (
+  SELECT seed, CASE
+    WHEN p_partkey % 13 = 0 OR p_partkey % 17 = 0 THEN []
+    WHEN p_partkey % 19 = 0 THEN ['a', 'b']
+    ELSE [p_name || ' ' || lower(p_type), p_name || ' ' || lower(p_brand)] END AS sugg
+  FROM p)
+SELECT DISTINCT seed, unnest(sugg) AS "Keyword" FROM s"""

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..operators import audit as audit_ops
 from ..operators import backlinks as backlink_ops
+from ..operators import keywords as keyword_ops
 from ..operators import rules as rule_ops
+from ..operators import sitemap as sitemap_ops
 from ..operators import structured as structured_ops
 from ..sources.tables import read_table
 from . import derive
@@ -103,3 +105,61 @@ def q_url_column_detect(spark, sf_dir):
 def q_backlink_audit(spark, sf_dir):
     snaps = derive.backlink_snapshots(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return backlink_ops.backlink_audit(backlink_export(spark, sf_dir), snaps, derive.OWN_DOMAIN)
+
+
+# -- step 6: sitemap expansion ---------------------------------------------
+
+def site_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.sitemap_snapshots(read_table(spark, sf_dir, "region", "r_regionkey"),
+                                    read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"),
+                                    read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey"))
+
+
+@register("sitemap_expand")
+def q_sitemap_expand(spark, sf_dir):
+    roots = spark.range(1).select(F.lit(derive.SITEMAP_ROOT).alias("url"))
+    return sitemap_ops.expand_sitemaps(site_sitemaps(spark, sf_dir), roots)
+
+
+@register("sitemap_edges")
+def q_sitemap_edges(spark, sf_dir):
+    return sitemap_ops.sitemap_edges(site_sitemaps(spark, sf_dir))
+
+
+# -- step 7: keywords -------------------------------------------------------
+
+def _part(spark, sf_dir, *cols):
+    return read_table(spark, sf_dir, "part", *cols)
+
+
+@register("keyword_probes")
+def q_keyword_probes(spark, sf_dir):
+    return keyword_ops.keyword_probes(derive.keyword_seeds(_part(spark, sf_dir, "p_name")))
+
+
+def _suggestions(spark, sf_dir):
+    part = _part(spark, sf_dir, "p_name", "p_type")
+    probes = keyword_ops.keyword_probes(derive.keyword_seeds(part))
+    return keyword_ops.suggest(probes, derive.keyword_corpus(part))
+
+
+@register("keyword_suggest")
+def q_keyword_suggest(spark, sf_dir):
+    return _suggestions(spark, sf_dir)
+
+
+@register("keyword_expand")
+def q_keyword_expand(spark, sf_dir):
+    return keyword_ops.expand_keywords(_suggestions(spark, sf_dir))
+
+
+@register("keyword_preview")
+def q_keyword_preview(spark, sf_dir):
+    return keyword_ops.keyword_preview(keyword_ops.expand_keywords(_suggestions(spark, sf_dir)))
+
+
+@register("keyword_payloads")
+def q_keyword_payloads(spark, sf_dir):
+    payloads = _part(spark, sf_dir, "p_partkey", "p_name", "p_type", "p_brand").selectExpr(
+        *derive.suggestion_payload_exprs())
+    return keyword_ops.expand_keywords(keyword_ops.parse_payloads(payloads))
