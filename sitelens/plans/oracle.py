@@ -246,3 +246,38 @@ s AS (
     ELSE [p_name || ' ' || lower(p_type), p_name || ' ' || lower(p_brand)] END AS sugg
   FROM p)
 SELECT DISTINCT seed, unnest(sugg) AS "Keyword" FROM s"""
+
+
+# TF-IDF and naming over part names (doc = part row).
+_TFIDF = """
+docs AS (SELECT p_partkey AS doc_id, p_name AS kw, p_size FROM part),
+toks AS (SELECT doc_id, regexp_extract_all(lower(kw), '\\b\\w\\w+\\b') AS t FROM docs),
+terms AS (SELECT doc_id, unnest(t) AS term FROM toks
+          UNION ALL
+          SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM toks),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+nd AS (SELECT count(*) AS n FROM docs),
+raw AS (SELECT doc_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN dfq USING (term) CROSS JOIN nd),
+wt AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw)"""
+
+_NAMES = f"""{_TFIDF},
+asg AS (SELECT p_partkey AS doc_id, CAST(p_size % 5 AS INTEGER) AS "Cluster_ID" FROM part),
+sizes AS (SELECT "Cluster_ID", count(*) AS n FROM asg GROUP BY 1),
+cent AS (SELECT "Cluster_ID", term, round(sum(weight) / max(n), 9) AS c
+         FROM wt JOIN asg USING (doc_id) JOIN sizes USING ("Cluster_ID") GROUP BY "Cluster_ID", term),
+top AS (SELECT *, row_number() OVER (PARTITION BY "Cluster_ID" ORDER BY c DESC, term DESC) AS r
+        FROM cent WHERE c > 0),
+names AS (SELECT "Cluster_ID", upper(string_agg(term, ' - ' ORDER BY r)) AS "Tema_Semantico"
+          FROM top WHERE r <= 2 GROUP BY 1)"""
+
+ORACLE["keyword_tfidf"] = f"WITH {_TFIDF} SELECT doc_id, term, round(weight, 6) AS weight FROM wt"
+ORACLE["cluster_themes"] = f"WITH {_NAMES} SELECT * FROM names"
+ORACLE["theme_preview"] = f"""WITH {_NAMES},
+cl AS (SELECT d.kw AS "Keyword", n."Tema_Semantico" FROM docs d JOIN asg USING (doc_id)
+       LEFT JOIN names n USING ("Cluster_ID")),
+rk AS (SELECT *, row_number() OVER (PARTITION BY "Tema_Semantico" ORDER BY "Keyword") AS r FROM cl)
+SELECT "Tema_Semantico", count(*) AS n_keywords,
+       string_agg("Keyword", ', ' ORDER BY r) FILTER (WHERE r <= 4) AS preview,
+       count(*) > 4 AS more
+FROM rk GROUP BY 1"""

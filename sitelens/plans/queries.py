@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit as audit_ops
 from ..operators import backlinks as backlink_ops
+from ..operators import clustering as cluster_ops
 from ..operators import keywords as keyword_ops
 from ..operators import rules as rule_ops
 from ..operators import sitemap as sitemap_ops
@@ -163,3 +164,42 @@ def q_keyword_payloads(spark, sf_dir):
     payloads = _part(spark, sf_dir, "p_partkey", "p_name", "p_type", "p_brand").selectExpr(
         *derive.suggestion_payload_exprs())
     return keyword_ops.expand_keywords(keyword_ops.parse_payloads(payloads))
+
+
+# -- step 8: TF-IDF, clustering, naming --------------------------------------
+
+def _part_docs(spark, sf_dir):
+    return _part(spark, sf_dir, "p_partkey", "p_name", "p_size").select(
+        F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("Keyword"), "p_size")
+
+
+def _fixed_assignment(docs):
+    """A fixed cluster assignment (p_size % 5) to check naming exactly."""
+    return docs.select("doc_id", (F.col("p_size") % 5).cast("int").alias("Cluster_ID"))
+
+
+@register("keyword_tfidf")
+def q_keyword_tfidf(spark, sf_dir):
+    w = cluster_ops.tfidf_long(_part_docs(spark, sf_dir))
+    return w.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@register("cluster_themes")
+def q_cluster_themes(spark, sf_dir):
+    docs = _part_docs(spark, sf_dir)
+    return cluster_ops.cluster_names(cluster_ops.tfidf_long(docs), _fixed_assignment(docs))
+
+
+@register("theme_preview")
+def q_theme_preview(spark, sf_dir):
+    docs = _part_docs(spark, sf_dir)
+    asg = _fixed_assignment(docs)
+    names = cluster_ops.cluster_names(cluster_ops.tfidf_long(docs), asg)
+    clustered = docs.join(asg, "doc_id").join(names, "Cluster_ID", "left")
+    return cluster_ops.theme_preview(clustered)
+
+
+@register("keyword_cluster")
+def q_keyword_cluster(spark, sf_dir):
+    kw = keyword_ops.expand_keywords(_suggestions(spark, sf_dir)).select("Keyword")
+    return cluster_ops.cluster_keywords(kw, k=7)
