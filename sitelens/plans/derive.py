@@ -229,3 +229,41 @@ def suggestion_payload_exprs() -> list[str]:
         "ELSE concat('[\"', p_name, '\",[\"', p_name, ' ', lower(p_type), '\",\"', p_name, ' ', "
         "lower(p_brand), '\"],[],{}]') END AS payload",
     ]
+
+
+# -- browser performance entries from events --------------------------------
+# Fixed value: the label -> URL dict of pages under test.
+PAGES_TO_TEST = {
+    "HOMEPAGE": f"{SHOP}/it/",
+    "CATEGORIA": f"{SHOP}/it/categoria-esempio",
+    "PRODOTTO": f"{SHOP}/it/prodotto-esempio.html",
+}
+CAPTURE_ERROR = "TimeoutError: page.goto: Timeout 60000ms exceeded"
+
+
+def perf_entry_exprs() -> list[str]:
+    """events -> perf entries (without url; joined from PAGES_TO_TEST).
+
+    A (user, day) is one page view: views are LCP entries, clicks layout
+    shifts, signups navigation entries, errors above 300 capture errors.
+    """
+    return [
+        "concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS view_id",
+        "CASE user_id % 3 WHEN 0 THEN 'HOMEPAGE' WHEN 1 THEN 'CATEGORIA' ELSE 'PRODOTTO' END AS label",
+        "event_id AS seq",
+        "CASE event_type WHEN 'view' THEN 'largest-contentful-paint' WHEN 'click' THEN 'layout-shift' "
+        "WHEN 'signup' THEN 'navigation' WHEN 'error' THEN CASE WHEN value > 300 THEN 'error' END END AS entry_type",
+        "value * 10 AS start_ms",
+        "CASE WHEN event_type = 'click' THEN value / 1000 ELSE value END AS value",
+        "try_cast(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS INTEGER) % 2 = 1 AS had_recent_input",
+        "CASE WHEN event_type = 'signup' THEN value * 3 END AS response_start_ms",
+        "CAST(1500 + (user_id % 7) * 300 AS DOUBLE) AS load_ms",
+        "CAST(ts AS TIMESTAMP) AS ts",
+        f"CASE WHEN event_type = 'error' THEN '{CAPTURE_ERROR}' END AS fetch_error",
+    ]
+
+
+def perf_entries(events: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets``: (label, url), a fixed 3-row relation -> broadcast."""
+    entries = events.selectExpr(*perf_entry_exprs()).filter(F.col("entry_type").isNotNull())
+    return entries.join(F.broadcast(targets), "label")

@@ -281,3 +281,36 @@ SELECT "Tema_Semantico", count(*) AS n_keywords,
        string_agg("Keyword", ', ' ORDER BY r) FILTER (WHERE r <= 4) AS preview,
        count(*) > 4 AS more
 FROM rk GROUP BY 1"""
+
+
+# Vitals: arg_max / arg_min with FILTER over the same derived entries.
+_TARGETS = " UNION ALL ".join(f"SELECT '{k}' AS label, '{v}' AS url" for k, v in derive.PAGES_TO_TEST.items())
+_VITALS = f"""
+e AS (SELECT * FROM (SELECT {', '.join(derive.perf_entry_exprs())} FROM events) x
+      JOIN ({_TARGETS}) t USING (label) WHERE entry_type IS NOT NULL),
+a AS (SELECT view_id, label, url,
+  arg_max(start_ms, (ts, seq)) FILTER (WHERE entry_type = 'largest-contentful-paint'
+                                       AND start_ms <= load_ms + 2000) AS lcp_ms,
+  sum(value) FILTER (WHERE entry_type = 'layout-shift' AND start_ms <= load_ms + 2000
+                     AND NOT coalesce(had_recent_input, false)) AS cls_sum,
+  arg_min(response_start_ms, (ts, seq)) FILTER (WHERE entry_type = 'navigation') AS ttfb_ms,
+  bool_or(entry_type = 'navigation') AS has_nav,
+  arg_min(fetch_error, (ts, seq)) FILTER (WHERE entry_type = 'error') AS err
+  FROM e GROUP BY ALL),
+f AS (SELECT *, CASE WHEN err IS NOT NULL THEN err
+                     WHEN NOT has_nav THEN 'TypeError: Cannot read properties of undefined (reading ''responseStart'')' END AS errore,
+             CAST(floor(coalesce(lcp_ms, 0) + 0.5) AS BIGINT) AS lms FROM a)
+SELECT view_id, label AS "Tipo", url AS "URL",
+  CASE WHEN errore IS NULL THEN CAST(CAST(floor(ttfb_ms + 0.5) AS BIGINT) AS VARCHAR) || 'ms' END AS "TTFB",
+  CASE WHEN errore IS NULL THEN
+    CASE WHEN lms % 1000 = 0 THEN CAST(lms // 1000 AS VARCHAR)
+         ELSE CAST(lms // 1000 AS VARCHAR) || '.' || regexp_replace(lpad(CAST(lms % 1000 AS VARCHAR), 3, '0'), '0+$', '') END
+    || 's' END AS "LCP",
+  CASE WHEN errore IS NULL THEN floor(coalesce(cls_sum, 0) * 1000 + 0.5) / 1000 END AS "CLS",
+  CASE WHEN errore IS NULL THEN CASE WHEN lms <= 2500 THEN '✅ BUONO' ELSE '🔴 DA MIGLIORARE' END END AS "Giudizio",
+  errore AS "Errore",
+  CASE WHEN errore IS NULL THEN lcp_ms IS NOT NULL END AS lcp_observed
+FROM f"""
+ORACLE["vitals_report"] = f"WITH {_VITALS}"
+ORACLE["stream_vitals"] = f"WITH {_VITALS}"
+ORACLE["stream_page_audit"] = _audit_sql()

@@ -18,7 +18,11 @@ from ..operators import keywords as keyword_ops
 from ..operators import rules as rule_ops
 from ..operators import sitemap as sitemap_ops
 from ..operators import structured as structured_ops
-from ..sources.tables import read_table
+from ..operators import vitals as vitals_ops
+from ..session import scratch_path
+from ..sources.tables import read_table, stream_table
+from ..streaming import page_audit as page_stream
+from ..streaming import vitals as vitals_stream
 from . import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +207,41 @@ def q_theme_preview(spark, sf_dir):
 def q_keyword_cluster(spark, sf_dir):
     kw = keyword_ops.expand_keywords(_suggestions(spark, sf_dir)).select("Keyword")
     return cluster_ops.cluster_keywords(kw, k=7)
+
+
+# -- step 9: vitals ---------------------------------------------------------
+
+def _entries(spark, events):
+    return derive.perf_entries(events, vitals_ops.pages_to_test(spark, derive.PAGES_TO_TEST))
+
+
+@register("vitals_report")
+def q_vitals_report(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    return vitals_ops.vitals_report(_entries(spark, events))
+
+
+# -- step 10: streaming -----------------------------------------------------
+
+def _run_dir(spark, name):
+    import uuid
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("stream_page_audit")
+def q_stream_page_audit(spark, sf_dir):
+    base = _run_dir(spark, "stream_page_audit")
+    pages = stream_table(spark, sf_dir, "pages", "page_id long, url string, html string")
+    q = page_stream.start_page_audit_stream(pages, f"{base}/out", f"{base}/ckpt",
+                                            prepare=derive.page_snapshots, keep=("page_id",))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_vitals")
+def q_stream_vitals(spark, sf_dir):
+    base = _run_dir(spark, "stream_vitals")
+    events = stream_table(spark, sf_dir, "events", read_table(spark, sf_dir, "events").schema)
+    q = vitals_stream.start_vitals_stream(_entries(spark, events), f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return vitals_stream.latest_rows(spark, f"{base}/out")

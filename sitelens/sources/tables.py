@@ -17,3 +17,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     """Parquet scan; selecting ``cols`` here keeps the ReadSchema pruned."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, schema,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """File-stream scan of one table's parquet file(s) in ``sf_dir``."""
+    reader = (spark.readStream.schema(schema)
+              .option("pathGlobFilter", f"{name}.parquet"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(sf_dir)
