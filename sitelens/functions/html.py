@@ -175,3 +175,17 @@ def spread(df: DataFrame, key: str | None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
+
+
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value, so Python workers need no
+    copy of the package on their path (only the standard library and pandas)."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: fall back to shipping by reference
+        pass
+
+
+_ship_by_value()

@@ -24,8 +24,13 @@ def is_html_response(content_type: Column) -> Column:
 
 
 def auditable(snapshots: DataFrame) -> DataFrame:
-    """Fetched without error and HTML.  Filters run before the parse."""
-    return snapshots.filter(F.col("fetch_error").isNull() & is_html_response(F.col("content_type")))
+    """Fetched without error and HTML.  Filters run before the parse.
+
+    In a filter a null content type drops the row either way, so the plain
+    ``contains`` is used: it reaches a parquet scan as a pushed filter.
+    """
+    return snapshots.filter(F.col("fetch_error").isNull()
+                            & F.col("content_type").contains(HTML_TYPE))
 
 
 def first_element(pred) -> Column:
@@ -37,25 +42,34 @@ def _has_token(c: Column, token: str) -> Column:
 
 
 def element_fields(df: DataFrame) -> DataFrame:
-    """Audit fields from ``elements``; null where the page has no such tag."""
-    title_el = first_element(lambda e: e["tag"] == "title")
-    desc_el = first_element(lambda e: (e["tag"] == "meta") & (e["name"] == "description"))
-    canon_el = first_element(lambda e: (e["tag"] == "link") & _has_token(e["rel"], "canonical"))
-    robots_el = first_element(lambda e: (e["tag"] == "meta") & (e["name"] == "robots"))
-    h1_el = first_element(lambda e: e["tag"] == "h1")
+    """Audit fields from ``elements``; null where the page has no such tag.
+
+    Each "first matching element" is computed once (one projection), then
+    its fields are read in the next one.
+    """
     imgs = F.filter(F.col("elements"), lambda e: e["tag"] == "img")
-    return (df
-            .withColumn("_title", py_strip(title_el["string"]))
-            .withColumn("_desc", py_strip(desc_el["content"]))
-            .withColumn("_canon_tag", canon_el.isNotNull())
-            .withColumn("_canon", canon_el["href"])
-            .withColumn("_robots_tag", robots_el.isNotNull())
-            .withColumn("_robots", robots_el["content"])
-            .withColumn("_h1", py_strip(h1_el["text"]))
-            .withColumn("_h2", F.size(F.filter(F.col("elements"), lambda e: e["tag"] == "h2")))
-            .withColumn("_img", F.size(imgs))
-            .withColumn("_img_no_alt", F.size(F.filter(
-                imgs, lambda e: e["alt"].isNull() | (py_strip(e["alt"]) == F.lit(""))))))
+    firsts = df.select(
+        "*",
+        first_element(lambda e: e["tag"] == "title").alias("_t"),
+        first_element(lambda e: (e["tag"] == "meta") & (e["name"] == "description")).alias("_d"),
+        first_element(lambda e: (e["tag"] == "link") & _has_token(e["rel"], "canonical")).alias("_c"),
+        first_element(lambda e: (e["tag"] == "meta") & (e["name"] == "robots")).alias("_r"),
+        first_element(lambda e: e["tag"] == "h1").alias("_h"),
+        F.size(F.filter(F.col("elements"), lambda e: e["tag"] == "h2")).alias("_h2"),
+        F.size(imgs).alias("_img"),
+        F.size(F.filter(imgs, lambda e: e["alt"].isNull() | (py_strip(e["alt"]) == F.lit(""))))
+         .alias("_img_no_alt"),
+    ).drop("elements")
+    return firsts.select(
+        *[c for c in df.columns if c != "elements"],
+        py_strip(F.col("_t.string")).alias("_title"),
+        py_strip(F.col("_d.content")).alias("_desc"),
+        F.col("_c").isNotNull().alias("_canon_tag"),
+        F.col("_c.href").alias("_canon"),
+        F.col("_r").isNotNull().alias("_robots_tag"),
+        F.col("_r.content").alias("_robots"),
+        py_strip(F.col("_h.text")).alias("_h1"),
+        "_h2", "_img", "_img_no_alt")
 
 
 def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool = False,

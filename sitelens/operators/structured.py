@@ -40,71 +40,87 @@ RESULT_COLUMNS = ("URL", "Prodotto Trovato", "Prezzo", "Valuta", "Disponibilità
 
 
 def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    # casting to an empty struct succeeds exactly for JSON objects
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
-def _is_array(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+def _as_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _get(v: Column, path: str, typ: str | None = None) -> Column:
-    return F.try_variant_get(v, path, typ) if typ else F.try_variant_get(v, path, "variant")
+def _get(v: Column, path: str, typ: str = "variant") -> Column:
+    return F.try_variant_get(v, path, typ)
 
 
 def json_scalar_text(v: Column) -> Column:
     """Text of a JSON value as the audited script printed it (Python ``str``)."""
     s = F.schema_of_variant(v)
-    as_double = F.try_variant_get(v, "$", "double")
     return (F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
             .when(s == "STRING", F.try_variant_get(v, "$", "string"))
             .when(s == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("True"))
                   .otherwise(F.lit("False")))
-            .when(s.startswith("DECIMAL") | (s == "DOUBLE") | (s == "FLOAT"), as_double.cast("string"))
+            .when(s.startswith("DECIMAL") | (s == "DOUBLE") | (s == "FLOAT"),
+                  F.try_variant_get(v, "$", "double").cast("string"))
             .otherwise(F.try_variant_get(v, "$", "string")))
 
 
-def _field(offer: Column, key: str) -> Column:
+def _field(raw: Column) -> Column:
     """Offer field text; the default placeholder when the key is absent."""
-    raw = _get(offer, f"$.{key}")
     return F.when(raw.isNull(), F.lit(ABSENT)).otherwise(json_scalar_text(raw))
 
 
-def _item(item: Column) -> Column:
-    """One item -> struct(product, offer_ok, avail_ok, fail, price, currency, avail)."""
-    is_obj = _is_object(item)
-    type_text = _get(item, "$['@type']", "string")
-    is_product = is_obj & F.coalesce(type_text.contains("Product"), F.lit(False))
-    offers = _get(item, "$.offers")
-    first = F.when(_is_array(offers), _get(offers, "$[0]")).otherwise(offers)
-    offer_ok = offers.isNull() | _is_object(first)
-    offer = F.when(offers.isNull(), F.parse_json(F.lit("{}"))).otherwise(first)
-    disp = _get(offer, "$.availability")
-    disp_kind = F.schema_of_variant(disp)
-    disp_text = F.try_variant_get(disp, "$", "string")
-    disp_list = F.try_variant_get(disp, "$", "array<string>")
-    disp_obj = F.try_variant_get(disp, "$", "map<string,variant>")
-
-    def has(word: str) -> Column:
-        return (F.when(disp.isNull(), F.lit(False))
-                .when(disp_kind == "STRING", disp_text.contains(word))
-                .when(disp_kind.startswith("ARRAY"), F.coalesce(F.array_contains(disp_list, word), F.lit(False)))
-                .when(disp_kind.startswith("OBJECT"), F.coalesce(F.map_contains_key(disp_obj, word), F.lit(False)))
-                .otherwise(F.lit(False)))
-
-    avail_ok = disp.isNull() | disp_kind.startswith("ARRAY") | disp_kind.startswith("OBJECT") | (disp_kind == "STRING")
-    avail = (F.when(has("InStock"), F.lit(IN_STOCK))
-             .when(has("OutOfStock"), F.lit(OUT_OF_STOCK))
-             .otherwise(F.lit(UNSPECIFIED)))
-    fail = ~is_obj | (is_product & (~offer_ok | ~avail_ok))
-    return F.struct(
-        is_product.alias("product"),
-        (is_product & offer_ok).alias("offer_ok"),
-        (is_product & offer_ok & avail_ok).alias("avail_ok"),
-        fail.alias("fail"),
-        _field(offer, "price").alias("price"),
-        _field(offer, "priceCurrency").alias("currency"),
-        avail.alias("avail"),
-    )
+def _has(kind: Column, disp: Column, word: str) -> Column:
+    return (F.when(kind == "STRING", F.try_variant_get(disp, "$", "string").contains(word))
+            .when(kind.startswith("ARRAY"),
+                  F.coalesce(F.array_contains(F.try_variant_get(disp, "$", "array<string>"), word), F.lit(False)))
+            .when(kind.startswith("OBJECT"),
+                  F.coalesce(F.map_contains_key(F.try_variant_get(disp, "$", "map<string,variant>"), word),
+                             F.lit(False)))
+            .otherwise(F.lit(False)))
+
+
+def _judge(items: Column) -> Column:
+    """Items -> struct(product, offer_ok, avail_ok, fail, price, currency, avail).
+
+    Staged ``transform``s so every intermediate value is computed once.
+    """
+    # 1. object test, product test, offers
+    s1 = F.transform(items, lambda x: F.struct(
+        _is_object(x).alias("obj"),
+        (_is_object(x) & F.coalesce(_get(x, "$['@type']", "string").contains("Product"),
+                                    F.lit(False))).alias("product"),
+        _get(x, "$.offers").alias("offers")))
+    # 2. the offer: first element of a list (an empty list or a non-object
+    #    first element fails), the value itself otherwise; absent -> {}
+    s3 = F.transform(s1, lambda y: F.struct(
+        y["obj"].alias("obj"), y["product"].alias("product"),
+        F.coalesce(_get(y["offers"], "$[0]"), y["offers"]).alias("offer"),
+        (y["offers"].isNull() | _is_object(F.coalesce(_get(y["offers"], "$[0]"), y["offers"]))).alias("offer_ok")))
+    # 3. offer fields and availability
+    s4 = F.transform(s3, lambda o: F.struct(
+        o["obj"].alias("obj"), o["product"].alias("product"), o["offer_ok"].alias("offer_ok"),
+        _get(o["offer"], "$.price").alias("price"),
+        _get(o["offer"], "$.priceCurrency").alias("currency"),
+        _get(o["offer"], "$.availability").alias("disp")))
+    s5 = F.transform(s4, lambda f: F.struct(
+        f["obj"].alias("obj"), f["product"].alias("product"), f["offer_ok"].alias("offer_ok"),
+        f["price"].alias("price"), f["currency"].alias("currency"), f["disp"].alias("disp"),
+        F.schema_of_variant(f["disp"]).alias("kind")))
+    return F.transform(s5, lambda g: F.struct(
+        g["product"].alias("product"),
+        (g["product"] & g["offer_ok"]).alias("offer_ok"),
+        (g["product"] & g["offer_ok"] & (g["disp"].isNull() | g["kind"].startswith("ARRAY")
+                                         | g["kind"].startswith("OBJECT") | (g["kind"] == "STRING"))
+         ).alias("avail_ok"),
+        (~g["obj"] | (g["product"] & (~g["offer_ok"] | ~(
+            g["disp"].isNull() | g["kind"].startswith("ARRAY") | g["kind"].startswith("OBJECT")
+            | (g["kind"] == "STRING"))))).alias("fail"),
+        _field(g["price"]).alias("price"),
+        _field(g["currency"]).alias("currency"),
+        F.when(g["disp"].isNull(), F.lit(UNSPECIFIED))
+         .when(_has(g["kind"], g["disp"], "InStock"), F.lit(IN_STOCK))
+         .when(_has(g["kind"], g["disp"], "OutOfStock"), F.lit(OUT_OF_STOCK))
+         .otherwise(F.lit(UNSPECIFIED)).alias("avail")))
 
 
 ITEM_TYPE = ("array<struct<product:boolean,offer_ok:boolean,avail_ok:boolean,fail:boolean,"
@@ -113,9 +129,9 @@ ITEM_TYPE = ("array<struct<product:boolean,offer_ok:boolean,avail_ok:boolean,fai
 
 def _block_items(block: Column) -> Column:
     """Parsed block -> its judged items, cut after the first failing one."""
-    items = F.when(_is_array(block), F.try_variant_get(block, "$", "array<variant>")) \
-             .otherwise(F.array(block))
-    judged = F.transform(items, _item)
+    arr = _as_array(block)
+    items = F.when(arr.isNotNull(), arr).otherwise(F.array(block))
+    judged = _judge(items)
     cut = F.array_position(F.transform(judged, lambda x: x["fail"]), True)
     return (F.when(block.isNull(), F.array().cast(ITEM_TYPE))
             .when(cut > 0, F.slice(judged, F.lit(1), cut.cast("int"))).otherwise(judged))
@@ -150,7 +166,8 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str =
     an error row.
     """
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
-    snap = snapshots.select("url", "status", "html", "fetch_error")
+    # only product URLs can match: filter the snapshot side too (pushes to the scan)
+    snap = snapshots.select("url", "status", "html", "fetch_error").filter(is_product_url(F.col("url")))
     joined = listed.join(snap, "url", "left")
     parsed = product_fields(with_elements(joined, keep=("script",), ancestors_for=(),
                                           spread_key="url"))
