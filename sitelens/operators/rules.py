@@ -97,6 +97,8 @@ def duplicate_titles(audit: DataFrame, order_col: str | None = None,
     Placeholder titles are not reported; null titles are.  The first row per
     title is found with a partial aggregate and joined back on a salted key,
     so a title shared by a large share of pages is spread over many tasks.
+    The salted rows are checkpointed once (eager), so an audit coming out of
+    the HTML stage is not parsed twice.
     """
     df = audit
     if order_col is None:
@@ -104,6 +106,6 @@ def duplicate_titles(audit: DataFrame, order_col: str | None = None,
         df = df.withColumn(order_col, F.monotonically_increasing_id())
     cand = df.filter(_not_placeholder_title())
     with_first = join_group_stat(cand, ["Title"], [F.min(order_col).alias("_first")],
-                                 spread_by=order_col, salts=salts)
+                                 spread_by=order_col, salts=salts, materialize=True)
     out = with_first.filter(F.col(order_col) > F.col("_first")).drop("_first")
     return out.drop("_row") if order_col == "_row" else out

@@ -1,12 +1,12 @@
 """Skew-safe building blocks.
 
 Any grouping key (a title shared by a third of all pages, one seed word, one
-host) may be hot.  Aggregates are safe by themselves (partial aggregation
-before the shuffle); what is not safe is sending every row of a hot key to one
-task, as a window partitioned by that key or a plain join on it would.  The
-helpers here aggregate first and join the per-key result back on a salted key,
-so a hot key's rows are spread over ``salts`` tasks while the per-key side is
-replicated ``salts`` times (it has one row per key).
+frequent term) may be hot.  Aggregates are safe by themselves (partial
+aggregation before the shuffle); what is not safe is sending every row of a
+hot key to one task, as a window partitioned by that key or a plain join on it
+would.  ``join_group_stat`` aggregates per key and joins the result back on a
+salted key, so a hot key's rows are spread over ``salts`` tasks while the
+one-row-per-key side is replicated ``salts`` times.
 """
 
 from __future__ import annotations
@@ -22,18 +22,27 @@ def salt_of(c: Column, salts: int) -> Column:
 
 
 def join_group_stat(df: DataFrame, keys: list[str], stats: list[Column],
-                    spread_by: str, salts: int = DEFAULT_SALTS) -> DataFrame:
+                    spread_by: str, salts: int = DEFAULT_SALTS,
+                    materialize: bool = False) -> DataFrame:
     """Attach per-group aggregates ``stats`` (grouped by ``keys``) to every row.
 
-    Null keys group together (null-safe match), like a window partition.
+    Null keys group together, like a window partition.  The input is
+    shuffled once, on (key, salt); the aggregate branch and the join branch
+    both read that one exchange, so an expensive input (a parse) is computed
+    once, and the join needs no second shuffle of the large side.
+    ``materialize``: write the salted input once with ``checkpoint()`` (to the
+    shared checkpoint folder) when it is expensive to recompute, e.g. when it
+    comes out of a Python stage; both branches then read the files.
     """
-    per_key = df.groupBy(*keys).agg(*stats)
-    stat_names = [c for c in per_key.columns if c not in keys]
-    renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    per_key = (per_key.select(*renamed, *stat_names)
+    surrogate = []
+    for i, k in enumerate(keys):
+        c = F.col(f"`{k}`")
+        surrogate += [c.isNull().alias(f"_n{i}"), F.coalesce(c.cast("string"), F.lit("")).alias(f"_v{i}")]
+    gk = [f"_{p}{i}" for i in range(len(keys)) for p in ("n", "v")]
+    salted = (df.select("*", *surrogate, salt_of(F.col(f"`{spread_by}`"), salts).alias("_salt"))
+              .repartition(*gk, "_salt"))
+    if materialize:
+        salted = salted.checkpoint()
+    per_key = (salted.groupBy(*gk).agg(*stats)
                .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    rows = df.withColumn("_salt", salt_of(F.col(spread_by), salts))
-    cond = [rows[f"`{k}`"].eqNullSafe(per_key[f"_k{i}"]) for i, k in enumerate(keys)]
-    cond.append(rows["_salt"] == per_key["_salt"])
-    out = rows.join(per_key, cond, "inner")
-    return out.select(*[rows[f"`{c}`"] for c in df.columns], *[per_key[f"`{s}`"] for s in stat_names])
+    return salted.join(per_key, gk + ["_salt"]).drop(*gk, "_salt")
