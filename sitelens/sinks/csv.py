@@ -14,7 +14,9 @@ def write_csv(df: DataFrame, path: str, bom: bool = False, mode: str = "overwrit
     out = df
     if bom and df.columns:
         out = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    out.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    # RFC 4180 quoting (a quote inside a field is doubled), as spreadsheets expect
+    (out.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+     .option("escape", "\"").csv(path))
 
 
 def write_if_not_empty(df: DataFrame, path: str, fmt: str = "csv", **kw) -> bool:
