@@ -142,10 +142,9 @@ def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
                   spread_key: str | None = None) -> DataFrame:
     """Replace ``html_col`` by ``elements`` (and optionally ``page_text``).
 
-    When the input has fewer partitions than the cluster has cores (small
-    parquet files give one row group per file), it is hash-spread on
-    ``spread_key`` first; a large scan already has enough splits and is left
-    alone, so no extra shuffle of the page bytes happens at scale.
+    A small input is hash-spread on ``spread_key`` over the cluster's cores
+    first (see ``spread``); a large one keeps its scan splits, so no extra
+    shuffle of the page bytes happens at scale.
     """
     keep = tuple(keep)
     ancestors_for = tuple(ancestors_for)
@@ -166,15 +165,33 @@ def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
     return spread(df, spread_key).mapInPandas(run, schema)
 
 
-def spread(df: DataFrame, key: str | None) -> DataFrame:
-    """Hash-repartition only when the input is under-partitioned."""
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate for ``df`` (no job runs), or None."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:
+        return None
+
+
+def spread(df: DataFrame, key: str | None, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Hash-spread a small input over the cluster's cores before the parse.
+
+    Small parquet files hold one row group each and scan as one or two
+    partitions, which would leave most cores idle in the Python stage.  Only
+    inputs the optimizer estimates below ``max_bytes`` are spread; a large
+    input keeps its scan splits, so the page bytes are never reshuffled at
+    scale.  The decision uses plan statistics only -- no job is run.  Call it
+    on each input before a join: a join's estimate is only an upper bound.
+    """
     if df.isStreaming or key is None:
         return df
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
         return df
-    return df.repartition(target, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _ship_by_value() -> None:

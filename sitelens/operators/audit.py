@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import with_elements
+from ..functions.html import spread, with_elements
 from ..functions.text import MISSING, py_strip
 from ..functions.url import url_class
 
@@ -85,12 +85,10 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     ``missing``: placeholder for absent title/description/canonical/H1, or
     None for null (fact form).
     """
-    snap = auditable(snapshots)
+    snap = spread(auditable(snapshots).select("url", "status", "html", *keep), "url")
     if urls is not None:
         snap = snap.join(urls.select("url").distinct(), "url", "left_semi")
-    snap = snap.select("url", "status", "html", *keep)
-    parsed = element_fields(with_elements(snap, keep=AUDIT_TAGS, ancestors_for=(),
-                                          spread_key="url"))
+    parsed = element_fields(with_elements(snap, keep=AUDIT_TAGS, ancestors_for=()))
     if strict:
         parsed = parsed.filter(~(F.col("_canon_tag") & F.col("_canon").isNull())
                                & ~(F.col("_robots_tag") & F.col("_robots").isNull()))

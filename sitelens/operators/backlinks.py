@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import with_elements
+from ..functions.html import spread, with_elements
 from ..functions.text import py_strip
 
 # Result labels, scores and notes of the backlink report.
@@ -68,9 +68,8 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
     col = url_col or detect_url_column(sources)
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
     snap = snapshots.select("url", "status", "html", "fetch_error")
-    joined = listed.join(snap, "url", "left")
-    parsed = with_elements(joined, keep=("a",), ancestors_for=("a",), with_text=True,
-                           spread_key="url")
+    joined = spread(listed, "url").join(spread(snap, "url"), "url", "left")
+    parsed = with_elements(joined, keep=("a",), ancestors_for=("a",), with_text=True)
     link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
                           & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
     text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import with_elements
+from ..functions.html import spread, with_elements
 from ..functions.url import is_product_url
 
 # Labels of the product report.
@@ -168,9 +168,8 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str =
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
     # only product URLs can match: filter the snapshot side too (pushes to the scan)
     snap = snapshots.select("url", "status", "html", "fetch_error").filter(is_product_url(F.col("url")))
-    joined = listed.join(snap, "url", "left")
-    parsed = product_fields(with_elements(joined, keep=("script",), ancestors_for=(),
-                                          spread_key="url"))
+    joined = spread(listed, "url").join(spread(snap, "url"), "url", "left")
+    parsed = product_fields(with_elements(joined, keep=("script",), ancestors_for=()))
     no_snap = F.col("status").isNull() & F.col("fetch_error").isNull()
     error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     http_bad = error.isNull() & (F.col("status") != 200)
