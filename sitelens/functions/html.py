@@ -139,15 +139,23 @@ def parse_html(html, keep=DEFAULT_TAGS, ancestors_for=("a",), want_text=False):
 
 def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
                   ancestors_for=("a",), with_text: bool = False,
-                  spread_key: str | None = None) -> DataFrame:
+                  spread_key: str | None = None, engine: str = "python") -> DataFrame:
     """Replace ``html_col`` by ``elements`` (and optionally ``page_text``).
 
+    ``engine``: "python" (standard-library tokeniser in ``mapInPandas``, the
+    default and the faster one) or "native" (built-in expressions only, see
+    ``html_native``); both give the same elements.
     A small input is hash-spread on ``spread_key`` over the cluster's cores
     first (see ``spread``); a large one keeps its scan splits, so no extra
     shuffle of the page bytes happens at scale.
     """
     keep = tuple(keep)
     ancestors_for = tuple(ancestors_for)
+    if engine == "native":
+        from .html_native import with_elements_native
+        return with_elements_native(spread(df, spread_key), html_col, keep, ancestors_for, with_text)
+    if engine != "python":
+        raise ValueError(f"unknown element engine {engine!r}")
     fields = [f for f in df.schema.fields if f.name != html_col]
     schema = T.StructType(fields + [T.StructField("elements", ELEMENTS)]
                           + ([T.StructField("page_text", T.StringType())] if with_text else []))

@@ -1,0 +1,126 @@
+"""JVM-only element stage: regex tokens + an ``aggregate`` stack fold.
+
+Same output shape and tree rule as ``html.with_elements`` (void tags never
+open; an end tag closes the nearest open element of that name and everything
+opened after it, or is ignored; no implied closing; script/style bodies are
+raw), built from built-in expressions only, so the whole stage stays inside
+the JVM.  It is the conformance check of the Python stage and an alternative
+engine (``engine="native"``).  Known limits: entity decoding covers the
+common named and decimal references only, and a duplicated attribute keeps
+its first value.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .html import ATTRS, DEFAULT_TAGS, ELEMENT, VOID_TAGS
+
+# One token per match: comment, script/style with body, tag, text run, stray '<'.
+TOKEN_PATTERN = (r"(?is)<!--.*?-->|<!.*?>|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+                 r"|</?[a-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<")
+# Entities decoded natively, as (pattern, text); a trailing
+# ";?" marks the legacy names a browser also decodes without the semicolon.
+# "&amp" comes last so a double-encoded "&amp;lt;" decodes once, to "&lt;".
+ENTITIES = (("&quot;?", '"'), ("&apos;", "'"), ("&#0*39;", "'"), ("&lt;?", "<"), ("&gt;?", ">"),
+            ("&nbsp;?", "\u00a0"), ("&copy;?", "\u00a9"), ("&reg;?", "\u00ae"),
+            ("&middot;?", "\u00b7"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"),
+            ("&mdash;", "\u2014"), ("&euro;", "\u20ac"), ("&amp;?", "&"))
+
+_STACK = "array<struct<tag:string,idx:int>>"
+_ELS = ("array<struct<pos:int,tag:string," + ",".join(f"{a}:string" for a in ATTRS)
+        + ",text:string,mixed:boolean,ancestors:array<string>>>")
+
+
+def decode_entities(c: Column) -> Column:
+    for pattern, text in ENTITIES:
+        c = F.regexp_replace(c, pattern, text)
+    return c
+
+
+def _attr(tok: Column, name: str) -> Column:
+    base = r"(?is)^<[^\s/>]+(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\s" + name
+    dq, sq, uq = base + r"\s*=\s*\"([^\"]*)\"", base + r"\s*=\s*'([^']*)'", base + r"\s*=\s*([^\s\"'>]+)"
+    bare = base + r"(?=[\s/>])"
+    return (F.when(tok.rlike(dq), decode_entities(F.regexp_extract(tok, dq, 1)))
+            .when(tok.rlike(sq), decode_entities(F.regexp_extract(tok, sq, 1)))
+            .when(tok.rlike(uq), decode_entities(F.regexp_extract(tok, uq, 1)))
+            .when(tok.rlike(bare), F.lit(""))
+            .otherwise(F.lit(None).cast("string")))
+
+
+def _fold(html: Column, keep, ancestors_for) -> Column:
+    tokens = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
+    keep_arr = F.array(*[F.lit(t) for t in keep])
+    anc_arr = F.array(*[F.lit(t) for t in ancestors_for]) if ancestors_for else F.array().cast("array<string>")
+    void_arr = F.array(*[F.lit(t) for t in sorted(VOID_TAGS)])
+    init = F.struct(F.array().cast(_STACK).alias("stack"), F.array().cast(_ELS).alias("els"),
+                    F.lit(0).alias("pos"))
+
+    def step(acc: Column, tok: Column) -> Column:
+        stack, els, pos = acc["stack"], acc["els"], acc["pos"]
+        is_comment = tok.startswith("<!")
+        is_end = tok.startswith("</")
+        is_tag = tok.rlike(r"(?s)^</?[A-Za-z]") & ~is_comment
+        is_start = is_tag & ~is_end
+        name = F.lower(F.regexp_extract(tok, r"^</?([A-Za-z][^\s/>]*)", 1))
+        raw = F.lower(F.regexp_extract(tok, r"(?is)^<(script|style)\b", 1)) != ""
+        body = F.regexp_extract(tok, r"(?is)^<(?:script|style)\b[^>]*>(.*)</(?:script|style)\s*>$", 1)
+        open_idx = F.filter(F.transform(stack, lambda s: s["idx"]), lambda i: i >= 0)
+        kept = F.array_contains(keep_arr, name)
+        new_idx = F.size(els)
+        element = F.struct(
+            (pos + 1).alias("pos"), name.alias("tag"),
+            *[_attr(tok, a).alias(a) for a in ATTRS],
+            F.when(raw, body).otherwise(F.lit("")).alias("text"),
+            F.lit(False).alias("mixed"),
+            F.when(F.array_contains(anc_arr, name), F.transform(stack, lambda s: s["tag"]))
+             .otherwise(F.lit(None).cast("array<string>")).alias("ancestors"))
+        # any start tag or comment makes the open kept elements "mixed"
+        marked = F.transform(els, lambda e, i: F.when(
+            F.array_contains(open_idx, i) & (is_start | is_comment),
+            e.withField("mixed", F.lit(True))).otherwise(e))
+        els_start = F.when(kept, F.concat(marked, F.array(element))).otherwise(marked)
+        pushes = ~raw & ~F.array_contains(void_arr, name) & ~tok.endswith("/>")
+        stack_start = F.when(pushes, F.concat(stack, F.array(F.struct(
+            name.alias("tag"), F.when(kept, new_idx).otherwise(F.lit(-1)).alias("idx")))))\
+            .otherwise(stack)
+        # end tag: pop through the nearest open element of that name
+        r = F.array_position(F.reverse(F.transform(stack, lambda s: s["tag"])), name)
+        stack_end = F.when(r > 0, F.slice(stack, F.lit(1), (F.size(stack) - r).cast("int"))
+                           ).otherwise(stack)
+        # text: appended to every open kept element
+        text = decode_entities(tok)
+        els_text = F.transform(els, lambda e, i: F.when(
+            F.array_contains(open_idx, i), e.withField("text", F.concat(e["text"], text))).otherwise(e))
+        return (F.when(is_start, F.struct(stack_start.alias("stack"), els_start.alias("els"),
+                                          (pos + 1).alias("pos")))
+                .when(is_end, F.struct(stack_end.alias("stack"), els.alias("els"), pos.alias("pos")))
+                .when(is_comment, F.struct(stack.alias("stack"), marked.alias("els"), pos.alias("pos")))
+                .otherwise(F.struct(stack.alias("stack"), els_text.alias("els"), pos.alias("pos"))))
+
+    def finish(acc: Column) -> Column:
+        return F.transform(acc["els"], lambda e: F.struct(
+            e["pos"].alias("pos"), e["tag"].alias("tag"), *[e[a].alias(a) for a in ATTRS],
+            e["text"].alias("text"),
+            F.when((e["text"] != "") & ~e["mixed"], e["text"]).alias("string"),
+            e["ancestors"].alias("ancestors")))
+
+    return F.aggregate(tokens, init, step, finish).cast("array<" + ELEMENT.simpleString() + ">")
+
+
+def page_text(html: Column) -> Column:
+    """Text outside tags, comments, scripts and styles, entities decoded."""
+    tokens = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
+    text = F.filter(tokens, lambda t: ~(t.startswith("<") & (F.length(t) > 1)))
+    return decode_entities(F.array_join(text, ""))
+
+
+def with_elements_native(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
+                         ancestors_for=("a",), with_text: bool = False) -> DataFrame:
+    """``html_col`` -> ``elements`` (and ``page_text``) with built-in expressions only."""
+    cols = [c for c in df.columns if c != html_col]
+    extra = [page_text(F.col(html_col)).alias("page_text")] if with_text else []
+    return df.select(*cols, _fold(F.col(html_col), tuple(keep), tuple(ancestors_for)).alias("elements"),
+                     *extra)

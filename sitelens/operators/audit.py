@@ -73,7 +73,8 @@ def element_fields(df: DataFrame) -> DataFrame:
 
 
 def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool = False,
-               missing: str | None = MISSING, keep: tuple[str, ...] = ()) -> DataFrame:
+               missing: str | None = MISSING, keep: tuple[str, ...] = (),
+               engine: str = "python") -> DataFrame:
     """Audit table, one row per fetched HTML page.
 
     ``snapshots``: url, status, content_type, html, fetch_error (+ ``keep``).
@@ -84,11 +85,12 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     they are kept with a null field.
     ``missing``: placeholder for absent title/description/canonical/H1, or
     None for null (fact form).
+    ``engine``: element stage, "python" or "native" (see ``functions.html``).
     """
     snap = spread(auditable(snapshots).select("url", "status", "html", *keep), "url")
     if urls is not None:
         snap = snap.join(urls.select("url").distinct(), "url", "left_semi")
-    parsed = element_fields(with_elements(snap, keep=AUDIT_TAGS, ancestors_for=()))
+    parsed = element_fields(with_elements(snap, keep=AUDIT_TAGS, ancestors_for=(), engine=engine))
     if strict:
         parsed = parsed.filter(~(F.col("_canon_tag") & F.col("_canon").isNull())
                                & ~(F.col("_robots_tag") & F.col("_robots").isNull()))

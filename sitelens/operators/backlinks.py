@@ -58,7 +58,8 @@ def _overlap(ancestors: Column, tags) -> Column:
 
 
 def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
-                   url_col: str | None = None, toxic_words=TOXIC_WORDS) -> DataFrame:
+                   url_col: str | None = None, toxic_words=TOXIC_WORDS,
+                   engine: str = "python") -> DataFrame:
     """One result row per listed source URL (rows with no URL are dropped).
 
     ``sources``: any table; the URL column is found when not given.
@@ -69,7 +70,7 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
     snap = snapshots.select("url", "status", "html", "fetch_error")
     joined = spread(listed, "url").join(spread(snap, "url"), "url", "left")
-    parsed = with_elements(joined, keep=("a",), ancestors_for=("a",), with_text=True)
+    parsed = with_elements(joined, keep=("a",), ancestors_for=("a",), with_text=True, engine=engine)
     link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
                           & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
     text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))

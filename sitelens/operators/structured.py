@@ -157,7 +157,7 @@ def product_fields(df: DataFrame) -> DataFrame:
 
 
 def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str = "URL",
-                          keep: tuple[str, ...] = ()) -> DataFrame:
+                          keep: tuple[str, ...] = (), engine: str = "python") -> DataFrame:
     """Product pages of an audit/URL list -> one result row per listed URL.
 
     ``urls``: any table with a URL column (an audit table); only URLs ending
@@ -169,7 +169,7 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str =
     # only product URLs can match: filter the snapshot side too (pushes to the scan)
     snap = snapshots.select("url", "status", "html", "fetch_error").filter(is_product_url(F.col("url")))
     joined = spread(listed, "url").join(spread(snap, "url"), "url", "left")
-    parsed = product_fields(with_elements(joined, keep=("script",), ancestors_for=()))
+    parsed = product_fields(with_elements(joined, keep=("script",), ancestors_for=(), engine=engine))
     no_snap = F.col("status").isNull() & F.col("fetch_error").isNull()
     error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     http_bad = error.isNull() & (F.col("status") != 200)

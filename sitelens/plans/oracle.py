@@ -19,8 +19,8 @@ def _snap() -> str:
 
 def _decode(x: str) -> str:
     # the four entities present in the driver pages; &amp; last
-    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
-            f"'&middot;', '·'), '&amp;', '&')")
+    return (f"regexp_replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
+            f"'&middot;', '·'), '&amp;?', '&', 'g')")
 
 
 def _strip(x: str) -> str:
@@ -314,3 +314,7 @@ FROM f"""
 ORACLE["vitals_report"] = f"WITH {_VITALS}"
 ORACLE["stream_vitals"] = f"WITH {_VITALS}"
 ORACLE["stream_page_audit"] = _audit_sql()
+
+ORACLE["page_audit_native"] = ORACLE["page_audit"]
+ORACLE["backlink_audit_native"] = ORACLE["backlink_audit"]
+ORACLE["structured_data_native"] = ORACLE["structured_data"]

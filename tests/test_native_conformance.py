@@ -1,0 +1,40 @@
+from pyspark.sql import functions as F
+
+from sitelens.functions.html import with_elements
+from sitelens.functions.html_native import with_elements_native
+from sitelens.plans import derive
+from sitelens.plans.queries import shop_snapshots
+from sitelens.sources.tables import read_table
+
+SMALL = "/root/testdata/sf0.001"
+
+SNIPPETS = [
+    "<html><head><title>a&amp;b</title></head><body><h1> x <b>y</b></h1></body></html>",
+    "<article><p>x<p>y</article><footer><a href='h'>l</a></footer>",
+    '<script>var t="</p>";</script><p>casino</p><!-- betting --><style>crypto{}</style>',
+    '<img><img alt=" "><img alt="x"><img alt><meta name="d" content>',
+    '<a href="x"> <b>hi</b> there</a><a HREF=y>z</a><br/><p/>t',
+    "<title>ver&amp</title><p>&lt;b&gt; &amp;lt; &copy &nbsp;.</p>",
+    '<div><a href="https://own.example/p" title="a>b">in div</a></div></p></div>',
+]
+
+
+def compare(spark, df):
+    py = with_elements(df, with_text=True).withColumnRenamed("elements", "py").withColumnRenamed("page_text", "pt")
+    nat = with_elements_native(df, with_text=True).withColumnRenamed("elements", "nat") \
+        .withColumnRenamed("page_text", "nt")
+    j = py.join(nat, "k")
+    return j.filter((F.col("py") != F.col("nat")) | (F.col("pt") != F.col("nt"))).collect()
+
+
+def test_snippets_agree(spark):
+    df = spark.createDataFrame(list(enumerate(SNIPPETS)), "k int, html string")
+    bad = compare(spark, df)
+    assert not bad, [(r["k"], r["py"], r["nat"], r["pt"], r["nt"]) for r in bad]
+
+
+def test_driver_pages_agree(spark):
+    pages = read_table(spark, SMALL, "pages", "page_id", "url", "html")
+    snaps = (derive.backlink_snapshots(pages).select(F.concat(F.lit("b:"), "url").alias("k"), "html")
+             .unionByName(shop_snapshots(spark, SMALL).select(F.col("url").alias("k"), "html")))
+    assert compare(spark, snaps) == []
