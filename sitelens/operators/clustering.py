@@ -150,15 +150,20 @@ def theme_preview(clustered: DataFrame) -> DataFrame:
 
 def cluster_keywords(keywords: DataFrame, k: int = 7, seed: int = RANDOM_STATE,
                      n_init: int = N_INIT, max_iter: int = MAX_ITER,
-                     vocab_size: int = DEFAULT_VOCAB) -> DataFrame:
+                     vocab_size: int = DEFAULT_VOCAB, layout_partitions: int = 8) -> DataFrame:
     """Input rows + ``Cluster_ID`` and ``Tema_Semantico``.
 
     Null keywords are dropped first.  Cluster ids are renumbered by each
     cluster's smallest keyword so the labelling does not depend on the
     initialisation.  ``k`` is clamped to ``max(2, min(k, n // 3))``.
     """
-    kw = keywords.na.drop(subset=["Keyword"]).withColumn("doc_id", F.monotonically_increasing_id())
-    kw = kw.checkpoint()        # stable ids for the several passes below
+    # A fixed layout (hash of the keyword, sorted within partitions) makes the
+    # k-means|| sampling, and so the result, independent of input order; the
+    # checkpoint pins the ids for the several passes below.
+    kw = (keywords.na.drop(subset=["Keyword"])
+          .repartition(layout_partitions, "Keyword").sortWithinPartitions("Keyword")
+          .withColumn("doc_id", F.monotonically_increasing_id())
+          .checkpoint())
     n = kw.count()
     k = clamp_k(k, n)
     vectors = tfidf_vectors(kw, vocab_size=vocab_size)

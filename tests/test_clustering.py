@@ -47,3 +47,20 @@ def test_names_and_preview(spark):
     g = prev[names[0]]
     assert (g["n_keywords"], g["more"]) == (4, False)
     assert g["preview"] == "guanti da lavoro, guanti da lavoro in pelle, guanti nitrile, guanti nitrile neri"
+
+
+def test_best_of_n_cost_and_order_invariance(spark):
+    from pyspark.ml.clustering import KMeans
+
+    from sitelens.operators.clustering import best_kmeans, tfidf_vectors
+    df = spark.createDataFrame([(w,) for w in WORDS], "Keyword string")
+    vec = tfidf_vectors(df).cache()
+    best = best_kmeans(vec, 4, seed=7, n_init=4).summary.trainingCost
+    singles = [KMeans(k=4, seed=7 + i, maxIter=300).fit(vec.select("features")).summary.trainingCost
+               for i in range(4)]
+    assert best <= min(singles) + 1e-12
+    a = cluster_keywords(df, k=4, n_init=3).collect()
+    shuffled = spark.createDataFrame([(w,) for w in reversed(WORDS)], "Keyword string").repartition(3)
+    b = cluster_keywords(shuffled, k=4, n_init=3).collect()
+    assert sorted((r["Keyword"], r["Cluster_ID"], r["Tema_Semantico"]) for r in a) == \
+        sorted((r["Keyword"], r["Cluster_ID"], r["Tema_Semantico"]) for r in b)
