@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.skew import join_group_stat
+from ..session import ensure_checkpoint_dir
 
 # Token pattern and model settings of the original clustering.
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
@@ -150,21 +151,25 @@ def theme_preview(clustered: DataFrame) -> DataFrame:
 
 def cluster_keywords(keywords: DataFrame, k: int = 7, seed: int = RANDOM_STATE,
                      n_init: int = N_INIT, max_iter: int = MAX_ITER,
-                     vocab_size: int = DEFAULT_VOCAB, layout_partitions: int = 8) -> DataFrame:
+                     vocab_size: int = DEFAULT_VOCAB, rows_per_partition: int = 50_000) -> DataFrame:
     """Input rows + ``Cluster_ID`` and ``Tema_Semantico``.
 
     Null keywords are dropped first.  Cluster ids are renumbered by each
     cluster's smallest keyword so the labelling does not depend on the
     initialisation.  ``k`` is clamped to ``max(2, min(k, n // 3))``.
     """
-    # A fixed layout (hash of the keyword, sorted within partitions) makes the
-    # k-means|| sampling, and so the result, independent of input order; the
-    # checkpoint pins the ids for the several passes below.
-    kw = (keywords.na.drop(subset=["Keyword"])
-          .repartition(layout_partitions, "Keyword").sortWithinPartitions("Keyword")
+    # A fixed layout (hash of the keyword, sorted within partitions, one
+    # partition per ``rows_per_partition`` keywords) makes the k-means||
+    # sampling independent of input order; below that size the fit runs on
+    # one partition and is bit-for-bit repeatable (partial sums are otherwise
+    # merged in task-completion order).  The checkpoint pins the ids.
+    ensure_checkpoint_dir(keywords.sparkSession)
+    clean = keywords.na.drop(subset=["Keyword"])
+    n = clean.count()
+    parts = max(1, -(-n // rows_per_partition))
+    kw = (clean.repartition(parts, "Keyword").sortWithinPartitions("Keyword")
           .withColumn("doc_id", F.monotonically_increasing_id())
           .checkpoint())
-    n = kw.count()
     k = clamp_k(k, n)
     vectors = tfidf_vectors(kw, vocab_size=vocab_size)
     model = best_kmeans(vectors, k, seed, n_init, max_iter)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import py_strip
+from ..session import ensure_checkpoint_dir
 
 # The sitemap marker and the loc element pattern.
 SITEMAP_MARKER = ".xml"
@@ -58,6 +59,7 @@ def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame,
     run that has not converged by then raises instead of returning a partial
     set.
     """
+    ensure_checkpoint_dir(sitemaps.sparkSession)
     edges = sitemap_edges(sitemaps).checkpoint()
     sub = edges.filter("is_sitemap").select("parent", F.col("loc").alias("url"))
     visited = roots.select("url").distinct().checkpoint()

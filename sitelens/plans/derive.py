@@ -258,7 +258,8 @@ def perf_entry_exprs() -> list[str]:
         "try_cast(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS INTEGER) % 2 = 1 AS had_recent_input",
         "CASE WHEN event_type = 'signup' THEN value * 3 END AS response_start_ms",
         "CAST(1500 + (user_id % 7) * 300 AS DOUBLE) AS load_ms",
-        "CAST(ts AS TIMESTAMP) AS ts",
+        # the wall-clock time read as UTC: the same instant in any session zone
+        "CAST(concat(CAST(ts AS STRING), 'Z') AS TIMESTAMP) AS ts",
         f"CASE WHEN event_type = 'error' THEN '{CAPTURE_ERROR}' END AS fetch_error",
     ]
 

@@ -42,6 +42,8 @@ def join_group_stat(df: DataFrame, keys: list[str], stats: list[Column],
     salted = (df.select("*", *surrogate, salt_of(F.col(f"`{spread_by}`"), salts).alias("_salt"))
               .repartition(*gk, "_salt"))
     if materialize:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         salted = salted.checkpoint()
     per_key = (salted.groupBy(*gk).agg(*stats)
                .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))

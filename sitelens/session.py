@@ -48,11 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     and is used as is.  Only when nothing is configured (tests, local runs)
     do we create a fresh scratch folder.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="sitelens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
