@@ -33,6 +33,18 @@ def auditable(snapshots: DataFrame) -> DataFrame:
                             & F.col("content_type").contains(HTML_TYPE))
 
 
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is within the broadcast threshold."""
+    from ..functions.html import estimated_bytes
+    size = estimated_bytes(df)
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit_bytes = int(str(limit).lower().rstrip("b"))
+    except ValueError:
+        limit_bytes = 10 << 20
+    return size is not None and 0 <= size <= limit_bytes
+
+
 def first_element(pred) -> Column:
     return F.get(F.filter(F.col("elements"), pred), 0)
 
@@ -87,10 +99,16 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     None for null (fact form).
     ``engine``: element stage, "python" or "native" (see ``functions.html``).
     """
-    snap = spread(auditable(snapshots).select("url", "status", "html", *keep), "url")
-    if urls is not None:
-        snap = snap.join(urls.select("url").distinct(), "url", "left_semi")
-    parsed = element_fields(with_elements(snap, keep=AUDIT_TAGS, ancestors_for=(), engine=engine))
+    snap = auditable(snapshots).select("url", "status", "html", *keep)
+    wanted = urls.select("url").distinct() if urls is not None else None
+    small_list = wanted is not None and _fits_broadcast(wanted)
+    if small_list:       # a short list: drop unlisted pages before parsing them
+        snap = snap.join(F.broadcast(wanted), "url", "left_semi")
+    parsed = element_fields(with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=(),
+                                          engine=engine))
+    if wanted is not None and not small_list:
+        # a long list: parse in place, then join the small audit rows
+        parsed = parsed.join(wanted, "url", "left_semi")
     if strict:
         parsed = parsed.filter(~(F.col("_canon_tag") & F.col("_canon").isNull())
                                & ~(F.col("_robots_tag") & F.col("_robots").isNull()))

@@ -57,6 +57,39 @@ def _overlap(ancestors: Column, tags) -> Column:
     return F.coalesce(F.arrays_overlap(ancestors, F.array(*[F.lit(t) for t in tags])), F.lit(False))
 
 
+def link_results(snapshots: DataFrame, domain: str, toxic_words=TOXIC_WORDS,
+                 engine: str = "python") -> DataFrame:
+    """Per source-page snapshot: url, status, fetch_error, whether our link is
+    there, its tier (label, score), anchor text.
+
+    Runs where the snapshots lie; the page text used for the toxicity test
+    never leaves the stage, and only fetched pages are parsed.
+    """
+    snap = (snapshots.select("url", "status", "html", "fetch_error")
+            .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
+                                       F.col("html"))))
+    parsed = with_elements(spread(snap, "url"), keep=("a",), ancestors_for=("a",), with_text=True,
+                           engine=engine)
+    link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
+                          & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
+    text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))
+    toxic = F.exists(F.array(*[F.lit(w) for w in toxic_words]), lambda w: text.contains(w))
+    with_link = parsed.select("url", "status", "fetch_error", link.alias("_l"), toxic.alias("_toxic"))
+    editorial = _overlap(F.col("_l.ancestors"), EDITORIAL_TAGS)
+    marginal = _overlap(F.col("_l.ancestors"), MARGINAL_TAGS)
+
+    def tier(i: int) -> Column:
+        return (F.when(F.col("_toxic"), F.lit(TOXIC[i])).when(editorial, F.lit(EXCELLENT[i]))
+                .when(marginal, F.lit(POOR[i])).otherwise(F.lit(MEDIUM[i])))
+
+    return with_link.select(
+        "url", "status", "fetch_error",
+        F.col("_l").isNotNull().alias("_linked"),
+        tier(0).alias("_label"), tier(1).alias("_score"),
+        py_strip(F.col("_l.text")).alias("_anchor"),
+        F.lit(True).alias("_snap"))
+
+
 def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
                    url_col: str | None = None, toxic_words=TOXIC_WORDS,
                    engine: str = "python") -> DataFrame:
@@ -65,41 +98,23 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
     ``sources``: any table; the URL column is found when not given.
     ``snapshots``: url, status, html, fetch_error of the source pages.
     ``domain``: our domain, matched as a case-sensitive substring of ``href``.
+    Pages are judged first (``link_results``) and the small results joined to
+    the list, so page bytes are never shuffled.
     """
     col = url_col or detect_url_column(sources)
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
-    snap = snapshots.select("url", "status", "html", "fetch_error")
-    joined = spread(listed, "url").join(spread(snap, "url"), "url", "left")
-    parsed = with_elements(joined, keep=("a",), ancestors_for=("a",), with_text=True, engine=engine)
-    link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
-                          & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
-    text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))
-    toxic = F.exists(F.array(*[F.lit(w) for w in toxic_words]), lambda w: text.contains(w))
-    editorial = _overlap(link["ancestors"], EDITORIAL_TAGS)
-    marginal = _overlap(link["ancestors"], MARGINAL_TAGS)
-    no_snap = F.col("status").isNull() & F.col("fetch_error").isNull()
-    error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
-
-    def pick(label_or_score: int) -> Column:
-        i = label_or_score
-        return (F.when(error.isNotNull(), F.lit(ERROR if i == 0 else 0))
-                .when(F.col("status") != 200, F.lit(OFFLINE if i == 0 else 0))
-                .when(link.isNull(), F.lit(REMOVED if i == 0 else 0))
-                .when(toxic, F.lit(TOXIC[i]))
-                .when(editorial, F.lit(EXCELLENT[i]))
-                .when(marginal, F.lit(POOR[i]))
-                .otherwise(F.lit(MEDIUM[i])))
-
-    scored = error.isNull() & (F.col("status") == 200) & link.isNotNull()
-    anchor = py_strip(link["text"])
-    return parsed.select(
+    res = listed.join(link_results(snapshots, domain, toxic_words, engine), "url", "left")
+    error = F.when(F.col("_snap").isNull(), F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
+    offline = error.isNull() & (F.col("status") != 200)
+    removed = error.isNull() & ~offline & ~F.col("_linked")
+    scored = error.isNull() & ~offline & ~removed
+    return res.select(
         F.col("url").alias("URL Sorgente"),
-        pick(0).alias("Tipo Risultato"),
-        pick(1).cast("int").alias("Power Score"),
-        F.when(scored, F.when(anchor == "", F.lit(EMPTY_ANCHOR)).otherwise(anchor))
+        F.when(error.isNotNull(), F.lit(ERROR)).when(offline, F.lit(OFFLINE))
+         .when(removed, F.lit(REMOVED)).otherwise(F.col("_label")).alias("Tipo Risultato"),
+        F.when(scored, F.col("_score")).otherwise(F.lit(0)).cast("int").alias("Power Score"),
+        F.when(scored, F.when(F.col("_anchor") == "", F.lit(EMPTY_ANCHOR)).otherwise(F.col("_anchor")))
          .otherwise(F.lit(NOT_AVAILABLE)).alias("Anchor Text"),
-        F.when(error.isNotNull(), error)
-         .when(F.col("status") != 200, F.lit(NOTE_OFFLINE))
-         .when(link.isNull(), F.lit(NOTE_REMOVED))
-         .otherwise(F.lit(NOTE_ACTIVE)).alias("Note"),
+        F.when(error.isNotNull(), error).when(offline, F.lit(NOTE_OFFLINE))
+         .when(removed, F.lit(NOTE_REMOVED)).otherwise(F.lit(NOTE_ACTIVE)).alias("Note"),
     )

@@ -61,7 +61,8 @@ def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame,
     """
     ensure_checkpoint_dir(sitemaps.sparkSession)
     edges = sitemap_edges(sitemaps).checkpoint()
-    sub = edges.filter("is_sitemap").select("parent", F.col("loc").alias("url"))
+    # rounds scan only sitemap -> sitemap links (a small share of all links)
+    sub = edges.filter("is_sitemap").select("parent", F.col("loc").alias("url")).checkpoint()
     visited = roots.select("url").distinct().checkpoint()
     frontier = visited
     for _ in range(max_rounds):

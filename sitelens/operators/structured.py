@@ -156,6 +156,22 @@ def product_fields(df: DataFrame) -> DataFrame:
                     F.col("_s.avail").alias("_avail")))
 
 
+def product_results(snapshots: DataFrame, engine: str = "python") -> DataFrame:
+    """Per product-page snapshot: url, status, fetch_error and the product fields.
+
+    Runs where the snapshots lie: only product URLs are read (the filter
+    reaches the scan), only fetched pages are parsed, and what leaves the
+    stage is a handful of short columns -- never the page bytes.
+    """
+    snap = (snapshots.select("url", "status", "html", "fetch_error")
+            .filter(is_product_url(F.col("url")))
+            .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
+                                       F.col("html"))))
+    parsed = product_fields(with_elements(spread(snap, "url"), keep=("script",), ancestors_for=(),
+                                          engine=engine))
+    return parsed.withColumn("_snap", F.lit(True))
+
+
 def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str = "URL",
                           keep: tuple[str, ...] = (), engine: str = "python") -> DataFrame:
     """Product pages of an audit/URL list -> one result row per listed URL.
@@ -163,14 +179,12 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str =
     ``urls``: any table with a URL column (an audit table); only URLs ending
     in ``.html`` (case-sensitive) are checked.  ``snapshots``: url, status,
     html, fetch_error.  A URL without a snapshot or with a fetch error gives
-    an error row.
+    an error row.  Pages are judged first (``product_results``) and the small
+    results are joined to the list, so page bytes are never shuffled.
     """
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
-    # only product URLs can match: filter the snapshot side too (pushes to the scan)
-    snap = snapshots.select("url", "status", "html", "fetch_error").filter(is_product_url(F.col("url")))
-    joined = spread(listed, "url").join(spread(snap, "url"), "url", "left")
-    parsed = product_fields(with_elements(joined, keep=("script",), ancestors_for=(), engine=engine))
-    no_snap = F.col("status").isNull() & F.col("fetch_error").isNull()
+    parsed = listed.join(product_results(snapshots, engine), "url", "left")
+    no_snap = F.col("_snap").isNull()
     error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     http_bad = error.isNull() & (F.col("status") != 200)
     ok = error.isNull() & ~http_bad
