@@ -5,9 +5,10 @@ A link whose lowercased text contains ``.xml`` is a sub-sitemap; anything else
 is a page.  Breadth-first rounds then grow the set of visited sitemaps with a
 join and an anti-join; a sitemap that failed (non-200 or never captured) is
 visited but contributes no links, and the visited set cuts cycles.  Pages are
-the non-sitemap links of all visited sitemaps.  Each round's visited set is
-checkpointed to the shared checkpoint folder, so lineage stays flat and a lost
-executor only recomputes the current round.
+the non-sitemap links of all visited sitemaps.  The edge tables and each
+round's new sitemaps are checkpointed to the shared checkpoint folder, so the
+visited set is a flat union of written pieces and a lost executor only
+recomputes the current round.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame,
         new = found.join(visited, "url", "left_anti").checkpoint()
         if new.isEmpty():
             break
-        visited = visited.unionByName(new).checkpoint()
+        # a flat union of checkpointed pieces: nothing upstream is recomputed
+        visited = visited.unionByName(new)
         frontier = new
     else:
         raise RuntimeError(f"sitemap expansion did not converge in {max_rounds} rounds")
