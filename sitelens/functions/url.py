@@ -30,5 +30,14 @@ def url_class(url: Column) -> Column:
 
 
 def is_product_url(url: Column) -> Column:
-    """Case-sensitive ``.html`` suffix; null is not a product."""
+    """Case-sensitive ``.html`` suffix; null is not a product.
+
+    Use it as a filter: a null URL drops the row, and the plain ``endswith``
+    reaches a parquet scan as ``StringEndsWith``.  ``product_flag`` is the
+    never-null column form.
+    """
+    return url.endswith(PRODUCT_SUFFIX)
+
+
+def product_flag(url: Column) -> Column:
     return url.cast("string").endswith(PRODUCT_SUFFIX).eqNullSafe(True)

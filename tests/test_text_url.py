@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.functions.text import is_missing, py_strip
-from sitelens.functions.url import is_product_url, url_class
+from sitelens.functions.url import product_flag, url_class
 
 
 @pytest.mark.parametrize("url,expected", [
@@ -21,7 +21,7 @@ def test_url_class(spark, url, expected):
 
 def test_product_url_case_sensitive(spark):
     df = spark.createDataFrame([("a.html",), ("a.HTML",), (None,)], "u string")
-    assert [r[0] for r in df.select(is_product_url(F.col("u"))).collect()] == [True, False, False]
+    assert [r[0] for r in df.select(product_flag(F.col("u"))).collect()] == [True, False, False]
 
 
 def test_strip_and_missing(spark):
