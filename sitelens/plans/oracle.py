@@ -232,6 +232,7 @@ ORACLE["keyword_suggest"] = f"""{_SUGGEST}
 SELECT seed, query, keyword AS suggestion, CAST(rk AS INTEGER) AS rank FROM hits WHERE rk <= 10"""
 ORACLE["keyword_expand"] = f"""{_SUGGEST}
 SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10"""
+ORACLE["keyword_suggestions"] = ORACLE["keyword_expand"]
 ORACLE["keyword_preview"] = f"""{_SUGGEST},
 kw AS (SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10)
 SELECT * FROM (SELECT seed, "Keyword", CAST(row_number() OVER (PARTITION BY seed ORDER BY "Keyword") AS INTEGER) AS pos

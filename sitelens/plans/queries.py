@@ -153,6 +153,7 @@ def q_keyword_suggest(spark, sf_dir):
     return _suggestions(spark, sf_dir)
 
 
+@register("keyword_suggestions")
 @register("keyword_expand")
 def q_keyword_expand(spark, sf_dir):
     return keyword_ops.expand_keywords(_suggestions(spark, sf_dir))
