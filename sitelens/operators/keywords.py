@@ -29,10 +29,13 @@ def keyword_probes(seeds: DataFrame, seed_col: str = "seed") -> DataFrame:
             .select("seed", "letter", F.concat_ws(" ", "seed", "letter").alias("query")))
 
 
-def suggest(probes: DataFrame, corpus: DataFrame, top_n: int = DEFAULT_TOP_N,
+def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TOP_N,
             salts: int = DEFAULT_SALTS) -> DataFrame:
     """Top-``top_n`` corpus keywords (by popularity, then text) starting with each query.
 
+    ``top_n`` plays the suggestion service's list length; ``None`` returns
+    every match.
+
     ``probes``: seed, query.  ``corpus``: keyword, popularity.
     Prefix matching as an exact equi-join: the corpus is keyed by its prefix
     at each distinct query length (a handful: seeds are few, lengths are
@@ -53,6 +56,9 @@ def suggest(probes: DataFrame, corpus: DataFrame, top_n: int = DEFAULT_TOP_N,
              .withColumn("_salt", salt_of(F.col("keyword"), salts)))
     p = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hits = p.join(keyed, ["qlen", "query", "_salt"])
+    if top_n is None:    # every match; no per-probe ranking needed
+        return hits.select("seed", "query", F.col("keyword").alias("suggestion"),
+                           F.lit(None).cast("int").alias("rank"))
     w = Window.partitionBy("seed", "query").orderBy(F.desc("popularity"), F.asc("keyword"))
     return (hits.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= top_n)

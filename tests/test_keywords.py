@@ -32,3 +32,11 @@ def test_suggest_prefix_topn(spark):
     assert "red b" not in by
     kws = expand_keywords(suggest(keyword_probes(seeds), corpus, top_n=10))
     assert sorted(r["Keyword"] for r in keyword_preview(kws, 3).collect()) == ["red ant", "red apple", "red axe"]
+
+
+def test_suggest_all_matches(spark):
+    seeds = spark.createDataFrame([("red",)], "seed string")
+    corpus = spark.createDataFrame([(f"red w{i}", i) for i in range(25)] + [("blue x", 1)],
+                                   "keyword string, popularity long")
+    kws = expand_keywords(suggest(keyword_probes(seeds), corpus, top_n=None))
+    assert kws.count() == 25
