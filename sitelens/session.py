@@ -31,8 +31,9 @@ def build_session(master: str | None = None, app: str = "sitelens",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Pages can be large; keep Arrow batches bounded in rows.
+        # Pages vary from 1 KB to 150 KB: bound Arrow batches in rows and bytes.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.driver.memory", os.environ.get("SITELENS_DRIVER_MEM", "16g"))
     )
     spark = builder.getOrCreate()
