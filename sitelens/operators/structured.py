@@ -82,7 +82,7 @@ def _has(kind: Column, disp: Column, word: str) -> Column:
 def _judge(items: Column) -> Column:
     """Items -> struct(product, offer_ok, avail_ok, fail, price, currency, avail).
 
-    Staged ``transform``s so every intermediate value is computed once.
+    Staged ``transform``s, so every intermediate value is computed once.
     """
     # 1. object test, product test, offers
     s1 = F.transform(items, lambda x: F.struct(
@@ -90,31 +90,29 @@ def _judge(items: Column) -> Column:
         (_is_object(x) & F.coalesce(_get(x, "$['@type']", "string").contains("Product"),
                                     F.lit(False))).alias("product"),
         _get(x, "$.offers").alias("offers")))
-    # 2. the offer: first element of a list (an empty list or a non-object
-    #    first element fails), the value itself otherwise; absent -> {}
-    s3 = F.transform(s1, lambda y: F.struct(
-        y["obj"].alias("obj"), y["product"].alias("product"),
-        F.coalesce(_get(y["offers"], "$[0]"), y["offers"]).alias("offer"),
-        (y["offers"].isNull() | _is_object(F.coalesce(_get(y["offers"], "$[0]"), y["offers"]))).alias("offer_ok")))
-    # 3. offer fields and availability
-    s4 = F.transform(s3, lambda o: F.struct(
-        o["obj"].alias("obj"), o["product"].alias("product"), o["offer_ok"].alias("offer_ok"),
+    # 2. the offer: the first element of a list (an empty list or a
+    #    non-object first element is an error), else the value itself;
+    #    absent offers act as an empty object
+    s2 = F.transform(s1, lambda y: F.struct(
+        y["obj"].alias("obj"), y["product"].alias("product"), y["offers"].isNull().alias("absent"),
+        F.coalesce(_get(y["offers"], "$[0]"), y["offers"]).alias("offer")))
+    # 3. offer fields; availability must be absent, text, a list or an object
+    s3 = F.transform(s2, lambda o: F.struct(
+        o["obj"].alias("obj"), o["product"].alias("product"),
+        (o["absent"] | _is_object(o["offer"])).alias("offer_ok"),
         _get(o["offer"], "$.price").alias("price"),
         _get(o["offer"], "$.priceCurrency").alias("currency"),
-        _get(o["offer"], "$.availability").alias("disp")))
-    s5 = F.transform(s4, lambda f: F.struct(
-        f["obj"].alias("obj"), f["product"].alias("product"), f["offer_ok"].alias("offer_ok"),
-        f["price"].alias("price"), f["currency"].alias("currency"), f["disp"].alias("disp"),
-        F.schema_of_variant(f["disp"]).alias("kind")))
-    return F.transform(s5, lambda g: F.struct(
+        _get(o["offer"], "$.availability").alias("disp"),
+        F.schema_of_variant(_get(o["offer"], "$.availability")).alias("kind")))
+    s4 = F.transform(s3, lambda f: F.struct(
+        *[f[c].alias(c) for c in ("obj", "product", "offer_ok", "price", "currency", "disp", "kind")],
+        (f["disp"].isNull() | f["kind"].startswith("ARRAY") | f["kind"].startswith("OBJECT")
+         | (f["kind"] == "STRING")).alias("testable")))
+    return F.transform(s4, lambda g: F.struct(
         g["product"].alias("product"),
         (g["product"] & g["offer_ok"]).alias("offer_ok"),
-        (g["product"] & g["offer_ok"] & (g["disp"].isNull() | g["kind"].startswith("ARRAY")
-                                         | g["kind"].startswith("OBJECT") | (g["kind"] == "STRING"))
-         ).alias("avail_ok"),
-        (~g["obj"] | (g["product"] & (~g["offer_ok"] | ~(
-            g["disp"].isNull() | g["kind"].startswith("ARRAY") | g["kind"].startswith("OBJECT")
-            | (g["kind"] == "STRING"))))).alias("fail"),
+        (g["product"] & g["offer_ok"] & g["testable"]).alias("avail_ok"),
+        (~g["obj"] | (g["product"] & ~(g["offer_ok"] & g["testable"]))).alias("fail"),
         _field(g["price"]).alias("price"),
         _field(g["currency"]).alias("currency"),
         F.when(g["disp"].isNull(), F.lit(UNSPECIFIED))
