@@ -4,7 +4,8 @@ This is the single Python step of the page operators.  It runs as one
 ``mapInPandas`` pass (Arrow batches), so every page is tokenised once and all
 downstream operators work on the ``elements`` array with JVM-side
 higher-order functions (``filter``/``transform``/``exists``) -- no shuffle and
-no second Python hop.
+no second Python hop.  ``html_native`` builds the same array from built-in
+expressions only (``engine="native"``); the two are conformance-tested.
 
 Tree rule (the one a permissive, non-correcting HTML tree builder applies):
 a start tag opens an element unless it is void; an end tag closes the most
@@ -47,8 +48,6 @@ ELEMENTS = T.ArrayType(ELEMENT)
 
 
 class _Tree(HTMLParser):
-    __slots__ = ()
-
     def __init__(self, keep, ancestors_for, want_text):
         super().__init__(convert_charrefs=True)
         self.keep = keep
