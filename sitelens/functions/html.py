@@ -42,22 +42,32 @@ ELEMENT = T.StructType([
     T.StructField("text", T.StringType()),
     # The element's single text child, null when it has none or other children.
     T.StructField("string", T.StringType()),
+    # Distinct names of the open elements around it (outermost first).
     T.StructField("ancestors", T.ArrayType(T.StringType())),
 ])
 ELEMENTS = T.ArrayType(ELEMENT)
 
 
 class _Tree(HTMLParser):
+    """Builds the kept elements in one pass; O(1) work per parser event.
+
+    Text outside script/style goes to one chunk list; an element remembers
+    the chunk range it spans (start at open, end at close) and the event
+    count at open and close (start tags and comments), so "has only a text
+    child" is a comparison, not a scan.
+    """
+
     def __init__(self, keep, ancestors_for, want_text):
         super().__init__(convert_charrefs=True)
         self.keep = keep
         self.ancestors_for = ancestors_for
-        self.stack = []          # [tag, element index or -1]
-        self.open = []           # indices of open kept elements
+        self.stack = []          # (tag, element index or -1)
         self.elements = []
-        self.texts = []          # per kept element: list of text chunks
-        self.mixed = []          # per kept element: has a non-text child
-        self.page = [] if want_text else None
+        self.spans = []          # per kept element: [chunk start, chunk end, events at open, at close]
+        self.raw = {}            # script/style element index -> raw body chunks
+        self.chunks = []         # all text outside script/style and comments
+        self.want_text = want_text
+        self.events = 0
         self.pos = 0
 
     def handle_starttag(self, tag, attrs):
@@ -69,8 +79,7 @@ class _Tree(HTMLParser):
 
     def _start(self, tag, attrs, void):
         self.pos += 1
-        for i in self.open:
-            self.mixed[i] = True
+        self.events += 1
         idx = -1
         if tag in self.keep:
             values = {}
@@ -79,24 +88,28 @@ class _Tree(HTMLParser):
             el = {"pos": self.pos, "tag": tag}
             for a in ATTRS:
                 el[a] = values.get(a)
-            el["ancestors"] = ([t for t, _ in self.stack]
+            # distinct ancestor tag names, innermost-last order of first
+            # occurrence: membership is all callers need, and it bounds the
+            # output of deeply nested pages
+            el["ancestors"] = (list(dict.fromkeys(t for t, _ in self.stack))
                                if tag in self.ancestors_for else None)
             idx = len(self.elements)
             self.elements.append(el)
-            self.texts.append([])
-            self.mixed.append(False)
+            n = len(self.chunks)
+            self.spans.append([n, n, self.events, self.events])
         if not void:
             self.stack.append((tag, idx))
-            if idx >= 0:
-                self.open.append(idx)
+        # a void kept element is closed at once (its span stays empty)
 
     def handle_endtag(self, tag):
         stack = self.stack
         for j in range(len(stack) - 1, -1, -1):
             if stack[j][0] == tag:
-                closed = {i for _, i in stack[j:] if i >= 0}
-                if closed:
-                    self.open = [i for i in self.open if i not in closed]
+                n, ev = len(self.chunks), self.events
+                for _, i in stack[j:]:
+                    if i >= 0:
+                        self.spans[i][1] = n
+                        self.spans[i][3] = ev
                 del stack[j:]
                 return
 
@@ -104,23 +117,30 @@ class _Tree(HTMLParser):
         if self.cdata_elem is not None:
             # raw body of script/style: belongs to that element only
             if self.stack and self.stack[-1][0] in RAW_TEXT_TAGS and self.stack[-1][1] >= 0:
-                self.texts[self.stack[-1][1]].append(data)
+                self.raw.setdefault(self.stack[-1][1], []).append(data)
             return
-        for i in self.open:
-            self.texts[i].append(data)
-        if self.page is not None:
-            self.page.append(data)
+        self.chunks.append(data)
 
     def handle_comment(self, data):
-        for i in self.open:
-            self.mixed[i] = True
+        self.events += 1
 
     def result(self):
-        for el, chunks, mixed in zip(self.elements, self.texts, self.mixed):
-            text = "".join(chunks)
+        n, ev = len(self.chunks), self.events
+        for tag, i in self.stack:              # still open at the end
+            if i >= 0:
+                self.spans[i][1] = n
+                self.spans[i][3] = ev
+        for i, el in enumerate(self.elements):
+            start, end, ev_open, ev_close = self.spans[i]
+            if i in self.raw or el["tag"] in RAW_TEXT_TAGS:
+                text = "".join(self.raw.get(i, ()))
+                mixed = False
+            else:
+                text = "".join(self.chunks[start:end])
+                mixed = ev_close > ev_open
             el["text"] = text
             el["string"] = text if (text and not mixed) else None
-        return self.elements, ("".join(self.page) if self.page is not None else None)
+        return self.elements, ("".join(self.chunks) if self.want_text else None)
 
 
 def parse_html(html, keep=DEFAULT_TAGS, ancestors_for=("a",), want_text=False):

@@ -75,7 +75,8 @@ def _fold(html: Column, keep, ancestors_for) -> Column:
             *[_attr(tok, a).alias(a) for a in ATTRS],
             F.when(raw, body).otherwise(F.lit("")).alias("text"),
             F.lit(False).alias("mixed"),
-            F.when(F.array_contains(anc_arr, name), F.transform(stack, lambda s: s["tag"]))
+            F.when(F.array_contains(anc_arr, name),
+                   F.array_distinct(F.transform(stack, lambda s: s["tag"])))
              .otherwise(F.lit(None).cast("array<string>")).alias("ancestors"))
         # any start tag or comment makes the open kept elements "mixed"
         marked = F.transform(els, lambda e, i: F.when(
