@@ -10,13 +10,18 @@ def hot_audit(spark, n=3000):
 
 
 def test_hot_group_is_spread_and_exact(spark):
-    df = hot_audit(spark)
-    out = join_group_stat(df, ["Title"], [F.min("page_id").alias("first")], spread_by="page_id")
-    hot = out.filter(F.col("Title") == "Hot title")
-    assert hot.count() == 1000
-    parts = {r[0] for r in hot.select(F.spark_partition_id()).collect()}
-    assert len(parts) > 1
-    assert {r["first"] for r in hot.select("first").distinct().collect()} == {0}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")     # tiny test data would be coalesced to one task
+    try:
+        df = hot_audit(spark)
+        out = join_group_stat(df, ["Title"], [F.min("page_id").alias("first")], spread_by="page_id")
+        hot = out.filter(F.col("Title") == "Hot title")
+        assert hot.count() == 1000
+        parts = {r[0] for r in hot.select(F.spark_partition_id()).collect()}
+        assert len(parts) > 1
+        assert {r["first"] for r in hot.select("first").distinct().collect()} == {0}
+    finally:
+        spark.conf.set(key, "true")
 
 
 def test_duplicates_with_hot_title(spark):
