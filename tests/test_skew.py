@@ -10,8 +10,13 @@ def hot_audit(spark, n=3000):
 
 
 def test_hot_group_is_spread_and_exact(spark):
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, "false")     # tiny test data would be coalesced to one task
+    # tiny test data would be coalesced into one task or broadcast: turn both
+    # off to see the layout a large input gets
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         df = hot_audit(spark)
         out = join_group_stat(df, ["Title"], [F.min("page_id").alias("first")], spread_by="page_id")
@@ -21,7 +26,8 @@ def test_hot_group_is_spread_and_exact(spark):
         assert len(parts) > 1
         assert {r["first"] for r in hot.select("first").distinct().collect()} == {0}
     finally:
-        spark.conf.set(key, "true")
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_duplicates_with_hot_title(spark):
