@@ -15,6 +15,13 @@ from ..functions.text import null_if_na_token
 
 
 def read_csv(spark: SparkSession, path: str, na_tokens: bool = True, **options) -> DataFrame:
+    """Headered CSV folder/file as all-string columns.
+
+    ``multiLine`` is on by default because exported titles and headings can
+    hold line breaks inside quotes; it makes each file one task, so a large
+    export should be written as many files (or read with ``multiLine=False``
+    when fields hold no line breaks).  Any ``options`` override the defaults.
+    """
     reader = (spark.read.option("header", True).option("multiLine", True)
               .option("escape", '"').option("encoding", "UTF-8"))
     for k, v in options.items():

@@ -15,6 +15,7 @@ PAGE_SNAPSHOT = T.StructType([
     T.StructField("content_type", T.StringType()),
     T.StructField("html", T.StringType()),
     T.StructField("fetch_error", T.StringType()),
+    T.StructField("fetched_at", T.TimestampType()),   # optional; operators do not need it
 ])
 
 SITEMAP_SNAPSHOT = T.StructType([
