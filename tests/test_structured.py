@@ -30,6 +30,8 @@ CASES = [
     (ld('{"@type":"Product","offers":{"price":null,"priceCurrency":"EUR"}}'),
      ("✅ SI", None, "EUR", "⚠️ Non specificata")),
     ("<p>no data</p>", ("❌ NO", "N/D", "N/D", "N/D")),
+    (ld('{"@type":"Product","offers":{"price":1,"price":2,"priceCurrency":"EUR"}}'),
+     ("✅ SI", "2", "EUR", "⚠️ Non specificata")),
 ]
 
 
