@@ -79,9 +79,10 @@ def _fold(html: Column, keep, ancestors_for) -> Column:
                    F.array_distinct(F.transform(stack, lambda s: s["tag"])))
              .otherwise(F.lit(None).cast("array<string>")).alias("ancestors"))
         # any start tag or comment makes the open kept elements "mixed"
-        marked = F.transform(els, lambda e, i: F.when(
-            F.array_contains(open_idx, i) & (is_start | is_comment),
-            e.withField("mixed", F.lit(True))).otherwise(e))
+        any_open = F.size(open_idx) > 0
+        marked = F.when(any_open, F.transform(els, lambda e, i: F.when(
+            F.array_contains(open_idx, i), e.withField("mixed", F.lit(True))).otherwise(e))
+        ).otherwise(els)
         els_start = F.when(kept, F.concat(marked, F.array(element))).otherwise(marked)
         pushes = ~raw & ~F.array_contains(void_arr, name) & ~tok.endswith("/>")
         stack_start = F.when(pushes, F.concat(stack, F.array(F.struct(
@@ -93,8 +94,9 @@ def _fold(html: Column, keep, ancestors_for) -> Column:
                            ).otherwise(stack)
         # text: appended to every open kept element
         text = decode_entities(tok)
-        els_text = F.transform(els, lambda e, i: F.when(
+        els_text = F.when(any_open, F.transform(els, lambda e, i: F.when(
             F.array_contains(open_idx, i), e.withField("text", F.concat(e["text"], text))).otherwise(e))
+        ).otherwise(els)
         return (F.when(is_start, F.struct(stack_start.alias("stack"), els_start.alias("els"),
                                           (pos + 1).alias("pos")))
                 .when(is_end, F.struct(stack_end.alias("stack"), els.alias("els"), pos.alias("pos")))
