@@ -288,7 +288,7 @@ FROM rk GROUP BY 1"""
 _TARGETS = " UNION ALL ".join(f"SELECT '{k}' AS label, '{v}' AS url" for k, v in derive.PAGES_TO_TEST.items())
 _VITALS = f"""
 e AS (SELECT * FROM (SELECT {', '.join(derive.perf_entry_exprs())} FROM events) x
-      JOIN ({_TARGETS}) t USING (label) WHERE entry_type IS NOT NULL),
+      JOIN ({_TARGETS}) t USING (label)),
 a AS (SELECT view_id, label, url,
   arg_max(start_ms, (ts, seq)) FILTER (WHERE entry_type = 'largest-contentful-paint'
                                        AND start_ms <= load_ms + 2000) AS lcp_ms,
