@@ -116,35 +116,83 @@ SELECT page_id, "URL", "Title" FROM (
 WHERE rn > 1"""
 
 
-# Structured data: predicted from the variant key of each derived page.
-_SD_PRICE = "CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS VARCHAR)"
-_SD_PRICE_TEXT = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)"
+# Structured data: DuckDB reads the JSON-LD itself -- blocks by regex, JSON
+# functions for the items, a window for the "rest of the block is skipped"
+# cut and arg_max for "the last product wins".
+def _json_text(j: str) -> str:
+    """Python ``str`` of a JSON value (absent -> placeholder, null -> NULL)."""
+    return f"""CASE WHEN {j} IS NULL THEN 'Mancante' WHEN json_type({j}) = 'NULL' THEN NULL
+      WHEN json_type({j}) = 'VARCHAR' THEN json_extract_string({j}, '$')
+      WHEN json_type({j}) = 'DOUBLE' THEN CAST(CAST({j} AS DOUBLE) AS VARCHAR)
+      WHEN json_type({j}) = 'BOOLEAN' THEN CASE WHEN CAST({j} AS BOOLEAN) THEN 'True' ELSE 'False' END
+      ELSE CAST({j} AS VARCHAR) END"""
+
+
+def _has(word: str) -> str:
+    return f"""(CASE json_type(disp) WHEN 'VARCHAR' THEN contains(json_extract_string(disp, '$'), '{word}')
+      WHEN 'ARRAY' THEN list_contains(json_extract_string(disp, '$[*]'), '{word}')
+      WHEN 'OBJECT' THEN list_contains(json_keys(disp), '{word}') ELSE false END)"""
+
 
 ORACLE["structured_data"] = f"""
-WITH prod AS ({'SELECT p_retailprice, ' + ', '.join(derive.product_snapshot_exprs('duckdb')) + ' FROM part'}),
-pr AS (
-  SELECT url, status, fetch_error, k,
-    CASE WHEN k IN (5, 9) THEN '❌ NO' ELSE '✅ SI' END AS found,
-    CASE k WHEN 0 THEN {_SD_PRICE} WHEN 1 THEN {_SD_PRICE_TEXT} WHEN 2 THEN 'Mancante'
-           WHEN 6 THEN {_SD_PRICE} WHEN 7 THEN '3' ELSE 'N/D' END AS price,
-    CASE k WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'Mancante' WHEN 6 THEN 'EUR'
-           WHEN 7 THEN 'Mancante' ELSE 'N/D' END AS currency,
-    CASE k WHEN 0 THEN '🟢 Disponibile' WHEN 1 THEN '🔴 Esaurito' WHEN 2 THEN '⚠️ Non specificata'
-           WHEN 6 THEN '🔴 Esaurito' WHEN 7 THEN '🟢 Disponibile' ELSE 'N/D' END AS avail
-  FROM (SELECT *, p_partkey % 10 AS k FROM prod)),
-pg AS (
-  SELECT url, status, fetch_error, '❌ NO' AS found, 'N/D' AS price, 'N/D' AS currency, 'N/D' AS avail
-  FROM ({_snap()})),
-allp AS (SELECT url, status, fetch_error, found, price, currency, avail FROM pr
-         UNION ALL SELECT * FROM pg)
-SELECT url AS "URL",
-  CASE WHEN fetch_error IS NOT NULL THEN 'Errore' WHEN status <> 200 THEN '❌ NO' ELSE found END
-    AS "Prodotto Trovato",
-  CASE WHEN fetch_error IS NOT NULL THEN NULL WHEN status <> 200 THEN 'Errore HTTP' ELSE price END AS "Prezzo",
-  CASE WHEN fetch_error IS NOT NULL OR status <> 200 THEN NULL ELSE currency END AS "Valuta",
-  CASE WHEN fetch_error IS NOT NULL THEN NULL WHEN status <> 200 THEN 'N/D' ELSE avail END AS "Disponibilità",
-  fetch_error AS "Errore"
-FROM allp WHERE ends_with(url, '.html')"""
+WITH prod AS ({'SELECT ' + ', '.join(derive.product_snapshot_exprs('duckdb')) + ' FROM part'}),
+allp AS (SELECT url, status, html, fetch_error FROM prod
+         UNION ALL SELECT url, status, html, fetch_error FROM ({_snap()})),
+listed AS (SELECT * FROM allp WHERE ends_with(url, '.html')),
+blk AS (
+  SELECT url, unnest(range(1, len(b) + 1)) AS bpos, unnest(b) AS txt
+  FROM (SELECT url, regexp_extract_all(html, '(?s)<script type="application/ld\\+json">(.*?)</script>', 1) AS b
+        FROM listed WHERE fetch_error IS NULL AND status = 200)),
+parsed AS (SELECT url, bpos, CAST(txt AS JSON) AS j FROM blk WHERE json_valid(txt)),
+items AS (
+  SELECT url, bpos, unnest(range(1, len(l) + 1)) AS ipos, unnest(l) AS item
+  FROM (SELECT url, bpos, CASE WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') ELSE [j] END AS l
+        FROM parsed)),
+j1 AS (
+  SELECT url, bpos, ipos, json_type(item) = 'OBJECT' AS obj,
+    json_type(item) = 'OBJECT'
+      AND coalesce(contains(json_extract_string(item, '$."@type"'), 'Product'), false) AS product,
+    json_extract(item, '$.offers') AS offers
+  FROM items),
+j2 AS (
+  SELECT *, CASE WHEN json_type(offers) = 'ARRAY' THEN json_extract(offers, '$[0]') ELSE offers END AS offer
+  FROM j1),
+j3 AS (
+  SELECT *, offers IS NULL OR coalesce(json_type(offer) = 'OBJECT', false) AS offer_ok,
+    json_extract(offer, '$.price') AS price_j, json_extract(offer, '$.priceCurrency') AS cur_j,
+    json_extract(offer, '$.availability') AS disp
+  FROM j2),
+j4 AS (
+  SELECT *, disp IS NULL OR json_type(disp) IN ('VARCHAR', 'ARRAY', 'OBJECT') AS testable FROM j3),
+j5 AS (
+  SELECT *, NOT obj OR (product AND NOT (offer_ok AND testable)) AS fail,
+    {_json_text('price_j')} AS price,
+    {_json_text('cur_j')} AS currency,
+    CASE WHEN disp IS NULL THEN '⚠️ Non specificata'
+         WHEN {_has('InStock')} THEN '🟢 Disponibile'
+         WHEN {_has('OutOfStock')} THEN '🔴 Esaurito'
+         ELSE '⚠️ Non specificata' END AS avail
+  FROM j4),
+kept AS (
+  SELECT * FROM (SELECT *, min(ipos) FILTER (WHERE fail) OVER (PARTITION BY url, bpos) AS cut FROM j5)
+  WHERE cut IS NULL OR ipos <= cut),
+agg AS (
+  SELECT url, bool_or(product) AS found, bool_or(product AND offer_ok) AS priced,
+    arg_max_null(price, (bpos, ipos)) FILTER (WHERE product AND offer_ok) AS price,
+    arg_max_null(currency, (bpos, ipos)) FILTER (WHERE product AND offer_ok) AS currency,
+    arg_max(avail, (bpos, ipos)) FILTER (WHERE product AND offer_ok AND testable) AS avail
+  FROM kept GROUP BY url)
+SELECT l.url AS "URL",
+  CASE WHEN l.fetch_error IS NOT NULL THEN 'Errore' WHEN l.status <> 200 THEN '❌ NO'
+       WHEN coalesce(a.found, false) THEN '✅ SI' ELSE '❌ NO' END AS "Prodotto Trovato",
+  CASE WHEN l.fetch_error IS NOT NULL THEN NULL WHEN l.status <> 200 THEN 'Errore HTTP'
+       WHEN coalesce(a.priced, false) THEN a.price ELSE 'N/D' END AS "Prezzo",
+  CASE WHEN l.fetch_error IS NOT NULL OR l.status <> 200 THEN NULL
+       WHEN coalesce(a.priced, false) THEN a.currency ELSE 'N/D' END AS "Valuta",
+  CASE WHEN l.fetch_error IS NOT NULL THEN NULL WHEN l.status <> 200 THEN 'N/D'
+       ELSE coalesce(a.avail, 'N/D') END AS "Disponibilità",
+  l.fetch_error AS "Errore"
+FROM listed l LEFT JOIN agg a USING (url)"""
 
 
 # Backlinks: the tier is predicted from where the derivation put the link;
