@@ -195,7 +195,8 @@ SELECT l.url AS "URL",
 FROM listed l LEFT JOIN agg a USING (url)"""
 
 
-# Backlinks: the tier is predicted from where the derivation put the link;
+# Backlinks: DuckDB finds the first link to our domain in the HTML, the
+# container that spans it (article/main vs footer/aside) and its anchor text;
 # toxicity is read from the page text (markup, scripts, styles, comments removed).
 ORACLE["url_column_detect"] = """
 WITH e AS (SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS sito, url AS pagina, page_id AS rnk FROM pages)
@@ -207,22 +208,40 @@ FROM e"""
 _TEXT = ("lower(" + _decode("regexp_replace(regexp_replace(html, "
          "'(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g')") + ")")
 
+_LINK_TAG = "'<a [^>]*href=\"[^\"]*" + derive.OWN_DOMAIN.replace(".", r"\.") + "[^\"]*\"[^>]*>'"
+
+
+def _inside(open_tag: str, close_tag: str) -> str:
+    return (f"(instr(html, '{open_tag}') > 0 AND instr(html, '{open_tag}') < lp "
+            f"AND (instr(html, '{close_tag}') = 0 OR lp < instr(html, '{close_tag}')))")
+
+
 ORACLE["backlink_audit"] = f"""
 WITH s AS ({derive.stages_sql(derive.backlink_snapshot_stages("duckdb"), "pages")}),
-t AS (SELECT *, regexp_matches({_TEXT}, 'casino|betting|crypto|porn') AS toxic,
-             fetch_error IS NULL AND status = 200 AND page_id % 5 <> 4 AS scored FROM s)
+t AS (
+  SELECT *, regexp_matches({_TEXT}, 'casino|betting|crypto|porn') AS toxic,
+         regexp_extract(html, {_LINK_TAG}, 0) AS link_tag
+  FROM s),
+u AS (
+  SELECT *, instr(html, link_tag) AS lp,
+         fetch_error IS NULL AND status = 200 AND link_tag <> '' AS scored,
+         {_strip(_decode("regexp_replace(regexp_extract(substr(html, instr(html, link_tag) + length(link_tag)), '(?s)^(.*?)</a>', 1), '<[^>]*>', '', 'g')"))} AS anchor
+  FROM t),
+v AS (
+  SELECT *, {_inside('<article', '</article>')} OR {_inside('<main', '</main>')} AS editorial,
+         {_inside('<footer', '</footer>')} OR {_inside('<aside', '</aside>')} AS marginal
+  FROM u)
 SELECT url AS "URL Sorgente",
   CASE WHEN fetch_error IS NOT NULL THEN 'ERRORE' WHEN status <> 200 THEN 'OFFLINE'
-       WHEN page_id % 5 = 4 THEN 'RIMOSSO' WHEN toxic THEN '💀 TOSSICO'
-       WHEN page_id % 5 = 0 THEN '⭐️ ECCELLENTE' WHEN page_id % 5 IN (1, 2) THEN '🔴 SCARSO'
+       WHEN link_tag = '' THEN 'RIMOSSO' WHEN toxic THEN '💀 TOSSICO'
+       WHEN editorial THEN '⭐️ ECCELLENTE' WHEN marginal THEN '🔴 SCARSO'
        ELSE '🟡 MEDIO' END AS "Tipo Risultato",
-  CAST(CASE WHEN NOT scored OR toxic THEN 0 WHEN page_id % 5 = 0 THEN 10
-            WHEN page_id % 5 IN (1, 2) THEN 2 ELSE 5 END AS INTEGER) AS "Power Score",
-  CASE WHEN NOT scored THEN 'N/D' WHEN page_id % 5 = 0 THEN 'Scarpe da lavoro'
-       WHEN page_id % 5 = 1 THEN 'mysite' ELSE '[Immagine/Vuoto]' END AS "Anchor Text",
+  CAST(CASE WHEN NOT scored OR toxic THEN 0 WHEN editorial THEN 10
+            WHEN marginal THEN 2 ELSE 5 END AS INTEGER) AS "Power Score",
+  CASE WHEN NOT scored THEN 'N/D' WHEN anchor = '' THEN '[Immagine/Vuoto]' ELSE anchor END AS "Anchor Text",
   CASE WHEN fetch_error IS NOT NULL THEN fetch_error WHEN status <> 200 THEN 'Errore Connessione'
-       WHEN page_id % 5 = 4 THEN 'Link non più presente' ELSE 'Attivo' END AS "Note"
-FROM t"""
+       WHEN link_tag = '' THEN 'Link non più presente' ELSE 'Attivo' END AS "Note"
+FROM v"""
 
 
 # Sitemaps: the same site as an edge relation; reachability by recursive UNION.
