@@ -64,3 +64,13 @@ def test_best_of_n_cost_and_order_invariance(spark):
     b = cluster_keywords(shuffled, k=4, n_init=3).collect()
     assert sorted((r["Keyword"], r["Cluster_ID"], r["Tema_Semantico"]) for r in a) == \
         sorted((r["Keyword"], r["Cluster_ID"], r["Tema_Semantico"]) for r in b)
+
+
+def test_preview_of_five_shows_four_and_more(spark):
+    rows = [(f"scarpe {w}", "SCARPE - X") for w in ("a1", "b2", "c3", "d4", "e5")] + [("casco z9", "CASCO - Z")]
+    df = spark.createDataFrame(rows, "Keyword string, Tema_Semantico string")
+    prev = {r["Tema_Semantico"]: r for r in theme_preview(df).collect()}
+    s = prev["SCARPE - X"]
+    assert (s["n_keywords"], s["more"]) == (5, True)
+    assert s["preview"] == "scarpe a1, scarpe b2, scarpe c3, scarpe d4"
+    assert (prev["CASCO - Z"]["n_keywords"], prev["CASCO - Z"]["more"]) == (1, False)
