@@ -34,9 +34,10 @@ _ELS = ("array<struct<pos:int,tag:string," + ",".join(f"{a}:string" for a in ATT
 
 
 def decode_entities(c: Column) -> Column:
+    out = c
     for pattern, text in ENTITIES:
-        c = F.regexp_replace(c, pattern, text)
-    return c
+        out = F.regexp_replace(out, pattern, text)
+    return F.when(c.contains("&"), out).otherwise(c)    # most text has no entity
 
 
 def _attr(tok: Column, name: str) -> Column:
@@ -50,57 +51,65 @@ def _attr(tok: Column, name: str) -> Column:
             .otherwise(F.lit(None).cast("string")))
 
 
+def _classify(tokens: Column, keep_arr: Column, void_arr: Column) -> Column:
+    """One pass over the tokens computing what the fold needs (each regex once)."""
+    def info(t: Column) -> Column:
+        name = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][^\s/>]*)", 1))
+        comment = t.startswith("<!")
+        tag = ~comment & (name != "")
+        kind = (F.when(comment, F.lit("c")).when(tag & t.startswith("</"), F.lit("e"))
+                .when(tag, F.lit("s")).otherwise(F.lit("t")))
+        raw = name.isin("script", "style") & ~t.startswith("</")
+        return F.struct(
+            t.alias("tok"), kind.alias("kind"), name.alias("name"), raw.alias("raw"),
+            F.array_contains(keep_arr, name).alias("kept"),
+            (~raw & ~F.array_contains(void_arr, name) & ~t.endswith("/>")).alias("pushes"),
+            F.when(kind == "t", decode_entities(t)).alias("text"))
+    return F.transform(tokens, info)
+
+
 def _fold(html: Column, keep, ancestors_for) -> Column:
-    tokens = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
     keep_arr = F.array(*[F.lit(t) for t in keep])
     anc_arr = F.array(*[F.lit(t) for t in ancestors_for]) if ancestors_for else F.array().cast("array<string>")
     void_arr = F.array(*[F.lit(t) for t in sorted(VOID_TAGS)])
+    tokens = _classify(F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0), keep_arr, void_arr)
     init = F.struct(F.array().cast(_STACK).alias("stack"), F.array().cast(_ELS).alias("els"),
                     F.lit(0).alias("pos"))
 
-    def step(acc: Column, tok: Column) -> Column:
+    def step(acc: Column, t: Column) -> Column:
         stack, els, pos = acc["stack"], acc["els"], acc["pos"]
-        is_comment = tok.startswith("<!")
-        is_end = tok.startswith("</")
-        is_tag = tok.rlike(r"(?s)^</?[A-Za-z]") & ~is_comment
-        is_start = is_tag & ~is_end
-        name = F.lower(F.regexp_extract(tok, r"^</?([A-Za-z][^\s/>]*)", 1))
-        raw = F.lower(F.regexp_extract(tok, r"(?is)^<(script|style)\b", 1)) != ""
+        tok, kind, name, kept = t["tok"], t["kind"], t["name"], t["kept"]
         body = F.regexp_extract(tok, r"(?is)^<(?:script|style)\b[^>]*>(.*)</(?:script|style)\s*>$", 1)
         open_idx = F.filter(F.transform(stack, lambda s: s["idx"]), lambda i: i >= 0)
-        kept = F.array_contains(keep_arr, name)
-        new_idx = F.size(els)
+        any_open = F.size(open_idx) > 0
         element = F.struct(
             (pos + 1).alias("pos"), name.alias("tag"),
             *[_attr(tok, a).alias(a) for a in ATTRS],
-            F.when(raw, body).otherwise(F.lit("")).alias("text"),
+            F.when(t["raw"], body).otherwise(F.lit("")).alias("text"),
             F.lit(False).alias("mixed"),
             F.when(F.array_contains(anc_arr, name),
                    F.array_distinct(F.transform(stack, lambda s: s["tag"])))
              .otherwise(F.lit(None).cast("array<string>")).alias("ancestors"))
         # any start tag or comment makes the open kept elements "mixed"
-        any_open = F.size(open_idx) > 0
         marked = F.when(any_open, F.transform(els, lambda e, i: F.when(
             F.array_contains(open_idx, i), e.withField("mixed", F.lit(True))).otherwise(e))
         ).otherwise(els)
         els_start = F.when(kept, F.concat(marked, F.array(element))).otherwise(marked)
-        pushes = ~raw & ~F.array_contains(void_arr, name) & ~tok.endswith("/>")
-        stack_start = F.when(pushes, F.concat(stack, F.array(F.struct(
-            name.alias("tag"), F.when(kept, new_idx).otherwise(F.lit(-1)).alias("idx")))))\
+        stack_start = F.when(t["pushes"], F.concat(stack, F.array(F.struct(
+            name.alias("tag"), F.when(kept, F.size(els)).otherwise(F.lit(-1)).alias("idx")))))\
             .otherwise(stack)
         # end tag: pop through the nearest open element of that name
         r = F.array_position(F.reverse(F.transform(stack, lambda s: s["tag"])), name)
         stack_end = F.when(r > 0, F.slice(stack, F.lit(1), (F.size(stack) - r).cast("int"))
                            ).otherwise(stack)
         # text: appended to every open kept element
-        text = decode_entities(tok)
         els_text = F.when(any_open, F.transform(els, lambda e, i: F.when(
-            F.array_contains(open_idx, i), e.withField("text", F.concat(e["text"], text))).otherwise(e))
-        ).otherwise(els)
-        return (F.when(is_start, F.struct(stack_start.alias("stack"), els_start.alias("els"),
-                                          (pos + 1).alias("pos")))
-                .when(is_end, F.struct(stack_end.alias("stack"), els.alias("els"), pos.alias("pos")))
-                .when(is_comment, F.struct(stack.alias("stack"), marked.alias("els"), pos.alias("pos")))
+            F.array_contains(open_idx, i), e.withField("text", F.concat(e["text"], t["text"])))
+            .otherwise(e))).otherwise(els)
+        return (F.when(kind == "s", F.struct(stack_start.alias("stack"), els_start.alias("els"),
+                                             (pos + 1).alias("pos")))
+                .when(kind == "e", F.struct(stack_end.alias("stack"), els.alias("els"), pos.alias("pos")))
+                .when(kind == "c", F.struct(stack.alias("stack"), marked.alias("els"), pos.alias("pos")))
                 .otherwise(F.struct(stack.alias("stack"), els_text.alias("els"), pos.alias("pos"))))
 
     def finish(acc: Column) -> Column:
