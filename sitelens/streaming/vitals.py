@@ -47,3 +47,15 @@ def latest_rows(spark: SparkSession, sink: str, key: str = "view_id") -> DataFra
     cols = [c for c in rows.columns if c != "_batch"]
     latest = rows.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("_batch")).alias("_r"))
     return latest.select("_r.*")
+
+
+def compact(spark: SparkSession, sink: str, target: str, key: str = "view_id") -> int:
+    """Write the newest version of every key from ``sink`` to ``target``.
+
+    For a long-running stream: run it periodically (e.g. from a scheduler's
+    job, not inside the stream) and point readers at ``target``; the per-batch
+    folders already folded in can then be archived.  Returns the row count.
+    """
+    latest = latest_rows(spark, sink, key)
+    latest.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target).count()

@@ -16,3 +16,18 @@ def test_stream_audit_equals_batch(spark):
 def test_stream_vitals_equals_batch(spark):
     q = se.queries()
     assert rows(q["stream_vitals"](spark, SMALL)) == rows(q["vitals_report"](spark, SMALL))
+
+
+def test_vitals_stream_compaction(spark):
+    import tempfile
+
+    from sitelens.plans import derive
+    from sitelens.operators import vitals as vitals_ops
+    from sitelens.sources.tables import read_table, stream_table
+    from sitelens.streaming import vitals as vs
+    d = tempfile.mkdtemp(prefix="sitelens-test-")
+    events = stream_table(spark, SMALL, "events", read_table(spark, SMALL, "events").schema)
+    entries = derive.perf_entries(events, vitals_ops.pages_to_test(spark, derive.PAGES_TO_TEST))
+    vs.start_vitals_stream(entries, f"{d}/out", f"{d}/ckpt").awaitTermination()
+    n = vs.compact(spark, f"{d}/out", f"{d}/compact")
+    assert n == se.queries()["vitals_report"](spark, SMALL).count()
