@@ -86,7 +86,7 @@ def element_fields(df: DataFrame) -> DataFrame:
 
 def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool = False,
                missing: str | None = MISSING, keep: tuple[str, ...] = (),
-               engine: str = "python") -> DataFrame:
+               engine: str = "python", parsed: DataFrame | None = None) -> DataFrame:
     """Audit table, one row per fetched HTML page.
 
     ``snapshots``: url, status, content_type, html, fetch_error (+ ``keep``).
@@ -98,25 +98,37 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     ``missing``: placeholder for absent title/description/canonical/H1, or
     None for null (fact form).
     ``engine``: element stage, "python" or "native" (see ``functions.html``).
+    ``parsed``: the snapshots already parsed by ``parse_snapshots`` (shared
+    by several operators, so each page is parsed once); ``snapshots`` is then
+    not read.
     """
-    snap = auditable(snapshots).select("url", "status", "html", *keep)
     wanted = urls.select("url").distinct() if urls is not None else None
     small_list = wanted is not None and _fits_broadcast(wanted)
-    if small_list:       # a short list: drop unlisted pages before parsing them
-        snap = snap.join(F.broadcast(wanted), "url", "left_semi")
-    parsed = element_fields(with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=(),
-                                          engine=engine))
-    if wanted is not None and not small_list:
+    if parsed is not None:
+        pages = auditable(parsed).select("url", "status", "elements", *keep)
+    else:
+        snap = auditable(snapshots).select("url", "status", "html", *keep)
+        if small_list:       # a short list: drop unlisted pages before parsing them
+            snap = snap.join(F.broadcast(wanted), "url", "left_semi")
+        pages = with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=(), engine=engine)
+    fields = element_fields(pages)
+    if wanted is not None and not (small_list and parsed is None):
         # a long list: parse in place, then join the small audit rows
-        parsed = parsed.join(wanted, "url", "left_semi")
+        fields = fields.join(F.broadcast(wanted) if small_list else wanted, "url", "left_semi")
+    return audit_rows(fields, strict=strict, missing=missing, keep=keep)
+
+
+def audit_rows(fields: DataFrame, strict: bool = False, missing: str | None = MISSING,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """``element_fields`` output -> the audit table."""
     if strict:
-        parsed = parsed.filter(~(F.col("_canon_tag") & F.col("_canon").isNull())
+        fields = fields.filter(~(F.col("_canon_tag") & F.col("_canon").isNull())
                                & ~(F.col("_robots_tag") & F.col("_robots").isNull()))
 
     def fill(c: Column) -> Column:
         return c if missing is None else F.coalesce(c, F.lit(missing))
 
-    return parsed.select(
+    return fields.select(
         F.col("url").alias("URL"),
         url_class(F.col("url")).alias("Tipo"),
         F.col("status").cast("int").alias("Status"),
@@ -133,6 +145,22 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     )
 
 
+def parse_snapshots(snapshots: DataFrame, tags=None, with_text: bool = False,
+                    engine: str = "python", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parse every fetched snapshot once, for several operators.
+
+    Output: url, status, content_type, fetch_error, elements (+ page_text)
+    (+ ``keep``).  Pages with a fetch error are carried unparsed (null
+    elements) so the operators can still report them.  Checkpoint or write
+    the result when more than one operator reads it.
+    """
+    from ..functions.html import DEFAULT_TAGS
+    snap = (snapshots.select("url", "status", "content_type", "html", "fetch_error", *keep)
+            .withColumn("html", F.when(F.col("fetch_error").isNull(), F.col("html"))))
+    return with_elements(spread(snap, "url"), keep=tuple(tags or DEFAULT_TAGS), ancestors_for=("a",),
+                         with_text=with_text, engine=engine)
+
+
 def url_classes(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """Page class for every URL (no fetch needed)."""
     return urls.withColumn("Tipo", url_class(F.col(url_col)))

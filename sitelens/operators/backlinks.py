@@ -57,19 +57,22 @@ def _overlap(ancestors: Column, tags) -> Column:
     return F.coalesce(F.arrays_overlap(ancestors, F.array(*[F.lit(t) for t in tags])), F.lit(False))
 
 
-def link_results(snapshots: DataFrame, domain: str, toxic_words=TOXIC_WORDS,
-                 engine: str = "python") -> DataFrame:
+def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WORDS,
+                 engine: str = "python", parsed: DataFrame | None = None) -> DataFrame:
     """Per source-page snapshot: url, status, fetch_error, whether our link is
     there, its tier (label, score), anchor text.
 
     Runs where the snapshots lie; the page text used for the toxicity test
-    never leaves the stage, and only fetched pages are parsed.
+    never leaves the stage, and only fetched pages are parsed.  With
+    ``parsed`` (from ``audit.parse_snapshots(..., with_text=True)``) the
+    shared parse is reused.
     """
-    snap = (snapshots.select("url", "status", "html", "fetch_error")
-            .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
-                                       F.col("html"))))
-    parsed = with_elements(spread(snap, "url"), keep=("a",), ancestors_for=("a",), with_text=True,
-                           engine=engine)
+    if parsed is None:
+        snap = (snapshots.select("url", "status", "html", "fetch_error")
+                .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
+                                           F.col("html"))))
+        parsed = with_elements(spread(snap, "url"), keep=("a",), ancestors_for=("a",),
+                               with_text=True, engine=engine)
     link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
                           & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
     text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))
@@ -90,9 +93,9 @@ def link_results(snapshots: DataFrame, domain: str, toxic_words=TOXIC_WORDS,
         F.lit(True).alias("_snap"))
 
 
-def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
+def backlink_audit(sources: DataFrame, snapshots: DataFrame | None, domain: str,
                    url_col: str | None = None, toxic_words=TOXIC_WORDS,
-                   engine: str = "python") -> DataFrame:
+                   engine: str = "python", parsed: DataFrame | None = None) -> DataFrame:
     """One result row per listed source URL (rows with no URL are dropped).
 
     ``sources``: any table; the URL column is found when not given.
@@ -103,7 +106,7 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame, domain: str,
     """
     col = url_col or detect_url_column(sources)
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
-    res = listed.join(link_results(snapshots, domain, toxic_words, engine), "url", "left")
+    res = listed.join(link_results(snapshots, domain, toxic_words, engine, parsed), "url", "left")
     error = F.when(F.col("_snap").isNull(), F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     offline = error.isNull() & (F.col("status") != 200)
     removed = error.isNull() & ~offline & ~F.col("_linked")

@@ -154,24 +154,30 @@ def product_fields(df: DataFrame) -> DataFrame:
                     F.col("_s.avail").alias("_avail")))
 
 
-def product_results(snapshots: DataFrame, engine: str = "python") -> DataFrame:
+def product_results(snapshots: DataFrame | None, engine: str = "python",
+                    parsed: DataFrame | None = None) -> DataFrame:
     """Per product-page snapshot: url, status, fetch_error and the product fields.
 
     Runs where the snapshots lie: only product URLs are read (the filter
     reaches the scan), only fetched pages are parsed, and what leaves the
-    stage is a handful of short columns -- never the page bytes.
+    stage is a handful of short columns -- never the page bytes.  With
+    ``parsed`` (from ``audit.parse_snapshots``) the shared parse is reused.
     """
-    snap = (snapshots.select("url", "status", "html", "fetch_error")
-            .filter(is_product_url(F.col("url")))
-            .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
-                                       F.col("html"))))
-    parsed = product_fields(with_elements(spread(snap, "url"), keep=("script",), ancestors_for=(),
-                                          engine=engine))
-    return parsed.withColumn("_snap", F.lit(True))
-
-
-def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str = "URL",
-                          keep: tuple[str, ...] = (), engine: str = "python") -> DataFrame:
+    if parsed is not None:
+        pages = (parsed.select("url", "status", "fetch_error", "elements")
+                 .filter(is_product_url(F.col("url"))))
+    else:
+        snap = (snapshots.select("url", "status", "html", "fetch_error")
+                .filter(is_product_url(F.col("url")))
+                .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
+                                           F.col("html"))))
+        pages = with_elements(spread(snap, "url"), keep=("script",), ancestors_for=(), engine=engine)
+    return product_fields(pages).withColumn("_snap", F.lit(True))
+
+
+def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col: str = "URL",
+                          keep: tuple[str, ...] = (), engine: str = "python",
+                          parsed: DataFrame | None = None) -> DataFrame:
     """Product pages of an audit/URL list -> one result row per listed URL.
 
     ``urls``: any table with a URL column (an audit table); only URLs ending
@@ -181,7 +187,7 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame, url_col: str =
     results are joined to the list, so page bytes are never shuffled.
     """
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
-    parsed = listed.join(product_results(snapshots, engine), "url", "left")
+    parsed = listed.join(product_results(snapshots, engine, parsed), "url", "left")
     no_snap = F.col("_snap").isNull()
     error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     http_bad = error.isNull() & (F.col("status") != 200)

@@ -44,14 +44,28 @@ def site_audit_flow(spark: SparkSession, sitemaps: DataFrame, pages: DataFrame,
     html, fetch_error.  ``roots``: starting sitemap URLs."""
     root_df = spark.createDataFrame([(r,) for r in roots], "url string")
     urls = sitemap_ops.expand_sitemaps(sitemaps, root_df)
-    audit = audit_ops.page_audit(pages, urls=urls, strict=strict)
+    return site_reports(pages, urls, strict=strict)
+
+
+def site_reports(pages: DataFrame, urls: DataFrame, strict: bool = False) -> SiteAudit:
+    """Audit, rules, priority, duplicates and products for a URL list, with
+    one parse per page: the parsed pages (elements only, no HTML) are
+    checkpointed once and read by the audit and the product check."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(pages.sparkSession)
+    wanted = urls.select("url").distinct()
+    if audit_ops._fits_broadcast(wanted):      # short list: prune before parsing
+        pages = pages.join(F.broadcast(wanted), "url", "left_semi")
+    parsed = audit_ops.parse_snapshots(pages, tags=audit_ops.AUDIT_TAGS + ("script",)).checkpoint()
+    # a long list is joined to the small parsed rows, never to the HTML
+    audit = audit_ops.page_audit(None, urls=wanted, parsed=parsed, strict=strict)
     return SiteAudit(
         urls=urls,
         audit=audit,
         rules=rule_ops.rule_summary(audit),
         priority=rule_ops.priority_pages(audit),
         duplicates=rule_ops.duplicate_titles(audit),
-        products=structured_ops.structured_data_audit(audit, pages),
+        products=structured_ops.structured_data_audit(audit, None, parsed=parsed),
     )
 
 

@@ -70,3 +70,18 @@ def test_keyword_flow(spark):
     assert len(kws) == 20 and kws[:10] == sorted(kws[:10])
     assert r.clustered.count() == 20
     assert r.preview.select(F.sum("n_keywords")).first()[0] == 20
+
+
+def test_shared_parse_equals_separate_operators(spark):
+    from sitelens.operators.audit import page_audit
+    from sitelens.operators.structured import structured_data_audit
+    pages = shop_snapshots(spark, SMALL)
+    urls = pages.select("url")
+    shared = flows.site_reports(pages, urls)
+
+    def rows(df):
+        cols = sorted(df.columns)
+        return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+    audit = page_audit(pages, urls=urls)
+    assert rows(shared.audit) == rows(audit)
+    assert rows(shared.products) == rows(structured_data_audit(audit, pages))
