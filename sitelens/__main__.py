@@ -104,7 +104,9 @@ def main(argv=None) -> None:
         else:
             sugg = keyword_ops.suggest(keyword_ops.keyword_probes(seeds),
                                        _table(spark, a.corpus, a.format), top_n=a.top_n)
-        write_csv(flows.keyword_table(keyword_ops.expand_keywords(sugg)), f"{out}/keywords")
+        # one keyword list per seed, as one file per seed would be
+        write_csv(flows.keyword_table(keyword_ops.expand_keywords(sugg)), f"{out}/keywords",
+                  partition_by=("seed",))
     elif a.cmd == "cluster":
         clustered = cluster_ops.cluster_keywords(read_csv(spark, a.keywords), k=a.k)
         write_csv(flows.clustered_table(clustered), f"{out}/clustered")

@@ -85,3 +85,10 @@ def test_shared_parse_equals_separate_operators(spark):
     audit = page_audit(pages, urls=urls)
     assert rows(shared.audit) == rows(audit)
     assert rows(shared.products) == rows(structured_data_audit(audit, pages))
+
+
+def test_csv_partitioned_by_seed(spark):
+    d = tmp()
+    df = spark.createDataFrame([("red", "red ant"), ("blue", "blue sky")], "seed string, Keyword string")
+    write_csv(df, f"{d}/kw", partition_by=("seed",))
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{d}/kw/seed=*")) == ["seed=blue", "seed=red"]
