@@ -1,6 +1,7 @@
 """Command line: one subcommand per report, snapshot tables in, CSV out.
 
     python -m sitelens audit     --sitemaps S --pages P --root URL --out DIR [--strict]
+                                 (audit, rules, priority, duplicates, products)
     python -m sitelens report    --audit audit.csv --out DIR
     python -m sitelens products  --audit audit.csv --pages P --out DIR
     python -m sitelens backlinks --export export.csv --pages P --domain D --out DIR
@@ -85,6 +86,7 @@ def main(argv=None) -> None:
         write_csv(r.rules, f"{out}/rules")
         write_if_not_empty(r.priority, f"{out}/priority")
         write_csv(r.duplicates, f"{out}/duplicate_titles")
+        write_csv(r.products, f"{out}/products")     # same parse as the audit
     elif a.cmd == "report":
         audit = read_csv(spark, a.audit)
         write_csv(rule_ops.rule_summary(audit), f"{out}/rules")
