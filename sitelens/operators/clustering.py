@@ -133,11 +133,18 @@ def cluster_names(weights: DataFrame, assignment: DataFrame) -> DataFrame:
                                                        THEME_SEPARATOR)).alias("Tema_Semantico")))
 
 
-def theme_preview(clustered: DataFrame) -> DataFrame:
+def theme_preview(clustered: DataFrame, materialize: bool = True) -> DataFrame:
     """Per theme: keyword count, first 4 keywords (sorted), whether there are more.
 
     Two clusters with the same name merge here, as in the original preview.
+    The count and the first-4 are two aggregations over the same rows; with
+    ``materialize`` the (theme, keyword) pairs are checkpointed once so the
+    clustering upstream is not computed twice.
     """
+    clustered = clustered.select("Tema_Semantico", "Keyword")
+    if materialize:
+        ensure_checkpoint_dir(clustered.sparkSession)
+        clustered = clustered.checkpoint()
     w = Window.partitionBy("Tema_Semantico").orderBy("Keyword")
     head = (clustered.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= PREVIEW_SIZE)
             .groupBy("Tema_Semantico")
