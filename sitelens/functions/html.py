@@ -196,7 +196,12 @@ SPREAD_MAX_BYTES = 1 << 30
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate for ``df`` (no job runs), or None."""
+    """The optimizer's size estimate for ``df`` (no job runs), or None.
+
+    The same statistic ``explain("cost")`` prints and the planner compares
+    with ``autoBroadcastJoinThreshold``; read from the optimized plan because
+    PySpark exposes no accessor for it.
+    """
     try:
         return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:

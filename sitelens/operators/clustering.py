@@ -181,6 +181,7 @@ def cluster_keywords(keywords: DataFrame, k: int = 7, seed: int = RANDOM_STATE,
     vectors = tfidf_vectors(kw, vocab_size=vocab_size)
     model = best_kmeans(vectors, k, seed, n_init, max_iter)
     raw = model.transform(vectors).select("doc_id", "Keyword", F.col("prediction").alias("_c"))
+    # k rows (one per cluster): a global window here is bounded by k
     order = (raw.groupBy("_c").agg(F.min("Keyword").alias("_m"))
              .withColumn("Cluster_ID", (F.row_number().over(Window.orderBy("_m")) - 1).cast("int")))
     assignment = raw.join(order.select("_c", "Cluster_ID"), "_c").select("doc_id", "Cluster_ID")
