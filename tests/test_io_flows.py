@@ -92,3 +92,20 @@ def test_csv_partitioned_by_seed(spark):
     df = spark.createDataFrame([("red", "red ant"), ("blue", "blue sky")], "seed string, Keyword string")
     write_csv(df, f"{d}/kw", partition_by=("seed",))
     assert sorted(os.path.basename(p) for p in glob.glob(f"{d}/kw/seed=*")) == ["seed=blue", "seed=red"]
+
+
+def test_backlinks_from_shared_parse(spark):
+    from sitelens.operators.audit import parse_snapshots
+    from sitelens.operators.backlinks import backlink_audit
+    from sitelens.plans import derive
+    from sitelens.sources.tables import read_table
+    snaps = derive.backlink_snapshots(read_table(spark, SMALL, "pages", "page_id", "url", "html")) \
+        .withColumn("content_type", F.lit("text/html"))
+    export = snaps.select(F.col("url").alias("link"))
+    parsed = parse_snapshots(snaps, tags=("a",), with_text=True)
+
+    def rows(df):
+        cols = sorted(df.columns)
+        return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+    assert rows(backlink_audit(export, None, derive.OWN_DOMAIN, parsed=parsed)) == \
+        rows(backlink_audit(export, snaps, derive.OWN_DOMAIN))
