@@ -5,9 +5,8 @@ open; an end tag closes the nearest open element of that name and everything
 opened after it, or is ignored; no implied closing; script/style bodies are
 raw), built from built-in expressions only, so the whole stage stays inside
 the JVM.  It is the conformance check of the Python stage and an alternative
-engine (``engine="native"``).  Known limits: entity decoding covers the
-common named and decimal references only, and a duplicated attribute keeps
-its first value.
+engine (``engine="native"``).  Known limit: entity decoding covers the
+common named references (and their legacy semicolon-less forms) only.
 """
 
 from __future__ import annotations
@@ -40,15 +39,25 @@ def decode_entities(c: Column) -> Column:
     return F.when(c.contains("&"), out).otherwise(c)    # most text has no entity
 
 
+# One attribute per match, in order; quoted values are consumed whole, so a
+# name inside a value is never taken for an attribute.
+ATTR_ITEM = r"""[\s/]([^\s/>=][^\s/=>]*)(?:\s*=+\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+
+
 def _attr(tok: Column, name: str) -> Column:
-    base = r"(?is)^<[^\s/>]+(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\s" + name
-    dq, sq, uq = base + r"\s*=\s*\"([^\"]*)\"", base + r"\s*=\s*'([^']*)'", base + r"\s*=\s*([^\s\"'>]+)"
-    bare = base + r"(?=[\s/>])"
-    return (F.when(tok.rlike(dq), decode_entities(F.regexp_extract(tok, dq, 1)))
-            .when(tok.rlike(sq), decode_entities(F.regexp_extract(tok, sq, 1)))
-            .when(tok.rlike(uq), decode_entities(F.regexp_extract(tok, uq, 1)))
-            .when(tok.rlike(bare), F.lit(""))
-            .otherwise(F.lit(None).cast("string")))
+    """Value of attribute ``name`` (case-insensitive); the last one wins when
+    repeated; ``""`` when present without a value; null when absent."""
+    rest = F.regexp_replace(tok, r"^<[^\s/>]+", "")
+    items = F.regexp_extract_all(rest, F.lit(ATTR_ITEM), 0)
+    mine = F.filter(items, lambda m: F.lower(F.regexp_extract(m, r"^[\s/]([^\s/>=][^\s/=>]*)", 1))
+                    == F.lit(name))
+    last = F.try_element_at(mine, F.lit(-1))
+    dq, sq, uq = r'=+\s*"([^"]*)"', r"=+\s*'([^']*)'", r"""=+\s*([^\s"'>]+)"""
+    return (F.when(last.isNull(), F.lit(None).cast("string"))
+            .when(last.rlike(dq), decode_entities(F.regexp_extract(last, dq, 1)))
+            .when(last.rlike(sq), decode_entities(F.regexp_extract(last, sq, 1)))
+            .when(last.rlike(uq), decode_entities(F.regexp_extract(last, uq, 1)))
+            .otherwise(F.lit("")))
 
 
 def _classify(tokens: Column, keep_arr: Column, void_arr: Column) -> Column:
