@@ -124,6 +124,9 @@ class _Tree(HTMLParser):
     def handle_comment(self, data):
         self.events += 1
 
+    # declarations and processing instructions are child nodes too (no text)
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
     def result(self):
         n, ev = len(self.chunks), self.events
         for tag, i in self.stack:              # still open at the end

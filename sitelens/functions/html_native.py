@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .html import ATTRS, DEFAULT_TAGS, ELEMENT, VOID_TAGS
 
-# One token per match: comment, script/style with body, tag, text run, stray '<'.
-TOKEN_PATTERN = (r"(?is)<!--.*?-->|<!.*?>|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+# One token per match: empty end tag, comment, script/style with body, tag,
+# text run, stray '<'.
+TOKEN_PATTERN = (r"(?is)</>|<!--.*?-->|<!.*?>|<\?.*?>|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
                  r"|</?[a-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<")
 # Entities decoded natively, as (pattern, text); a trailing
 # ";?" marks the legacy names a browser also decodes without the semicolon.
@@ -64,9 +65,10 @@ def _classify(tokens: Column, keep_arr: Column, void_arr: Column) -> Column:
     """One pass over the tokens computing what the fold needs (each regex once)."""
     def info(t: Column) -> Column:
         name = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][^\s/>]*)", 1))
-        comment = t.startswith("<!")
+        comment = t.startswith("<!") | t.startswith("<?")
         tag = ~comment & (name != "")
-        kind = (F.when(comment, F.lit("c")).when(tag & t.startswith("</"), F.lit("e"))
+        kind = (F.when(t == "</>", F.lit("n"))        # an empty end tag is dropped
+                .when(comment, F.lit("c")).when(tag & t.startswith("</"), F.lit("e"))
                 .when(tag, F.lit("s")).otherwise(F.lit("t")))
         raw = name.isin("script", "style") & ~t.startswith("</")
         return F.struct(
@@ -119,6 +121,7 @@ def _fold(html: Column, keep, ancestors_for) -> Column:
                                              (pos + 1).alias("pos")))
                 .when(kind == "e", F.struct(stack_end.alias("stack"), els.alias("els"), pos.alias("pos")))
                 .when(kind == "c", F.struct(stack.alias("stack"), marked.alias("els"), pos.alias("pos")))
+                .when(kind == "n", acc)
                 .otherwise(F.struct(stack.alias("stack"), els_text.alias("els"), pos.alias("pos"))))
 
     def finish(acc: Column) -> Column:
@@ -134,7 +137,7 @@ def _fold(html: Column, keep, ancestors_for) -> Column:
 def page_text(html: Column) -> Column:
     """Text outside tags, comments, scripts and styles, entities decoded."""
     tokens = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
-    text = F.filter(tokens, lambda t: ~(t.startswith("<") & (F.length(t) > 1)))
+    text = F.filter(tokens, lambda t: ~(t.startswith("<") & (F.length(t) > 1)))   # "</>" included
     return decode_entities(F.array_join(text, ""))
 
 

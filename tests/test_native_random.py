@@ -59,3 +59,21 @@ def test_random_soups_agree(spark):
         .select("k", F.col("elements").alias("nat"), F.col("page_text").alias("nt"))
     bad = py.join(nat, "k").filter((F.col("py") != F.col("nat")) | (F.col("pt") != F.col("nt"))).collect()
     assert not bad, [(r["k"], rows[r["k"]][1]) for r in bad[:3]]
+
+
+EXTRA = ["<P>", "</A>", "<A HREF='https://own.example/x'>", "a < b", "<style>p{}</style>",
+         '<b title="x&amp;y">', "<img alt=&quot;q&quot;>", '<a href = "sp">', "<br/>", "<p/>", "</>",
+         "<!DOCTYPE html>", "<?pi x?>", "&#39;", "&nbsp;x"]
+
+
+def test_harder_soups_agree(spark):
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choice(EXTRA) if rng.random() < 0.3 else soup(rng, 1)
+                        for _ in range(rng.randrange(5, 50)))) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, html string")
+    py = with_elements(df, ancestors_for=("a", "img"), with_text=True) \
+        .select("k", F.col("elements").alias("py"), F.col("page_text").alias("pt"))
+    nat = with_elements_native(df, ancestors_for=("a", "img"), with_text=True) \
+        .select("k", F.col("elements").alias("nat"), F.col("page_text").alias("nt"))
+    bad = py.join(nat, "k").filter((F.col("py") != F.col("nat")) | (F.col("pt") != F.col("nt"))).collect()
+    assert not bad, [(r["k"], rows[r["k"]][1]) for r in bad[:3]]
