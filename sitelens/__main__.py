@@ -104,8 +104,7 @@ def main(argv=None) -> None:
         if a.payloads:
             sugg = keyword_ops.parse_payloads(_table(spark, a.payloads, a.format))
         else:
-            sugg = keyword_ops.suggest(keyword_ops.keyword_probes(seeds),
-                                       _table(spark, a.corpus, a.format), top_n=a.top_n)
+            sugg = keyword_ops.suggest_alphabet(seeds, _table(spark, a.corpus, a.format), top_n=a.top_n)
         # one keyword list per seed, as one file per seed would be
         write_csv(flows.keyword_table(keyword_ops.expand_keywords(sugg)), f"{out}/keywords",
                   partition_by=("seed",))

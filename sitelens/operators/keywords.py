@@ -65,6 +65,48 @@ def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TO
             .select("seed", "query", F.col("keyword").alias("suggestion"), "rank"))
 
 
+def suggest_alphabet(seeds: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TOP_N,
+                     salts: int = DEFAULT_SALTS, seed_col: str = "seed") -> DataFrame:
+    """``suggest`` for the alphabet probes of ``keyword_probes``, without
+    materialising the probes.
+
+    A keyword that starts with a seed answers the bare-seed probe, and also
+    the probe ``seed + " " + c`` when it continues with a space and the
+    letter ``c``.  So the corpus is keyed by its prefix at each distinct
+    *seed* length (half the keys of the general form), joined to the seeds,
+    and each match yields its one or two probes -- exact, with no 27-way
+    fan-out of candidates.  Same output as
+    ``suggest(keyword_probes(seeds), corpus, top_n)``.
+    """
+    sd = (seeds.select(F.col(seed_col).alias("seed")).distinct()
+          .withColumn("slen", F.length("seed")))
+    lengths = sorted(r[0] for r in sd.select("slen").distinct().collect() if r[0] is not None)
+    if not lengths:
+        return sd.select("seed", F.lit(None).cast("string").alias("query"),
+                         F.lit(None).cast("string").alias("suggestion"),
+                         F.lit(None).cast("int").alias("rank")).limit(0)
+    keyed = (corpus.select("keyword", "popularity")
+             .withColumn("slen", F.explode(F.array(*[F.lit(n) for n in lengths])))
+             .filter(F.col("slen") <= F.length("keyword"))
+             .withColumn("seed", F.expr("substring(keyword, 1, slen)"))
+             .withColumn("_salt", salt_of(F.col("keyword"), salts)))
+    sd = sd.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hits = sd.join(keyed, ["slen", "seed", "_salt"])
+    after = F.expr("substring(keyword, slen + 1, 1)")
+    letter = F.expr("substring(keyword, slen + 2, 1)")
+    lettered = (after == " ") & letter.isin(*LETTERS)
+    queries = F.array_compact(F.array(F.col("seed"),
+                                      F.when(lettered, F.concat_ws(" ", F.col("seed"), letter))))
+    hits = hits.select("seed", F.explode(queries).alias("query"), "keyword", "popularity")
+    if top_n is None:
+        return hits.select("seed", "query", F.col("keyword").alias("suggestion"),
+                           F.lit(None).cast("int").alias("rank"))
+    w = Window.partitionBy("seed", "query").orderBy(F.desc("popularity"), F.asc("keyword"))
+    return (hits.withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= top_n)
+            .select("seed", "query", F.col("keyword").alias("suggestion"), "rank"))
+
+
 def parse_payloads(payloads: DataFrame) -> DataFrame:
     """(seed, query, suggestion) from captured responses ``[query, [s1, s2, ...], ...]``.
 

@@ -83,7 +83,7 @@ class KeywordThemes:
 def keyword_flow(seeds: DataFrame, corpus: DataFrame, k: int = 7,
                  top_n: int = keyword_ops.DEFAULT_TOP_N) -> KeywordThemes:
     """``seeds``: seed.  ``corpus``: keyword, popularity."""
-    suggestions = keyword_ops.suggest(keyword_ops.keyword_probes(seeds), corpus, top_n=top_n)
+    suggestions = keyword_ops.suggest_alphabet(seeds, corpus, top_n=top_n)
     keywords = keyword_ops.expand_keywords(suggestions)
     clustered = cluster_ops.cluster_keywords(keywords, k=k)
     return KeywordThemes(keywords=keyword_table(keywords), clustered=clustered_table(clustered),

@@ -297,6 +297,7 @@ hits AS (SELECT seed, query, keyword,
 ORACLE["keyword_probes"] = f"WITH {_PROBES} SELECT * FROM probes"
 ORACLE["keyword_suggest"] = f"""{_SUGGEST}
 SELECT seed, query, keyword AS suggestion, CAST(rk AS INTEGER) AS rank FROM hits WHERE rk <= 10"""
+ORACLE["keyword_suggest_probes"] = ORACLE["keyword_suggest"]
 ORACLE["keyword_expand"] = f"""{_SUGGEST}
 SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10"""
 ORACLE["keyword_suggestions"] = ORACLE["keyword_expand"]

@@ -143,6 +143,13 @@ def q_keyword_probes(spark, sf_dir):
 
 
 def _suggestions(spark, sf_dir):
+    part = _part(spark, sf_dir, "p_name", "p_type")
+    return keyword_ops.suggest_alphabet(derive.keyword_seeds(part), derive.keyword_corpus(part))
+
+
+@register("keyword_suggest_probes")
+def q_keyword_suggest_probes(spark, sf_dir):
+    """The general probe-table form of the same suggestions."""
     part = _part(spark, sf_dir, "p_name", "p_type")
     probes = keyword_ops.keyword_probes(derive.keyword_seeds(part))
     return keyword_ops.suggest(probes, derive.keyword_corpus(part))

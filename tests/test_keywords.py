@@ -40,3 +40,18 @@ def test_suggest_all_matches(spark):
                                    "keyword string, popularity long")
     kws = expand_keywords(suggest(keyword_probes(seeds), corpus, top_n=None))
     assert kws.count() == 25
+
+
+def test_alphabet_plan_equals_probe_plan(spark):
+    from sitelens.operators.keywords import suggest_alphabet
+    seeds = spark.createDataFrame([("red",), ("redw",), ("scarpe da lavoro",), ("red",)], "seed string")
+    words = ["red apple", "red Apple", "redwood", "redwood x", "red  ant", "red a", "red", "red 1x",
+             "scarpe da lavoro estive", "scarpe da lavoro", "scarpe da lavoroX", "blue sky", "re"]
+    corpus = spark.createDataFrame([(w, len(w) % 3) for w in words], "keyword string, popularity long")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select("seed", "query", "suggestion", "rank").collect())
+    for n in (2, None):
+        a = suggest_alphabet(seeds, corpus, top_n=n)
+        b = suggest(keyword_probes(seeds.distinct()), corpus, top_n=n)
+        assert rows(a) == rows(b)
