@@ -58,7 +58,8 @@ def tfidf_long(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "Keywor
     tf = (docs.select(F.col(doc_col).alias("doc_id"), F.explode(terms_of(F.col(text_col))).alias("term"))
           .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     # per-term document frequency joined back on a salted key (hot terms)
-    with_df = join_group_stat(tf, ["term"], [F.count(F.lit(1)).alias("df")], spread_by="doc_id")
+    with_df = join_group_stat(tf, ["term"], [F.count(F.lit(1)).alias("df")], spread_by="doc_id",
+                              materialize=True)
     w = F.col("tf") * (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)
     raw = with_df.select("doc_id", "term", w.alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))

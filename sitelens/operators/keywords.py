@@ -14,7 +14,7 @@ import string
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.skew import DEFAULT_SALTS, salt_of
+from ..plans.skew import ROWS_PER_TASK, skew_join
 
 # Probe suffixes (none, then the 26 lowercase letters).
 LETTERS = tuple(string.ascii_lowercase)
@@ -30,7 +30,7 @@ def keyword_probes(seeds: DataFrame, seed_col: str = "seed") -> DataFrame:
 
 
 def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TOP_N,
-            salts: int = DEFAULT_SALTS) -> DataFrame:
+            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Top-``top_n`` corpus keywords (by popularity, then text) starting with each query.
 
     ``top_n`` plays the suggestion service's list length; ``None`` returns
@@ -40,9 +40,10 @@ def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TO
     Prefix matching as an exact equi-join: the corpus is keyed by its prefix
     at each distinct query length (a handful: seeds are few, lengths are
     bounded by the longest query), so only true matches are paired.  The
-    corpus side is salted, so a prefix shared by a large share of the corpus
-    is spread over ``salts`` tasks; the per-probe top-n is a ``row_number``
-    filter that Spark plans as a partial WindowGroupLimit before the shuffle.
+    join is a ``skew_join``: a prefix shared by a large share of the corpus
+    is spread over as many tasks as its size needs (the probe rows of that
+    prefix are replicated); the per-probe top-n is a ``row_number`` filter
+    that Spark plans as a partial WindowGroupLimit before the shuffle.
     """
     q = probes.select("seed", "query").withColumn("qlen", F.length("query"))
     lengths = sorted(r[0] for r in q.select("qlen").distinct().collect() if r[0] is not None)
@@ -52,10 +53,8 @@ def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TO
     keyed = (corpus.select("keyword", "popularity")
              .withColumn("qlen", F.explode(F.array(*[F.lit(n) for n in lengths])))
              .filter(F.col("qlen") <= F.length("keyword"))
-             .withColumn("query", F.expr("substring(keyword, 1, qlen)"))
-             .withColumn("_salt", salt_of(F.col("keyword"), salts)))
-    p = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hits = p.join(keyed, ["qlen", "query", "_salt"])
+             .withColumn("query", F.expr("substring(keyword, 1, qlen)")))
+    hits = skew_join(keyed, q, ["qlen", "query"], spread_by="keyword", rows_per_task=rows_per_task)
     if top_n is None:    # every match; no per-probe ranking needed
         return hits.select("seed", "query", F.col("keyword").alias("suggestion"),
                            F.lit(None).cast("int").alias("rank"))
@@ -66,7 +65,7 @@ def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TO
 
 
 def suggest_alphabet(seeds: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TOP_N,
-                     salts: int = DEFAULT_SALTS, seed_col: str = "seed") -> DataFrame:
+                     rows_per_task: int = ROWS_PER_TASK, seed_col: str = "seed") -> DataFrame:
     """``suggest`` for the alphabet probes of ``keyword_probes``, without
     materialising the probes.
 
@@ -88,10 +87,8 @@ def suggest_alphabet(seeds: DataFrame, corpus: DataFrame, top_n: int | None = DE
     keyed = (corpus.select("keyword", "popularity")
              .withColumn("slen", F.explode(F.array(*[F.lit(n) for n in lengths])))
              .filter(F.col("slen") <= F.length("keyword"))
-             .withColumn("seed", F.expr("substring(keyword, 1, slen)"))
-             .withColumn("_salt", salt_of(F.col("keyword"), salts)))
-    sd = sd.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hits = sd.join(keyed, ["slen", "seed", "_salt"])
+             .withColumn("seed", F.expr("substring(keyword, 1, slen)")))
+    hits = skew_join(keyed, sd, ["slen", "seed"], spread_by="keyword", rows_per_task=rows_per_task)
     after = F.expr("substring(keyword, slen + 1, 1)")
     letter = F.expr("substring(keyword, slen + 2, 1)")
     lettered = (after == " ") & letter.isin(*LETTERS)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MISSING, any_of, is_missing
-from ..plans.skew import DEFAULT_SALTS, join_group_stat
+from ..plans.skew import ROWS_PER_TASK, join_group_stat
 
 # Rule thresholds.
 TITLE_SHORT_BELOW = 30
@@ -91,12 +91,13 @@ def priority_pages(audit: DataFrame) -> DataFrame:
 
 
 def duplicate_titles(audit: DataFrame, order_col: str | None = None,
-                     salts: int = DEFAULT_SALTS) -> DataFrame:
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Every row whose title already appeared on an earlier row (input order).
 
     Placeholder titles are not reported; null titles are.  The first row per
-    title is found with a partial aggregate and joined back on a salted key,
-    so a title shared by a large share of pages is spread over many tasks.
+    title is found with a partial aggregate and joined back on a key salted
+    for hot titles only, so a title shared by a large share of pages is
+    spread over as many tasks as its size needs.
     The salted rows are checkpointed once (eager), so an audit coming out of
     the HTML stage is not parsed twice.
     """
@@ -106,6 +107,7 @@ def duplicate_titles(audit: DataFrame, order_col: str | None = None,
         df = df.withColumn(order_col, F.monotonically_increasing_id())
     cand = df.filter(_not_placeholder_title())
     with_first = join_group_stat(cand, ["Title"], [F.min(order_col).alias("_first")],
-                                 spread_by=order_col, salts=salts, materialize=True)
+                                 spread_by=order_col, rows_per_task=rows_per_task,
+                                 materialize=True)
     out = with_first.filter(F.col(order_col) > F.col("_first")).drop("_first")
     return out.drop("_row") if order_col == "_row" else out

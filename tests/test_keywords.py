@@ -55,3 +55,17 @@ def test_alphabet_plan_equals_probe_plan(spark):
         a = suggest_alphabet(seeds, corpus, top_n=n)
         b = suggest(keyword_probes(seeds.distinct()), corpus, top_n=n)
         assert rows(a) == rows(b)
+
+
+def test_hot_prefix_salting_is_exact(spark):
+    from sitelens.operators.keywords import suggest_alphabet
+    seeds = spark.createDataFrame([("red",), ("blue",)], "seed string")
+    words = [f"red {chr(97 + i % 26)}{i}" for i in range(300)] + ["blue sky", "blue sea"]
+    corpus = spark.createDataFrame([(w, i % 7) for i, w in enumerate(words)], "keyword string, popularity long")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+    plain = rows(suggest_alphabet(seeds, corpus, top_n=3))
+    salted = rows(suggest_alphabet(seeds, corpus, top_n=3, rows_per_task=10))   # "red" is hot
+    assert plain == salted and len(plain) > 0
+    assert rows(suggest(keyword_probes(seeds), corpus, top_n=3, rows_per_task=10)) == plain

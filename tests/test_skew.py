@@ -19,7 +19,9 @@ def test_hot_group_is_spread_and_exact(spark):
         spark.conf.set(k, v)
     try:
         df = hot_audit(spark)
-        out = join_group_stat(df, ["Title"], [F.min("page_id").alias("first")], spread_by="page_id")
+        # 1000 hot rows, 100 rows per task -> the hot title gets 10 salts
+        out = join_group_stat(df, ["Title"], [F.min("page_id").alias("first")], spread_by="page_id",
+                              rows_per_task=100)
         hot = out.filter(F.col("Title") == "Hot title")
         assert hot.count() == 1000
         parts = {r[0] for r in hot.select(F.spark_partition_id()).collect()}
@@ -32,7 +34,7 @@ def test_hot_group_is_spread_and_exact(spark):
 
 def test_duplicates_with_hot_title(spark):
     df = hot_audit(spark)
-    got = {r["page_id"] for r in duplicate_titles(df, order_col="page_id").collect()}
+    got = {r["page_id"] for r in duplicate_titles(df, order_col="page_id", rows_per_task=50).collect()}
     seen, expected = set(), set()
     for i in range(3000):
         t = "Hot title" if i % 3 == 0 else f"title {i % 700}"
