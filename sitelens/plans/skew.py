@@ -16,7 +16,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16          # fixed fan-out where the replicated side is tiny (keywords)
 ROWS_PER_TASK = 1_000_000   # a hot key gets one salt per this many rows
 MAX_HOT_KEYS = 10_000       # bound on the broadcast hot-key table
 
