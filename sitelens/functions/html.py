@@ -1,7 +1,7 @@
 """The element stage: HTML text -> array of element structs, one row per page.
 
 This is the single Python step of the page operators.  It runs as one
-``mapInPandas`` pass (Arrow batches), so every page is tokenised once and all
+``mapInArrow`` pass (Arrow batches in and out), so every page is tokenised once and all
 downstream operators work on the ``elements`` array with JVM-side
 higher-order functions (``filter``/``transform``/``exists``) -- no shuffle and
 no second Python hop.  ``html_native`` builds the same array from built-in
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -46,6 +46,10 @@ ELEMENT = T.StructType([
     T.StructField("ancestors", T.ArrayType(T.StringType())),
 ])
 ELEMENTS = T.ArrayType(ELEMENT)
+# The same type on the Arrow side of the stage.
+ELEMENTS_ARROW = pa.list_(pa.struct(
+    [("pos", pa.int32()), ("tag", pa.string())] + [(a, pa.string()) for a in ATTRS]
+    + [("text", pa.string()), ("string", pa.string()), ("ancestors", pa.list_(pa.string()))]))
 
 
 class _Tree(HTMLParser):
@@ -164,7 +168,7 @@ def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
                   spread_key: str | None = None, engine: str = "python") -> DataFrame:
     """Replace ``html_col`` by ``elements`` (and optionally ``page_text``).
 
-    ``engine``: "python" (standard-library tokeniser in ``mapInPandas``, the
+    ``engine``: "python" (standard-library tokeniser in ``mapInArrow``, the
     default and the faster one) or "native" (built-in expressions only, see
     ``html_native``); both give the same elements.
     A small input is hash-spread on ``spread_key`` over the cluster's cores
@@ -181,18 +185,22 @@ def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
     fields = [f for f in df.schema.fields if f.name != html_col]
     schema = T.StructType(fields + [T.StructField("elements", ELEMENTS)]
                           + ([T.StructField("page_text", T.StringType())] if with_text else []))
-    out_cols = [f.name for f in fields]
 
     def run(batches):
-        for pdf in batches:
-            parsed = [parse_html(h, keep, ancestors_for, with_text) for h in pdf[html_col]]
-            out = pdf[out_cols].copy()
-            out["elements"] = pd.Series([p[0] for p in parsed], index=pdf.index, dtype=object)
+        # Arrow batches in and out: pass-through columns are never converted
+        for batch in batches:
+            names = batch.schema.names
+            htmls = batch.column(names.index(html_col)).to_pylist()
+            parsed = [parse_html(h, keep, ancestors_for, with_text) for h in htmls]
+            cols = [batch.column(i) for i, n in enumerate(names) if n != html_col]
+            out_names = [n for n in names if n != html_col] + ["elements"]
+            cols.append(pa.array([p[0] for p in parsed], type=ELEMENTS_ARROW))
             if with_text:
-                out["page_text"] = pd.Series([p[1] for p in parsed], index=pdf.index, dtype=object)
-            yield out
+                cols.append(pa.array([p[1] for p in parsed], type=pa.string()))
+                out_names.append("page_text")
+            yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
-    return spread(df, spread_key).mapInPandas(run, schema)
+    return spread(df, spread_key).mapInArrow(run, schema)
 
 
 SPREAD_MAX_BYTES = 1 << 30
@@ -231,7 +239,7 @@ def spread(df: DataFrame, key: str | None, max_bytes: int = SPREAD_MAX_BYTES) ->
 
 def _ship_by_value() -> None:
     """Pickle this module's functions by value, so Python workers need no
-    copy of the package on their path (only the standard library and pandas)."""
+    copy of the package on their path (only the standard library and pyarrow)."""
     import sys
     try:
         from pyspark import cloudpickle

@@ -24,5 +24,5 @@ def test_plan_shape(spark, name):
     # no cross joins and no pairs emitted per group
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", tree)
     # at most one Python stage per query, and never a row-at-a-time UDF
-    assert len(re.findall(r"MapInPandas", tree)) <= 1
+    assert len(re.findall(r"MapInPandas|MapInArrow", tree)) <= 1
     assert "BatchEvalPython" not in tree
