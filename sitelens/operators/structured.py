@@ -53,15 +53,24 @@ def _get(v: Column, path: str, typ: str = "variant") -> Column:
 
 
 def json_scalar_text(v: Column) -> Column:
-    """Text of a JSON value as the audited script printed it (Python ``str``)."""
+    """Text of a JSON value as the audited script printed it (Python ``str``).
+
+    A JSON number with a fraction or exponent is a Python float: decimals
+    keep their digits (the variant drops trailing zeros, ``9.0`` -> ``9``) and
+    get ``.0`` when whole, so ``12500000.00`` prints ``12500000.0``, not the
+    exponent form a double would give; exponent literals (DOUBLE) print as
+    doubles.  Integers print as integers.
+    """
     s = F.schema_of_variant(v)
+    text = F.try_variant_get(v, "$", "string")
     return (F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
-            .when(s == "STRING", F.try_variant_get(v, "$", "string"))
+            .when(s == "STRING", text)
             .when(s == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("True"))
                   .otherwise(F.lit("False")))
-            .when(s.startswith("DECIMAL") | (s == "DOUBLE") | (s == "FLOAT"),
-                  F.try_variant_get(v, "$", "double").cast("string"))
-            .otherwise(F.try_variant_get(v, "$", "string")))
+            .when(s.startswith("DECIMAL"),
+                  F.when(text.contains("."), text).otherwise(F.concat(text, F.lit(".0"))))
+            .when((s == "DOUBLE") | (s == "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
+            .otherwise(text))
 
 
 def _field(raw: Column) -> Column:

@@ -32,6 +32,11 @@ CASES = [
     ("<p>no data</p>", ("❌ NO", "N/D", "N/D", "N/D")),
     (ld('{"@type":"Product","offers":{"price":1,"price":2,"priceCurrency":"EUR"}}'),
      ("✅ SI", "2", "EUR", "⚠️ Non specificata")),
+    (ld('{"@type":"Product","offers":{"price":12500000.00,"priceCurrency":"VND"}}'),
+     ("✅ SI", "12500000.0", "VND", "⚠️ Non specificata")),
+    (ld('{"@type":"Product","offers":{"price":9.0}}'), ("✅ SI", "9.0", "Mancante", "⚠️ Non specificata")),
+    (ld('{"@type":"Product","offers":{"price":1.5e3}}'), ("✅ SI", "1500.0", "Mancante", "⚠️ Non specificata")),
+    (ld('{"@type":"Product","offers":{"price":true}}'), ("✅ SI", "True", "Mancante", "⚠️ Non specificata")),
 ]
 
 
