@@ -171,6 +171,8 @@ def cluster_keywords(keywords: DataFrame, k: int = 7, seed: int = RANDOM_STATE,
     # sampling independent of input order; below that size the fit runs on
     # one partition and is bit-for-bit repeatable (partial sums are otherwise
     # merged in task-completion order).  The checkpoint pins the ids.
+    if "Keyword" not in keywords.columns:
+        raise ValueError("the keyword table needs a 'Keyword' column")
     ensure_checkpoint_dir(keywords.sparkSession)
     clean = keywords.na.drop(subset=["Keyword"])
     n = clean.count()

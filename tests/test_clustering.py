@@ -74,3 +74,9 @@ def test_preview_of_five_shows_four_and_more(spark):
     assert (s["n_keywords"], s["more"]) == (5, True)
     assert s["preview"] == "scarpe a1, scarpe b2, scarpe c3, scarpe d4"
     assert (prev["CASCO - Z"]["n_keywords"], prev["CASCO - Z"]["more"]) == (1, False)
+
+
+def test_keyword_column_required(spark):
+    import pytest
+    with pytest.raises(ValueError, match="Keyword"):
+        cluster_keywords(spark.createDataFrame([("x",)], "kw string"))
