@@ -195,6 +195,8 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col:
     an error row.  Pages are judged first (``product_results``) and the small
     results are joined to the list, so page bytes are never shuffled.
     """
+    if url_col not in urls.columns:
+        raise ValueError(f"the URL list needs a {url_col!r} column")
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
     parsed = listed.join(product_results(snapshots, engine, parsed), "url", "left")
     no_snap = F.col("_snap").isNull()

@@ -61,3 +61,8 @@ def test_http_error_missing_snapshot_and_filter(spark):
     b = rows["https://s.it/b.html"]
     assert (b["Prodotto Trovato"], b["Errore"]) == ("Errore", "boom")
     assert rows["https://s.it/c.html"]["Prodotto Trovato"] == "Errore"
+
+
+def test_url_column_required(spark):
+    with pytest.raises(ValueError, match="URL"):
+        structured_data_audit(spark.createDataFrame([("x",)], "link string"), None)
