@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import spread, with_elements
+from ..functions.text import py_float_text
 from ..functions.url import is_product_url
 
 # Labels of the product report.
@@ -55,11 +56,10 @@ def _get(v: Column, path: str, typ: str = "variant") -> Column:
 def json_scalar_text(v: Column) -> Column:
     """Text of a JSON value as the audited script printed it (Python ``str``).
 
-    A JSON number with a fraction or exponent is a Python float: decimals
-    keep their digits (the variant drops trailing zeros, ``9.0`` -> ``9``) and
-    get ``.0`` when whole, so ``12500000.00`` prints ``12500000.0``, not the
-    exponent form a double would give; exponent literals (DOUBLE) print as
-    doubles.  Integers print as integers.
+    A JSON number with a fraction or an exponent is a Python float and prints
+    as its ``repr`` (``12500000.00`` -> ``12500000.0``, ``9.0`` -> ``9.0``,
+    ``1e-5`` -> ``1e-05``); an integer prints as an integer; booleans as
+    ``True`` / ``False``; strings verbatim; JSON null as null.
     """
     s = F.schema_of_variant(v)
     text = F.try_variant_get(v, "$", "string")
@@ -67,9 +67,8 @@ def json_scalar_text(v: Column) -> Column:
             .when(s == "STRING", text)
             .when(s == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("True"))
                   .otherwise(F.lit("False")))
-            .when(s.startswith("DECIMAL"),
-                  F.when(text.contains("."), text).otherwise(F.concat(text, F.lit(".0"))))
-            .when((s == "DOUBLE") | (s == "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
+            .when(s.startswith("DECIMAL") | (s == "DOUBLE") | (s == "FLOAT"),
+                  py_float_text(F.try_variant_get(v, "$", "double")))
             .otherwise(text))
 
 

@@ -37,6 +37,8 @@ CASES = [
     (ld('{"@type":"Product","offers":{"price":9.0}}'), ("✅ SI", "9.0", "Mancante", "⚠️ Non specificata")),
     (ld('{"@type":"Product","offers":{"price":1.5e3}}'), ("✅ SI", "1500.0", "Mancante", "⚠️ Non specificata")),
     (ld('{"@type":"Product","offers":{"price":true}}'), ("✅ SI", "True", "Mancante", "⚠️ Non specificata")),
+    (ld('{"@type":"Product","offers":{"price":0.00001}}'), ("✅ SI", "1e-05", "Mancante", "⚠️ Non specificata")),
+    (ld('{"@type":"Product","offers":{"price":2.5e16}}'), ("✅ SI", "2.5e+16", "Mancante", "⚠️ Non specificata")),
 ]
 
 

@@ -29,3 +29,15 @@ def test_strip_and_missing(spark):
     out = df.select(py_strip(F.col("s")).alias("s"), is_missing(F.col("s")).alias("m")).collect()
     assert out[0]["s"] == "x"
     assert [r["m"] for r in out] == [False, True, True, True, False]
+
+
+def test_py_float_text_matches_repr(spark):
+    import random
+
+    from sitelens.functions.text import py_float_text
+    rng = random.Random(5)
+    vals = [12500000.0, 1e16, 1.5e16, 1e-5, 0.0001, 0.001, 900.1, 9.0, 0.0, -2.5e7, 1e22, -0.000123]
+    vals += [rng.uniform(0, 1) * 10 ** rng.randint(-8, 20) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in vals], "d double")
+    got = [r[0] for r in df.select(py_float_text(F.col("d"))).collect()]
+    assert got == [repr(v) for v in vals]
