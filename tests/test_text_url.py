@@ -41,3 +41,11 @@ def test_py_float_text_matches_repr(spark):
     df = spark.createDataFrame([(v,) for v in vals], "d double")
     got = [r[0] for r in df.select(py_float_text(F.col("d"))).collect()]
     assert got == [repr(v) for v in vals]
+
+
+def test_py_strip_matches_python_strip(spark):
+    ws = [chr(c) for c in range(0x10000) if chr(c).isspace() or chr(c) in "\x1c\x1d\x1e\x1f"]
+    rows = [(f"{c}a{c}b{c}",) for c in ws] + [("​ x ​",)]   # zero-width space is not stripped
+    df = spark.createDataFrame(rows, "s string")
+    got = [r[0] for r in df.select(py_strip(F.col("s"))).collect()]
+    assert got == [r[0].strip() for r in rows]
