@@ -57,3 +57,8 @@ def test_url_list_join(spark):
     df = snap_df(spark, [("u1", 200, "<title>x</title>"), ("u2", 200, "<title>y</title>")])
     urls = spark.createDataFrame([("u2",), ("u9",)], "url string")
     assert [r["URL"] for r in page_audit(df, urls=urls).collect()] == ["u2"]
+
+
+def test_title_length_counts_code_points(spark):
+    r = audit(spark, "<title>a😀b é</title>")
+    assert (r["Title"], r["Lung. Title"]) == ("a😀b é", len("a😀b é"))
