@@ -107,15 +107,18 @@ def suggest_alphabet(seeds: DataFrame, corpus: DataFrame, top_n: int | None = DE
 def parse_payloads(payloads: DataFrame) -> DataFrame:
     """(seed, query, suggestion) from captured responses ``[query, [s1, s2, ...], ...]``.
 
-    Element 1 is iterated: a list gives its items, a string its characters;
-    anything else (bad JSON, too short, an object) gives nothing.
+    Element 1 is iterated: a list gives its items, a string its characters,
+    an object its keys; anything else (bad JSON, too short, a number) gives
+    nothing.
     """
     v = F.try_parse_json(F.col("payload"))
     second = F.try_variant_get(v, "$[1]", "variant")
     kind = F.schema_of_variant(second)
     items = (F.when(kind.startswith("ARRAY"), F.try_variant_get(second, "$", "array<string>"))
              .when(kind == "STRING", F.filter(F.split(F.try_variant_get(second, "$", "string"), "", -1),
-                                             lambda ch: ch != "")))
+                                             lambda ch: ch != ""))
+             .when(kind.startswith("OBJECT"),      # iterating a dict yields its keys
+                   F.map_keys(F.try_variant_get(second, "$", "map<string,variant>"))))
     return (payloads.select("seed", "query", F.explode(items).alias("suggestion"))
             .filter(F.col("suggestion").isNotNull()))
 

@@ -12,10 +12,12 @@ def test_probes(spark):
 
 def test_payloads(spark):
     p = spark.createDataFrame([("s", "q", '["q",["a","b"]]'), ("s", "q", '["q",["b"]]'),
-                               ("s", "q", "not json"), ("s", "q", '["q"]'), ("s", "q", '{"1": ["z"]}')],
+                               ("s", "q", "not json"), ("s", "q", '["q"]'), ("s", "q", '{"1": ["z"]}'),
+                               ("s", "q", '["q", 5]'), ("s", "q", '["q", {"k1": 1, "k2": 2}]'),
+                               ("s", "q", '["q", "cd"]')],
                               "seed string, query string, payload string")
     got = sorted(r["Keyword"] for r in expand_keywords(parse_payloads(p)).collect())
-    assert got == ["a", "b"]
+    assert got == ["a", "b", "c", "d", "k1", "k2"]
 
 
 def test_suggest_prefix_topn(spark):
