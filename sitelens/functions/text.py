@@ -70,6 +70,8 @@ def py_float_text(d: Column) -> Column:
     expo = F.concat(F.when(e >= 0, F.lit("+")).otherwise(F.lit("-")),
                     F.lpad(F.abs(e).cast("string"), 2, "0"))
     return (F.when(d.isNull(), F.lit(None).cast("string"))
+            # 1e-3 <= |x| < 1e7: the JVM's plain text already is Python's repr
+            .when(~t.contains("E") & ~F.isnan(d) & (F.abs(d) != float("inf")) & (d != 0), t)
             .when(F.isnan(d), F.lit("nan"))
             .when(d == float("inf"), F.lit("inf")).when(d == float("-inf"), F.lit("-inf"))
             .when(d == 0, F.when(t.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))

@@ -121,8 +121,8 @@ def _judge(items: Column) -> Column:
         (g["product"] & g["offer_ok"]).alias("offer_ok"),
         (g["product"] & g["offer_ok"] & g["testable"]).alias("avail_ok"),
         (~g["obj"] | (g["product"] & ~(g["offer_ok"] & g["testable"]))).alias("fail"),
-        _field(g["price"]).alias("price"),
-        _field(g["currency"]).alias("currency"),
+        g["price"].alias("price"),              # raw values: formatted once per page, later
+        g["currency"].alias("currency"),
         F.when(g["disp"].isNull(), F.lit(UNSPECIFIED))
          .when(_has(g["kind"], g["disp"], "InStock"), F.lit(IN_STOCK))
          .when(_has(g["kind"], g["disp"], "OutOfStock"), F.lit(OUT_OF_STOCK))
@@ -130,7 +130,7 @@ def _judge(items: Column) -> Column:
 
 
 ITEM_TYPE = ("array<struct<product:boolean,offer_ok:boolean,avail_ok:boolean,fail:boolean,"
-             "price:string,currency:string,avail:string>>")
+             "price:variant,currency:variant,avail:string>>")
 
 
 def _block_items(block: Column) -> Column:
@@ -158,8 +158,13 @@ def product_fields(df: DataFrame) -> DataFrame:
             .withColumn("_p", last(lambda x: x["offer_ok"]))
             .withColumn("_s", last(lambda x: x["avail_ok"]))
             .select(*[c for c in df.columns if c != "elements"], "_found", "_priced",
-                    F.col("_p.price").alias("_price"), F.col("_p.currency").alias("_currency"),
-                    F.col("_s.avail").alias("_avail")))
+                    F.col("_p.price").alias("_price_v"), F.col("_p.currency").alias("_currency_v"),
+                    F.col("_s.avail").alias("_avail"))
+            # format the one winning value per page here, outside the lambdas,
+            # where common sub-expressions are computed once
+            .withColumn("_price", _field(F.col("_price_v")))
+            .withColumn("_currency", _field(F.col("_currency_v")))
+            .drop("_price_v", "_currency_v"))
 
 
 def product_results(snapshots: DataFrame | None, engine: str = "python",
