@@ -45,36 +45,44 @@ def null_if_na_token(c: Column) -> Column:
     return F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
-def py_float_text(d: Column) -> Column:
-    """A double as Python's ``repr`` writes it (``12500000.0``, ``1e-05``,
-    ``1.5e+16``): the shortest of the 15/16/17-significant-digit renderings
-    that reads back as the same double, laid out the Python way (plain for
-    1e-4 <= |x| < 1e16, else ``d.ddde+XX``)."""
-    t = d.cast("string")
-    cands = [F.format_string(f"%.{p - 1}e", d) for p in (15, 16, 17)]
-    pick = (F.when(cands[0].cast("double") == d, cands[0])
-            .when(cands[1].cast("double") == d, cands[1]).otherwise(cands[2]))
+def _py_float_layout(p: Column) -> Column:
+    """``d.ddde+XX`` (shortest digits) -> Python's layout of that float."""
     sci = r"^(-?)(\d)\.(\d+)e([+-]\d+)$"
-    sign = F.regexp_extract(pick, sci, 1)
-    lead = F.regexp_extract(pick, sci, 2)
-    frac = F.regexp_replace(F.regexp_extract(pick, sci, 3), "0+$", "")
+    sign = F.regexp_extract(p, sci, 1)
+    lead = F.regexp_extract(p, sci, 2)
+    frac = F.regexp_replace(F.regexp_extract(p, sci, 3), "0+$", "")
     digits = F.concat(lead, frac)
-    e = F.regexp_extract(pick, sci, 4).cast("int")
+    e = F.regexp_extract(p, sci, 4).cast("int")
     n = F.length(digits)
     int_part = F.when(n > e + 1, F.substring(digits, 1, e + 1)).otherwise(
         F.concat(digits, F.repeat(F.lit("0"), e + 1 - n)))
     frac_part = F.when(n > e + 1, F.substring(digits, e + 2, F.lit(400))).otherwise(F.lit("0"))
-    plain_big = F.concat(sign, int_part, F.lit("."), frac_part)
-    plain_small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
     mantissa = F.concat(lead, F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")))
     expo = F.concat(F.when(e >= 0, F.lit("+")).otherwise(F.lit("-")),
                     F.lpad(F.abs(e).cast("string"), 2, "0"))
+    return (F.when((e >= 0) & (e < 16), F.concat(sign, int_part, F.lit("."), frac_part))
+            .when((e < 0) & (e >= -4), F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits))
+            .otherwise(F.concat(sign, mantissa, F.lit("e"), expo)))
+
+
+def py_float_text(d: Column) -> Column:
+    """A double as Python's ``repr`` writes it (``12500000.0``, ``1e-05``,
+    ``1.5e+16``).  For 1e-3 <= |x| < 1e7 the JVM's plain text already is
+    that; otherwise the shortest of the 15/16/17-significant-digit renderings
+    that reads back as the same double is laid out the Python way.  The slow
+    path sits inside a one-element ``transform`` so that none of it is
+    evaluated (or hoisted as a common sub-expression) for plain values."""
+    t = d.cast("string")
+
+    def slow(x: Column) -> Column:
+        cands = [F.format_string(f"%.{p - 1}e", x) for p in (15, 16, 17)]
+        pick = (F.when(cands[0].cast("double") == x, cands[0])
+                .when(cands[1].cast("double") == x, cands[1]).otherwise(cands[2]))
+        return F.get(F.transform(F.array(pick), _py_float_layout), 0)
+
     return (F.when(d.isNull(), F.lit(None).cast("string"))
-            # 1e-3 <= |x| < 1e7: the JVM's plain text already is Python's repr
             .when(~t.contains("E") & ~F.isnan(d) & (F.abs(d) != float("inf")) & (d != 0), t)
             .when(F.isnan(d), F.lit("nan"))
             .when(d == float("inf"), F.lit("inf")).when(d == float("-inf"), F.lit("-inf"))
             .when(d == 0, F.when(t.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
-            .when((e >= 0) & (e < 16), plain_big)
-            .when((e < 0) & (e >= -4), plain_small)
-            .otherwise(F.concat(sign, mantissa, F.lit("e"), expo)))
+            .otherwise(F.get(F.transform(F.array(d), slow), 0)))
