@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sitelens.session import ensure_checkpoint_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``."""
@@ -18,10 +19,19 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
     """df written to the shared folder and read back: lineage ends here and
-    lost executors are replaced by rereading it.  The folder's owner clears it."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lost executors are replaced by rereading it.  The folder's owner clears it.
+
+    The shuffle files behind the table go with the write, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
@@ -41,10 +51,3 @@ def gauge(df: DataFrame, *exprs) -> dict:
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Total UTF-8 bytes of a text column."""
     return gauge(df, F.sum(F.octet_length(F.col(text))).alias("n"))["n"] or 0
-
-
-def release(spark: SparkSession) -> None:
-    """Let go of finished phases' shuffle files: Spark deletes them once the
-    driver has collected the frames that made them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -15,7 +15,7 @@ a run.
 1. Prefix ``GRAM``: runs are exchanged and sorted by their gram's rank, within
    it by the rank of the whole run (its bytes and place of the gram).  A run
    that a smaller document has too is covered from end to end.
-2. Prefix 33 (the gram and the ``HALF`` bytes right or left of it): where one
+2. Prefix 34 (the gram and the ``HALF`` bytes right or left of it): where one
    gram has several different runs, the smallest document of each is ranked
    again on either side; sides found in a single document leave.
 3. Prefix 50: the strings of the remaining sides are ranked one by one.
@@ -36,16 +36,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitelens.llm.common import release, saved
+from sitelens.llm.common import saved
 
 LENGTH = 50
-GRAM = 16
+GRAM = 18
 WINDOW = LENGTH - GRAM + 1
 HALF = (LENGTH - GRAM) // 2
+BITS = WINDOW  # a string starts 0 to LENGTH - GRAM bytes before its gram
 CHUNK = 1 << 20  # bytes of text worked on at a time
 LAST = (1 << 63) - 1  # stands for a null key
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
@@ -83,8 +85,12 @@ def _runs(data: np.ndarray, borders: np.ndarray):
     m = n - LENGTH + 1  # strings
     if m <= 0:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
-    words = np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), (n - GRAM + 9,), (1,))
-    gram = _mix(words[: n - GRAM + 1] * _M1 ^ _mix(words[8: n - GRAM + 9] * _M2))
+    words = np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), (n - 7,), (1,))
+    m_grams = n - GRAM + 1
+    gram = words[:m_grams] * _M1
+    for at in (8, GRAM - 8):  # 8 bytes at a time, the last ones overlapping
+        gram = _mix(gram) ^ words[at: at + m_grams] * _M2
+    gram = _mix(gram)
     value, place = gram, np.arange(len(gram), dtype=np.int32)
     size = 1
     while size < WINDOW:  # smallest of windows of growing size, leftmost of equals
@@ -167,13 +173,21 @@ def _part_end(raw: np.ndarray, a: int, e: int) -> int:
     return e if e - a <= 2 * CHUNK else a + CHUNK
 
 
-def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, at, size): covered bytes of each text, in overlapping spans."""
+def _hits(place, mask):
+    """Covered strings around one gram as a number: the gram's place, then a bit for every
+    string, numbered by how many bytes it starts before the gram."""
+    return F.shiftleft(place.cast("long"), BITS).bitwiseOR(mask).alias("hits")
+
+
+def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, hits): strings of each text that a smaller document has, by gram (see ``_hits``)."""
     spark = df.sparkSession
     docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text")).where(F.length("text") >= 1)
-    by_run, by_gram = Window.partitionBy("gram", "run"), Window.partitionBy("gram")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (_positions(docs).repartition(parts, "gram")  # one exchange for both windows
+
+    # prefix GRAM: one exchange serves both windows
+    by_run, by_gram = Window.partitionBy("gram", "run"), Window.partitionBy("gram")
+    ranked = (_positions(docs).repartition(parts, "gram")
               .withColumn("least", F.min("doc").over(by_run))
               .withColumn("several", F.min("run").over(by_gram) != F.max("run").over(by_gram))
               .withColumn("covered", (F.col("pos") < 0) | (F.col("doc") > F.col("least")))
@@ -182,30 +196,32 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     first = saved(ranked.select(F.when(~F.col("covered"), F.col("gram")).alias("gram"), "doc", F.shiftright(pos, 16).cast("int").alias("start"),
                                 F.shiftright(pos, 8).bitwiseAND(F.lit(255)).cast("int").alias("ahead"),
                                 pos.bitwiseAND(F.lit(255)).cast("int").alias("count"), "covered"), "runs")
-    release(spark)
-    done = first.where("covered").select("doc", F.col("start").alias("at"), (F.col("count") + LENGTH - 1).alias("size"))
-    rest = _contexts(docs, first.where("not covered").select("gram", "doc", "start", "ahead", "count"))
+    whole = F.expr("shiftleft(shiftleft(1L, count) - 1, ahead - count + 1)")
+    done = first.where("covered").select("doc", _hits(F.col("start") + F.col("ahead"), whole))
+    rest = _contexts(docs, first.where("not covered").select("gram", "doc", "start", "ahead", "count")).repartition(parts, "gram")
 
-    # prefix 33: the gram with the bytes left (0) or right (1) of it, if a string reaches that far
+    # prefix 34: the gram with the bytes left (0) or right (1) of it, if a string reaches that far
     at_gram = F.col("ahead") + 1
     left, right = F.col("ahead") >= HALF, F.col("count") + LENGTH - 1 - F.col("ahead") >= GRAM + HALF
     side = F.array_compact(F.array(
         F.when(left, F.struct(F.lit(0).alias("side"), F.xxhash64(F.substring(F.col("bytes"), at_gram - HALF, F.lit(GRAM + HALF))).alias("rank"))),
         F.when(right, F.struct(F.lit(1).alias("side"), F.xxhash64(F.substring(F.col("bytes"), at_gram, F.lit(GRAM + HALF))).alias("rank")))))
-    w = Window.partitionBy("gram", "s.side", "s.rank")
-    sides = (rest.withColumn("s", F.explode(side)).withColumn("lo", F.min("doc").over(w)).withColumn("hi", F.max("doc").over(w)).where("lo < hi"))
-
-    # prefix 50: strings whose gram has at least HALF bytes before it go by the left side, others by the right one
-    first_o = F.col("ahead") - F.col("count") + 1  # bytes before the gram in the run's last string
-    lo_o = F.when(F.col("s.side") == 0, F.greatest(first_o, F.lit(HALF))).otherwise(first_o)
-    hi_o = F.when(F.col("s.side") == 0, F.col("ahead")).otherwise(F.least(F.col("ahead"), F.lit(HALF - 1)))
+    w = Window.partitionBy("gram", "side", "rank")
+    sides = (rest.withColumn("s", F.explode(side)).select("gram", "doc", "start", "ahead", "count", "bytes", "s.side", "s.rank")
+             .withColumn("lo", F.min("doc").over(w)).withColumn("hi", F.max("doc").over(w)).where("lo < hi"))
+
+    # prefix 50: strings that start at least HALF bytes before the gram go by its left side, others by the right one
+    least_o = F.col("ahead") - F.col("count") + 1
+    lo_o = F.when(F.col("side") == 0, F.greatest(least_o, F.lit(HALF))).otherwise(least_o)
+    hi_o = F.when(F.col("side") == 0, F.col("ahead")).otherwise(F.least(F.col("ahead"), F.lit(HALF - 1)))
     strings = (sides.withColumn("from", lo_o.cast("int")).withColumn("to", hi_o.cast("int")).where("from <= to")
                .withColumn("o", F.explode(F.sequence("from", "to")))
-               .select("gram", "doc", "o", (F.col("start") + F.col("ahead") - F.col("o")).alias("at"),
+               .select("gram", "doc", "o", (F.col("start") + F.col("ahead")).alias("place"),
                        F.xxhash64(F.substring(F.col("bytes"), F.col("ahead") - F.col("o") + 1, F.lit(LENGTH))).alias("rank")))
     w = Window.partitionBy("gram", "o", "rank")
-    late = saved(strings.withColumn("lo", F.min("doc").over(w)).where("lo < doc").select("doc", "at", F.lit(LENGTH).alias("size")), "strings")
-    release(spark)
+    late = (strings.withColumn("lo", F.min("doc").over(w)).where("lo < doc")
+            .groupBy("gram", "doc", "place").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("mask")))
+    late = saved(late.select("doc", _hits(F.col("place"), F.col("mask"))), "strings")
     return done.unionByName(late)
 
 
@@ -215,35 +231,43 @@ def _contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
     cut = F.transform("runs", lambda r: F.struct(
         r["gram"].alias("gram"), r["start"].alias("start"), r["ahead"].alias("ahead"), r["count"].alias("count"),
         F.substring(F.col("raw"), r["start"] + 1, r["count"] + LENGTH - 1).alias("bytes")))
-    return saved(docs.join(each, "doc").select("doc", F.col("text").cast("binary").alias("raw"), "runs")
-                 .select("doc", F.explode(cut).alias("r")).select("r.gram", "doc", "r.start", "r.ahead", "r.count", "r.bytes"), "contexts")
+    return (docs.join(each, "doc").select("doc", F.col("text").cast("binary").alias("raw"), "runs")
+            .select("doc", F.explode(cut).alias("r")).select("r.gram", "doc", "r.start", "r.ahead", "r.count", "r.bytes"))
 
 
-def with_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with ``removed``: a document's covered spans as an array of (at, size), null if none."""
-    per = spans(df, key, text).groupBy("doc").agg(F.collect_set(F.struct("at", "size")).alias("removed"))  # at most a document's length
+def with_hits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with ``removed``: a document's covered strings as an array, null if none."""
+    per = covered_strings(df, key, text).groupBy("doc").agg(F.collect_list("hits").alias("removed"))  # at most a document's length
     d = df.drop("removed")
     return d.join(per, F.coalesce(d[key].cast("long"), F.lit(LAST)) == per["doc"], "left").drop("doc")
 
 
-def merge_spans(at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal covered runs: starts and ends."""
-    order = np.argsort(at, kind="stable")
-    a, e = at[order], np.maximum.accumulate((at + size)[order])
+def merge_hits(hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal covered runs of bytes: starts and ends."""
+    row, o = np.nonzero((hits[:, None] >> np.arange(BITS)) & 1)
+    a = np.unique((hits >> BITS)[row] - o)
     new = np.ones(len(a), bool)
-    new[1:] = a[1:] > e[:-1]
+    new[1:] = a[1:] > a[:-1] + LENGTH
     first = np.flatnonzero(new)
-    return a[first], e[np.append(first[1:], len(a)) - 1]
+    return a[first], a[np.append(first[1:], len(a)) - 1] + LENGTH
+
+
+def _lists(col: pa.Array) -> list[np.ndarray]:
+    """Rows of a list column as arrays (null: empty)."""
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    return [flat[e - n: e] for n, e in zip(size.tolist(), ends.tolist())]
 
 
-def _cut(raw: bytes, removed, whole_chars: bool = False) -> tuple[bytes, int, int]:
+def _cut(raw: bytes, removed: np.ndarray, whole_chars: bool = False) -> tuple[bytes, int, int]:
     """Remaining bytes, number of removed ones and of their maximal runs.
 
     whole_chars: a run gives up bytes of characters that it covers in part.
     """
-    if not removed:
+    if not len(removed):
         return raw, 0, 0
-    a, e = merge_spans(np.array([r["at"] for r in removed]), np.array([r["size"] for r in removed]))
+    a, e = merge_hits(removed)
     if whole_chars:
         inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
         pairs = []
@@ -265,13 +289,13 @@ def _cut(raw: bytes, removed, whole_chars: bool = False) -> tuple[bytes, int, in
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """df with ``text`` reduced to what is kept, in whole characters (null stays null)."""
-    src = with_spans(df, key, text)
+    src = with_hits(df, key, text)
     schema = T.StructType([f for f in src.schema.fields if f.name != "removed"])
 
     def run(batches):
         for batch in batches:
-            texts, gone = batch.column(text).to_pylist(), batch.column("removed").to_pylist()
-            kept = [x if not r else _cut(x.encode(), r, True)[0].decode() for x, r in zip(texts, gone)]
+            texts, gone = batch.column(text).to_pylist(), _lists(batch.column("removed"))
+            kept = [x if not len(r) else _cut(x.encode(), r, True)[0].decode() for x, r in zip(texts, gone)]
             cols = {n: batch.column(n) for n in schema.names}
             yield pa.RecordBatch.from_pydict(cols | {text: pa.array(kept, pa.string())})
 
@@ -280,13 +304,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def repeat_digests(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256 per document."""
-    src = with_spans(df.select(key, text), key, text)
+    src = with_hits(df.select(key, text), key, text)
     schema = T.StructType([df.schema[key], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 
     def run(batches):
         for batch in batches:
-            rows = [((x or "").encode(), r) for x, r in zip(batch.column(text).to_pylist(), batch.column("removed").to_pylist())]
+            rows = [((x or "").encode(), r) for x, r in zip(batch.column(text).to_pylist(), _lists(batch.column("removed")))]
             cut = [_cut(x, r) for x, r in rows]
             yield pa.RecordBatch.from_pydict({
                 key: batch.column(key), "n_bytes": pa.array([len(x) for x, _ in rows], pa.int64()),
