@@ -184,7 +184,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     done = {n: 0 for n in counts}
     opened, hi = 0, capacity - 1
     while hi >= 1:
-        lo = hi // 2 + 1 if hi > 16 else 1
+        lo = hi // 2 + 1 if hi > max(1, capacity // 128) else 1
         waiting = {n: counts[n] for n in range(lo, hi + 1) if n in counts}
         in_band = ranked.where(F.col("length").between(lo, hi))
         sides, rounds, opens = [], 0, 0

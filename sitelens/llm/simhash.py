@@ -105,7 +105,7 @@ def link_fingerprints(fps: DataFrame, bits: int = BITS, segments: int = SEGMENTS
             continue
         flips = [sum(1 << x for x in c) for k in range(r + 1) for c in combinations(range(parts[i][1]), k)]
         own = value(F.col("fp"), i)
-        ball += [F.struct(F.lit(i).alias("part"), own.bitwiseXOR(F.lit(m).cast("long")).alias("value")) for m in flips]
+        ball += [F.struct(F.lit(i).alias("part"), own.bitwiseXOR(F.lit(m if m < 1 << 63 else m - (1 << 64)).cast("long")).alias("value")) for m in flips]
         cell.append(F.struct(F.lit(i).alias("part"), value(F.col("fp"), i).alias("value")))
     probe = fps.select(F.col("fp").alias("a"), F.explode(F.array(*ball)).alias("p")).select("a", "p.part", "p.value")
     table = fps.select(F.col("fp").alias("b"), F.explode(F.array(*cell)).alias("c")).select("b", F.col("c.part").alias("part"), F.col("c.value").alias("value"))
