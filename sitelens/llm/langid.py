@@ -32,10 +32,10 @@ from pyspark.sql import types as T
 
 from sitelens.llm.bpe import row_slices
 
-DIMS = 4096
+DIMS = 2048
 GRAMS = (1, 2, 3, 4)
 CENTROIDS = 4
-SAMPLE = 4000
+SAMPLE = 1600
 ITERATIONS = 12
 FLOOR_SHARE = 0.6  # of the lowest hundredth of the training cosines of a length class
 UNKNOWN = "und"
@@ -161,6 +161,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     picked = got.where("counts is not null").select("lang", "counts").orderBy("lang", F.xxhash64("counts"), "counts").collect()
     counts = np.stack([np.frombuffer(r["counts"], "<f4") for r in picked]) if picked else np.zeros((0, DIMS), np.float32)
     of = np.array([r["lang"] for r in picked], object)
+    del picked
     keep = counts.sum(axis=1) > 0
     counts, of = counts[keep], of[keep]
     v = weighted(counts, idf)

@@ -10,7 +10,7 @@ smallest gap that still fits (its successor among the gaps); pieces that want
 the same gap size are told apart by rank, the r-th piece of a run taking the
 r-th gap.  Matched rows meet in one equi-join on the match number, all gaps are
 updated, and the next round follows; when no gap fits, as many empty sequences
-are opened as the waiting tokens need.  Lengths fall in bands of a factor two
+are opened as the waiting pieces fill by their lengths.  Lengths fall in bands of a factor two
 (longest first, as in best-fit decreasing), and a gap of k times the band's
 longest piece takes k pieces a round, so rounds stay few at any size.
 
@@ -27,6 +27,7 @@ whatever its name.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -187,12 +188,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
         lo = hi // 2 + 1 if hi > max(1, capacity // 128) else 1
         waiting = {n: counts[n] for n in range(lo, hi + 1) if n in counts}
         in_band = ranked.where(F.col("length").between(lo, hi))
-        sides, rounds, opens = [], 0, 0
+        sides, rounds = [], 0
         while any(waiting.values()):
             if not gaps[min(n for n, m in waiting.items() if m):].any():
-                # first as many as the tokens need; what is then left over gets room for sure
-                need = -(-sum(waiting.values()) // (capacity // hi)) if opens else -(-sum(n * m for n, m in waiting.items()) // capacity)
-                opens += 1
+                # a sequence holds capacity // n pieces of length n
+                need = math.ceil(sum(m / (capacity // n) for n, m in waiting.items()))
                 gap_df = gap_df.union(spark.range(0, need, 1, parts_for(need, 1_000_000)).select(
                     (F.col("id") + opened).alias("seq"), F.lit(capacity).cast("long").alias("free"), (F.col("id") + int(gaps[capacity])).alias("rank")))
                 opened += need
