@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 LONG_WORD = 256  # symbols; longer words are encoded one at a time
 PAIR_SLOTS = 1 << 20
 
@@ -93,7 +93,6 @@ class Bpe:
             spec = json.load(f)
         model = spec["model"]
         self.path = path
-        self.spec = spec
         self.suffix = model.get("end_of_word_suffix") or ""
         self.words = bool(self.suffix)  # word kind: lower case, white space dropped
         byte_of = {ch: b for b, ch in enumerate(byte_alphabet())}
@@ -121,6 +120,7 @@ class Bpe:
         self.fits = np.zeros(PAIR_SLOTS, bool)
         self.classes = _latin_classes()
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.joined = spec.get("decoder") is None  # no decoder: token names, joined by spaces
         self._build_offsets(vocab)
         self._lib = None
 
@@ -166,7 +166,6 @@ class Bpe:
 
     def _build_offsets(self, vocab: dict[str, int]) -> None:
         """The offset table: bytes of id i are blob[off[i]:off[i+1]]."""
-        self.joined = self.spec.get("decoder") is None  # no decoder: token names, joined by spaces
         by_id = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         parts = []
         for i in range(max(by_id) + 1):
@@ -609,12 +608,12 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
     return df.select(key, text).mapInArrow(run, schema)
 
 
-def row_slices(texts: pa.Array, limit: int = 4 * CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most about ``limit`` bytes of text (a longer row alone)."""
+def row_slices(texts: pa.Array, limit: int = 2 * CHUNK_BYTES, rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` rows and about ``limit`` bytes of text (a longer row alone)."""
     off = np.frombuffer(texts.buffers()[1], np.int32 if texts.type in (pa.string(), pa.binary()) else np.int64)
     off = off[texts.offset: texts.offset + len(texts) + 1].astype(np.int64)
     i, n = 0, len(texts)
     while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
+        j = min(i + rows, max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1))
         yield i, j
         i = j

@@ -39,7 +39,8 @@ SAMPLE = 1600
 ITERATIONS = 12
 FLOOR_SHARE = 0.6  # of the lowest hundredth of the training cosines of a length class
 UNKNOWN = "und"
-PART = 1 << 20  # bytes of text made into n-grams at a time
+ROWS = 512  # texts whose vectors are held at a time
+PART = 1 << 19  # bytes of text made into n-grams at a time
 
 
 def _letters() -> np.ndarray:
@@ -137,7 +138,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     def run(batches):
         freq, n = np.zeros(DIMS, np.int64), 0
         for batch in batches:
-            for a, e in row_slices(batch.column(0)):
+            for a, e in row_slices(batch.column(0), rows=ROWS):
                 counts = vectors(batch.column(0).slice(a, e - a))
                 freq += (counts > 0).sum(axis=0)
                 n += e - a
@@ -194,7 +195,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         labels = np.array(m.labels + [UNKNOWN], object)
         for batch in batches:
             texts = batch.column(text)
-            for a, e in row_slices(texts):
+            for a, e in row_slices(texts, rows=ROWS):
                 part = batch.slice(a, e - a)
                 counts = vectors(part.column(text))
                 cos = weighted(counts, m.idf) @ m.centroids.T if len(m.centroids) else np.zeros((e - a, 0))

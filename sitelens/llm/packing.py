@@ -41,7 +41,7 @@ from sitelens.llm.common import parts_for, saved
 
 CAPACITY = 2048
 SEPARATOR = 0
-ROUNDS_A_SAVE = 4  # rounds whose gaps are derived before a table is written
+ROUNDS_A_SAVE = 4  # rounds whose matches are joined and written together
 
 
 def cut_documents(df: DataFrame, path: str, capacity: int = CAPACITY, separator: int = SEPARATOR,
@@ -204,14 +204,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
             x = F.col("x0") + F.col("rank") - F.col("lo")
             left = in_band.join(p, (F.col("length") == F.col("at")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select(
                 "row", "length", x.alias("x"), F.lit(rounds).alias("round"), (F.col("match0") + F.floor(x / F.col("per_gap"))).alias("match"))
-            met = gap_df.join(g, (F.col("free") == F.col("free_at")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")), "left").select(
+            met = saved(gap_df.where("free > 0").join(g, (F.col("free") == F.col("free_at")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")), "left").select(
                 "seq", "free", (F.col("match0") + F.col("rank")).alias("match"), F.coalesce("new_free", "free").alias("new_free"),
-                F.coalesce(F.col("new_rank0") + F.col("rank") - F.col("lo"), F.col("rank")).alias("new_rank"))
+                F.coalesce(F.col("new_rank0") + F.col("rank") - F.col("lo"), F.col("rank")).alias("new_rank")), "gaps")
             sides.append((left, met.where("match is not null").select("seq", "free", F.lit(rounds).alias("round"), "match")))
             gap_df = met.select("seq", F.col("new_free").alias("free"), F.col("new_rank").alias("rank"))
             rounds += 1
-            if rounds % ROUNDS_A_SAVE == 0 or not any(waiting.values()):
-                gap_df = saved(gap_df.where("free > 0"), "gaps")
+            if len(sides) == ROUNDS_A_SAVE or not any(waiting.values()):
                 result.append(saved(_meet(sides, capacity), "placed"))
                 sides = []
         hi = lo - 1

@@ -48,7 +48,7 @@ GRAM = 18
 WINDOW = LENGTH - GRAM + 1
 HALF = (LENGTH - GRAM) // 2
 BITS = WINDOW  # a string starts 0 to LENGTH - GRAM bytes before its gram
-CHUNK = 1 << 20  # bytes of text worked on at a time
+CHUNK = 1 << 19  # bytes of text worked on at a time
 LAST = (1 << 63) - 1  # stands for a null key
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x5851F42D4C957F2D  # odd
