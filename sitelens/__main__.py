@@ -34,11 +34,8 @@ from .sources.csv import read_csv
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from .session import build_session
-    return build_session()
+    # master, sizes and partitions are those of the submit command
+    return SparkSession.builder.appName("sitelens").getOrCreate()
 
 
 def _table(spark, path, fmt):
@@ -68,7 +65,7 @@ def main(argv=None) -> None:
             p.add_argument("--seeds", required=True)
             p.add_argument("--corpus")
             p.add_argument("--payloads")
-            p.add_argument("--top-n", type=int, default=keyword_ops.DEFAULT_TOP_N)
+            p.add_argument("--top-n", type=int, default=None)
         if name == "cluster":
             p.add_argument("--keywords", required=True)
             p.add_argument("--k", type=int, default=7)

@@ -220,7 +220,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def spread(df: DataFrame, key: str | None, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Hash-spread a small input over the cluster's cores before the parse.
+    """Spread a small input, row by row, over the cluster's cores before the parse.
 
     Small parquet files hold one row group each and scan as one or two
     partitions, which would leave most cores idle in the Python stage.  Only
@@ -234,7 +234,7 @@ def spread(df: DataFrame, key: str | None, max_bytes: int = SPREAD_MAX_BYTES) ->
     size = estimated_bytes(df)
     if size is None or size > max_bytes:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _ship_by_value() -> None:

@@ -33,18 +33,6 @@ def auditable(snapshots: DataFrame) -> DataFrame:
                             & F.col("content_type").contains(HTML_TYPE))
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is within the broadcast threshold."""
-    from ..functions.html import estimated_bytes
-    size = estimated_bytes(df)
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit_bytes = int(str(limit).lower().rstrip("b"))
-    except ValueError:
-        limit_bytes = 10 << 20
-    return size is not None and 0 <= size <= limit_bytes
-
-
 def first_element(pred) -> Column:
     return F.get(F.filter(F.col("elements"), pred), 0)
 
@@ -103,18 +91,16 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     not read.
     """
     wanted = urls.select("url").distinct() if urls is not None else None
-    small_list = wanted is not None and _fits_broadcast(wanted)
     if parsed is not None:
         pages = auditable(parsed).select("url", "status", "elements", *keep)
     else:
         snap = auditable(snapshots).select("url", "status", "html", *keep)
-        if small_list:       # a short list: drop unlisted pages before parsing them
-            snap = snap.join(F.broadcast(wanted), "url", "left_semi")
+        if wanted is not None:       # only listed pages are parsed
+            snap = snap.join(wanted, "url", "left_semi")
         pages = with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=(), engine=engine)
     fields = element_fields(pages)
-    if wanted is not None and not (small_list and parsed is None):
-        # a long list: parse in place, then join the small audit rows
-        fields = fields.join(F.broadcast(wanted) if small_list else wanted, "url", "left_semi")
+    if wanted is not None and parsed is not None:
+        fields = fields.join(wanted, "url", "left_semi")
     return audit_rows(fields, strict=strict, missing=missing, keep=keep)
 
 

@@ -101,14 +101,16 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame | None, domain: str,
     ``sources``: any table; the URL column is found when not given.
     ``snapshots``: url, status, html, fetch_error of the source pages.
     ``domain``: our domain, matched as a case-sensitive substring of ``href``.
-    Pages are judged first (``link_results``) and the small results joined to
-    the list, so page bytes are never shuffled.
+    Pages outside the list are dropped before the parse; the small results
+    (``link_results``) are joined to the list.  A null status counts as offline.
     """
     col = url_col or detect_url_column(sources)
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
+    if parsed is None:      # only listed pages are parsed
+        snapshots = snapshots.join(listed.distinct(), "url", "left_semi")
     res = listed.join(link_results(snapshots, domain, toxic_words, engine, parsed), "url", "left")
     error = F.when(F.col("_snap").isNull(), F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
-    offline = error.isNull() & (F.col("status") != 200)
+    offline = error.isNull() & ~F.col("status").eqNullSafe(200)
     removed = error.isNull() & ~offline & ~F.col("_linked")
     scored = error.isNull() & ~offline & ~removed
     return res.select(

@@ -36,7 +36,6 @@ THEME_SEPARATOR = " - "
 PREVIEW_SIZE = 4
 MIN_CLUSTERS = 2
 KEYWORDS_PER_CLUSTER = 3
-DEFAULT_VOCAB = 1 << 18
 
 
 def clamp_k(requested: int, n: int) -> int:
@@ -66,9 +65,10 @@ def tfidf_long(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "Keywor
     return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
 
 
-def tfidf_vectors(docs: DataFrame, text_col: str = "Keyword", vocab_size: int = DEFAULT_VOCAB,
-                  min_df: float = 1.0) -> DataFrame:
+def tfidf_vectors(docs: DataFrame, text_col: str = "Keyword", min_df: float = 1.0) -> DataFrame:
     """Adds ``features`` (L2-normalised smoothed TF-IDF, sparse)."""
+    # every term counts: the vocabulary is as large as the terms are many
+    vocab_size = max(1, docs.select(F.explode(terms_of(F.col(text_col))).alias("term")).distinct().count())
     stages = [
         RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False,
                        toLowercase=True, minTokenLength=1),
@@ -158,30 +158,25 @@ def theme_preview(clustered: DataFrame, materialize: bool = True) -> DataFrame:
 
 
 def cluster_keywords(keywords: DataFrame, k: int = 7, seed: int = RANDOM_STATE,
-                     n_init: int = N_INIT, max_iter: int = MAX_ITER,
-                     vocab_size: int = DEFAULT_VOCAB, rows_per_partition: int = 50_000) -> DataFrame:
+                     n_init: int = N_INIT, max_iter: int = MAX_ITER) -> DataFrame:
     """Input rows + ``Cluster_ID`` and ``Tema_Semantico``.
 
     Null keywords are dropped first.  Cluster ids are renumbered by each
     cluster's smallest keyword so the labelling does not depend on the
     initialisation.  ``k`` is clamped to ``max(2, min(k, n // 3))``.
     """
-    # A fixed layout (hash of the keyword, sorted within partitions, one
-    # partition per ``rows_per_partition`` keywords) makes the k-means||
-    # sampling independent of input order; below that size the fit runs on
-    # one partition and is bit-for-bit repeatable (partial sums are otherwise
-    # merged in task-completion order).  The checkpoint pins the ids.
+    # Ranges of the keyword, sorted within partitions, make the k-means||
+    # sampling independent of input order.  The checkpoint pins the ids.
     if "Keyword" not in keywords.columns:
         raise ValueError("the keyword table needs a 'Keyword' column")
     ensure_checkpoint_dir(keywords.sparkSession)
     clean = keywords.na.drop(subset=["Keyword"])
     n = clean.count()
-    parts = max(1, -(-n // rows_per_partition))
-    kw = (clean.repartition(parts, "Keyword").sortWithinPartitions("Keyword")
+    kw = (clean.repartitionByRange("Keyword").sortWithinPartitions("Keyword")
           .withColumn("doc_id", F.monotonically_increasing_id())
           .checkpoint())
     k = clamp_k(k, n)
-    vectors = tfidf_vectors(kw, vocab_size=vocab_size)
+    vectors = tfidf_vectors(kw)
     model = best_kmeans(vectors, k, seed, n_init, max_iter)
     raw = model.transform(vectors).select("doc_id", "Keyword", F.col("prediction").alias("_c"))
     # k rows (one per cluster): a global window here is bounded by k

@@ -18,7 +18,6 @@ from ..plans.skew import ROWS_PER_TASK, skew_join
 
 # Probe suffixes (none, then the 26 lowercase letters).
 LETTERS = tuple(string.ascii_lowercase)
-DEFAULT_TOP_N = 10
 PREVIEW_N = 30
 
 
@@ -29,12 +28,12 @@ def keyword_probes(seeds: DataFrame, seed_col: str = "seed") -> DataFrame:
             .select("seed", "letter", F.concat_ws(" ", "seed", "letter").alias("query")))
 
 
-def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TOP_N,
+def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = None,
             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Top-``top_n`` corpus keywords (by popularity, then text) starting with each query.
 
-    ``top_n`` plays the suggestion service's list length; ``None`` returns
-    every match.
+    Every match is returned (rank null) unless the caller asks for the first
+    ``top_n`` of a query.
 
     ``probes``: seed, query.  ``corpus``: keyword, popularity.
     Prefix matching as an exact equi-join: the corpus is keyed by its prefix
@@ -64,7 +63,7 @@ def suggest(probes: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TO
             .select("seed", "query", F.col("keyword").alias("suggestion"), "rank"))
 
 
-def suggest_alphabet(seeds: DataFrame, corpus: DataFrame, top_n: int | None = DEFAULT_TOP_N,
+def suggest_alphabet(seeds: DataFrame, corpus: DataFrame, top_n: int | None = None,
                      rows_per_task: int = ROWS_PER_TASK, seed_col: str = "seed") -> DataFrame:
     """``suggest`` for the alphabet probes of ``keyword_probes``, without
     materialising the probes.

@@ -24,7 +24,6 @@ SITEMAP_MARKER = ".xml"
 LOC_PATTERN = r"(?is)<loc\b[^>]*>(.*?)</loc\s*>"
 CDATA_PATTERN = r"(?s)^<!\[CDATA\[(.*)\]\]>$"
 XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
-DEFAULT_MAX_ROUNDS = 64
 
 
 def xml_unescape(c: Column) -> Column:
@@ -51,14 +50,12 @@ def sitemap_edges(sitemaps: DataFrame) -> DataFrame:
             .withColumn("is_sitemap", is_sitemap_link(F.col("loc"))))
 
 
-def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame,
-                    max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame) -> DataFrame:
     """Distinct page URLs (column ``url``) reachable from ``roots`` (column ``url``).
 
     Driver loop, one round per sitemap depth; each round is a distributed
-    join + anti-join.  ``max_rounds`` only guards against a runaway loop: a
-    run that has not converged by then raises instead of returning a partial
-    set.
+    join + anti-join.  Every round adds sitemaps not seen before, so the loop
+    ends when the deepest one is read, cycles included.
     """
     ensure_checkpoint_dir(sitemaps.sparkSession)
     edges = sitemap_edges(sitemaps).checkpoint()
@@ -66,7 +63,7 @@ def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame,
     sub = edges.filter("is_sitemap").select("parent", F.col("loc").alias("url")).checkpoint()
     visited = roots.select("url").distinct().checkpoint()
     frontier = visited
-    for _ in range(max_rounds):
+    while True:
         found = (sub.join(frontier.withColumnRenamed("url", "parent"), "parent", "left_semi")
                  .select("url").distinct())
         new = found.join(visited, "url", "left_anti").checkpoint()
@@ -75,8 +72,6 @@ def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame,
         # a flat union of checkpointed pieces: nothing upstream is recomputed
         visited = visited.unionByName(new)
         frontier = new
-    else:
-        raise RuntimeError(f"sitemap expansion did not converge in {max_rounds} rounds")
     pages = (edges.filter(~F.col("is_sitemap"))
              .join(visited.withColumnRenamed("url", "parent"), "parent", "left_semi"))
     return pages.select(F.col("loc").alias("url")).distinct()

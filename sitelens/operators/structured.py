@@ -196,16 +196,19 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col:
     ``urls``: any table with a URL column (an audit table); only URLs ending
     in ``.html`` (case-sensitive) are checked.  ``snapshots``: url, status,
     html, fetch_error.  A URL without a snapshot or with a fetch error gives
-    an error row.  Pages are judged first (``product_results``) and the small
-    results are joined to the list, so page bytes are never shuffled.
+    an error row.  Pages outside the list are dropped before the parse; the
+    small results (``product_results``) are joined to the list.  A null status
+    counts as an HTTP error.
     """
     if url_col not in urls.columns:
         raise ValueError(f"the URL list needs a {url_col!r} column")
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
+    if parsed is None:      # only listed pages are parsed
+        snapshots = snapshots.join(listed.select("url").distinct(), "url", "left_semi")
     parsed = listed.join(product_results(snapshots, engine, parsed), "url", "left")
     no_snap = F.col("_snap").isNull()
     error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
-    http_bad = error.isNull() & (F.col("status") != 200)
+    http_bad = error.isNull() & ~F.col("status").eqNullSafe(200)
     ok = error.isNull() & ~http_bad
     na = F.lit(NOT_AVAILABLE)
     null = F.lit(None).cast("string")

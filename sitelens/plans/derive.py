@@ -232,11 +232,11 @@ def suggestion_payload_exprs() -> list[str]:
 
 
 # -- browser performance entries from events --------------------------------
-# Fixed value: the label -> URL dict of pages under test.
+# The label -> URL dict of pages under test.
 PAGES_TO_TEST = {
-    "HOMEPAGE": f"{SHOP}/it/",
-    "CATEGORIA": f"{SHOP}/it/categoria-esempio",
-    "PRODOTTO": f"{SHOP}/it/prodotto-esempio.html",
+    "start": f"{SHOP}/it/",
+    "listing": f"{SHOP}/it/scarpe",
+    "item": f"{SHOP}/it/scarpe/modello-7.html",
 }
 CAPTURE_ERROR = "TimeoutError: page.goto: Timeout 60000ms exceeded"
 
@@ -251,7 +251,7 @@ def perf_entry_exprs() -> list[str]:
     """
     return [
         "concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS view_id",
-        "CASE user_id % 3 WHEN 0 THEN 'HOMEPAGE' WHEN 1 THEN 'CATEGORIA' ELSE 'PRODOTTO' END AS label",
+        "CASE user_id % 3 WHEN 0 THEN 'start' WHEN 1 THEN 'listing' ELSE 'item' END AS label",
         "event_id AS seq",
         "CASE event_type WHEN 'view' THEN 'largest-contentful-paint' WHEN 'click' THEN 'layout-shift' "
         "WHEN 'signup' THEN 'navigation' "
@@ -269,5 +269,5 @@ def perf_entry_exprs() -> list[str]:
 
 
 def perf_entries(events: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets``: (label, url), a fixed 3-row relation -> broadcast."""
-    return events.selectExpr(*perf_entry_exprs()).join(F.broadcast(targets), "label")
+    """``targets``: (label, url), a fixed 3-row relation."""
+    return events.selectExpr(*perf_entry_exprs()).join(targets, "label")

@@ -54,10 +54,8 @@ def site_reports(pages: DataFrame, urls: DataFrame, strict: bool = False) -> Sit
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(pages.sparkSession)
     wanted = urls.select("url").distinct()
-    if audit_ops._fits_broadcast(wanted):      # short list: prune before parsing
-        pages = pages.join(F.broadcast(wanted), "url", "left_semi")
+    pages = pages.join(wanted, "url", "left_semi")      # only listed pages are parsed
     parsed = audit_ops.parse_snapshots(pages, tags=audit_ops.AUDIT_TAGS + ("script",)).checkpoint()
-    # a long list is joined to the small parsed rows, never to the HTML
     audit = audit_ops.page_audit(None, urls=wanted, parsed=parsed, strict=strict)
     return SiteAudit(
         urls=urls,
@@ -81,7 +79,7 @@ class KeywordThemes:
 
 
 def keyword_flow(seeds: DataFrame, corpus: DataFrame, k: int = 7,
-                 top_n: int = keyword_ops.DEFAULT_TOP_N) -> KeywordThemes:
+                 top_n: int | None = None) -> KeywordThemes:
     """``seeds``: seed.  ``corpus``: keyword, popularity."""
     suggestions = keyword_ops.suggest_alphabet(seeds, corpus, top_n=top_n)
     keywords = keyword_ops.expand_keywords(suggestions)
@@ -93,7 +91,7 @@ def keyword_flow(seeds: DataFrame, corpus: DataFrame, k: int = 7,
 def vitals_flow(spark: SparkSession, entries: DataFrame, pages_to_test: dict[str, str]) -> DataFrame:
     """``entries``: perf entries without url; the label -> URL dict is joined in."""
     targets = vitals_ops.pages_to_test(spark, pages_to_test)
-    return vitals_ops.vitals_report(entries.drop("url").join(F.broadcast(targets), "label"))
+    return vitals_ops.vitals_report(entries.drop("url").join(targets, "label"))
 
 
 def keyword_table(keywords: DataFrame) -> DataFrame:

@@ -296,13 +296,13 @@ hits AS (SELECT seed, query, keyword,
 
 ORACLE["keyword_probes"] = f"WITH {_PROBES} SELECT * FROM probes"
 ORACLE["keyword_suggest"] = f"""{_SUGGEST}
-SELECT seed, query, keyword AS suggestion, CAST(rk AS INTEGER) AS rank FROM hits WHERE rk <= 10"""
+SELECT seed, query, keyword AS suggestion, CAST(NULL AS INTEGER) AS rank FROM hits"""
 ORACLE["keyword_suggest_probes"] = ORACLE["keyword_suggest"]
 ORACLE["keyword_expand"] = f"""{_SUGGEST}
-SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10"""
+SELECT DISTINCT seed, keyword AS "Keyword" FROM hits"""
 ORACLE["keyword_suggestions"] = ORACLE["keyword_expand"]
 ORACLE["keyword_preview"] = f"""{_SUGGEST},
-kw AS (SELECT DISTINCT seed, keyword AS "Keyword" FROM hits WHERE rk <= 10)
+kw AS (SELECT DISTINCT seed, keyword AS "Keyword" FROM hits)
 SELECT * FROM (SELECT seed, "Keyword", CAST(row_number() OVER (PARTITION BY seed ORDER BY "Keyword") AS INTEGER) AS pos
                FROM kw) WHERE pos <= 30"""
 ORACLE["keyword_payloads"] = """

@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="sitelens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if sc.getCheckpointDir() is None:
