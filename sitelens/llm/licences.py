@@ -24,6 +24,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,29 +67,38 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPL
     vocabulary = sorted({w for ws in of.values() for w in ws})
     known = F.array(*[F.lit(w) for w in vocabulary])
 
-    # one pass: a document's statements with some template word, and all template words it has
-    parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), STATEMENT),
-                        lambda s: F.transform(F.array(words(s)), lambda w: F.struct(s.alias("statement"), F.array_intersect(w, known).alias("known"), F.size(w).alias("n")))[0])
-    rows = df.select(F.struct(F.col(key)).alias("id"), F.xxhash64(F.col(key), F.col(text)).alias("row"), F.filter(parts, lambda p: F.size(p["known"]) > 0).alias("parts"))
-    rows = saved(rows, "statements")
-    total = rows.count()
-    freq = {r["w"]: r["n"] for r in rows.select(F.explode(F.array_distinct(F.flatten("parts.known"))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
-    idf = {w: F.log(F.lit((1.0 + total) / (1.0 + freq.get(w, 0)))) + 1 for w in vocabulary}
+    # pass 1: in how many documents each template word is
+    total = df.count()
+    has = df.select(F.explode(F.array_intersect(words(F.coalesce(F.col(text), F.lit(""))), known)).alias("w"))
+    freq = {r["w"]: r["n"] for r in has.groupBy("w").agg(F.count("*").alias("n")).collect()}
+    idf = {w: math.log((1.0 + total) / (1.0 + freq.get(w, 0))) + 1 for w in vocabulary}
+    rare = math.log((1.0 + total) / 2.0) + 1
+    square = F.create_map(*[x for w, v in idf.items() for x in (F.lit(w), F.lit(v * v))])
+
+    # pass 2: statements that may reach the threshold.  A cosine to any template is at most the
+    # share of the statement's length that lies in the templates' words.
+    def inside(p: Column) -> Column:
+        return F.aggregate(F.array_sort(p["known"]), F.lit(0.0), lambda a, w: a + square[w])
+
+    parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), STATEMENT), lambda s: F.transform(
+        F.array(words(s)), lambda w: F.struct(s.alias("statement"), F.array_intersect(w, known).alias("known"), F.size(w).alias("n")))[0])
+    parts = F.transform(F.filter(parts, lambda p: F.size(p["known"]) > 0), lambda p, i: F.struct(
+        i.alias("at"), p["statement"].alias("statement"), p["known"].alias("known"), inside(p).alias("inside"),
+        (inside(p) + (p["n"] - F.size(p["known"])) * (rare * rare)).alias("length2")))
+    near = F.filter(parts, lambda p: p["inside"] >= (threshold - 1e-6) ** 2 * p["length2"])
+    rows = df.select(F.struct(F.col(key)).alias("id"), F.xxhash64(F.col(key), F.col(text)).alias("row"), near.alias("parts"))
+    rows = saved(rows.where(F.size("parts") > 0), "statements")
     names = [(t, w) for t, ws in of.items() for w in ws]
-    weights = spark.createDataFrame([(w,) for w in vocabulary], "w string").withColumn("idf", F.coalesce(*[F.when(F.col("w") == w, x) for w, x in idf.items()]))
-    rare = F.log(F.lit((1.0 + total) / 2.0)) + 1
+    weights = spark.createDataFrame([(w, v) for w, v in idf.items()], "w string, idf double")
     in_template = spark.createDataFrame(names, "licence string, w string").join(weights, "w")
     length = in_template.groupBy("licence").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("t_norm"))
     templates_df = in_template.join(length, "licence")  # a row per template word
 
-    each = rows.select("id", "row", F.posexplode("parts").alias("at", "p")).select("id", "row", "at", "p.statement", "p.known", "p.n")
-    # the template whose words a statement covers best decides; others cannot reach the threshold unless they share words
-    hits = (each.withColumn("w", F.explode("known")).join(F.broadcast(templates_df), "w")
+    each = rows.select("id", "row", F.explode("parts").alias("p")).select("id", "row", "p.*")
+    hits = (each.withColumn("w", F.explode("known")).join(F.broadcast(templates_df), "w")  # a row per word of a template
             .groupBy("id", "row", "at", "licence").agg(F.sum(F.col("idf") * F.col("idf")).alias("dot"), F.first("t_norm").alias("t_norm"),
-                                                       F.first("known").alias("known"), F.first("n").alias("n"), F.first("statement").alias("statement")))
-    table = F.map_from_entries(F.array(*[F.struct(F.lit(w), x) for w, x in idf.items()]))
-    norm = F.sqrt(F.aggregate(F.array_sort("known"), F.lit(0.0), lambda a, w: a + F.pow(table[w], F.lit(2.0))) + (F.col("n") - F.size("known")) * rare * rare)
-    scored = hits.withColumn("score", F.round(F.col("dot") / (F.col("t_norm") * norm), 6)).where(F.col("score") >= threshold)
+                                                       F.first("length2").alias("length2"), F.first("statement").alias("statement")))
+    scored = hits.withColumn("score", F.round(F.col("dot") / (F.col("t_norm") * F.sqrt("length2")), 6)).where(F.col("score") >= threshold)
     best = F.min_by(F.struct("licence", "score", "statement"), F.struct(-F.col("score"), F.col("at"), F.col("licence")))
     return scored.groupBy("id", "row").agg(best.alias("b")).select(f"id.{key}", "b.licence", "b.score", "b.statement")
 
