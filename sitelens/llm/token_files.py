@@ -14,8 +14,8 @@ length is the distance between its two separators, wherever blocks end.
 
 Defined results: an empty document (null or empty text) has 0 tokens; ids
 after the last separator form a last, unterminated document; an empty file has
-none.  A file is read whole by one task, so files are written with at most
-about ``FILE_BYTES`` of text (a longer text alone in its file's part).
+none.  A file is read whole by one task, so a file gets no further document
+once it holds ``FILE_BYTES`` of ids.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitelens.llm.bpe import load, row_slices
-from sitelens.llm.common import scratch, text_bytes
+from sitelens.llm.common import scratch
 
 BLOCK = 1 << 18
 FILE_BYTES = 8 << 20
 WIDTH = 2  # bytes an id
 SEPARATOR = 0  # the end-of-document id
+HEX = "0123456789ABCDEF."
 
 
 def _separator(end_id: int, width: int) -> str:
@@ -40,37 +41,70 @@ def _separator(end_id: int, width: int) -> str:
     return end_id.to_bytes(width, "little").decode("latin-1")
 
 
-def file_number(key: str, files: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(files))
+def _symbols(end_id: int, width: int) -> str:
+    """The letters of names, none of them a byte of the separator's first."""
+    return HEX if end_id & 255 not in HEX.encode() else "GHIJKLMNOPQRSTUVW"
 
 
-def write_token_files(df: DataFrame, vocabulary: str, out: str, files: int, key: str = "doc_id", text: str = "text",
-                      end_id: int = SEPARATOR, width: int = WIDTH) -> None:
-    """Encode every text and write one flat file per file number, documents in key order.
+def write_token_files(df: DataFrame, vocabulary: str, out: str, key: str = "doc_id", text: str = "text",
+                      end_id: int = SEPARATOR, width: int = WIDTH, file_bytes: int = FILE_BYTES) -> None:
+    """Encode every text and write flat files below ``out``/kind=tokens, and who is in them below ``out``/kind=names.
 
     The text writer puts a separator after every row as it is, so a row's ids
     and the end id as the separator make the flat file, on any file system
-    that Spark writes to.
+    that Spark writes to.  Each task writes its own rows, in any order and
+    without an exchange; a new file begins when one has ``file_bytes``.  A
+    document's name (its number in the file and its key) leaves in the same
+    task and job as its ids, so a repeated task replaces both.
     """
     kind = "<u2" if width == 2 else "<u4"
-    schema = T.StructType([df.schema[key], T.StructField("ids", T.BinaryType())])
 
     def run(batches):
         bpe = load(vocabulary)
         if bpe.off.size - 1 > 1 << (8 * width):
             raise ValueError(f"ids do not fit {width} bytes")
+        file, ordinal, held = 0, 0, 0
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for a, e in row_slices(texts):
                 got, per = bpe.encode(texts.slice(a, e - a))
                 raw = got.astype(kind).tobytes()
                 cut = np.concatenate([[0], np.cumsum(per)]) * width
-                yield pa.RecordBatch.from_pydict({key: keys.slice(a, e - a), "ids": pa.array([raw[x:y] for x, y in zip(cut[:-1], cut[1:])], pa.binary())})
+                files, ordinals = [], []
+                for size in (per * width).tolist():
+                    if held >= file_bytes:
+                        file, ordinal, held = file + 1, 0, 0
+                    files.append(file)
+                    ordinals.append(ordinal)
+                    ordinal, held = ordinal + 1, held + size + width
+                yield pa.RecordBatch.from_pydict({
+                    "name": keys.slice(a, e - a), "file": pa.array(files, pa.int32()), "ordinal": pa.array(ordinals, pa.int64()),
+                    "ids": pa.array([raw[x:y] for x, y in zip(cut[:-1], cut[1:])], pa.binary())})
+
+    ids = df.select(F.col(key).cast("string").alias("name"), text).mapInArrow(run, "name string, file int, ordinal long, ids binary")
+    name = F.translate(F.concat_ws(".", F.hex(F.col("ordinal").cast("string").cast("binary")), F.hex(F.col("name").cast("binary"))), HEX, _symbols(end_id, width))
+    rows = ids.select("file", "ordinal", F.explode(F.array(
+        F.struct(F.lit("tokens").alias("kind"), F.col("ids").alias("value")),
+        F.struct(F.lit("names").alias("kind"), name.cast("binary").alias("value")))).alias("r"))
+    (rows.select("r.kind", "file", "ordinal", "r.value").sortWithinPartitions("kind", "file", "ordinal")
+     .select("kind", "file", F.col("value").cast("string").alias("value"))
+     .write.partitionBy("kind", "file").option("lineSep", _separator(end_id, width)).option("encoding", "ISO-8859-1").text(out))
+
+
+def _unit(path: str):
+    """The file a row was read from: number of its task and of the file in it."""
+    return F.concat_ws("-", F.regexp_extract(path, r"/part-(\d+)", 1), F.regexp_extract(path, r"/file=(\d+)/", 1))
+
+
+def read_names(spark: SparkSession, out: str, key_type: T.DataType, key: str = "doc_id", end_id: int = SEPARATOR, width: int = WIDTH) -> DataFrame:
+    """(file, ordinal, key) of every document that ``write_token_files`` wrote."""
+    lines = (spark.read.option("lineSep", _separator(end_id, width)).option("encoding", "ISO-8859-1").text(f"{out}/kind=names")
+             .select(F.split(F.translate("value", _symbols(end_id, width), HEX), r"\.").alias("n"), F.col("_metadata.file_path").alias("path")))
+
+    def text_of(i):
+        return F.unhex(F.get("n", F.lit(i))).cast("string")
 
-    ids = df.select(key, text).mapInArrow(run, schema).withColumn("file", file_number(key, files))
-    (ids.repartition(files, "file").sortWithinPartitions("file", key)
-     .select("file", F.col("ids").cast("string").alias("value"))
-     .write.partitionBy("file").option("lineSep", _separator(end_id, width)).option("encoding", "ISO-8859-1").text(out))
+    return lines.select(_unit("path").alias("file"), text_of(0).cast("long").alias("ordinal"), text_of(1).cast(key_type).alias(key))
 
 
 def scan_token_files(spark: SparkSession, path: str, end_id: int = SEPARATOR, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
@@ -119,15 +153,16 @@ def count_documents(df: DataFrame, vocabulary: str, key: str = "doc_id", text: s
                     width: int = WIDTH, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write texts as flat token files, scan them, and name each counted document.
 
-    Columns: key, file, ordinal, start, n_tokens.  A file holds documents in
-    key order, so a document's number in its file finds its key again (rows
-    with the same key count as they come).
+    Columns: key, file, ordinal, start, n_tokens; one row per row of df, also
+    for null and repeated keys.  Which file holds a document depends on how
+    Spark splits df; its count does not.
     """
     spark = df.sparkSession
-    files = max(1, -(-text_bytes(df, text) // file_bytes))
     out = scratch(spark, "tokens")
-    write_token_files(df, vocabulary, out, files, key, text, end_id, width)
-    found = scan_token_files(spark, out, end_id, width).withColumn("file", F.regexp_extract("path", r"file=(\d+)", 1).cast("long"))
-    names = df.select(key).withColumn("file", file_number(key, files)).withColumn(
-        "ordinal", F.row_number().over(Window.partitionBy("file").orderBy(key)).cast("long") - 1)
+    write_token_files(df, vocabulary, out, key, text, end_id, width, file_bytes)
+    if df.isEmpty():  # no row, no file
+        return spark.createDataFrame([], T.StructType([df.schema[key]])).selectExpr(
+            f"`{key}`", "'' AS file", "0L AS ordinal", "0L AS start", "0L AS n_tokens")
+    found = scan_token_files(spark, f"{out}/kind=tokens", end_id, width).withColumn("file", _unit("path"))
+    names = read_names(spark, out, df.schema[key].dataType, key, end_id, width)
     return names.join(found.select("file", "ordinal", "start", "n_tokens"), ["file", "ordinal"]).select(key, "file", "ordinal", "start", "n_tokens")
