@@ -23,18 +23,34 @@ from ..session import ensure_checkpoint_dir
 SITEMAP_MARKER = ".xml"
 LOC_PATTERN = r"(?is)<loc\b[^>]*>(.*?)</loc\s*>"
 CDATA_PATTERN = r"(?s)^<!\[CDATA\[(.*)\]\]>$"
+COMMENT_PATTERN = r"(?s)<!--.*?-->"
+AMP_REFERENCE = r"(?i)&#(?:0*38|x0*26);"
 XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 
 
+def _character(ref: Column) -> Column:
+    """The character of a reference's digits (``65`` or ``x41``); null when there is none."""
+    hexed = F.lower(F.substring(ref, 1, 1)) == "x"
+    code = F.when(hexed, F.conv(F.substring(ref, 2, 16), 16, 10)).otherwise(ref).try_cast("long")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
 def xml_unescape(c: Column) -> Column:
-    for ent, ch in XML_ENTITIES:  # &amp; last
+    """Named and numeric references; an ampersand appears last, so nothing is decoded twice."""
+    c = F.regexp_replace(c, AMP_REFERENCE, "&amp;")
+    for ent, ch in XML_ENTITIES[:-1]:
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit("&#([0-9]+|[xX][0-9a-fA-F]+);"), 1))
+    c = F.when(c.contains("&#"), F.aggregate(refs, c, lambda acc, r: F.replace(
+        acc, F.concat(F.lit("&#"), r, F.lit(";")), F.coalesce(_character(r), F.concat(F.lit("&#"), r, F.lit(";")))))).otherwise(c)
+    ent, ch = XML_ENTITIES[-1]
+    return F.replace(c, F.lit(ent), F.lit(ch))
 
 
 def extract_locs(xml: Column) -> Column:
     """Array of stripped ``<loc>`` texts, in document order."""
-    raw = F.regexp_extract_all(xml, F.lit(LOC_PATTERN), 1)
+    raw = F.regexp_extract_all(F.regexp_replace(xml, COMMENT_PATTERN, ""), F.lit(LOC_PATTERN), 1)
     return F.transform(raw, lambda x: py_strip(xml_unescape(
         F.regexp_replace(py_strip(x), CDATA_PATTERN, "$1"))))
 

@@ -89,9 +89,12 @@ def keyword_flow(seeds: DataFrame, corpus: DataFrame, k: int = 7,
 
 
 def vitals_flow(spark: SparkSession, entries: DataFrame, pages_to_test: dict[str, str]) -> DataFrame:
-    """``entries``: perf entries without url; the label -> URL dict is joined in."""
+    """``entries``: perf entries without url; the label -> URL dict is joined in.
+
+    A page under test without any entry gets an error row (null ``view_id``).
+    """
     targets = vitals_ops.pages_to_test(spark, pages_to_test)
-    return vitals_ops.vitals_report(entries.drop("url").join(targets, "label"))
+    return vitals_ops.vitals_report(entries.drop("url").join(targets, "label", "right"))
 
 
 def keyword_table(keywords: DataFrame) -> DataFrame:

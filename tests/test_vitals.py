@@ -35,3 +35,11 @@ def test_vitals_cases(spark):
     assert (v3["LCP"], v3["Giudizio"], v3["lcp_observed"]) == ("0s", "✅ BUONO", False)
     assert out["v4"]["Errore"].startswith("TypeError") and out["v4"]["LCP"] is None
     assert out["v5"]["Errore"] == "Timeout" and out["v5"]["TTFB"] is None
+
+
+def test_target_without_entries_has_an_error_row(spark):
+    from sitelens.plans.flows import vitals_flow
+    df = spark.createDataFrame([e("v1", 1, "navigation", resp=80)], COLS)
+    out = {r["Tipo"]: r for r in vitals_flow(spark, df, {"HOME": "https://s.it/", "QUIET": "https://s.it/q"}).collect()}
+    assert out["HOME"]["TTFB"] == "80ms" and out["HOME"]["Errore"] is None
+    assert out["QUIET"]["URL"] == "https://s.it/q" and out["QUIET"]["Errore"].startswith("TypeError")
