@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.html import spread, with_elements
 from ..functions.text import MISSING, py_strip
 from ..functions.url import url_class
+from ..sources.snapshots import capture_time
 
 # Output columns of the audit table, in order.
 AUDIT_COLUMNS = ("URL", "Tipo", "Status", "Robots", "Canonical", "Title", "Lung. Title",
@@ -136,12 +137,13 @@ def parse_snapshots(snapshots: DataFrame, tags=None, with_text: bool = False,
     """Parse every fetched snapshot once, for several operators.
 
     Output: url, status, content_type, fetch_error, elements (+ page_text)
-    (+ ``keep``).  Pages with a fetch error are carried unparsed (null
+    (+ ``fetched_at`` if there, + ``keep``).  Pages with a fetch error are carried unparsed (null
     elements) so the operators can still report them.  Checkpoint or write
     the result when more than one operator reads it.
     """
     from ..functions.html import DEFAULT_TAGS
-    snap = (snapshots.select("url", "status", "content_type", "html", "fetch_error", *keep)
+    carried = tuple(dict.fromkeys((*keep, *capture_time(snapshots))))
+    snap = (snapshots.select("url", "status", "content_type", "html", "fetch_error", *carried)
             .withColumn("html", F.when(F.col("fetch_error").isNull(), F.col("html"))))
     return with_elements(spread(snap, "url"), keep=tuple(tags or DEFAULT_TAGS), ancestors_for=("a",),
                          with_text=with_text, engine=engine)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import spread, with_elements
 from ..functions.text import py_strip
+from ..sources.snapshots import capture_time, latest_per_url
 
 # Result labels, scores and notes of the backlink report.
 OFFLINE = "OFFLINE"
@@ -68,7 +69,7 @@ def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WOR
     shared parse is reused.
     """
     if parsed is None:
-        snap = (snapshots.select("url", "status", "html", "fetch_error")
+        snap = (snapshots.select("url", "status", "html", "fetch_error", *capture_time(snapshots))
                 .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
                                            F.col("html"))))
         parsed = with_elements(spread(snap, "url"), keep=("a",), ancestors_for=("a",),
@@ -77,7 +78,7 @@ def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WOR
                           & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
     text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))
     toxic = F.exists(F.array(*[F.lit(w) for w in toxic_words]), lambda w: text.contains(w))
-    with_link = parsed.select("url", "status", "fetch_error", link.alias("_l"), toxic.alias("_toxic"))
+    with_link = parsed.select("url", "status", "fetch_error", *capture_time(parsed), link.alias("_l"), toxic.alias("_toxic"))
     editorial = _overlap(F.col("_l.ancestors"), EDITORIAL_TAGS)
     marginal = _overlap(F.col("_l.ancestors"), MARGINAL_TAGS)
 
@@ -86,7 +87,7 @@ def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WOR
                 .when(marginal, F.lit(POOR[i])).otherwise(F.lit(MEDIUM[i])))
 
     return with_link.select(
-        "url", "status", "fetch_error",
+        "url", "status", "fetch_error", *capture_time(with_link),
         F.col("_l").isNotNull().alias("_linked"),
         tier(0).alias("_label"), tier(1).alias("_score"),
         py_strip(F.col("_l.text")).alias("_anchor"),
@@ -103,12 +104,13 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame | None, domain: str,
     ``domain``: our domain, matched as a case-sensitive substring of ``href``.
     Pages outside the list are dropped before the parse; the small results
     (``link_results``) are joined to the list.  A null status counts as offline.
+    Of several captures of a URL the latest ``fetched_at`` counts.
     """
     col = url_col or detect_url_column(sources)
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
     if parsed is None:      # only listed pages are parsed
         snapshots = snapshots.join(listed.distinct(), "url", "left_semi")
-    res = listed.join(link_results(snapshots, domain, toxic_words, engine, parsed), "url", "left")
+    res = listed.join(latest_per_url(link_results(snapshots, domain, toxic_words, engine, parsed)), "url", "left")
     error = F.when(F.col("_snap").isNull(), F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     offline = error.isNull() & ~F.col("status").eqNullSafe(200)
     removed = error.isNull() & ~offline & ~F.col("_linked")

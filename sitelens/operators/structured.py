@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.html import spread, with_elements
 from ..functions.text import py_float_text
 from ..functions.url import is_product_url
+from ..sources.snapshots import capture_time, latest_per_url
 
 # Labels of the product report.
 FOUND_YES = "✅ SI"
@@ -177,10 +178,10 @@ def product_results(snapshots: DataFrame | None, engine: str = "python",
     ``parsed`` (from ``audit.parse_snapshots``) the shared parse is reused.
     """
     if parsed is not None:
-        pages = (parsed.select("url", "status", "fetch_error", "elements")
+        pages = (parsed.select("url", "status", "fetch_error", "elements", *capture_time(parsed))
                  .filter(is_product_url(F.col("url"))))
     else:
-        snap = (snapshots.select("url", "status", "html", "fetch_error")
+        snap = (snapshots.select("url", "status", "html", "fetch_error", *capture_time(snapshots))
                 .filter(is_product_url(F.col("url")))
                 .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
                                            F.col("html"))))
@@ -198,14 +199,17 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col:
     html, fetch_error.  A URL without a snapshot or with a fetch error gives
     an error row.  Pages outside the list are dropped before the parse; the
     small results (``product_results``) are joined to the list.  A null status
-    counts as an HTTP error.
+    counts as an HTTP error.  Of several captures of a URL the latest
+    ``fetched_at`` counts.
     """
     if url_col not in urls.columns:
         raise ValueError(f"the URL list needs a {url_col!r} column")
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
     if parsed is None:      # only listed pages are parsed
         snapshots = snapshots.join(listed.select("url").distinct(), "url", "left_semi")
-    parsed = listed.join(product_results(snapshots, engine, parsed), "url", "left")
+    results = product_results(snapshots, engine, parsed)
+    parsed = listed.join(latest_per_url(results.select(
+        "url", "status", "fetch_error", *capture_time(results), "_found", "_priced", "_price", "_currency", "_avail", "_snap")), "url", "left")
     no_snap = F.col("_snap").isNull()
     error = F.when(no_snap, F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     http_bad = error.isNull() & ~F.col("status").eqNullSafe(200)

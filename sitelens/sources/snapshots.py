@@ -7,6 +7,7 @@ outside.  Operators read what they captured, as tables or file streams.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PAGE_SNAPSHOT = T.StructType([
@@ -15,7 +16,7 @@ PAGE_SNAPSHOT = T.StructType([
     T.StructField("content_type", T.StringType()),
     T.StructField("html", T.StringType()),
     T.StructField("fetch_error", T.StringType()),
-    T.StructField("fetched_at", T.TimestampType()),   # optional; operators do not need it
+    T.StructField("fetched_at", T.TimestampType()),   # optional; the latest capture of a URL counts
 ])
 
 SITEMAP_SNAPSHOT = T.StructType([
@@ -59,3 +60,15 @@ def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType,
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
+
+
+def capture_time(df: DataFrame) -> tuple[str, ...]:
+    """The capture time column, if the table has one."""
+    return ("fetched_at",) if "fetched_at" in df.columns else ()
+
+
+def latest_per_url(results: DataFrame) -> DataFrame:
+    """One result per URL: the latest capture's (ties and captures without a time: the greatest row)."""
+    rest = [c for c in results.columns if c not in ("url", "fetched_at")]
+    newest = F.max(F.struct(*capture_time(results), *rest)).alias("_r")
+    return results.groupBy("url").agg(newest).select("url", *[F.col("_r")[c].alias(c) for c in rest])

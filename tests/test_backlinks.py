@@ -46,3 +46,16 @@ def test_url_column_detection(spark):
                                "name string, note string, link string")
     assert detect_url_column(df) == "note"
     assert url_column(df.drop("note")).first()[0] == "link"
+
+
+def test_latest_capture_of_a_url_counts(spark):
+    from datetime import datetime
+
+    from sitelens.operators.audit import parse_snapshots
+    rows = [("http://src/0", 200, "text/html", f"<article>{A}</article>", None, datetime(2024, 1, 2)),
+            ("http://src/0", 200, "text/html", "<p>gone</p>", None, datetime(2024, 1, 3)),
+            ("http://src/0", 500, "text/html", None, None, None)]
+    snaps = spark.createDataFrame(rows, "url string, status int, content_type string, html string, fetch_error string, fetched_at timestamp")
+    src = spark.createDataFrame([("http://src/0",)], "link string")
+    for given in ({"snapshots": snaps}, {"snapshots": None, "parsed": parse_snapshots(snaps, with_text=True)}):
+        assert [r["Tipo Risultato"] for r in backlink_audit(src, domain=DOM, **given).collect()] == ["RIMOSSO"]

@@ -68,3 +68,12 @@ def test_http_error_missing_snapshot_and_filter(spark):
 def test_url_column_required(spark):
     with pytest.raises(ValueError, match="URL"):
         structured_data_audit(spark.createDataFrame([("x",)], "link string"), None)
+
+
+def test_latest_capture_of_a_product_page_counts(spark):
+    from datetime import datetime
+    page = '<script type="application/ld+json">{"@type": "Product", "offers": {"price": "%d", "priceCurrency": "EUR"}}</script>'
+    rows = [("http://s/a.html", 200, page % p, None, datetime(2024, 1, d)) for p, d in ((5, 1), (7, 3), (6, 2))]
+    snaps = spark.createDataFrame(rows, "url string, status int, html string, fetch_error string, fetched_at timestamp")
+    urls = spark.createDataFrame([("http://s/a.html",)], "URL string")
+    assert [r["Prezzo"] for r in structured_data_audit(urls, snaps).collect()] == ["7"]
