@@ -4,8 +4,7 @@ This is the single Python step of the page operators.  It runs as one
 ``mapInArrow`` pass (Arrow batches in and out), so every page is tokenised once and all
 downstream operators work on the ``elements`` array with JVM-side
 higher-order functions (``filter``/``transform``/``exists``) -- no shuffle and
-no second Python hop.  ``html_native`` builds the same array from built-in
-expressions only (``engine="native"``); the two are conformance-tested.
+no second Python hop.
 
 Tree rule (the one a permissive, non-correcting HTML tree builder applies):
 a start tag opens an element unless it is void; an end tag closes the most
@@ -19,7 +18,8 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Elements that never hold children.
@@ -29,6 +29,7 @@ VOID_TAGS = frozenset((
     "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
 ))
 RAW_TEXT_TAGS = frozenset(("script", "style"))
+REJECTED = "markup could not be parsed"
 
 DEFAULT_TAGS = ("title", "meta", "link", "h1", "h2", "img", "a", "script")
 ATTRS = ("name", "content", "rel", "href", "alt", "type")
@@ -40,7 +41,7 @@ ELEMENT = T.StructType([
     # All descendant text (script/style bodies and comments excluded), or the
     # raw body for script/style elements.
     T.StructField("text", T.StringType()),
-    # The element's single text child, null when it has none or other children.
+    # The text of the element's only child, down through only children; else null.
     T.StructField("string", T.StringType()),
     # Distinct names of the open elements around it (outermost first).
     T.StructField("ancestors", T.ArrayType(T.StringType())),
@@ -56,9 +57,10 @@ class _Tree(HTMLParser):
     """Builds the kept elements in one pass; O(1) work per parser event.
 
     Text outside script/style goes to one chunk list; an element remembers
-    the chunk range it spans (start at open, end at close) and the event
-    count at open and close (start tags and comments), so "has only a text
-    child" is a comparison, not a scan.
+    the chunk range it spans (start at open, end at close) and, at both ends,
+    how many nodes had got a second child by then.  Such a node is always the
+    innermost open one, so an equal count means that the element and all below
+    it are a chain of only children.
     """
 
     def __init__(self, keep, ancestors_for, want_text):
@@ -66,12 +68,14 @@ class _Tree(HTMLParser):
         self.keep = keep
         self.ancestors_for = ancestors_for
         self.stack = []          # (tag, element index or -1)
+        self.children = [0]      # child nodes of the page and of each open element
+        self.in_text = False     # the last node is text that more data would extend
         self.elements = []
-        self.spans = []          # per kept element: [chunk start, chunk end, events at open, at close]
+        self.spans = []          # per kept element: [chunk start, chunk end, splits at open, at close]
         self.raw = {}            # script/style element index -> raw body chunks
         self.chunks = []         # all text outside script/style and comments
         self.want_text = want_text
-        self.events = 0
+        self.splits = 0          # nodes that have got a second child
         self.pos = 0
 
     def handle_starttag(self, tag, attrs):
@@ -81,9 +85,15 @@ class _Tree(HTMLParser):
         self._start(tag, attrs, void=False)
         self.handle_endtag(tag)
 
+    def _child(self, is_text=False):
+        self.in_text = is_text
+        self.children[-1] += 1
+        if self.children[-1] == 2:
+            self.splits += 1
+
     def _start(self, tag, attrs, void):
         self.pos += 1
-        self.events += 1
+        self._child()
         idx = -1
         if tag in self.keep:
             values = {}
@@ -100,88 +110,90 @@ class _Tree(HTMLParser):
             idx = len(self.elements)
             self.elements.append(el)
             n = len(self.chunks)
-            self.spans.append([n, n, self.events, self.events])
+            self.spans.append([n, n, self.splits, self.splits])
         if not void:
             self.stack.append((tag, idx))
+            self.children.append(0)
         # a void kept element is closed at once (its span stays empty)
 
     def handle_endtag(self, tag):
+        self.in_text = False
         stack = self.stack
         for j in range(len(stack) - 1, -1, -1):
             if stack[j][0] == tag:
-                n, ev = len(self.chunks), self.events
+                n, splits = len(self.chunks), self.splits
                 for _, i in stack[j:]:
                     if i >= 0:
                         self.spans[i][1] = n
-                        self.spans[i][3] = ev
-                del stack[j:]
+                        self.spans[i][3] = splits
+                del stack[j:], self.children[j + 1:]
                 return
 
     def handle_data(self, data):
-        if self.cdata_elem is not None:
+        if self.stack and self.stack[-1][0] in RAW_TEXT_TAGS:
             # raw body of script/style: belongs to that element only
-            if self.stack and self.stack[-1][0] in RAW_TEXT_TAGS and self.stack[-1][1] >= 0:
+            if self.stack[-1][1] >= 0:
                 self.raw.setdefault(self.stack[-1][1], []).append(data)
             return
+        if not self.in_text:
+            self._child(is_text=True)
         self.chunks.append(data)
 
     def handle_comment(self, data):
-        self.events += 1
+        self._child()
 
     # declarations and processing instructions are child nodes too (no text)
     handle_decl = handle_pi = unknown_decl = handle_comment
 
     def result(self):
-        n, ev = len(self.chunks), self.events
+        n, splits = len(self.chunks), self.splits
         for tag, i in self.stack:              # still open at the end
             if i >= 0:
                 self.spans[i][1] = n
-                self.spans[i][3] = ev
+                self.spans[i][3] = splits
         for i, el in enumerate(self.elements):
-            start, end, ev_open, ev_close = self.spans[i]
+            start, end, at_open, at_close = self.spans[i]
             if i in self.raw or el["tag"] in RAW_TEXT_TAGS:
                 text = "".join(self.raw.get(i, ()))
                 mixed = False
             else:
                 text = "".join(self.chunks[start:end])
-                mixed = ev_close > ev_open
+                mixed = at_close > at_open
             el["text"] = text
             el["string"] = text if (text and not mixed) else None
         return self.elements, ("".join(self.chunks) if self.want_text else None)
 
 
 def parse_html(html, keep=DEFAULT_TAGS, ancestors_for=("a",), want_text=False):
-    """Parse one page; returns (elements, page_text)."""
+    """Parse one page; returns (elements, page_text).
+
+    No HTML gives no elements; markup that the tokeniser rejects gives null,
+    so that callers drop or report the page instead of judging half of it.
+    """
     if html is None:
-        return None, None
+        return [], ""
     tree = _Tree(frozenset(keep), frozenset(ancestors_for), want_text)
     try:
         tree.feed(html)
         tree.close()
-    except Exception:  # malformed markup: keep what was built so far
-        pass
+    except Exception:  # malformed markup
+        return None, None
     return tree.result()
 
 
 def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
                   ancestors_for=("a",), with_text: bool = False,
-                  spread_key: str | None = None, engine: str = "python") -> DataFrame:
+                  spread_key: str | None = None) -> DataFrame:
     """Replace ``html_col`` by ``elements`` (and optionally ``page_text``).
 
-    ``engine``: "python" (standard-library tokeniser in ``mapInArrow``, the
-    default and the faster one) or "native" (built-in expressions only, see
-    ``html_native``); both give the same elements.
+    ``elements`` is null where the markup could not be parsed, and empty where
+    there is no HTML.
     A small input is hash-spread on ``spread_key`` over the cluster's cores
     first (see ``spread``); a large one keeps its scan splits, so no extra
     shuffle of the page bytes happens at scale.
     """
     keep = tuple(keep)
     ancestors_for = tuple(ancestors_for)
-    if engine == "native":
-        from .html_native import with_elements_native
-        return with_elements_native(spread(df, spread_key), html_col, keep, ancestors_for, with_text)
-    if engine != "python":
-        raise ValueError(f"unknown element engine {engine!r}")
     fields = [f for f in df.schema.fields if f.name != html_col]
     schema = T.StructType(fields + [T.StructField("elements", ELEMENTS)]
                           + ([T.StructField("page_text", T.StringType())] if with_text else []))
@@ -203,6 +215,12 @@ def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
     return spread(df, spread_key).mapInArrow(run, schema)
 
 
+def page_error() -> Column:
+    """``fetch_error``, or an error of its own for an answered page that could not be parsed."""
+    rejected = F.col("elements").isNull() & F.col("status").eqNullSafe(200)
+    return F.coalesce("fetch_error", F.when(rejected, F.lit(REJECTED))).alias("fetch_error")
+
+
 SPREAD_MAX_BYTES = 1 << 30
 
 

@@ -75,8 +75,8 @@ def element_fields(df: DataFrame) -> DataFrame:
 
 def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool = False,
                missing: str | None = MISSING, keep: tuple[str, ...] = (),
-               engine: str = "python", parsed: DataFrame | None = None) -> DataFrame:
-    """Audit table, one row per fetched HTML page.
+               parsed: DataFrame | None = None) -> DataFrame:
+    """Audit table, one row per fetched HTML page whose markup can be parsed.
 
     ``snapshots``: url, status, content_type, html, fetch_error (+ ``keep``).
     ``urls``: optional list of URLs to audit (one column ``url``); a URL
@@ -86,7 +86,6 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     they are kept with a null field.
     ``missing``: placeholder for absent title/description/canonical/H1, or
     None for null (fact form).
-    ``engine``: element stage, "python" or "native" (see ``functions.html``).
     ``parsed``: the snapshots already parsed by ``parse_snapshots`` (shared
     by several operators, so each page is parsed once); ``snapshots`` is then
     not read.
@@ -98,8 +97,8 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
         snap = auditable(snapshots).select("url", "status", "html", *keep)
         if wanted is not None:       # only listed pages are parsed
             snap = snap.join(wanted, "url", "left_semi")
-        pages = with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=(), engine=engine)
-    fields = element_fields(pages)
+        pages = with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=())
+    fields = element_fields(pages.where("elements is not null"))
     if wanted is not None and parsed is not None:
         fields = fields.join(wanted, "url", "left_semi")
     return audit_rows(fields, strict=strict, missing=missing, keep=keep)
@@ -133,11 +132,11 @@ def audit_rows(fields: DataFrame, strict: bool = False, missing: str | None = MI
 
 
 def parse_snapshots(snapshots: DataFrame, tags=None, with_text: bool = False,
-                    engine: str = "python", keep: tuple[str, ...] = ()) -> DataFrame:
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse every fetched snapshot once, for several operators.
 
     Output: url, status, content_type, fetch_error, elements (+ page_text)
-    (+ ``fetched_at`` if there, + ``keep``).  Pages with a fetch error are carried unparsed (null
+    (+ ``fetched_at`` if there, + ``keep``).  Pages with a fetch error are carried unparsed (no
     elements) so the operators can still report them.  Checkpoint or write
     the result when more than one operator reads it.
     """
@@ -146,7 +145,7 @@ def parse_snapshots(snapshots: DataFrame, tags=None, with_text: bool = False,
     snap = (snapshots.select("url", "status", "content_type", "html", "fetch_error", *carried)
             .withColumn("html", F.when(F.col("fetch_error").isNull(), F.col("html"))))
     return with_elements(spread(snap, "url"), keep=tuple(tags or DEFAULT_TAGS), ancestors_for=("a",),
-                         with_text=with_text, engine=engine)
+                         with_text=with_text)
 
 
 def url_classes(urls: DataFrame, url_col: str = "url") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import spread, with_elements
+from ..functions.html import page_error, spread, with_elements
 from ..functions.text import py_strip
 from ..sources.snapshots import capture_time, latest_per_url
 
@@ -59,7 +59,7 @@ def _overlap(ancestors: Column, tags) -> Column:
 
 
 def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WORDS,
-                 engine: str = "python", parsed: DataFrame | None = None) -> DataFrame:
+                 parsed: DataFrame | None = None) -> DataFrame:
     """Per source-page snapshot: url, status, fetch_error, whether our link is
     there, its tier (label, score), anchor text.
 
@@ -73,12 +73,12 @@ def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WOR
                 .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
                                            F.col("html"))))
         parsed = with_elements(spread(snap, "url"), keep=("a",), ancestors_for=("a",),
-                               with_text=True, engine=engine)
+                               with_text=True)
     link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
                           & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
     text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))
     toxic = F.exists(F.array(*[F.lit(w) for w in toxic_words]), lambda w: text.contains(w))
-    with_link = parsed.select("url", "status", "fetch_error", *capture_time(parsed), link.alias("_l"), toxic.alias("_toxic"))
+    with_link = parsed.select("url", "status", page_error(), *capture_time(parsed), link.alias("_l"), toxic.alias("_toxic"))
     editorial = _overlap(F.col("_l.ancestors"), EDITORIAL_TAGS)
     marginal = _overlap(F.col("_l.ancestors"), MARGINAL_TAGS)
 
@@ -96,7 +96,7 @@ def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WOR
 
 def backlink_audit(sources: DataFrame, snapshots: DataFrame | None, domain: str,
                    url_col: str | None = None, toxic_words=TOXIC_WORDS,
-                   engine: str = "python", parsed: DataFrame | None = None) -> DataFrame:
+                   parsed: DataFrame | None = None) -> DataFrame:
     """One result row per listed source URL (rows with no URL are dropped).
 
     ``sources``: any table; the URL column is found when not given.
@@ -110,7 +110,7 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame | None, domain: str,
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
     if parsed is None:      # only listed pages are parsed
         snapshots = snapshots.join(listed.distinct(), "url", "left_semi")
-    res = listed.join(latest_per_url(link_results(snapshots, domain, toxic_words, engine, parsed)), "url", "left")
+    res = listed.join(latest_per_url(link_results(snapshots, domain, toxic_words, parsed)), "url", "left")
     error = F.when(F.col("_snap").isNull(), F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     offline = error.isNull() & ~F.col("status").eqNullSafe(200)
     removed = error.isNull() & ~offline & ~F.col("_linked")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import spread, with_elements
+from ..functions.html import page_error, spread, with_elements
 from ..functions.text import py_float_text
 from ..functions.url import is_product_url
 from ..sources.snapshots import capture_time, latest_per_url
@@ -168,8 +168,7 @@ def product_fields(df: DataFrame) -> DataFrame:
             .drop("_price_v", "_currency_v"))
 
 
-def product_results(snapshots: DataFrame | None, engine: str = "python",
-                    parsed: DataFrame | None = None) -> DataFrame:
+def product_results(snapshots: DataFrame | None, parsed: DataFrame | None = None) -> DataFrame:
     """Per product-page snapshot: url, status, fetch_error and the product fields.
 
     Runs where the snapshots lie: only product URLs are read (the filter
@@ -185,13 +184,12 @@ def product_results(snapshots: DataFrame | None, engine: str = "python",
                 .filter(is_product_url(F.col("url")))
                 .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
                                            F.col("html"))))
-        pages = with_elements(spread(snap, "url"), keep=("script",), ancestors_for=(), engine=engine)
-    return product_fields(pages).withColumn("_snap", F.lit(True))
+        pages = with_elements(spread(snap, "url"), keep=("script",), ancestors_for=())
+    return product_fields(pages.withColumn("fetch_error", page_error())).withColumn("_snap", F.lit(True))
 
 
 def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col: str = "URL",
-                          keep: tuple[str, ...] = (), engine: str = "python",
-                          parsed: DataFrame | None = None) -> DataFrame:
+                          keep: tuple[str, ...] = (), parsed: DataFrame | None = None) -> DataFrame:
     """Product pages of an audit/URL list -> one result row per listed URL.
 
     ``urls``: any table with a URL column (an audit table); only URLs ending
@@ -207,7 +205,7 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col:
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
     if parsed is None:      # only listed pages are parsed
         snapshots = snapshots.join(listed.select("url").distinct(), "url", "left_semi")
-    results = product_results(snapshots, engine, parsed)
+    results = product_results(snapshots, parsed)
     parsed = listed.join(latest_per_url(results.select(
         "url", "status", "fetch_error", *capture_time(results), "_found", "_priced", "_price", "_currency", "_avail", "_snap")), "url", "left")
     no_snap = F.col("_snap").isNull()

@@ -383,7 +383,3 @@ FROM f"""
 ORACLE["vitals_report"] = f"WITH {_VITALS}"
 ORACLE["stream_vitals"] = f"WITH {_VITALS}"
 ORACLE["stream_page_audit"] = _audit_sql()
-
-ORACLE["page_audit_native"] = ORACLE["page_audit"]
-ORACLE["backlink_audit_native"] = ORACLE["backlink_audit"]
-ORACLE["structured_data_native"] = ORACLE["structured_data"]

@@ -253,24 +253,3 @@ def q_stream_vitals(spark, sf_dir):
     q = vitals_stream.start_vitals_stream(_entries(spark, events), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return vitals_stream.latest_rows(spark, f"{base}/out")
-
-
-# -- the JVM-only element stage, checked against the same oracles -----------
-
-@register("page_audit_native")
-def q_page_audit_native(spark, sf_dir):
-    return audit_ops.page_audit(site_snapshots(spark, sf_dir), keep=("page_id",), engine="native")
-
-
-@register("backlink_audit_native")
-def q_backlink_audit_native(spark, sf_dir):
-    snaps = derive.backlink_snapshots(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
-    return backlink_ops.backlink_audit(backlink_export(spark, sf_dir), snaps, derive.OWN_DOMAIN,
-                                       engine="native")
-
-
-@register("structured_data_native")
-def q_structured_data_native(spark, sf_dir):
-    snaps = shop_snapshots(spark, sf_dir)
-    listed = snaps.select(F.col("url").alias("URL"))
-    return structured_ops.structured_data_audit(listed, snaps, engine="native")

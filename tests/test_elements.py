@@ -42,3 +42,57 @@ def test_void_tags_and_attrs():
 def test_anchor_text_includes_descendants():
     els, _ = parse_html('<a href="x"> <b>hi</b> there</a>')
     assert tags(els, "a")[0]["text"] == " hi there"
+
+
+def test_string_descends_through_only_children():
+    cases = {
+        "<title><b>x</b></title>": "x",
+        "<title><b><i>x</i></b></title>": "x",
+        "<title><b>x</b>y</title>": None,
+        "<title><b>x</b> </title>": None,
+        "<title><b></b>x</title>": None,
+        "<title><b><i>x</i>y</b></title>": None,
+        "<title>x<!-- c --></title>": None,
+        "<title>x<br></title>": None,
+        "<title>a < b &amp; c</title>": "a < b & c",
+        "<p>one</p><p>two</p><title>x</title><p>three</p>": "x",
+    }
+    for html, expected in cases.items():
+        # a newer tokeniser reads title bodies as text; h1 is nested in all of them
+        html = html.replace("title", "h1")
+        assert tags(parse_html(html)[0], "h1")[0]["string"] == expected, html
+
+
+def test_text_of_elements_the_tokeniser_reads_raw(monkeypatch):
+    from sitelens.functions import html as stage
+    monkeypatch.setattr(stage._Tree, "CDATA_CONTENT_ELEMENTS", ("script", "style", "title"))
+    els, text = parse_html("<title>x</title><script>y</script>z", want_text=True)
+    assert tags(els, "title")[0]["string"] == "x" and text == "xz"
+
+
+def test_rejected_markup_gives_null(monkeypatch):
+    from sitelens.functions import html as stage
+
+    def reject(self, data):
+        raise AssertionError("unknown declaration")
+    monkeypatch.setattr(stage._Tree, "feed", reject)
+    assert parse_html("<title>x</title>") == (None, None)
+    assert parse_html(None, want_text=True) == ([], "")
+
+
+def test_rejected_pages_are_dropped_or_reported(spark):
+    from pyspark.sql import functions as F
+
+    from sitelens.operators.audit import page_audit
+    from sitelens.operators.backlinks import backlink_audit
+    from sitelens.operators.structured import structured_data_audit
+    from sitelens.functions.html import ELEMENTS, REJECTED
+    parsed = spark.createDataFrame([("https://s.it/a.html", 200), ("https://s.it/b.html", 404)], "url string, status int").select(
+        "*", F.lit("text/html").alias("content_type"), F.lit(None).cast("string").alias("fetch_error"),
+        F.when(F.col("status") == 404, F.array().cast(ELEMENTS)).alias("elements"), F.lit(None).cast("string").alias("page_text"))
+    assert [r["URL"] for r in page_audit(None, parsed=parsed).collect()] == ["https://s.it/b.html"]
+    listed = parsed.select(F.col("url").alias("URL"))
+    products = {r["URL"]: r for r in structured_data_audit(listed, None, parsed=parsed).collect()}
+    assert products["https://s.it/a.html"]["Errore"] == REJECTED and products["https://s.it/b.html"]["Errore"] is None
+    links = {r["URL Sorgente"]: r for r in backlink_audit(listed, None, "s.it", url_col="URL", parsed=parsed).collect()}
+    assert links["https://s.it/a.html"]["Note"] == REJECTED and links["https://s.it/b.html"]["Note"] != REJECTED
