@@ -5,8 +5,9 @@ entry, CLS the plain sum of layout shifts without recent input, TTFB the
 response start of the first navigation entry; only entries observed by the
 settle time after load count.  A view without a navigation entry, or with a
 capture error, yields an error row.  All aggregates combine map-side
-(``max_by``/``min_by``/``sum``), so a view with many entries costs no more
-than one shuffle row per partition.
+(``max``/``min``/``sum``), so a view with many entries costs no more than one
+shuffle row per partition; their results combine further (``merged``), as the
+stream needs for a view whose entries lie in two of its windows.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ def seconds_text(ms: Column) -> Column:
     return F.when(ms % 1000 == 0, whole).otherwise(F.concat(whole, F.lit("."), frac))
 
 
-def _order() -> Column:
-    return F.struct("ts", "seq")
+def _entry(column: str) -> Column:
+    return F.struct("ts", "seq", column)
 
 
 def vitals_aggregates(settle_ms: int = SETTLE_MS) -> list[Column]:
@@ -51,21 +52,28 @@ def vitals_aggregates(settle_ms: int = SETTLE_MS) -> list[Column]:
     is_nav = F.col("entry_type") == NAVIGATION
     is_err = F.col("entry_type") == ERROR
     return [
-        F.max_by(F.when(is_lcp, F.col("start_ms")), F.when(is_lcp, _order())).alias("lcp_ms"),
+        F.max(F.when(is_lcp, _entry("start_ms"))).alias("last_lcp"),
         F.sum(F.when(is_shift, F.col("value"))).alias("cls_sum"),
-        F.min_by(F.when(is_nav, F.col("response_start_ms")), F.when(is_nav, _order())).alias("ttfb_ms"),
-        F.bool_or(is_nav).alias("has_nav"),
-        F.min_by(F.when(is_err, F.col("fetch_error")), F.when(is_err, _order())).alias("error"),
+        F.min(F.when(is_nav, _entry("response_start_ms"))).alias("first_navigation"),
+        F.min(F.when(is_err, _entry("fetch_error"))).alias("first_error"),
     ]
 
 
+def merged(parts: DataFrame, *keys: str) -> DataFrame:
+    """``vitals_aggregates`` of disjoint sets of entries -> those of their union, per ``keys``."""
+    return parts.groupBy(*keys).agg(
+        F.max("last_lcp").alias("last_lcp"), F.sum("cls_sum").alias("cls_sum"),
+        F.min("first_navigation").alias("first_navigation"), F.min("first_error").alias("first_error"))
+
+
 def vitals_format(agg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Aggregates -> report row (error rows carry only label, URL and Errore)."""
-    error = (F.when(F.col("error").isNotNull(), F.col("error"))
-             .when(~F.coalesce(F.col("has_nav"), F.lit(False)), F.lit(NO_NAVIGATION)))
+    captured = F.col("first_error.fetch_error")
+    error = (F.when(captured.isNotNull(), captured)
+             .when(F.col("first_navigation").isNull(), F.lit(NO_NAVIGATION)))
     ok = error.isNull()
-    lcp_ms = js_round(F.coalesce(F.col("lcp_ms"), F.lit(0.0))).cast("long")
-    ttfb = js_round(F.col("ttfb_ms")).cast("long")
+    lcp_ms = js_round(F.coalesce(F.col("last_lcp.start_ms"), F.lit(0.0))).cast("long")
+    ttfb = js_round(F.col("first_navigation.response_start_ms")).cast("long")
     cls = js_round(F.coalesce(F.col("cls_sum"), F.lit(0.0)) * 1000) / 1000
     null = F.lit(None)
     return agg.select(
@@ -77,7 +85,7 @@ def vitals_format(agg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.when(ok, cls).otherwise(null.cast("double")).alias("CLS"),
         F.when(ok, F.when(lcp_ms <= LCP_GOOD_MS, F.lit(GOOD)).otherwise(F.lit(NEEDS_WORK))).alias("Giudizio"),
         error.alias("Errore"),
-        F.when(ok, F.col("lcp_ms").isNotNull()).alias("lcp_observed"),
+        F.when(ok, F.col("last_lcp").isNotNull()).alias("lcp_observed"),
     )
 
 

@@ -3,9 +3,10 @@
 Entries arrive as a file stream.  The aggregation runs per page view and
 event-time day window under a watermark, so state for closed days is dropped.
 Each micro-batch's updated rows are upserted into a table folder by batch id
-(``foreachBatch``, idempotent on retry); ``latest_rows`` reads the newest
-version of each view, which equals the batch report once the stream has
-caught up.
+(``foreachBatch``, idempotent on retry).  A row holds a view's aggregates for
+one window, not yet its report: ``latest_rows`` reads the newest version of
+each, merges the windows of a view (a view across midnight has two) and formats
+the result, which equals the batch report once the stream has caught up.
 """
 
 from __future__ import annotations
@@ -13,18 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.vitals import SETTLE_MS, vitals_aggregates, vitals_format
+from ..operators.vitals import SETTLE_MS, merged, vitals_aggregates, vitals_format
 
 DEFAULT_WATERMARK = "10 minutes"
 VIEW_WINDOW = "1 day"
+VIEW = ("view_id", "label", "url")
 
 
 def vitals_updates(entries: DataFrame, settle_ms: int = SETTLE_MS,
                    watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    agg = (entries.withWatermark("ts", watermark)
-           .groupBy(F.window("ts", VIEW_WINDOW), "view_id", "label", "url")
-           .agg(*vitals_aggregates(settle_ms)))
-    return vitals_format(agg, keep=("view_id",))
+    return (entries.withWatermark("ts", watermark)
+            .groupBy(F.window("ts", VIEW_WINDOW), *VIEW)
+            .agg(*vitals_aggregates(settle_ms)))
 
 
 def start_vitals_stream(entries: DataFrame, sink: str, checkpoint: str,
@@ -41,21 +42,21 @@ def start_vitals_stream(entries: DataFrame, sink: str, checkpoint: str,
     return writer.start()
 
 
-def latest_rows(spark: SparkSession, sink: str, key: str = "view_id") -> DataFrame:
-    """Newest version of every key written by ``start_vitals_stream``."""
+def latest_rows(spark: SparkSession, sink: str) -> DataFrame:
+    """Report row of every view written by ``start_vitals_stream``."""
     rows = spark.read.parquet(sink)
     cols = [c for c in rows.columns if c != "_batch"]
-    latest = rows.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("_batch")).alias("_r"))
-    return latest.select("_r.*")
+    newest = rows.groupBy("window", *VIEW).agg(F.max_by(F.struct(*cols), F.col("_batch")).alias("_r"))
+    return vitals_format(merged(newest.select("_r.*"), *VIEW), keep=("view_id",))
 
 
-def compact(spark: SparkSession, sink: str, target: str, key: str = "view_id") -> int:
-    """Write the newest version of every key from ``sink`` to ``target``.
+def compact(spark: SparkSession, sink: str, target: str) -> int:
+    """Write the report row of every view in ``sink`` to ``target``.
 
     For a long-running stream: run it periodically (e.g. from a scheduler's
     job, not inside the stream) and point readers at ``target``; the per-batch
     folders already folded in can then be archived.  Returns the row count.
     """
-    latest = latest_rows(spark, sink, key)
+    latest = latest_rows(spark, sink)
     latest.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target).count()

@@ -57,3 +57,32 @@ def test_incremental_audit_resumes_from_checkpoint(spark):
     assert n1 > 0 and out.count() > n1
     assert out.count() == out.select("URL").distinct().count()
     assert out.count() == se.queries()["page_audit"](spark, SMALL).count()
+
+
+def test_stream_joins_a_view_across_midnight(spark):
+    import tempfile
+
+    from sitelens.operators.vitals import vitals_report
+    from sitelens.streaming import vitals as vs
+    d = tempfile.mkdtemp(prefix="sitelens-test-")
+    schema = ("view_id string, seq long, entry_type string, ts string, start_ms double, "
+              "response_start_ms double, value double, fetch_error string")
+    before, after = "2024-01-01 23:59:59", "2024-01-02 00:00:01"
+    entries = spark.createDataFrame([
+        ("v", 1, "navigation", before, 0.0, 120.0, None, None),
+        ("v", 2, "layout-shift", before, 0.0, None, 0.1, None),
+        ("v", 3, "largest-contentful-paint", after, 2800.0, None, None, None),
+        ("v", 4, "layout-shift", after, 0.0, None, 0.2, None),
+        ("w", 1, "error", before, 0.0, None, None, "first"),
+        ("w", 2, "error", after, 0.0, None, None, "second"),
+    ], schema).selectExpr("* except (ts)", "cast(ts as timestamp) as ts", "'HOME' as label", "'https://s.it/' as url",
+                          "false as had_recent_input", "1000D as load_ms")
+    entries.write.parquet(f"{d}/in")
+    stored = spark.read.parquet(f"{d}/in")
+    source = spark.readStream.schema(stored.schema).parquet(f"{d}/in")
+    vs.start_vitals_stream(source, f"{d}/out", f"{d}/ckpt").awaitTermination()
+    streamed = vs.latest_rows(spark, f"{d}/out")
+    assert rows(streamed) == rows(vitals_report(stored))
+    out = {r["view_id"]: r for r in streamed.collect()}
+    assert (out["v"]["TTFB"], out["v"]["LCP"], out["v"]["CLS"]) == ("120ms", "2.8s", 0.3)
+    assert out["w"]["Errore"] == "first"
