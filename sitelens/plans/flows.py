@@ -62,7 +62,7 @@ def site_reports(pages: DataFrame, urls: DataFrame, strict: bool = False) -> Sit
         audit=audit,
         rules=rule_ops.rule_summary(audit),
         priority=rule_ops.priority_pages(audit),
-        duplicates=rule_ops.duplicate_titles(audit),
+        duplicates=rule_ops.duplicate_titles(audit, order_col="URL"),
         products=structured_ops.structured_data_audit(audit, None, parsed=parsed),
     )
 

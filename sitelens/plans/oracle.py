@@ -87,9 +87,8 @@ def _missing(c: str) -> str:
     return f"({c} IS NULL OR {c} = 'Mancante' OR {_strip(c)} = '')"
 
 
-ORACLE["audit_rule_summary"] = f"""
-WITH a AS ({_audit_sql()}),
-w AS (SELECT
+def _rule_counts(table: str, more: str = "") -> str:
+    return f"""SELECT
   count(*) AS total,
   count(*) FILTER (WHERE {_BROKEN}) AS broken_status,
   count(*) FILTER (WHERE {_missing('"Title"')}) AS title_missing,
@@ -101,8 +100,22 @@ w AS (SELECT
   count(*) FILTER (WHERE lower(coalesce("Robots", '')) LIKE '%noindex%') AS noindex,
   count(*) FILTER (WHERE "Title" IS DISTINCT FROM 'Mancante')
     - count(DISTINCT CASE WHEN "Title" IS DISTINCT FROM 'Mancante' THEN {{'t': "Title"}} END) AS duplicate_title,
-  count(*) FILTER (WHERE {_BROKEN} OR {_missing('"Title"')} OR {_missing('"H1"')}) AS priority
-  FROM a)
+  count(*) FILTER (WHERE {_BROKEN} OR {_missing('"Title"')} OR {_missing('"H1"')}) AS priority,
+  {more}
+  FROM {table}"""
+
+
+ORACLE["audit_rule_summary"] = f"""
+WITH a AS ({_audit_sql()}), w AS ({_rule_counts("a")})
+UNPIVOT w ON COLUMNS(*) INTO NAME rule VALUE n_pages"""
+
+# The export's NA tokens read back as null; a time over two seconds is slow.
+ORACLE["csv_rule_report"] = f"""
+WITH a AS (
+  SELECT * REPLACE (CASE WHEN page_id % 13 <> 0 THEN "Status" END AS "Status",
+                    CASE WHEN page_id % 11 <> 0 THEN "H1" END AS "H1")
+  FROM ({_audit_sql()}) t),
+w AS ({_rule_counts("a", "count(*) FILTER (WHERE page_id % 7 > 4) AS slow_page")})
 UNPIVOT w ON COLUMNS(*) INTO NAME rule VALUE n_pages"""
 
 ORACLE["priority_pages"] = f"""

@@ -20,6 +20,8 @@ from ..operators import sitemap as sitemap_ops
 from ..operators import structured as structured_ops
 from ..operators import vitals as vitals_ops
 from ..session import scratch_path
+from ..sinks.csv import write_csv
+from ..sources.csv import read_csv
 from ..sources.tables import read_table, stream_table
 from ..streaming import page_audit as page_stream
 from ..streaming import vitals as vitals_stream
@@ -78,6 +80,18 @@ def q_duplicate_titles(spark, sf_dir):
     return dups.select("page_id", "URL", "Title")
 
 
+def audit_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit as another crawler's export: with load times, and NA tokens in two columns."""
+    return site_audit(spark, sf_dir).selectExpr(*derive.audit_export_exprs())
+
+
+@register("csv_rule_report")
+def q_csv_rule_report(spark, sf_dir):
+    path = _run_dir(spark, "csv_rule_report")
+    write_csv(audit_export(spark, sf_dir), path, bom=True)
+    return rule_ops.rule_summary(read_csv(spark, path))
+
+
 # -- step 4: structured data ----------------------------------------------
 
 def shop_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
