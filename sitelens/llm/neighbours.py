@@ -10,6 +10,10 @@ queries the exact neighbours are found by comparing them, in one block, with
 every vector, and visits widen until ``RECALL`` of those neighbours lie in the
 visited leaves.  Visits also go on until a query has met enough vectors.
 
+A query is sent to each leaf it visits, so the size of the tree bounds the rows
+that one query makes: ``SAMPLE`` is small for that.  Beyond it leaves grow with
+the table, not their number.
+
 Equal vectors are indexed once with their k + 1 smallest ids, which is all
 that a result can show of them, so a vector held by a third of all rows is one
 entry.  Leaves are joined to queries in blocks of at most about ``BLOCK_ROWS``
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from sitelens.llm.common import saved
 
-SAMPLE = 20_000
+SAMPLE = 4_000
 BRANCH = 8
 LEAF = 24  # sample vectors a leaf holds at most, unless they are equal
 CALIBRATION = 128
