@@ -12,14 +12,21 @@ number of separators gives the number of a block's first document, the last
 separator before the block gives where that document began.  A document's
 length is the distance between its two separators, wherever blocks end.
 
+``count_documents`` ends documents with the vocabulary's end-of-text id, which
+no ordinary text gives.  A text that holds the name of that special token holds
+the id itself; its name says how often, so that its parts are put together.
+
 Defined results: an empty document (null or empty text) has 0 tokens; ids
 after the last separator form a last, unterminated document; an empty file has
-none.  A file is read whole by one task, so a file gets no further document
-once it holds ``FILE_BYTES`` of ids.
+none.  A file whose separators are not those its names tell of is an error.  A
+file is read whole by one task, so a file gets no further document once it
+holds ``FILE_BYTES`` of ids.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,10 +39,20 @@ from sitelens.llm.common import scratch
 BLOCK = 1 << 18
 FILE_BYTES = 8 << 20
 WIDTH = 2  # bytes an id
-SEPARATOR = 0  # the end-of-document id
+SEPARATOR = 0  # the end-of-document id of files that name no other
+END = "<|endoftext|>"
 HEX = "0123456789ABCDEF."
 
 
+def end_of_text(vocabulary: str) -> int:
+    """The id of the vocabulary's end-of-text token, or of its only special token."""
+    with open(vocabulary, encoding="utf-8") as f:
+        special = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
+    if END not in special and len(special) != 1:
+        raise ValueError(f"{vocabulary} names no end-of-text token; give end_id")
+    return special.get(END, next(iter(special.values())))
+
+
 def _separator(end_id: int, width: int) -> str:
     """The id's bytes, as the line separator of Spark's text writer takes them."""
     return end_id.to_bytes(width, "little").decode("latin-1")
@@ -47,16 +64,18 @@ def _symbols(end_id: int, width: int) -> str:
 
 
 def write_token_files(df: DataFrame, vocabulary: str, out: str, key: str = "doc_id", text: str = "text",
-                      end_id: int = SEPARATOR, width: int = WIDTH, file_bytes: int = FILE_BYTES) -> None:
+                      end_id: int | None = None, width: int = WIDTH, file_bytes: int = FILE_BYTES) -> None:
     """Encode every text and write flat files below ``out``/kind=tokens, and who is in them below ``out``/kind=names.
 
     The text writer puts a separator after every row as it is, so a row's ids
     and the end id as the separator make the flat file, on any file system
     that Spark writes to.  Each task writes its own rows, in any order and
     without an exchange; a new file begins when one has ``file_bytes``.  A
-    document's name (its number in the file and its key) leaves in the same
-    task and job as its ids, so a repeated task replaces both.
+    document's name (how many separators are before it in the file, its key, and
+    how many it holds itself) leaves in the same task and job as its ids, so a
+    repeated task replaces both.  end_id: the vocabulary's end-of-text id, if not given.
     """
+    end_id = end_of_text(vocabulary) if end_id is None else end_id
     kind = "<u2" if width == 2 else "<u4"
 
     def run(batches):
@@ -70,19 +89,22 @@ def write_token_files(df: DataFrame, vocabulary: str, out: str, key: str = "doc_
                 got, per = bpe.encode(texts.slice(a, e - a))
                 raw = got.astype(kind).tobytes()
                 cut = np.concatenate([[0], np.cumsum(per)]) * width
+                own = np.diff(np.concatenate([[0], np.cumsum(got == end_id)])[cut // width])
                 files, ordinals = [], []
-                for size in (per * width).tolist():
+                for size, inner in zip((per * width).tolist(), own.tolist()):
                     if held >= file_bytes:
                         file, ordinal, held = file + 1, 0, 0
                     files.append(file)
                     ordinals.append(ordinal)
-                    ordinal, held = ordinal + 1, held + size + width
+                    ordinal, held = ordinal + 1 + inner, held + size + width
                 yield pa.RecordBatch.from_pydict({
-                    "name": keys.slice(a, e - a), "file": pa.array(files, pa.int32()), "ordinal": pa.array(ordinals, pa.int64()),
+                    "name": keys.slice(a, e - a), "file": pa.array(files, pa.int32()), "ordinal": pa.array(ordinals, pa.int64()), "own": pa.array(own, pa.int64()),
                     "ids": pa.array([raw[x:y] for x, y in zip(cut[:-1], cut[1:])], pa.binary())})
 
-    ids = df.select(F.col(key).cast("string").alias("name"), text).mapInArrow(run, "name string, file int, ordinal long, ids binary")
-    name = F.translate(F.concat_ws(".", F.hex(F.col("ordinal").cast("string").cast("binary")), F.hex(F.col("name").cast("binary"))), HEX, _symbols(end_id, width))
+    ids = df.select(F.col(key).cast("string").alias("name"), text).mapInArrow(run, "name string, file int, ordinal long, own long, ids binary")
+    # ordinal.own.key; a null key has no third part, and no own separator is an empty second one
+    own = F.when(F.col("own") > 0, F.hex(F.col("own").cast("string").cast("binary"))).otherwise(F.lit(""))
+    name = F.translate(F.concat_ws(".", F.hex(F.col("ordinal").cast("string").cast("binary")), own, F.hex(F.col("name").cast("binary"))), HEX, _symbols(end_id, width))
     rows = ids.select("file", "ordinal", F.explode(F.array(
         F.struct(F.lit("tokens").alias("kind"), F.col("ids").alias("value")),
         F.struct(F.lit("names").alias("kind"), name.cast("binary").alias("value")))).alias("r"))
@@ -97,14 +119,15 @@ def _unit(path: str):
 
 
 def read_names(spark: SparkSession, out: str, key_type: T.DataType, key: str = "doc_id", end_id: int = SEPARATOR, width: int = WIDTH) -> DataFrame:
-    """(file, ordinal, key) of every document that ``write_token_files`` wrote."""
+    """(file, ordinal, own, key) of every document that ``write_token_files`` wrote: separators before it and in it."""
     lines = (spark.read.option("lineSep", _separator(end_id, width)).option("encoding", "ISO-8859-1").text(f"{out}/kind=names")
              .select(F.split(F.translate("value", _symbols(end_id, width), HEX), r"\.").alias("n"), F.col("_metadata.file_path").alias("path")))
 
     def text_of(i):
         return F.unhex(F.get("n", F.lit(i))).cast("string")
 
-    return lines.select(_unit("path").alias("file"), text_of(0).cast("long").alias("ordinal"), text_of(1).cast(key_type).alias(key))
+    own = F.when(F.get("n", F.lit(1)) == "", F.lit(0)).otherwise(text_of(1).cast("long"))
+    return lines.select(_unit("path").alias("file"), text_of(0).cast("long").alias("ordinal"), own.alias("own"), text_of(2).cast(key_type).alias(key))
 
 
 def scan_token_files(spark: SparkSession, path: str, end_id: int = SEPARATOR, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
@@ -149,20 +172,31 @@ def scan_token_files(spark: SparkSession, path: str, end_id: int = SEPARATOR, wi
                     (F.col("d.e.end") - F.col("d.b")).alias("n_tokens"), F.col("d.e.terminated").alias("terminated")))
 
 
-def count_documents(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int = SEPARATOR,
+def count_documents(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int | None = None,
                     width: int = WIDTH, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write texts as flat token files, scan them, and name each counted document.
 
-    Columns: key, file, ordinal, start, n_tokens; one row per row of df, also
-    for null and repeated keys.  Which file holds a document depends on how
-    Spark splits df; its count does not.
+    Columns: key, file, ordinal (separators before it), start, n_tokens; one row
+    per row of df, also for null and repeated keys.  Which file holds a document
+    depends on how Spark splits df; its count does not.
     """
     spark = df.sparkSession
     out = scratch(spark, "tokens")
+    end_id = end_of_text(vocabulary) if end_id is None else end_id
     write_token_files(df, vocabulary, out, key, text, end_id, width, file_bytes)
     if df.isEmpty():  # no row, no file
         return spark.createDataFrame([], T.StructType([df.schema[key]])).selectExpr(
             f"`{key}`", "'' AS file", "0L AS ordinal", "0L AS start", "0L AS n_tokens")
     found = scan_token_files(spark, f"{out}/kind=tokens", end_id, width).withColumn("file", _unit("path"))
-    names = read_names(spark, out, df.schema[key].dataType, key, end_id, width)
-    return names.join(found.select("file", "ordinal", "start", "n_tokens"), ["file", "ordinal"]).select(key, "file", "ordinal", "start", "n_tokens")
+    return name_counts(read_names(spark, out, df.schema[key].dataType, key, end_id, width), found, key)
+
+
+def name_counts(names: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, file, ordinal, start, n_tokens of every name; an error if a file's separators are not those of its names."""
+    parts = names.select("file", F.col("ordinal").alias("_doc"), key, F.explode(F.sequence("ordinal", F.col("ordinal") + F.col("own"))).alias("ordinal"))
+    both = parts.join(found.select("file", "ordinal", "start", "n_tokens"), ["file", "ordinal"], "full")
+    wrong = F.raise_error(F.concat(F.lit("token file "), F.col("file"), F.lit(": separators and names differ at number "), F.col("ordinal").cast("string")))
+    checked = both.withColumn("n_tokens", F.when(F.col("_doc").isNull() | F.col("n_tokens").isNull(), wrong.cast("long")).otherwise(F.col("n_tokens")))
+    # the parts of one document, with the separators between them
+    return (checked.groupBy("file", "_doc", key).agg(F.min("start").alias("start"), (F.sum("n_tokens") + F.count("*") - 1).alias("n_tokens"))
+            .select(key, "file", F.col("_doc").alias("ordinal"), "start", "n_tokens"))

@@ -183,6 +183,28 @@ def test_token_files(spark, table, tmp_path):
     assert sorted((repr(r.doc_id), r.n_tokens) for r in got) == want
 
 
+def test_token_files_hold_ids_of_ordinary_and_special_tokens(spark):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(BYTE_VOCABULARY)
+    end = "<|endoftext|>"
+    texts = ["Hello there! New text.", "plain words", "!", end, f"one {end} two ! three{end}", "", f"{end}{end}", "last one! it is"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, f"a! b{end}c")], "doc_id long, text string").coalesce(1)
+    for size in (16, token_files.FILE_BYTES):
+        got = token_files.count_documents(df, BYTE_VOCABULARY, file_bytes=size).collect()
+        want = {r.doc_id: len(lib.encode(r.text, add_special_tokens=False).ids) for r in df.collect()}
+        assert len(got) == len(want) and {r.doc_id: r.n_tokens for r in got} == want
+
+
+def test_token_files_with_other_separators_than_names_fail(spark):
+    names = spark.createDataFrame([("0-0", 0, 0, 7), ("0-0", 1, 0, 8)], "file string, ordinal long, own long, doc_id long")
+    found = [("0-0", 0, 0, 5), ("0-0", 1, 6, 2), ("0-0", 2, 9, 4)]
+    schema = "file string, ordinal long, start long, n_tokens long"
+    assert {r.doc_id: r.n_tokens for r in token_files.name_counts(names, spark.createDataFrame(found[:2], schema)).collect()} == {7: 5, 8: 2}
+    for wrong in (found, found[:1]):
+        with pytest.raises(Exception, match="separators and names differ"):
+            token_files.name_counts(names, spark.createDataFrame(wrong, schema)).collect()
+
+
 @pytest.mark.parametrize("block", [1, 2, 3, 7, 100])
 def test_token_scan_blocks(spark, tmp_path, block):
     data = {"a": [0, 5, 6, 0, 0, 7, 8, 9, 0], "b": [1, 2, 3], "c": [], "d": [4, 0, 4, 4]}
