@@ -5,16 +5,17 @@ files without one the licence of the nearest directory above them that holds a
 licence file.
 
 Method: a text is cut into statements (lines and sentences).  Words weigh by
-their inverse document frequency, counted over all documents for the words of
-the templates; a word that no template has weighs as if one document had it.
-A statement matches the template with the largest cosine, if that is at least
-``THRESHOLD``.  Vectors are sparse: statements without a template's word have
-no row, and weights meet templates by an equi-join on words.  For
+their inverse document frequency, counted over all documents.  A statement
+matches the template with the largest cosine, if that is at least
+``THRESHOLD``.  Frequencies are only needed of the words of templates and of
+statements that can still match when their other words weigh the least (1):
+those words alone are counted, and a text is only cut if it holds an anchor, a
+word without which no statement reaches the threshold (see ``anchors``).  For
 inheritance, every distinct directory is paired with its ancestors and joined
 to the directories that hold a licence file; the deepest one counts.
 
-All steps are built-in functions.  Only the words of the templates and the
-directories are ever grouped; a directory with very many files is one row.
+All steps are built-in functions.  Only words, statements and the directories
+are ever grouped; a directory with very many files is one row.
 
 Defined results: null or empty text states nothing; equal cosines go to the
 template first in name; a text with several statements takes the best one, of
@@ -46,6 +47,7 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
 ]
+CANDIDATES = 100_000  # candidate words that are sent to all tasks
 WORD = r"[^a-z0-9.]+"
 STATEMENT = r"\n|(?<=[.!?])\s+"
 
@@ -56,49 +58,95 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(split, lambda w: F.trim(w, F.lit("."))), lambda w: w != ""))
 
 
-def template_words(templates=TEMPLATES) -> dict[str, list[str]]:
-    return {name: sorted({w.strip(".") for w in re.split(WORD, text.lower())} - {""}) for name, text in templates}
+def units(text: Column) -> Column:
+    """The lines and sentences of a text."""
+    return F.split(text, STATEMENT)
+
+
+def template_words(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
+    return [(name, sorted({w.strip(".") for w in re.split(WORD, text.lower())} - {""})) for name, text in templates]
+
+
+def anchors(of: list[tuple[str, list[str]]], idf: dict[str, float], threshold: float) -> list[str]:
+    """Words of which a matching statement holds at least one.
+
+    A cosine of ``threshold`` needs words with threshold squared of the template's squared
+    length; the lightest words that together weigh less are no anchors.
+    """
+    out = set()
+    for _, ws in of:
+        left = (threshold - 1e-6) ** 2 * sum(idf[w] ** 2 for w in ws)
+        for w in sorted(ws, key=lambda w: (idf[w], w)):
+            left -= idf[w] ** 2
+            if left <= 0:
+                out.add(w)
+    return sorted(out)
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(key, licence, score, statement) of every row whose text states a licence."""
     spark = df.sparkSession
     of = template_words(templates)
-    vocabulary = sorted({w for ws in of.values() for w in ws})
+    vocabulary = sorted({w for _, ws in of for w in ws})
     known = F.array(*[F.lit(w) for w in vocabulary])
+    whole = F.coalesce(F.col(text), F.lit(""))
 
     # pass 1: in how many documents each template word is
     total = df.count()
-    has = df.select(F.explode(F.array_intersect(words(F.coalesce(F.col(text), F.lit(""))), known)).alias("w"))
+    has = df.select(F.explode(F.array_intersect(words(whole), known)).alias("w"))
     freq = {r["w"]: r["n"] for r in has.groupBy("w").agg(F.count("*").alias("n")).collect()}
     idf = {w: math.log((1.0 + total) / (1.0 + freq.get(w, 0))) + 1 for w in vocabulary}
-    rare = math.log((1.0 + total) / 2.0) + 1
     square = F.create_map(*[x for w, v in idf.items() for x in (F.lit(w), F.lit(v * v))])
 
-    # pass 2: statements that may reach the threshold.  A cosine to any template is at most the
-    # share of the statement's length that lies in the templates' words.
-    def inside(p: Column) -> Column:
-        return F.aggregate(F.array_sort(p["known"]), F.lit(0.0), lambda a, w: a + square[w])
-
-    parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), STATEMENT), lambda s: F.transform(
-        F.array(words(s)), lambda w: F.struct(s.alias("statement"), F.array_intersect(w, known).alias("known"), F.size(w).alias("n")))[0])
-    parts = F.transform(F.filter(parts, lambda p: F.size(p["known"]) > 0), lambda p, i: F.struct(
-        i.alias("at"), p["statement"].alias("statement"), p["known"].alias("known"), inside(p).alias("inside"),
-        (inside(p) + (p["n"] - F.size(p["known"])) * (rare * rare)).alias("length2")))
-    near = F.filter(parts, lambda p: p["inside"] >= (threshold - 1e-6) ** 2 * p["length2"])
-    rows = df.select(F.struct(F.col(key)).alias("id"), F.xxhash64(F.col(key), F.col(text)).alias("row"), near.alias("parts"))
-    rows = saved(rows.where(F.size("parts") > 0), "statements")
-    names = [(t, w) for t, ws in of.items() for w in ws]
-    weights = spark.createDataFrame([(w, v) for w, v in idf.items()], "w string, idf double")
-    in_template = spark.createDataFrame(names, "licence string, w string").join(weights, "w")
-    length = in_template.groupBy("licence").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("t_norm"))
-    templates_df = in_template.join(length, "licence")  # a row per template word
-
-    each = rows.select("id", "row", F.explode("parts").alias("p")).select("id", "row", "p.*")
-    hits = (each.withColumn("w", F.explode("known")).join(F.broadcast(templates_df), "w")  # a row per word of a template
-            .groupBy("id", "row", "at", "licence").agg(F.sum(F.col("idf") * F.col("idf")).alias("dot"), F.first("t_norm").alias("t_norm"),
-                                                       F.first("length2").alias("length2"), F.first("statement").alias("statement")))
-    scored = hits.withColumn("score", F.round(F.col("dot") / (F.col("t_norm") * F.sqrt("length2")), 6)).where(F.col("score") >= threshold)
+    # pass 2: statements that may reach the threshold: their squared length is at least that of
+    # their template words and 1 for each other word
+    def inside(ws: Column) -> Column:
+        return F.aggregate(ws, F.lit(0.0), lambda a, w: a + square[w])
+
+    table = F.array(*[F.struct(F.lit(t).alias("licence"), F.lit(math.sqrt(sum(idf[w] ** 2 for w in ws))).alias("norm"), F.array(*map(F.lit, ws)).alias("ws"))
+                      for t, ws in of])
+    anchor = F.array(*map(F.lit, anchors(of, idf, threshold)))
+
+    def let(value: Column, of_value) -> Column:
+        return F.transform(F.array(value), of_value)[0]
+
+    def best_template(ws: Column) -> Column:
+        """The template with the largest cosine times the statement's length, of equals the first in name."""
+        found = F.transform(table, lambda t: F.struct(F.round(-inside(F.array_sort(F.array_intersect(ws, t["ws"]))) / t["norm"], 9).alias("dot"), t["licence"].alias("licence")))
+        return F.array_min(found)
+
+    def reach(p: Column) -> Column:
+        return F.sqrt(p["inside"] + F.size(p["other"])) * (threshold - 1e-6)
+
+    parts = F.transform(units(whole), lambda s, i: let(words(s), lambda w: F.struct(i.alias("at"), s.alias("statement"), w.alias("ws"))))
+    parts = F.filter(parts, lambda p: F.arrays_overlap(p["ws"], anchor))
+    parts = F.transform(parts, lambda p: let(F.array_intersect(p["ws"], known), lambda k: F.struct(
+        p["at"].alias("at"), p["statement"].alias("statement"), k.alias("known"), F.array_except(p["ws"], k).alias("other"), inside(F.array_sort(k)).alias("inside"))))
+    parts = F.filter(parts, lambda p: F.sqrt(p["inside"]) >= reach(p))
+    parts = F.transform(parts, lambda p: F.struct(p["at"].alias("at"), p["statement"].alias("statement"), p["other"].alias("other"), p["inside"].alias("inside"),
+                                                  best_template(p["known"]).alias("best")))
+    near = F.filter(parts, lambda p: -p["best"]["dot"] >= reach(p))
+    rows = (df.where(F.arrays_overlap(words(whole), anchor))
+            .select(F.struct(F.col(key)).alias("id"), F.xxhash64(F.col(key), F.col(text)).alias("row"), F.explode(near).alias("p")))
+    rows = saved(rows.select("id", "row", "p.*"), "statements")
+
+    # pass 3: in how many documents the other words of these statements are
+    asked = saved(rows.select(F.explode("other").alias("w")).distinct(), "words")
+    n = asked.count()
+    each = df.select(F.explode(words(whole)).alias("w"))
+    if n <= CANDIDATES:
+        counts = each.join(F.broadcast(asked), "w").groupBy("w").agg(F.count("*").alias("n"))
+    else:  # counted before the exchange
+        counts = each.groupBy("w").agg(F.count("*").alias("n")).join(asked, "w")
+    weight = F.log((1.0 + total) / (1.0 + F.col("n"))) + 1
+    heavy = saved((counts if n else asked.withColumn("n", F.lit(0))).select("w", (weight * weight).alias("w2")), "weights")
+    # equal statements are one row from here on
+    of_words = F.xxhash64(F.array_sort("other"))
+    distinct = rows.where(F.size("other") > 0).select(of_words.alias("ws"), "other").groupBy("ws").agg(F.first("other").alias("other"))
+    lengths = distinct.select("ws", F.explode("other").alias("w")).join(heavy, "w").groupBy("ws").agg(F.sum("w2").alias("outside"))
+    found = rows.withColumn("ws", of_words).join(lengths, "ws", "left").withColumn("outside", F.coalesce("outside", F.lit(0.0)))
+    scored = found.withColumn("score", F.round(-F.col("best.dot") / F.sqrt(F.col("inside") + F.col("outside")), 6)).where(F.col("score") >= threshold)
+    scored = scored.select("id", "row", "at", F.col("best.licence").alias("licence"), "score", "statement")
     best = F.min_by(F.struct("licence", "score", "statement"), F.struct(-F.col("score"), F.col("at"), F.col("licence")))
     return scored.groupBy("id", "row").agg(best.alias("b")).select(f"id.{key}", "b.licence", "b.score", "b.statement")
 

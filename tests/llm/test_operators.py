@@ -269,6 +269,18 @@ def test_licences(spark):
     assert got[7].from_dir == "p/q/r" and len(got) == len(rows)
 
 
+def test_licences_weigh_common_words_by_all_documents(spark):
+    said = "See this file: it is released under the MIT License."
+    rows = [(1, said)] + [(i, f"see the file of item{i}, it is here under w{i} for this license mit" if i % 5 == 0 else f"see the file item{i}, it is here w{i}") for i in range(2, 1500)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    docs = {i: {w.strip(".") for w in re.split(licences.WORD, t.lower())} - {""} for i, t in rows}
+    weigh = lambda w: np.log((1 + len(docs)) / (1 + sum(w in d for d in docs.values()))) + 1
+    cos = max((sum(weigh(w) ** 2 for w in docs[1] & set(ws)) / np.sqrt(sum(weigh(w) ** 2 for w in docs[1]) * sum(weigh(w) ** 2 for w in ws)), n)
+              for n, ws in licences.template_words())
+    assert cos[1] == "MIT" and cos[0] > 0.6
+    assert got[1].licence == "MIT" and got[1].score == pytest.approx(cos[0], abs=2e-6)
+
+
 def brute_repeats(rows):
     seen, out = set(), {}
     for i, b in sorted(rows):
