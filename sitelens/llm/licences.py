@@ -4,7 +4,9 @@
 files without one the licence of the nearest directory above them that holds a
 licence file.
 
-Method: a text is cut into statements (lines and sentences).  Words weigh by
+Method: a text is cut into statements: lines, sentences and paragraphs (also
+over line ends and comment signs), the opening comment, and the whole text.
+Templates are notices, titles, standard headers and short texts.  Words weigh by
 their inverse document frequency, counted over all documents.  A statement
 matches the template with the largest cosine, if that is at least
 ``THRESHOLD``.  Frequencies are only needed of the words of templates and of
@@ -19,7 +21,7 @@ are ever grouped; a directory with very many files is one row.
 
 Defined results: null or empty text states nothing; equal cosines go to the
 template first in name; a text with several statements takes the best one, of
-equals the first; a null path belongs to no directory and inherits nothing;
+equals the first, and a reservation of rights only if it states no licence; a null path belongs to no directory and inherits nothing;
 an empty table gives an empty result.
 """
 
@@ -34,22 +36,99 @@ from pyspark.sql import functions as F
 from sitelens.llm.common import saved
 
 THRESHOLD = 0.6
-# Short notices of common licences, as their owners word them.
+# Notices, titles, standard headers and short texts of common licences, as their owners word them.
+_AS_IS = ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+          "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+          "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+          "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions:")
+_MIT_KEEP = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies.")
+_ISC_AS_IS = ('THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+              "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+              "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+              "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.")
+_BSD_NAME = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+             "software without specific prior written permission.")
+_BSD_AS_IS = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED '
+              "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+              "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+              "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+              "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+              "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_APACHE = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may '
+           "obtain a copy of the License at")
+_APACHE_AS_IS = ('http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the '
+                 'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
+                 "the specific language governing permissions and limitations under the License.")
+_UNLICENSE = ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+              "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.")
+_ZLIB = ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it "
+         "freely, subject to the following restrictions:")
+
+
+def _gnu(kind: str, version: str, program: str = "program") -> str:
+    """The standard header of a GNU licence."""
+    return (f"This {program} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as "
+            f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+
+
 TEMPLATES = [
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", _gnu("Affero ", "3")),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", f"{_APACHE} {_APACHE_AS_IS}"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-2-Clause", f"{_BSD} {_BSD_AS_IS}"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause", f"3. {_BSD_NAME}"),
+    ("BSD-3-Clause", f"{_BSD} 3. {_BSD_NAME} {_BSD_AS_IS}"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", _gnu("", "2")),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", _gnu("", "3")),
+    ("ISC", "ISC License"),
+    ("ISC", _ISC),
+    ("ISC", f"{_ISC} {_ISC_AS_IS}"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", _gnu("Lesser ", "2.1", "library")),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", _gnu("Lesser ", "3", "library")),
     ("MIT", "Released under the MIT License."),
+    ("MIT", _MIT),
+    ("MIT", f"{_MIT} {_MIT_KEEP} {_AS_IS}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+                "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Proprietary", "All rights reserved."),
+    ("Unlicense", _UNLICENSE),
+    ("Zlib", _ZLIB),
 ]
+RESERVED = "Proprietary"  # counts only where no other licence is stated
 CANDIDATES = 100_000  # candidate words that are sent to all tasks
 WORD = r"[^a-z0-9.]+"
 STATEMENT = r"\n|(?<=[.!?])\s+"
+SENTENCE = r"(?<=[.!?])\s+"
+PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"  # a line without a letter or digit is a border, also inside a comment
+MARGIN = r"\s*\n[^\p{L}\p{N}\n]*"  # the end of a line and the next one's comment sign
+HEADER = r"\A\s*+((?s:/\*.*?\*/)|(?:[ \t]*+(?:#|//|--|;|%)[^\n]*+(?:\n|\z))++)"  # the comment that opens a file
 
 
 def words(text: Column) -> Column:
@@ -59,8 +138,10 @@ def words(text: Column) -> Column:
 
 
 def units(text: Column) -> Column:
-    """The lines and sentences of a text."""
-    return F.split(text, STATEMENT)
+    """What is compared with the templates: lines and their sentences, sentences and paragraphs over line ends, the opening comment, the text."""
+    paragraphs = F.transform(F.split(text, PARAGRAPH), lambda p: F.regexp_replace(p, MARGIN, " "))
+    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, SENTENCE)))
+    return F.array_distinct(F.concat(F.split(text, STATEMENT), sentences, paragraphs, F.array(F.regexp_extract(text, HEADER, 1), text)))
 
 
 def template_words(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
@@ -147,7 +228,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPL
     found = rows.withColumn("ws", of_words).join(lengths, "ws", "left").withColumn("outside", F.coalesce("outside", F.lit(0.0)))
     scored = found.withColumn("score", F.round(-F.col("best.dot") / F.sqrt(F.col("inside") + F.col("outside")), 6)).where(F.col("score") >= threshold)
     scored = scored.select("id", "row", "at", F.col("best.licence").alias("licence"), "score", "statement")
-    best = F.min_by(F.struct("licence", "score", "statement"), F.struct(-F.col("score"), F.col("at"), F.col("licence")))
+    best = F.min_by(F.struct("licence", "score", "statement"), F.struct(F.col("licence") == RESERVED, -F.col("score"), F.col("at"), F.col("licence")))
     return scored.groupBy("id", "row").agg(best.alias("b")).select(f"id.{key}", "b.licence", "b.score", "b.statement")
 
 

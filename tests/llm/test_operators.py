@@ -281,6 +281,25 @@ def test_licences_weigh_common_words_by_all_documents(spark):
     assert got[1].licence == "MIT" and got[1].score == pytest.approx(cos[0], abs=2e-6)
 
 
+def test_licence_texts_and_wrapped_headers(spark):
+    import textwrap
+    wrap = lambda *paragraphs: "\n\n".join(textwrap.fill(p, 78) for p in paragraphs)
+    L = licences
+    own = "Copyright (c) 2021, Some Body."
+    gpl2 = textwrap.fill(L._gnu("", "2"), 70).replace("\n", "\n * ")
+    apache = "\n".join("# " + x if x else "#" for x in wrap("Copyright 2020 The Authors", L._APACHE, L._APACHE_AS_IS).split("\n"))
+    bsd3 = wrap(own + " All rights reserved.", L._BSD, "3. " + L._BSD_NAME, L._BSD_AS_IS)
+    cases = [("MIT", wrap(own, L._MIT, L._MIT_KEEP, L._AS_IS)), ("ISC", wrap(own, L._ISC, L._ISC_AS_IS)), ("BSD-3-Clause", bsd3),
+             ("BSD-2-Clause", wrap(own + " All rights reserved.", L._BSD, L._BSD_AS_IS)), ("GPL-2.0", f"/* prog.c\n *\n * {gpl2}\n */\nint main(void);\n"),
+             ("Apache-2.0", f"{apache}\n\nimport os\nprint(os.name)\n"), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nPreamble"),
+             ("BSD-2-Clause", "/*\n * " + wrap(own, L._BSD, L._BSD_AS_IS).replace("\n", "\n * ") + "\n */\n" + "int x;\nlong y(z);\n" * 40),
+             ("Proprietary", own + "\nAll rights reserved."), (None, "The permission of the software notice is a matter of some conditions."),
+             (None, "\n" * 30000 + "#\n" * 30000 + "license")]
+    rows = [(i, t) for i, (_, t) in enumerate(cases)] + [(100 + i, f"filler words number {i} of the text") for i in range(60)]
+    got = {r.doc_id: r.licence for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got.get(i) for i in range(len(cases))] == [c for c, _ in cases] and not [k for k in got if k >= 100]
+
+
 def brute_repeats(rows):
     seen, out = set(), {}
     for i, b in sorted(rows):
