@@ -25,9 +25,14 @@ equal if both agree), so no sort needs a global numbering.  Runs that a batch
 holds twice are settled before the exchange, which keeps a passage shared by a
 third of all documents to one row a batch.
 
-Defined results: a null text is empty; matches never cross documents; rows
-that repeat a doc_id must repeat its text and are treated alike; a null doc_id
-counts as larger than any other; an empty table gives an empty result.
+A row is known by a 64-bit hash of its doc_id and text (``row``), by which it is
+grouped and cut; its doc_id (``doc``) only says which documents are smaller.
+
+Defined results: a null text is empty; matches never cross documents; a null
+doc_id counts as larger than any other; rows that share a doc_id, or have none,
+are documents of one rank, of which none loses what only its equals hold; rows
+that repeat both doc_id and text are treated alike; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -118,7 +123,7 @@ def _runs(data: np.ndarray, borders: np.ndarray):
 
 
 def _positions(df: DataFrame) -> DataFrame:
-    """(gram, run, doc, pos) of every text's runs; pos packs start, bytes ahead of the gram and strings.
+    """(gram, run, doc, row, pos) of every text's runs; pos packs start, bytes ahead of the gram and strings.
 
     A run that a smaller document of the same batch has as well is settled: it
     is covered.  Its pos is negative and its ranks are replaced by a hash of its own
@@ -126,25 +131,25 @@ def _positions(df: DataFrame) -> DataFrame:
     """
     def run(batches):
         for batch in batches:
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).cast(pa.large_binary())
+            docs, hashes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            texts = batch.column(2).cast(pa.large_binary())
             off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
             raw = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] else np.empty(0, np.uint8)
             for doc, start, count, ahead, gram, rank in _pieces(raw, off):
-                ids, pos = docs[doc], (start << 16) | (ahead << 8) | count
+                ids, own, pos = docs[doc], hashes[doc], (start << 16) | (ahead << 8) | count
                 order = np.lexsort((ids, rank, gram))
-                g, r, d, pos = gram[order], rank[order], ids[order], pos[order]
+                g, r, d, o, pos = gram[order], rank[order], ids[order], own[order], pos[order]
                 head = np.ones(len(g), bool)
                 head[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
                 if len(d):
                     settled = d > d[np.flatnonzero(head)][np.cumsum(head) - 1]
-                    g[settled] = _mix(_mix(d[settled].view(np.uint64)) ^ pos[settled].view(np.uint64) * _M2)
+                    g[settled] = _mix(_mix(o[settled].view(np.uint64)) ^ pos[settled].view(np.uint64) * _M2)
                     r[settled] = 0
                     pos[settled] = -pos[settled]
                 yield pa.RecordBatch.from_pydict({"gram": pa.array(g.view(np.int64)), "run": pa.array(r.view(np.int64)),
-                                                  "doc": pa.array(d, pa.int64()), "pos": pa.array(pos, pa.int64())})
+                                                  "doc": pa.array(d, pa.int64()), "row": pa.array(o, pa.int64()), "pos": pa.array(pos, pa.int64())})
 
-    return df.mapInArrow(run, "gram long, run long, doc long, pos long")
+    return df.mapInArrow(run, "gram long, run long, doc long, row long, pos long")
 
 
 def _pieces(raw: np.ndarray, off: np.ndarray):
@@ -179,10 +184,15 @@ def _hits(place, mask):
     return F.shiftleft(place.cast("long"), BITS).bitwiseOR(mask).alias("hits")
 
 
+def _row(df: DataFrame, key: str, text: str):
+    """What a row is known by: a hash of its key and text."""
+    return F.xxhash64(df[key].cast("long"), df[text])
+
+
 def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, hits): strings of each text that a smaller document has, by gram (see ``_hits``)."""
+    """(row, hits): strings of each text that a smaller document has, by gram (see ``_hits``)."""
     spark = df.sparkSession
-    docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text")).where(F.length("text") >= 1)
+    docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), _row(df, key, text).alias("row"), F.col(text).alias("text")).where(F.length("text") >= 1)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # prefix GRAM: one exchange serves both windows
@@ -193,12 +203,12 @@ def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
               .withColumn("covered", (F.col("pos") < 0) | (F.col("doc") > F.col("least")))
               .where("covered or several"))
     pos = F.abs("pos")
-    first = saved(ranked.select(F.when(~F.col("covered"), F.col("gram")).alias("gram"), "doc", F.shiftright(pos, 16).cast("int").alias("start"),
+    first = saved(ranked.select(F.when(~F.col("covered"), F.col("gram")).alias("gram"), "doc", "row", F.shiftright(pos, 16).cast("int").alias("start"),
                                 F.shiftright(pos, 8).bitwiseAND(F.lit(255)).cast("int").alias("ahead"),
                                 pos.bitwiseAND(F.lit(255)).cast("int").alias("count"), "covered"), "runs")
     whole = F.expr("shiftleft(shiftleft(1L, count) - 1, ahead - count + 1)")
-    done = first.where("covered").select("doc", _hits(F.col("start") + F.col("ahead"), whole))
-    rest = _contexts(docs, first.where("not covered").select("gram", "doc", "start", "ahead", "count")).repartition(parts, "gram")
+    done = first.where("covered").select("row", _hits(F.col("start") + F.col("ahead"), whole))
+    rest = _contexts(docs, first.where("not covered").select("gram", "row", "start", "ahead", "count")).repartition(parts, "gram")
 
     # prefix 34: the gram with the bytes left (0) or right (1) of it, if a string reaches that far
     at_gram = F.col("ahead") + 1
@@ -207,7 +217,7 @@ def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.when(left, F.struct(F.lit(0).alias("side"), F.xxhash64(F.substring(F.col("bytes"), at_gram - HALF, F.lit(GRAM + HALF))).alias("rank"))),
         F.when(right, F.struct(F.lit(1).alias("side"), F.xxhash64(F.substring(F.col("bytes"), at_gram, F.lit(GRAM + HALF))).alias("rank")))))
     w = Window.partitionBy("gram", "side", "rank")
-    sides = (rest.withColumn("s", F.explode(side)).select("gram", "doc", "start", "ahead", "count", "bytes", "s.side", "s.rank")
+    sides = (rest.withColumn("s", F.explode(side)).select("gram", "doc", "row", "start", "ahead", "count", "bytes", "s.side", "s.rank")
              .withColumn("lo", F.min("doc").over(w)).withColumn("hi", F.max("doc").over(w)).where("lo < hi"))
 
     # prefix 50: strings that start at least HALF bytes before the gram go by its left side, others by the right one
@@ -216,30 +226,30 @@ def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     hi_o = F.when(F.col("side") == 0, F.col("ahead")).otherwise(F.least(F.col("ahead"), F.lit(HALF - 1)))
     strings = (sides.withColumn("from", lo_o.cast("int")).withColumn("to", hi_o.cast("int")).where("from <= to")
                .withColumn("o", F.explode(F.sequence("from", "to")))
-               .select("gram", "doc", "o", (F.col("start") + F.col("ahead")).alias("place"),
+               .select("gram", "doc", "row", "o", (F.col("start") + F.col("ahead")).alias("place"),
                        F.xxhash64(F.substring(F.col("bytes"), F.col("ahead") - F.col("o") + 1, F.lit(LENGTH))).alias("rank")))
     w = Window.partitionBy("gram", "o", "rank")
     late = (strings.withColumn("lo", F.min("doc").over(w)).where("lo < doc")
-            .groupBy("gram", "doc", "place").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("mask")))
-    late = saved(late.select("doc", _hits(F.col("place"), F.col("mask"))), "strings")
+            .groupBy("gram", "row", "place").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("mask")))
+    late = saved(late.select("row", _hits(F.col("place"), F.col("mask"))), "strings")
     return done.unionByName(late)
 
 
 def _contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """runs with their bytes, from one join with the texts."""
-    each = runs.groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "ahead", "count")).alias("runs"))  # at most a document's length
+    """runs with their bytes, from one join with the texts.  Equal rows have equal runs, which count once."""
+    each = runs.groupBy("row").agg(F.collect_set(F.struct("gram", "start", "ahead", "count")).alias("runs"))  # at most a document's length
     cut = F.transform("runs", lambda r: F.struct(
         r["gram"].alias("gram"), r["start"].alias("start"), r["ahead"].alias("ahead"), r["count"].alias("count"),
         F.substring(F.col("raw"), r["start"] + 1, r["count"] + LENGTH - 1).alias("bytes")))
-    return (docs.join(each, "doc").select("doc", F.col("text").cast("binary").alias("raw"), "runs")
-            .select("doc", F.explode(cut).alias("r")).select("r.gram", "doc", "r.start", "r.ahead", "r.count", "r.bytes"))
+    return (docs.join(each, "row").select("doc", "row", F.col("text").cast("binary").alias("raw"), "runs")
+            .select("doc", "row", F.explode(cut).alias("r")).select("r.gram", "doc", "row", "r.start", "r.ahead", "r.count", "r.bytes"))
 
 
 def with_hits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """df with ``removed``: a document's covered strings as an array, null if none."""
-    per = covered_strings(df, key, text).groupBy("doc").agg(F.collect_list("hits").alias("removed"))  # at most a document's length
+    per = covered_strings(df, key, text).groupBy(F.col("row").alias("_row")).agg(F.collect_set("hits").alias("removed"))  # at most a document's length
     d = df.drop("removed")
-    return d.join(per, F.coalesce(d[key].cast("long"), F.lit(LAST)) == per["doc"], "left").drop("doc")
+    return d.join(per, _row(d, key, text) == per["_row"], "left").drop("_row")
 
 
 def merge_hits(hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

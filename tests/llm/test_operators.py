@@ -335,6 +335,32 @@ def test_suffix_dedup_edges(spark):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
 
 
+@pytest.mark.parametrize("clash", [None, 7])
+def test_suffix_dedup_rows_without_or_with_the_same_id(spark, clash):
+    rng = np.random.default_rng(8)
+    other = lambda n: "".join(rng.choice(list("abcdefghij "), n))
+    rows = [(1, PASSAGE)] + [(clash, t) for t in (other(40) + PASSAGE + other(150), other(300), PASSAGE, other(90) + PASSAGE[:70] + other(20), "", None)]
+    shared = other(120)
+    rows += [(clash, other(33) + shared), (clash, shared + other(50)), (9, "x" + shared), (clash, rows[1][1]), (clash, rows[1][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    rank = lambda i: suffix_dedup.LAST if i is None else i
+
+    def want(i, t):  # strings of smaller documents only
+        b = (t or "").encode()
+        seen = {o[p:p + 50] for j, u in rows if rank(j) < rank(i) for o in [(u or "").encode()] for p in range(len(o) - 49)}
+        covered = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if b[p:p + 50] in seen:
+                covered[p:p + 50] = b"\1" * 50
+        return bytes(x for x, c in zip(b, covered) if not c)
+
+    got = sorted((repr(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in suffix_dedup.repeat_digests(df).collect())
+    expect = [(repr(i), len((t or "").encode()), len((t or "").encode()) - len(want(i, t)), hashlib.sha256(want(i, t)).hexdigest()) for i, t in rows]
+    assert got == sorted(expect)
+    kept = sorted((repr(r.doc_id), r.text or "") for r in suffix_dedup.remove_repeats(df).collect())
+    assert kept == sorted((repr(i), want(i, t).decode()) for i, t in rows)
+
+
 def test_suffix_dedup_long_text_in_parts(monkeypatch):
     rng = np.random.default_rng(6)
     raw = rng.integers(97, 123, 9000).astype(np.uint8)
