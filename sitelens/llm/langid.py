@@ -7,13 +7,14 @@ Method: a text becomes a normalised TF-IDF vector of hashed byte n-grams
 (``GRAMS`` long) of its lower-cased letters, words set apart by one space.
 Every language has ``CENTROIDS`` centroids from spherical k-means over its
 training vectors.  A text gets the language of the centroid with the largest
-cosine; a text whose cosine lies below what texts of its length reach (the
-``floor`` of its length class) is too far from all of them and is rejected.
+cosine; a text whose cosine lies below the ``floor`` of its length class is too
+far from all of them and is rejected.  The floor lies between the cosines that
+training texts reach in their own language and those they reach without it.
 
 Document frequencies count every training document.  k-means and floors use a
 sample of at most about ``SAMPLE`` documents, evenly from the languages and
 chosen by a hash of the key, so the driver holds at most SAMPLE vectors of
-``DIMS`` numbers whatever the input.
+``DIMS`` numbers and half as many of their beginnings whatever the input.
 
 Defined results: a null text or one without a letter is ``und`` with score 0
 and rejected; without training documents every text is ``und``; repeated rows
@@ -22,6 +23,7 @@ get equal results; very long texts are read whole, a part at a time.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,12 +34,12 @@ from pyspark.sql import types as T
 
 from sitelens.llm.bpe import row_slices
 
-DIMS = 2048
+DIMS = 8192
 GRAMS = (1, 2, 3, 4)
 CENTROIDS = 4
 SAMPLE = 1600
 ITERATIONS = 12
-FLOOR_SHARE = 0.6  # of the lowest hundredth of the training cosines of a length class
+BEGINNINGS = (16, 64, 256, 1024)  # characters: beginnings of half the sampled texts, which give floors to short texts
 UNKNOWN = "und"
 ROWS = 512  # texts whose vectors are held at a time
 PART = 1 << 19  # bytes of text made into n-grams at a time
@@ -94,7 +96,8 @@ def vectors(texts: pa.Array) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = np.log1p(counts) * idf
+    """Unit vectors of what lies above an even spread over all buckets, so that long texts do not all look alike."""
+    v = np.maximum(np.log1p(counts) - np.log1p(counts.sum(axis=1, keepdims=True) / DIMS), 0) * idf
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
@@ -127,6 +130,13 @@ def _kmeans(v: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def _floor(own: np.ndarray, foreign: np.ndarray) -> float:
+    """Halfway between what nearly all texts reach in their own language and what few do in the others, as if its own
+    had not been learned; where both overlap, what nearly all reach."""
+    low, high = float(np.quantile(own, 0.01)), float(np.quantile(foreign, 0.95))
+    return min(low, (low + high) / 2)
+
+
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """A model from the rows of df with a language."""
     src = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, text, lang)
@@ -144,40 +154,51 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
                 n += e - a
                 pick = np.flatnonzero(batch.column(2).slice(a, e - a).to_numpy(zero_copy_only=False))
                 if pick.size:
+                    texts = [batch.column(0)[a + int(i)].as_py() for i in pick]
+                    marks = [zlib.crc32(x[:256].encode()) for x in texts]
+                    half = [i for i, h in enumerate(marks) if h % 2]
+                    begun = vectors(pa.array([texts[i][: BEGINNINGS[(marks[i] >> 1) % len(BEGINNINGS)]] for i in half], pa.string()))
+                    at, n_whole = pick.tolist() + pick[half].tolist(), len(pick)
                     yield pa.RecordBatch.from_pydict({
-                        "lang": batch.column(1).slice(a, e - a).take(pa.array(pick)), "n": pa.array([0] * len(pick), pa.int64()),
-                        "counts": pa.array([np.ascontiguousarray(counts[i], "<f4").tobytes() for i in pick], pa.binary()),
-                        "freq": pa.nulls(len(pick), pa.list_(pa.int64()))})
-        yield pa.RecordBatch.from_pydict({"lang": pa.nulls(1, pa.string()), "n": pa.array([n], pa.int64()), "counts": pa.nulls(1, pa.binary()),
+                        "lang": batch.column(1).slice(a, e - a).take(pa.array(at, pa.int64())), "whole": pa.array([i < n_whole for i in range(len(at))]),
+                        "n": pa.array([0] * len(at), pa.int64()),
+                        "counts": pa.array([np.ascontiguousarray(c, "<f4").tobytes() for c in (*counts[pick], *begun)], pa.binary()),
+                        "freq": pa.nulls(len(at), pa.list_(pa.int64()))})
+        yield pa.RecordBatch.from_pydict({"lang": pa.nulls(1, pa.string()), "whole": pa.nulls(1, pa.bool_()), "n": pa.array([n], pa.int64()), "counts": pa.nulls(1, pa.binary()),
                                           "freq": pa.array([freq.tolist()], pa.list_(pa.int64()))})
 
-    # a task gives its sampled vectors and one row of document frequencies
+    # a task gives its sampled vectors, those of beginnings, and one row of document frequencies
     from sitelens.llm.common import saved
-    got = saved(src.select(text, lang, (draw < chance).alias("pick")).mapInArrow(run, "lang string, n long, counts binary, freq array<long>"), "langid")
+    got = saved(src.select(text, lang, (draw < chance).alias("pick")).mapInArrow(run, "lang string, whole boolean, n long, counts binary, freq array<long>"), "langid")
     n = got.agg(F.sum("n")).first()[0] or 0
     freq = np.zeros(DIMS)
     for r in got.where("freq is not null").select(F.posexplode("freq").alias("i", "f")).groupBy("i").agg(F.sum("f").alias("f")).collect():
         freq[r["i"]] = r["f"]
     idf = (np.log((1 + n) / (1 + freq)) + 1).astype(np.float32)
-    picked = got.where("counts is not null").select("lang", "counts").orderBy("lang", F.xxhash64("counts"), "counts").collect()
+    picked = got.where("counts is not null").select("lang", "whole", "counts").orderBy("lang", F.xxhash64("counts"), "counts").collect()
     counts = np.stack([np.frombuffer(r["counts"], "<f4") for r in picked]) if picked else np.zeros((0, DIMS), np.float32)
     of = np.array([r["lang"] for r in picked], object)
+    whole = np.array([r["whole"] for r in picked], bool)
     del picked
     keep = counts.sum(axis=1) > 0
-    counts, of = counts[keep], of[keep]
-    v = weighted(counts, idf)
+    counts, of, whole = counts[keep], of[keep], whole[keep]
+    at, v = length_class(counts.sum(axis=1)), counts
+    for a in range(0, len(v), ROWS):  # in place, or the driver would hold the vectors several times
+        v[a: a + ROWS] = weighted(v[a: a + ROWS], idf)
     centroids, labels = [], []
-    for k in sorted(set(of)):
-        c = _kmeans(v[of == k], CENTROIDS)
+    for k in sorted(set(of[whole])):
+        c = _kmeans(v[(of == k) & whole], CENTROIDS)
         centroids.append(c)
         labels += [k] * len(c)
     c = np.concatenate(centroids) if centroids else np.zeros((0, DIMS), np.float32)
     floor = np.zeros(16)
     if len(c):
-        best, at = (v @ c.T).max(axis=1), length_class(counts.sum(axis=1))
+        cos = v @ c.T
+        own = of[:, None] == np.array(labels, object)[None, :]
+        best, foreign = np.where(own, cos, 0).max(axis=1), np.where(own, 0, cos).max(axis=1)
         for i in range(16):  # a class without many samples takes in the ones below it
-            inside = best[at <= i] if (at == i).sum() < 20 else best[at == i]
-            floor[i] = FLOOR_SHARE * np.quantile(inside, 0.01) if len(inside) >= 20 else 0
+            inside = at <= i if (at == i).sum() < 20 else at == i
+            floor[i] = _floor(best[inside], foreign[inside]) if inside.sum() >= 20 else 0
     return Model(idf, c.astype(np.float32), labels, floor)
 
 

@@ -124,6 +124,20 @@ def test_langid(docs, odd):
         assert not (r.lang_pred == "und" and r.accepted)
 
 
+def test_langid_rejects_unlearned_languages_and_random_letters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(4)
+    letters = [(i, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz" + " " * (i % 2 * 5)), n))) for i, n in enumerate([300, 300, 1000, 1000, 5000, 5000, 60000, 60000])]
+    noise = spark.createDataFrame(letters, "doc_id long, text string")
+    learned = docs.where("lang != 'de'")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.train(learned.where(~held))
+    share = lambda df: langid.predict(df, model).agg(F.avg(F.col("accepted").cast("int"))).first()[0]
+    assert share(learned.where(held)) > 0.95
+    assert share(docs.where("lang = 'de'")) < 0.1
+    assert share(noise) == 0
+
+
 def test_sharding(table):
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     df = table.select("doc_id", "text", size.alias("size"))
