@@ -12,13 +12,16 @@ far from all of them and is rejected.  The floor lies between the cosines that
 training texts reach in their own language and those they reach without it.
 
 Document frequencies count every training document.  k-means and floors use a
-sample of at most about ``SAMPLE`` documents, evenly from the languages and
-chosen by a hash of the key, so the driver holds at most SAMPLE vectors of
-``DIMS`` numbers and half as many of their beginnings whatever the input.
+sample: of every language the ``SAMPLE`` / languages distinct texts (at least
+``LEAST``) with the smallest hashes, so no language is lost, however many there
+are, and copies count once.  One task clusters one language's sample; the
+driver holds no vector of a text, only the centroids (``CENTROIDS`` rows of
+``DIMS`` numbers a language) and the cosines from which floors are made.
 
 Defined results: a null text or one without a letter is ``und`` with score 0
 and rejected; without training documents every text is ``und``; repeated rows
-get equal results; very long texts are read whole, a part at a time.
+get equal results, and null or repeated ids do not matter, as no id is read;
+very long texts are read whole, a part at a time.
 """
 
 from __future__ import annotations
@@ -27,17 +30,20 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitelens.llm.bpe import row_slices
+from sitelens.llm.common import saved
 
 DIMS = 8192
 GRAMS = (1, 2, 3, 4)
 CENTROIDS = 4
 SAMPLE = 1600
+LEAST = 32  # sampled texts of a language, however many languages there are
 ITERATIONS = 12
 BEGINNINGS = (16, 64, 256, 1024)  # characters: beginnings of half the sampled texts, which give floors to short texts
 UNKNOWN = "und"
@@ -137,69 +143,112 @@ def _floor(own: np.ndarray, foreign: np.ndarray) -> float:
     return min(low, (low + high) / 2)
 
 
+def _cutoffs(src: DataFrame, lang: str, per: int) -> dict[str, int]:
+    """Per language the per-th smallest distinct text hash (or the largest, if there are fewer)."""
+    def run(batches):
+        least = {}
+        for batch in batches:
+            d = batch.to_pandas()
+            for k, h in d.groupby("lang")["hash"]:
+                least[k] = np.unique(np.concatenate([least.get(k, np.empty(0, np.int64)), h.to_numpy()]))[:per]
+        rows = [(k, int(x)) for k, h in least.items() for x in h]
+        yield pa.RecordBatch.from_pydict({"lang": pa.array([k for k, _ in rows], pa.string()), "hash": pa.array([x for _, x in rows], pa.int64())})
+
+    least = src.select(F.col(lang).alias("lang"), "hash").mapInArrow(run, "lang string, hash long").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    return {r["lang"]: r["cut"] for r in least.withColumn("r", rank).where(F.col("r") <= per).groupBy("lang").agg(F.max("hash").alias("cut")).collect()}
+
+
+def _batch(rows: DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), "<f4").reshape(-1, DIMS)
+
+
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model from the rows of df with a language."""
-    src = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, text, lang)
-    sizes = {r[lang]: r["n"] for r in src.groupBy(lang).agg(F.count("*").alias("n")).collect()}
-    share = {k: min(1.0, sample / len(sizes) / n) for k, n in sizes.items()}
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    chance = F.coalesce(*[F.when(F.col(lang) == k, F.lit(p)) for k, p in sorted(share.items())], F.lit(0.0))
+    """A model from the rows of df with a language; key is not read.
+
+    The driver receives document frequencies, the centroids and three numbers a sampled text.
+    """
+    src = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang, F.xxhash64(text).alias("hash"))
+    n_langs = src.select(lang).distinct().count()
+    per = max(LEAST, sample // max(1, n_langs))
+    cut = _cutoffs(src, lang, per)
 
     def run(batches):
-        freq, n = np.zeros(DIMS, np.int64), 0
+        freq, n, seen = np.zeros(DIMS, np.int64), 0, set()
         for batch in batches:
+            langs, hashes = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for a, e in row_slices(batch.column(0), rows=ROWS):
                 counts = vectors(batch.column(0).slice(a, e - a))
                 freq += (counts > 0).sum(axis=0)
                 n += e - a
-                pick = np.flatnonzero(batch.column(2).slice(a, e - a).to_numpy(zero_copy_only=False))
-                if pick.size:
-                    texts = [batch.column(0)[a + int(i)].as_py() for i in pick]
+                pick = []
+                for i in range(a, e):
+                    if hashes[i] <= cut[langs[i]] and (langs[i], hashes[i]) not in seen:
+                        seen.add((langs[i], hashes[i]))
+                        pick.append(i)
+                if pick:
+                    texts = [batch.column(0)[i].as_py() for i in pick]
                     marks = [zlib.crc32(x[:256].encode()) for x in texts]
                     half = [i for i, h in enumerate(marks) if h % 2]
                     begun = vectors(pa.array([texts[i][: BEGINNINGS[(marks[i] >> 1) % len(BEGINNINGS)]] for i in half], pa.string()))
-                    at, n_whole = pick.tolist() + pick[half].tolist(), len(pick)
+                    at, n_whole = pick + [pick[i] for i in half], len(pick)
                     yield pa.RecordBatch.from_pydict({
-                        "lang": batch.column(1).slice(a, e - a).take(pa.array(at, pa.int64())), "whole": pa.array([i < n_whole for i in range(len(at))]),
-                        "n": pa.array([0] * len(at), pa.int64()),
-                        "counts": pa.array([np.ascontiguousarray(c, "<f4").tobytes() for c in (*counts[pick], *begun)], pa.binary()),
+                        "lang": pa.array([langs[i] for i in at], pa.string()), "hash": pa.array([hashes[i] for i in at], pa.int64()),
+                        "whole": pa.array([i < n_whole for i in range(len(at))]), "n": pa.array([0] * len(at), pa.int64()),
+                        "counts": pa.array([np.ascontiguousarray(c, "<f4").tobytes() for c in (*counts[np.array(pick) - a], *begun)], pa.binary()),
                         "freq": pa.nulls(len(at), pa.list_(pa.int64()))})
-        yield pa.RecordBatch.from_pydict({"lang": pa.nulls(1, pa.string()), "whole": pa.nulls(1, pa.bool_()), "n": pa.array([n], pa.int64()), "counts": pa.nulls(1, pa.binary()),
+        yield pa.RecordBatch.from_pydict({"lang": pa.nulls(1, pa.string()), "hash": pa.nulls(1, pa.int64()), "whole": pa.nulls(1, pa.bool_()),
+                                          "n": pa.array([n], pa.int64()), "counts": pa.nulls(1, pa.binary()),
                                           "freq": pa.array([freq.tolist()], pa.list_(pa.int64()))})
 
     # a task gives its sampled vectors, those of beginnings, and one row of document frequencies
-    from sitelens.llm.common import saved
-    got = saved(src.select(text, lang, (draw < chance).alias("pick")).mapInArrow(run, "lang string, whole boolean, n long, counts binary, freq array<long>"), "langid")
+    got = saved(src.mapInArrow(run, "lang string, hash long, whole boolean, n long, counts binary, freq array<long>"), "langid")
     n = got.agg(F.sum("n")).first()[0] or 0
     freq = np.zeros(DIMS)
     for r in got.where("freq is not null").select(F.posexplode("freq").alias("i", "f")).groupBy("i").agg(F.sum("f").alias("f")).collect():
         freq[r["i"]] = r["f"]
     idf = (np.log((1 + n) / (1 + freq)) + 1).astype(np.float32)
-    picked = got.where("counts is not null").select("lang", "whole", "counts").orderBy("lang", F.xxhash64("counts"), "counts").collect()
-    counts = np.stack([np.frombuffer(r["counts"], "<f4") for r in picked]) if picked else np.zeros((0, DIMS), np.float32)
-    of = np.array([r["lang"] for r in picked], object)
-    whole = np.array([r["whole"] for r in picked], bool)
-    del picked
-    keep = counts.sum(axis=1) > 0
-    counts, of, whole = counts[keep], of[keep], whole[keep]
-    at, v = length_class(counts.sum(axis=1)), counts
-    for a in range(0, len(v), ROWS):  # in place, or the driver would hold the vectors several times
-        v[a: a + ROWS] = weighted(v[a: a + ROWS], idf)
-    centroids, labels = [], []
-    for k in sorted(set(of[whole])):
-        c = _kmeans(v[(of == k) & whole], CENTROIDS)
-        centroids.append(c)
-        labels += [k] * len(c)
-    c = np.concatenate(centroids) if centroids else np.zeros((0, DIMS), np.float32)
+
+    def cluster(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("hash")
+        counts = _batch(group["counts"])
+        counts = counts[counts.sum(axis=1) > 0]
+        found = _kmeans(weighted(counts, idf), CENTROIDS).astype("<f4") if len(counts) else ()
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(found), "i": range(len(found)), "centroid": [c.tobytes() for c in found]})
+
+    picked = got.where("counts is not null").dropDuplicates(["lang", "hash", "whole"])
+    rows = picked.where("whole").groupBy("lang").applyInPandas(cluster, "lang string, i int, centroid binary").collect()
+    rows.sort(key=lambda r: (r["lang"], r["i"]))
+    labels = [r["lang"] for r in rows]
+    c = _batch([bytes(r["centroid"]) for r in rows])
+    return Model(idf, c, labels, _floors(picked, idf, c, labels))
+
+
+def _floors(picked: DataFrame, idf: np.ndarray, centroids: np.ndarray, labels: list[str]) -> np.ndarray:
+    """The floor of every length class, from the cosines of all sampled texts and beginnings."""
     floor = np.zeros(16)
-    if len(c):
-        cos = v @ c.T
-        own = of[:, None] == np.array(labels, object)[None, :]
-        best, foreign = np.where(own, cos, 0).max(axis=1), np.where(own, 0, cos).max(axis=1)
-        for i in range(16):  # a class without many samples takes in the ones below it
-            inside = at <= i if (at == i).sum() < 20 else at == i
-            floor[i] = _floor(best[inside], foreign[inside]) if inside.sum() >= 20 else 0
-    return Model(idf, c.astype(np.float32), labels, floor)
+    if not labels:
+        return floor
+
+    def run(batches):
+        names = np.array(labels, object)
+        for batch in batches:
+            for a in range(0, batch.num_rows, ROWS):
+                part = batch.slice(a, ROWS)
+                counts = _batch(part.column(1).to_pylist())
+                keep = counts.sum(axis=1) > 0
+                counts, of = counts[keep], np.array(part.column(0).to_pylist(), object)[keep]
+                cos = weighted(counts, idf) @ centroids.T
+                own = of[:, None] == names[None, :]
+                yield pa.RecordBatch.from_pydict({"at": pa.array(length_class(counts.sum(axis=1)), pa.int32()),
+                                                  "own": pa.array(np.where(own, cos, 0).max(axis=1).astype(np.float64)),
+                                                  "foreign": pa.array(np.where(own, 0, cos).max(axis=1).astype(np.float64))})
+
+    got = picked.select("lang", "counts").mapInArrow(run, "at int, own double, foreign double").toPandas()
+    for i in range(16):  # a class without many samples takes in the ones below it
+        inside = got[got["at"] <= i if (got["at"] == i).sum() < 20 else got["at"] == i]
+        floor[i] = _floor(inside["own"].to_numpy(), inside["foreign"].to_numpy()) if len(inside) >= 20 else 0
+    return floor
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
