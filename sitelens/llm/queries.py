@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe, langid, licences, neighbours, packing, sharding, simhash, sketches, suffix_dedup, token_files
+from sitelens.llm import bpe, langid, licences, neighbours, packing, sharding, simhash, sketches, suffix_dedup, token_files, warc
 from sitelens.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 REGISTRY = {f.__name__: f for f in (op1_fingerprints, op2_bpe, op3_language_id, op4_sharding, op5_neighbours, op6_token_counts,
-                                    op7_packing, op8_licences, op9_suffix_dedup, op10_simhash)}
-ORACLE: dict[str, str] = {}
+                                    op7_packing, op8_licences, op9_suffix_dedup, op10_simhash, op11_warc)}
+ORACLE: dict[str, str] = {
+    # base32 of a digest: its 160 bits in groups of five
+    "op11_warc": """
+WITH d AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+  SELECT *, array_to_string([substr('0000000100100011010001010110011110001001101010111100110111101111',
+                                    4 * (strpos('0123456789abcdef', substr(hex, i, 1)) - 1) + 1, 4) FOR i IN range(1, 41)], '') AS b FROM d
+), digests AS (
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                 1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT)
+                                 + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT), 1) FOR i IN range(0, 32)], '') AS payload_digest
+  FROM bits
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM digests WINDOW w AS (PARTITION BY payload_digest)
+""",
+}
