@@ -52,6 +52,7 @@ WARC_VERSION = "WARC/1.0"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 ARC_END, WARC_END, LINE_END = "\n", "\r\n\r\n", "\r\n"
 PAGE_ID = "X-Page-Id"
+PAYLOAD_LENGTH = "WARC-Payload-Length"  # of a revisit, whose HTTP headers may not say it
 
 DEFAULT_DATE = "19970101000000"
 BATCH_BYTES = 4 << 20  # bytes of records that leave a task at a time
@@ -305,6 +306,7 @@ def convert(spark: SparkSession, arc: str, out: str, at_least: int = 0, key_type
         line("WARC-Target-URI", F.when(F.col("uri") != "-", F.col("uri"))), line("WARC-IP-Address", F.when(F.col("address") != "0.0.0.0", F.col("address"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         line("WARC-Block-Digest", F.when(~turned, F.concat(F.lit("sha1:"), F.col("block_digest")))),
+        line(PAYLOAD_LENGTH, F.when(turned, F.col("payload_bytes").cast("string"))),
         line("WARC-Refers-To", F.when(turned, F.col("response_id"))), line("WARC-Profile", F.when(turned, F.lit(REVISIT_PROFILE))),
         line("WARC-Truncated", F.when(F.col("truncated"), F.lit("unspecified"))),
         line("Content-Type", F.when(F.col("http").isNull(), F.col("kind")).otherwise(F.lit("application/http; msgtype=response"))),
@@ -346,7 +348,7 @@ def warc_records(name: str, chunks: Iterator[bytes], payload: bool = True) -> It
             continue
         http, body = _http(block)
         named, whole = fields.get("warc-payload-digest", "").removeprefix("sha1:"), len(block) == size
-        length = int(_header(http, "Content-Length") or 0) if kind == "revisit" else len(body)
+        length = int(fields.get(PAYLOAD_LENGTH.lower()) or _header(http, "Content-Length") or 0) if kind == "revisit" else len(body)
         digest = named if kind == "revisit" else base32_sha1(body)
         if kind != "revisit" and whole and named and named != digest:
             raise ValueError(f"{name}: payload of {fields.get('warc-record-id')} does not have its digest")
