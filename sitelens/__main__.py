@@ -10,8 +10,10 @@
     python -m sitelens vitals    --entries E --pages-to-test '{"HOME": "https://..."}' --out DIR
 
 Snapshot tables (S, P, C, Y, E) are parquet folders by default
-(``--format`` to change).  Reports are headered CSV folders; the backlink
-report carries a byte-order mark; the priority list is written only when it
+(``--format`` to change).  CSV inputs may hold line breaks in quotes, which
+makes each file one task; ``--one-line-rows`` reads large ones in splits.
+Reports are headered CSV folders; rules come as (rule, severity, n_pages,
+n_total), duplicate titles in input order; the backlink report carries a byte-order mark; the priority list is written only when it
 has rows.  The Spark session comes from the environment (spark-submit) or
 a local one.
 """
@@ -31,6 +33,7 @@ from .operators import structured as structured_ops
 from .plans import flows
 from .sinks.csv import write_csv, write_if_not_empty
 from .sources.csv import read_csv
+from .sources.tables import POSITION, with_input_position
 
 
 def _session() -> SparkSession:
@@ -42,6 +45,11 @@ def _table(spark, path, fmt):
     return spark.read.format(fmt).load(path)
 
 
+def _csv(spark, path, a, **kw):
+    # titles and headings can hold line breaks; --one-line-rows reads a large export in splits
+    return read_csv(spark, path, multiLine=not a.one_line_rows, **kw)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="sitelens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -49,6 +57,7 @@ def main(argv=None) -> None:
         p = sub.add_parser(name)
         p.add_argument("--out", required=True)
         p.add_argument("--format", default="parquet")
+        p.add_argument("--one-line-rows", action="store_true")
         if name == "audit":
             p.add_argument("--sitemaps", required=True)
             p.add_argument("--pages", required=True)
@@ -78,22 +87,25 @@ def main(argv=None) -> None:
 
     if a.cmd == "audit":
         r = flows.site_audit_flow(spark, _table(spark, a.sitemaps, a.format),
-                                  _table(spark, a.pages, a.format), a.root, strict=a.strict)
+                                  with_input_position(_table(spark, a.pages, a.format)), a.root, strict=a.strict)
         write_csv(r.audit, f"{out}/audit")
         write_csv(r.rules, f"{out}/rules")
         write_if_not_empty(r.priority, f"{out}/priority")
         write_csv(r.duplicates, f"{out}/duplicate_titles")
         write_csv(r.products, f"{out}/products")     # same parse as the audit
     elif a.cmd == "report":
-        audit = read_csv(spark, a.audit)
-        write_csv(rule_ops.rule_summary(audit), f"{out}/rules")
+        placed = _csv(spark, a.audit, a, position=POSITION)
+        audit = placed.drop(POSITION)
+        write_csv(rule_ops.rule_report(audit), f"{out}/rules")
         write_if_not_empty(rule_ops.priority_pages(audit), f"{out}/priority")
+        if "Title" in audit.columns:
+            write_csv(rule_ops.duplicate_titles(placed, order_col=POSITION).orderBy(POSITION).drop(POSITION), f"{out}/duplicate_titles")
     elif a.cmd == "products":
-        write_csv(structured_ops.structured_data_audit(read_csv(spark, a.audit),
+        write_csv(structured_ops.structured_data_audit(_csv(spark, a.audit, a),
                                                        _table(spark, a.pages, a.format)),
                   f"{out}/products")
     elif a.cmd == "backlinks":
-        write_csv(backlink_ops.backlink_audit(read_csv(spark, a.export),
+        write_csv(backlink_ops.backlink_audit(_csv(spark, a.export, a),
                                               _table(spark, a.pages, a.format), a.domain),
                   f"{out}/backlinks", bom=True)
     elif a.cmd == "keywords":
@@ -106,7 +118,7 @@ def main(argv=None) -> None:
         write_csv(flows.keyword_table(keyword_ops.expand_keywords(sugg)), f"{out}/keywords",
                   partition_by=("seed",))
     elif a.cmd == "cluster":
-        clustered = cluster_ops.cluster_keywords(read_csv(spark, a.keywords), k=a.k)
+        clustered = cluster_ops.cluster_keywords(_csv(spark, a.keywords, a), k=a.k)
         write_csv(flows.clustered_table(clustered), f"{out}/clustered")
         write_csv(cluster_ops.theme_preview(clustered), f"{out}/preview")
     elif a.cmd == "vitals":

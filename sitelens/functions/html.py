@@ -182,15 +182,12 @@ def parse_html(html, keep=DEFAULT_TAGS, ancestors_for=("a",), want_text=False):
 
 
 def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
-                  ancestors_for=("a",), with_text: bool = False,
-                  spread_key: str | None = None) -> DataFrame:
+                  ancestors_for=("a",), with_text: bool = False) -> DataFrame:
     """Replace ``html_col`` by ``elements`` (and optionally ``page_text``).
 
     ``elements`` is null where the markup could not be parsed, and empty where
     there is no HTML.
-    A small input is hash-spread on ``spread_key`` over the cluster's cores
-    first (see ``spread``); a large one keeps its scan splits, so no extra
-    shuffle of the page bytes happens at scale.
+    Pages are parsed where they lie: as many tasks as ``df`` has partitions.
     """
     keep = tuple(keep)
     ancestors_for = tuple(ancestors_for)
@@ -212,7 +209,7 @@ def with_elements(df: DataFrame, html_col: str = "html", keep=DEFAULT_TAGS,
                 out_names.append("page_text")
             yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
-    return spread(df, spread_key).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def page_error() -> Column:
@@ -221,40 +218,6 @@ def page_error() -> Column:
     return F.coalesce("fetch_error", F.when(rejected, F.lit(REJECTED))).alias("fetch_error")
 
 
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate for ``df`` (no job runs), or None.
-
-    The same statistic ``explain("cost")`` prints and the planner compares
-    with ``autoBroadcastJoinThreshold``; read from the optimized plan because
-    PySpark exposes no accessor for it.
-    """
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:
-        return None
-
-
-def spread(df: DataFrame, key: str | None, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Spread a small input, row by row, over the cluster's cores before the parse.
-
-    Small parquet files hold one row group each and scan as one or two
-    partitions, which would leave most cores idle in the Python stage.  Only
-    inputs the optimizer estimates below ``max_bytes`` are spread; a large
-    input keeps its scan splits, so the page bytes are never reshuffled at
-    scale.  The decision uses plan statistics only -- no job is run.  Call it
-    on each input before a join: a join's estimate is only an upper bound.
-    """
-    if df.isStreaming or key is None:
-        return df
-    size = estimated_bytes(df)
-    if size is None or size > max_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _ship_by_value() -> None:
     """Pickle this module's functions by value, so Python workers need no
     copy of the package on their path (only the standard library and pyarrow)."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import spread, with_elements
+from ..functions.html import with_elements
 from ..functions.text import MISSING, py_strip
 from ..functions.url import url_class
-from ..sources.snapshots import capture_time
+from ..plans.bloom import maybe_listed
+from ..sources.snapshots import capture_time, latest_per_url
 
 # Output columns of the audit table, in order.
 AUDIT_COLUMNS = ("URL", "Tipo", "Status", "Robots", "Canonical", "Title", "Lung. Title",
@@ -75,12 +76,14 @@ def element_fields(df: DataFrame) -> DataFrame:
 
 def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool = False,
                missing: str | None = MISSING, keep: tuple[str, ...] = (),
-               parsed: DataFrame | None = None) -> DataFrame:
+               parsed: DataFrame | None = None, latest: bool = False) -> DataFrame:
     """Audit table, one row per fetched HTML page whose markup can be parsed.
 
     ``snapshots``: url, status, content_type, html, fetch_error (+ ``keep``).
     ``urls``: optional list of URLs to audit (one column ``url``); a URL
-    without a snapshot yields no row, as a failed fetch does.
+    without a snapshot yields no row, as a failed fetch does.  Pages that are
+    surely not listed are dropped before the parse, where they lie, by a Bloom
+    filter; the exact semi-join runs on the audit's short rows.
     ``strict``: drop pages whose canonical link lacks ``href`` or whose robots
     meta lacks ``content`` (the audited tool fails on those pages); otherwise
     they are kept with a null field.
@@ -89,18 +92,31 @@ def page_audit(snapshots: DataFrame, urls: DataFrame | None = None, strict: bool
     ``parsed``: the snapshots already parsed by ``parse_snapshots`` (shared
     by several operators, so each page is parsed once); ``snapshots`` is then
     not read.
+    ``latest``: one row per URL, that of its latest capture (``fetched_at``),
+    if that one can be audited; otherwise every capture is a row.
     """
-    wanted = urls.select("url").distinct() if urls is not None else None
+    carried = tuple(dict.fromkeys((*keep, *(capture_time(parsed if parsed is not None else snapshots) if latest else ()))))
+    if latest:      # a failed capture counts as one, though it gives no row
+        every = parsed if parsed is not None else snapshots
+        good = F.col("fetch_error").isNull() & F.coalesce(F.col("content_type"), F.lit("")).contains(HTML_TYPE)
     if parsed is not None:
-        pages = auditable(parsed).select("url", "status", "elements", *keep)
+        pages = parsed if latest else auditable(parsed)
+        pages = pages.select("url", "status", "elements", *carried, *([good.alias("_good")] if latest else []))
     else:
-        snap = auditable(snapshots).select("url", "status", "html", *keep)
-        if wanted is not None:       # only listed pages are parsed
-            snap = snap.join(wanted, "url", "left_semi")
-        pages = with_elements(spread(snap, "url"), keep=AUDIT_TAGS, ancestors_for=())
-    fields = element_fields(pages.where("elements is not null"))
-    if wanted is not None and parsed is not None:
-        fields = fields.join(wanted, "url", "left_semi")
+        snap = every.withColumn("html", F.when(good, F.col("html"))) if latest else auditable(snapshots)
+        snap = snap.select("url", "status", "html", *carried, *([good.alias("_good")] if latest else []))
+        if urls is not None:
+            snap = maybe_listed(snap, "url", urls)
+        pages = with_elements(snap, keep=AUDIT_TAGS, ancestors_for=())
+    if latest:
+        pages = pages.withColumn("_good", F.col("_good") & F.col("elements").isNotNull())
+    else:
+        pages = pages.where("elements is not null")
+    fields = element_fields(pages)
+    if urls is not None:
+        fields = fields.join(urls.select("url").distinct(), "url", "left_semi")
+    if latest:
+        fields = latest_per_url(fields).where("_good").drop("_good")
     return audit_rows(fields, strict=strict, missing=missing, keep=keep)
 
 
@@ -144,8 +160,7 @@ def parse_snapshots(snapshots: DataFrame, tags=None, with_text: bool = False,
     carried = tuple(dict.fromkeys((*keep, *capture_time(snapshots))))
     snap = (snapshots.select("url", "status", "content_type", "html", "fetch_error", *carried)
             .withColumn("html", F.when(F.col("fetch_error").isNull(), F.col("html"))))
-    return with_elements(spread(snap, "url"), keep=tuple(tags or DEFAULT_TAGS), ancestors_for=("a",),
-                         with_text=with_text)
+    return with_elements(snap, keep=tuple(tags or DEFAULT_TAGS), ancestors_for=("a",), with_text=with_text)
 
 
 def url_classes(urls: DataFrame, url_col: str = "url") -> DataFrame:

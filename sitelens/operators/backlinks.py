@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import page_error, spread, with_elements
+from ..functions.html import page_error, with_elements
 from ..functions.text import py_strip
+from ..plans.bloom import maybe_listed
 from ..sources.snapshots import capture_time, latest_per_url
 
 # Result labels, scores and notes of the backlink report.
@@ -72,8 +73,7 @@ def link_results(snapshots: DataFrame | None, domain: str, toxic_words=TOXIC_WOR
         snap = (snapshots.select("url", "status", "html", "fetch_error", *capture_time(snapshots))
                 .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
                                            F.col("html"))))
-        parsed = with_elements(spread(snap, "url"), keep=("a",), ancestors_for=("a",),
-                               with_text=True)
+        parsed = with_elements(snap, keep=("a",), ancestors_for=("a",), with_text=True)
     link = F.get(F.filter(F.col("elements"), lambda e: (e["tag"] == "a")
                           & F.coalesce(e["href"].contains(domain), F.lit(False))), 0)
     text = F.lower(F.coalesce(F.col("page_text"), F.lit("")))
@@ -102,14 +102,14 @@ def backlink_audit(sources: DataFrame, snapshots: DataFrame | None, domain: str,
     ``sources``: any table; the URL column is found when not given.
     ``snapshots``: url, status, html, fetch_error of the source pages.
     ``domain``: our domain, matched as a case-sensitive substring of ``href``.
-    Pages outside the list are dropped before the parse; the small results
-    (``link_results``) are joined to the list.  A null status counts as offline.
+    Pages outside the list are dropped before the parse, where they lie, by a
+    Bloom filter; the small results (``link_results``) are joined to the list.  A null status counts as offline.
     Of several captures of a URL the latest ``fetched_at`` counts.
     """
     col = url_col or detect_url_column(sources)
     listed = sources.select(F.col(f"`{col}`").cast("string").alias("url")).na.drop(subset=["url"])
-    if parsed is None:      # only listed pages are parsed
-        snapshots = snapshots.join(listed.distinct(), "url", "left_semi")
+    if parsed is None:      # only pages that may be listed are parsed
+        snapshots = maybe_listed(snapshots, "url", listed)
     res = listed.join(latest_per_url(link_results(snapshots, domain, toxic_words, parsed)), "url", "left")
     error = F.when(F.col("_snap").isNull(), F.lit(NO_SNAPSHOT)).otherwise(F.col("fetch_error"))
     offline = error.isNull() & ~F.col("status").eqNullSafe(200)

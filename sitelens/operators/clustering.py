@@ -2,29 +2,21 @@
 
 TF-IDF follows the common smoothed form: lowercase, tokens of two or more word
 characters, unigrams and bigrams, ``idf = ln((1 + n) / (1 + df)) + 1``, rows
-L2-normalised.  It exists in two forms over the same definition:
-
-* ``tfidf_long`` -- a long ``(doc_id, term, weight)`` table built with
-  explode / group / join; used for cluster naming and checkable in SQL;
-* ``tfidf_vectors`` -- Spark ML sparse vectors for K-Means.
-
-Clusters are named from their centroids (mean member weight per term),
-computed relationally from the long table, so no dense k x V matrix is ever
-built on the driver.
+L2-normalised: a long ``(doc_id, term, weight)`` table built with explode /
+group / join.  K-Means (``kmeans``) runs on it as joins, and clusters are named
+from their centroids (mean member weight per term), so neither a vocabulary
+nor a k x V matrix is ever held by the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer,
-                                RegexTokenizer, SQLTransformer)
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.skew import join_group_stat
-from ..session import ensure_checkpoint_dir
+from ..plans.ranking import with_position
+from ..plans.skew import join_group_stat, spread_join
+from ..session import ensure_checkpoint_dir, written
+from .kmeans import KMeans, unit_rows
 
 # Token pattern and model settings of the original clustering.
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
@@ -65,56 +57,16 @@ def tfidf_long(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "Keywor
     return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
 
 
-def tfidf_vectors(docs: DataFrame, text_col: str = "Keyword", min_df: float = 1.0) -> DataFrame:
-    """Adds ``features`` (L2-normalised smoothed TF-IDF, sparse)."""
-    # every term counts: the vocabulary is as large as the terms are many
-    vocab_size = max(1, docs.select(F.explode(terms_of(F.col(text_col))).alias("term")).distinct().count())
-    stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False,
-                       toLowercase=True, minTokenLength=1),
-        NGram(n=2, inputCol="_tok", outputCol="_bi"),
-        SQLTransformer(statement="SELECT *, concat(_tok, _bi) AS _terms FROM __THIS__"),
-        CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size, minDF=min_df),
-        IDF(inputCol="_tf", outputCol="_idf0"),
-    ]
-    model = Pipeline(stages=stages).fit(docs)
-    idf = model.stages[-1].idf.toArray() + 1.0      # ln((n+1)/(df+1)) + 1
-    out = model.transform(docs)
-    out = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_w").transform(out)
-    out = Normalizer(p=2.0, inputCol="_w", outputCol="features").transform(out)
-    return out.drop("_tok", "_bi", "_terms", "_tf", "_idf0", "_w")
-
-
-def best_kmeans(vectors: DataFrame, k: int, seed: int = RANDOM_STATE, n_init: int = N_INIT,
-                max_iter: int = MAX_ITER, parallel: int = 4):
-    """Fit ``n_init`` runs (seeds seed..seed+n_init-1); keep the lowest cost.
-
-    The runs are independent jobs over one cached input, submitted from a few
-    driver threads so their stages share the cluster instead of queueing;
-    the winner (lowest cost, then lowest seed) does not depend on timing.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    vectors = vectors.select("features").cache()
-    vectors.count()
-
-    def fit(i: int):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features").fit(vectors)
-        return model.summary.trainingCost, i, model
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as pool:
-            runs = list(pool.map(fit, range(n_init)))
-    finally:
-        vectors.unpersist()
-    return min(runs, key=lambda r: (r[0], r[1]))[2]
-
-
 def centroid_terms(weights: DataFrame, assignment: DataFrame) -> DataFrame:
-    """(Cluster_ID, term, centroid): mean member weight per term."""
-    sizes = assignment.groupBy("Cluster_ID").agg(F.count(F.lit(1)).alias("_n"))
-    sums = (weights.join(assignment.select("doc_id", "Cluster_ID"), "doc_id")
-            .groupBy("Cluster_ID", "term").agg(F.sum("weight").alias("_s")))
+    """(Cluster_ID, term, centroid): mean member weight per term.
+
+    A member counts ``n`` times, if ``assignment`` has such a column.
+    """
+    n = F.col("n") if "n" in assignment.columns else F.lit(1)
+    members = assignment.select("doc_id", "Cluster_ID", n.alias("_m"))
+    sizes = members.groupBy("Cluster_ID").agg(F.sum("_m").alias("_n"))
+    sums = (weights.join(members, "doc_id")
+            .groupBy("Cluster_ID", "term").agg(F.sum(F.col("weight") * F.col("_m")).alias("_s")))
     return (sums.join(sizes, "Cluster_ID")
             .select("Cluster_ID", "term", F.round(F.col("_s") / F.col("_n"), 9).alias("centroid")))
 
@@ -161,28 +113,28 @@ def cluster_keywords(keywords: DataFrame, k: int = 7, seed: int = RANDOM_STATE,
                      n_init: int = N_INIT, max_iter: int = MAX_ITER) -> DataFrame:
     """Input rows + ``Cluster_ID`` and ``Tema_Semantico``.
 
-    Null keywords are dropped first.  Cluster ids are renumbered by each
-    cluster's smallest keyword so the labelling does not depend on the
-    initialisation.  ``k`` is clamped to ``max(2, min(k, n // 3))``.
+    Null keywords are dropped first.  Equal keywords are one document with
+    their number as its weight.  Cluster ids are renumbered by each cluster's
+    smallest keyword.  ``k`` is clamped to ``max(2, min(k, n // 3))``.  The
+    result depends on the keywords, ``k`` and ``seed`` alone.
     """
-    # Ranges of the keyword, sorted within partitions, make the k-means||
-    # sampling independent of input order.  The checkpoint pins the ids.
     if "Keyword" not in keywords.columns:
         raise ValueError("the keyword table needs a 'Keyword' column")
-    ensure_checkpoint_dir(keywords.sparkSession)
-    clean = keywords.na.drop(subset=["Keyword"])
-    n = clean.count()
-    kw = (clean.repartitionByRange("Keyword").sortWithinPartitions("Keyword")
-          .withColumn("doc_id", F.monotonically_increasing_id())
-          .checkpoint())
+    names = keywords.columns
+    kw = written(keywords.na.drop(subset=["Keyword"]).withColumn("_row", F.monotonically_increasing_id()), "keywords")
+    n = kw.count()
     k = clamp_k(k, n)
-    vectors = tfidf_vectors(kw)
-    model = best_kmeans(vectors, k, seed, n_init, max_iter)
-    raw = model.transform(vectors).select("doc_id", "Keyword", F.col("prediction").alias("_c"))
+    distinct = kw.groupBy("Keyword").agg(F.count("*").alias("n"))
+    docs = written(with_position(distinct, ["Keyword"], "doc_id", spread_ties=False), "keyword-documents")
+    tf = (docs.select("doc_id", "n", F.explode(terms_of(F.col("Keyword"))).alias("term"))
+          .groupBy("doc_id", "n", "term").agg(F.count("*").alias("tf")))
+    rows = written(unit_rows(tf, n), "rows")
+    labels, _, best = KMeans(docs.select("doc_id", F.col("Keyword").alias("name"), "n"), rows, k, n_init, max_iter, seed).fit()
+    raw = docs.join(labels.select("doc_id", F.col("labels")[best].alias("_c")), "doc_id")
     # k rows (one per cluster): a global window here is bounded by k
     order = (raw.groupBy("_c").agg(F.min("Keyword").alias("_m"))
              .withColumn("Cluster_ID", (F.row_number().over(Window.orderBy("_m")) - 1).cast("int")))
-    assignment = raw.join(order.select("_c", "Cluster_ID"), "_c").select("doc_id", "Cluster_ID")
-    names = cluster_names(tfidf_long(kw), assignment)
-    return (kw.join(assignment, "doc_id").join(names, "Cluster_ID", "left")
-            .drop("doc_id"))
+    assignment = written(raw.join(F.broadcast(order.select("_c", "Cluster_ID")), "_c").select("doc_id", "Keyword", "n", "Cluster_ID"), "assignment")
+    themes = cluster_names(rows.select("doc_id", "term", "weight"), assignment)
+    of = assignment.select("Keyword", "Cluster_ID").join(F.broadcast(themes), "Cluster_ID", "left")     # themes: k rows
+    return spread_join(kw, of, ["Keyword"], "_row").select(*names, "Cluster_ID", "Tema_Semantico")

@@ -19,6 +19,12 @@ TITLE_LONG_ABOVE = 60
 SLOW_SECONDS = 2.0
 OK_STATUS = 200
 NOINDEX = "noindex"
+# How the printed report marks each rule.
+SEVERITY = {
+    "broken_status": "error", "title_missing": "warning", "title_short": "warning", "title_long": "warning",
+    "meta_desc_missing": "warning", "h1_missing": "warning", "img_missing_alt": "notice", "slow_page": "notice",
+    "noindex": "notice", "duplicate_title": "notice", "priority": "error",
+}
 
 
 def _c(name: str) -> Column:
@@ -69,8 +75,8 @@ def _not_placeholder_title() -> Column:
     return ~_c("Title").eqNullSafe(F.lit(MISSING))
 
 
-def rule_summary(audit: DataFrame) -> DataFrame:
-    """(rule, n_pages) -- one pass over the audit table for all rules."""
+def _rule_counts(audit: DataFrame) -> DataFrame:
+    """One row: the number of audited pages, and of those each rule finds, in one pass."""
     preds = rule_predicates(audit.columns)
     aggs = [F.count(F.lit(1)).alias("total")]
     aggs += [F.count_if(p).alias(r) for r, p in preds.items()]
@@ -80,9 +86,22 @@ def rule_summary(audit: DataFrame) -> DataFrame:
         aggs.append((F.count_if(keep) - F.count_distinct(
             F.when(keep, F.struct(_c("Title"))))).alias("duplicate_title"))
     aggs.append(F.count_if(priority_predicate(audit.columns)).alias("priority"))
-    wide = audit.agg(*aggs)
-    names = [c for c in wide.columns]
-    return wide.unpivot([], names, "rule", "n_pages")
+    return audit.agg(*aggs)
+
+
+def rule_summary(audit: DataFrame) -> DataFrame:
+    """(rule, n_pages) -- one pass over the audit table for all rules."""
+    wide = _rule_counts(audit)
+    return wide.unpivot([], list(wide.columns), "rule", "n_pages")
+
+
+def rule_report(audit: DataFrame) -> DataFrame:
+    """(rule, severity, n_pages, n_total): the summary with each rule's severity, and the number of pages audited."""
+    wide = _rule_counts(audit)
+    names = [c for c in wide.columns if c != "total"]
+    severity = F.create_map(*[F.lit(x) for r in names for x in (r, SEVERITY[r])])
+    return (wide.unpivot(["total"], names, "rule", "n_pages")
+            .select("rule", severity[F.col("rule")].alias("severity"), "n_pages", F.col("total").alias("n_total")))
 
 
 def priority_pages(audit: DataFrame) -> DataFrame:
@@ -98,6 +117,10 @@ def duplicate_titles(audit: DataFrame, order_col: str | None = None,
     title is found with a partial aggregate and joined back on a key salted
     for hot titles only, so a title shared by a large share of pages is
     spread over as many tasks as its size needs.
+    ``order_col``: the rows' order, a value that no two rows share (page id,
+    URL of one row per URL, ``tables.with_input_position``); without it the
+    order in which Spark reads the audit.  As many rows come back as
+    ``rule_summary`` counts.
     The salted rows are checkpointed once (eager), so an audit coming out of
     the HTML stage is not parsed twice.
     """

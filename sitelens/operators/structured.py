@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import page_error, spread, with_elements
+from ..functions.html import page_error, with_elements
 from ..functions.text import py_float_text
 from ..functions.url import is_product_url
+from ..plans.bloom import maybe_listed
 from ..sources.snapshots import capture_time, latest_per_url
 
 # Labels of the product report.
@@ -184,7 +185,7 @@ def product_results(snapshots: DataFrame | None, parsed: DataFrame | None = None
                 .filter(is_product_url(F.col("url")))
                 .withColumn("html", F.when(F.col("fetch_error").isNull() & (F.col("status") == 200),
                                            F.col("html"))))
-        pages = with_elements(spread(snap, "url"), keep=("script",), ancestors_for=())
+        pages = with_elements(snap, keep=("script",), ancestors_for=())
     return product_fields(pages.withColumn("fetch_error", page_error())).withColumn("_snap", F.lit(True))
 
 
@@ -195,16 +196,16 @@ def structured_data_audit(urls: DataFrame, snapshots: DataFrame | None, url_col:
     ``urls``: any table with a URL column (an audit table); only URLs ending
     in ``.html`` (case-sensitive) are checked.  ``snapshots``: url, status,
     html, fetch_error.  A URL without a snapshot or with a fetch error gives
-    an error row.  Pages outside the list are dropped before the parse; the
-    small results (``product_results``) are joined to the list.  A null status
+    an error row.  Pages outside the list are dropped before the parse, where
+    they lie, by a Bloom filter; the small results (``product_results``) are joined to the list.  A null status
     counts as an HTTP error.  Of several captures of a URL the latest
     ``fetched_at`` counts.
     """
     if url_col not in urls.columns:
         raise ValueError(f"the URL list needs a {url_col!r} column")
     listed = urls.select(F.col(f"`{url_col}`").alias("url"), *keep).filter(is_product_url(F.col("url")))
-    if parsed is None:      # only listed pages are parsed
-        snapshots = snapshots.join(listed.select("url").distinct(), "url", "left_semi")
+    if parsed is None:      # only pages that may be listed are parsed
+        snapshots = maybe_listed(snapshots, "url", listed)
     results = product_results(snapshots, parsed)
     parsed = listed.join(latest_per_url(results.select(
         "url", "status", "fetch_error", *capture_time(results), "_found", "_priced", "_price", "_currency", "_avail", "_snap")), "url", "left")

@@ -26,6 +26,9 @@ from ..operators import rules as rule_ops
 from ..operators import sitemap as sitemap_ops
 from ..operators import structured as structured_ops
 from ..operators import vitals as vitals_ops
+from ..sources.tables import POSITION
+from .bloom import maybe_listed
+from .ranking import with_position
 
 
 @dataclass
@@ -50,19 +53,28 @@ def site_audit_flow(spark: SparkSession, sitemaps: DataFrame, pages: DataFrame,
 def site_reports(pages: DataFrame, urls: DataFrame, strict: bool = False) -> SiteAudit:
     """Audit, rules, priority, duplicates and products for a URL list, with
     one parse per page: the parsed pages (elements only, no HTML) are
-    checkpointed once and read by the audit and the product check."""
+    checkpointed once and read by the audit and the product check.
+
+    One audit row per URL, that of its latest capture.  Duplicates follow the
+    order of the input, if ``pages`` has a position column
+    (``tables.with_input_position``), else that of URLs; either way there are
+    as many as the rules count.
+    """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(pages.sparkSession)
     wanted = urls.select("url").distinct()
-    pages = pages.join(wanted, "url", "left_semi")      # only listed pages are parsed
-    parsed = audit_ops.parse_snapshots(pages, tags=audit_ops.AUDIT_TAGS + ("script",)).checkpoint()
-    audit = audit_ops.page_audit(None, urls=wanted, parsed=parsed, strict=strict)
+    place = (POSITION,) if POSITION in pages.columns else ()
+    pages = maybe_listed(pages, "url", wanted)          # where they lie; the audit joins the list exactly
+    parsed = audit_ops.parse_snapshots(pages, tags=audit_ops.AUDIT_TAGS + ("script",), keep=place).checkpoint()
+    placed = audit_ops.page_audit(None, urls=wanted, parsed=parsed, strict=strict, latest=True, keep=place)
+    order = place[0] if place else "URL"
+    audit = placed.drop(*place)
     return SiteAudit(
         urls=urls,
         audit=audit,
-        rules=rule_ops.rule_summary(audit),
+        rules=rule_ops.rule_report(audit),
         priority=rule_ops.priority_pages(audit),
-        duplicates=rule_ops.duplicate_titles(audit, order_col="URL"),
+        duplicates=rule_ops.duplicate_titles(placed, order_col=order).orderBy(order).drop(*place),
         products=structured_ops.structured_data_audit(audit, None, parsed=parsed),
     )
 
@@ -97,11 +109,15 @@ def vitals_flow(spark: SparkSession, entries: DataFrame, pages_to_test: dict[str
     return vitals_ops.vitals_report(entries.drop("url").join(targets, "label", "right"))
 
 
-def keyword_table(keywords: DataFrame) -> DataFrame:
-    """Report order: by seed, then keyword (code-point order)."""
-    return keywords.orderBy("seed", "Keyword")
+def keyword_table(keywords: DataFrame, position: str | None = None) -> DataFrame:
+    """Report order: by seed, then keyword (code-point order); ``position`` adds each row's place as a column."""
+    return _in_order(keywords, ["seed", "Keyword"], position)
+
+
+def clustered_table(clustered: DataFrame, position: str | None = None) -> DataFrame:
+    """Report order: by theme, then keyword; ``position`` as above."""
+    return _in_order(clustered, ["Tema_Semantico", "Keyword"], position)
 
 
-def clustered_table(clustered: DataFrame) -> DataFrame:
-    """Report order: by theme, then keyword."""
-    return clustered.orderBy("Tema_Semantico", "Keyword")
+def _in_order(df: DataFrame, order: list[str], position: str | None) -> DataFrame:
+    return with_position(df, order, position).orderBy(position) if position else df.orderBy(*order)

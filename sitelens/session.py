@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def written(df, name: str = "table"):
+    """``df`` written to the shared folder and read back: its lineage ends here, and
+    a lost executor costs no more than reading it again.  The folder's owner clears it."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _cores(master: str) -> int:
     inner = master[master.find("[") + 1: master.find("]")] if "[" in master else "1"
     if inner == "*":

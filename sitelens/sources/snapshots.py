@@ -68,7 +68,11 @@ def capture_time(df: DataFrame) -> tuple[str, ...]:
 
 
 def latest_per_url(results: DataFrame) -> DataFrame:
-    """One result per URL: the latest capture's (ties and captures without a time: the greatest row)."""
+    """One result per URL: the latest capture's (ties and captures without a time: the greatest row).
+
+    The capture time itself is kept, if there is one.
+    """
     rest = [c for c in results.columns if c not in ("url", "fetched_at")]
     newest = F.max(F.struct(*capture_time(results), *rest)).alias("_r")
-    return results.groupBy("url").agg(newest).select("url", *[F.col("_r")[c].alias(c) for c in rest])
+    return (results.groupBy("url").agg(newest)
+            .select("url", *[F.col("_r")[c].alias(c) for c in results.columns if c != "url"]))

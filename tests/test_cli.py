@@ -25,7 +25,9 @@ def test_report_subcommand():
     for p in sorted(glob.glob(f"{d}/out/rules/part-*.csv")):
         with open(p, encoding="utf-8") as f:
             rows += [line.strip() for line in f if not line.startswith("rule,")]
-    got = dict(r.split(",") for r in rows)
-    assert got["total"] == "2" and got["broken_status"] == "1" and got["priority"] == "1"
-    assert got["duplicate_title"] == "1" and got["noindex"] == "1"
+    got = {r.split(",")[0]: r.split(",")[1:] for r in rows}
+    assert got["broken_status"] == ["error", "1", "2"] and got["priority"] == ["error", "1", "2"]
+    assert got["duplicate_title"] == ["notice", "1", "2"] and got["noindex"] == ["notice", "1", "2"]
+    duplicates = [line for p in sorted(glob.glob(f"{d}/out/duplicate_titles/part-*.csv")) for line in open(p, encoding="utf-8") if line.startswith("u")]
+    assert [line.split(",")[0] for line in duplicates] == ["u2"]
     assert glob.glob(f"{d}/out/priority/part-*.csv")

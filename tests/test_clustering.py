@@ -49,23 +49,70 @@ def test_names_and_preview(spark):
     assert g["preview"] == "guanti da lavoro, guanti da lavoro in pelle, guanti nitrile, guanti nitrile neri"
 
 
+def fitted(spark, words, k, n_init, seed=7):
+    """(labels per start, cost per start, best start), from the K-Means itself."""
+    from sitelens.operators.clustering import terms_of
+    from sitelens.operators.kmeans import KMeans, unit_rows
+    docs = spark.createDataFrame([(i, w, 1) for i, w in enumerate(words)], "doc_id long, name string, n long")
+    tf = (docs.select("doc_id", "n", F.explode(terms_of(F.col("name"))).alias("term")).groupBy("doc_id", "n", "term").agg(F.count("*").alias("tf")))
+    rows = unit_rows(tf, len(words)).cache()
+    labels, _, best = KMeans(docs, rows, k, n_init, 300, seed).fit()
+    got = sorted(labels.collect(), key=lambda r: r.doc_id)
+    x = {}
+    for r in rows.collect():
+        x.setdefault(r.doc_id, {})[r.term_id] = r.w
+    return [r.labels for r in got], [r.costs for r in got], best, x
+
+
 def test_best_of_n_cost_and_order_invariance(spark):
-    from pyspark.ml.clustering import KMeans
-
-    from sitelens.operators.clustering import best_kmeans, tfidf_vectors
-    df = spark.createDataFrame([(w,) for w in WORDS], "Keyword string")
-    vec = tfidf_vectors(df).cache()
-    best = best_kmeans(vec, 4, seed=7, n_init=4).summary.trainingCost
-    singles = [KMeans(k=4, seed=7 + i, maxIter=300).fit(vec.select("features")).summary.trainingCost
-               for i in range(4)]
-    assert best <= min(singles) + 1e-12
-    a = cluster_keywords(df, k=4, n_init=3).collect()
+    _, costs, best, _ = fitted(spark, WORDS, 4, 4)
+    sums = [sum(c[s] for c in costs) for s in range(4)]
+    assert best == min(range(4), key=lambda s: (sums[s], s))
+    a = cluster_keywords(spark.createDataFrame([(w,) for w in WORDS], "Keyword string"), k=4, n_init=3).collect()
     shuffled = spark.createDataFrame([(w,) for w in reversed(WORDS)], "Keyword string").repartition(3)
     b = cluster_keywords(shuffled, k=4, n_init=3).collect()
     assert sorted((r["Keyword"], r["Cluster_ID"], r["Tema_Semantico"]) for r in a) == \
         sorted((r["Keyword"], r["Cluster_ID"], r["Tema_Semantico"]) for r in b)
 
 
+def test_kmeans_ends_at_a_fixed_point(spark):
+    """Every label is the nearest of the means of the labels, and every cost the distance to it."""
+    words = WORDS + ["!", "? ?"]                # two documents without a term
+    labels, costs, _, x = fitted(spark, words, 4, 3)
+    for s in range(3):
+        members = {}
+        for d, lab in enumerate(labels):
+            members.setdefault(lab[s], []).append(d)
+        assert 1 < len(members) <= 4
+        means = {}
+        for c, ds in members.items():
+            terms = {t for d in ds for t in x.get(d, {})}
+            means[c] = {t: (2 * sum(x.get(d, {}).get(t, 0) for d in ds) + len(ds)) // (2 * len(ds)) for t in terms}
+        for d in range(len(words)):
+            row = x.get(d, {})
+            far = {c: sum((row.get(t, 0) - m.get(t, 0)) ** 2 for t in {*row, *m}) for c, m in means.items()}
+            assert labels[d][s] == min(far, key=lambda c: (far[c], c)) and costs[d][s] == far[labels[d][s]]
+
+
+def test_labels_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([(w,) for w in WORDS + WORDS[:5]], "Keyword string")
+    was, out = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("4", "61"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append(sorted(tuple(r) for r in cluster_keywords(df, k=4, n_init=2).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert out[0] == out[1] and len(out[0]) == len(WORDS) + 5
+
+
+def test_fewer_distinct_keywords_than_clusters_and_none(spark):
+    same = cluster_keywords(spark.createDataFrame([("aa bb",)] * 9, "Keyword string"), k=3, n_init=2).collect()
+    assert [tuple(r) for r in same] == [("aa bb", 0, "BB - AA BB")] * 9 or {r.Cluster_ID for r in same} == {0}
+    assert cluster_keywords(spark.createDataFrame([], "Keyword string"), n_init=2).count() == 0
+    assert cluster_keywords(spark.createDataFrame([("!",), ("?",)], "Keyword string"), n_init=2).count() == 2
+
+
 def test_preview_of_five_shows_four_and_more(spark):
     rows = [(f"scarpe {w}", "SCARPE - X") for w in ("a1", "b2", "c3", "d4", "e5")] + [("casco z9", "CASCO - Z")]
     df = spark.createDataFrame(rows, "Keyword string, Tema_Semantico string")
