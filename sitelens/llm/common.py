@@ -7,8 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.plans.skew import spread_join
 from sitelens.session import ensure_checkpoint_dir
 
+__all__ = ["gauge", "parts_for", "saved", "scratch", "spread_join", "table", "text_bytes"]
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -51,19 +54,3 @@ def gauge(df: DataFrame, *exprs) -> dict:
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Total UTF-8 bytes of a text column."""
     return gauge(df, F.sum(F.octet_length(F.col(text))).alias("n"))["n"] or 0
-
-
-def spread_join(big: DataFrame, small: DataFrame, keys: list[str], by: str, how: str = "inner", salts: int | None = None, slim: DataFrame | None = None) -> DataFrame:
-    """big joined with small (one row per key), however many rows of big share a key.
-
-    A key's rows of big are dealt over salts by a hash of column ``by``; small
-    gets one row for every (key, salt) that big has, found by a partial
-    aggregation, so a key with few rows costs no more than in a plain join.
-    Null keys match nothing.  Rows of big are not sorted.  ``slim`` has the keys
-    and ``by`` of every row of big, where those are cheaper to read alone.
-    """
-    salts = salts or 4 * int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
-    used = (big if slim is None else slim).select(*keys, salt.alias("_salt")).distinct()
-    near = used.join(small, keys)
-    return big.withColumn("_salt", salt).join(near.hint("shuffle_hash"), [*keys, "_salt"], how).drop("_salt")
