@@ -144,10 +144,15 @@ class KMeans:
         got = self.base.join(best, "doc_id", "left").withColumn("s", F.transform(default, lambda d, i: F.least(d, F.coalesce(F.col("best")[i], d))))
         return got.select("doc_id", "n", F.transform("s", lambda x: x["cluster"]).alias("labels"), F.transform("s", lambda x: x["score"] + F.col("x2")).alias("costs"))
 
-    def moved(self, labels: DataFrame, centroids: DataFrame) -> DataFrame:
+    def members(self, labels: DataFrame) -> dict[int, tuple[int, int, int]]:
+        """Per slot its size and two sums that stand for who is in it: equal ones mean equal labels."""
+        h = F.xxhash64("doc_id", "start", "c")
+        return {r["slot"]: (r["n"], r["x"], r["y"]) for r in labels.select("doc_id", "n", F.posexplode("labels").alias("start", "c"))
+                .groupBy((F.col("start") * self.k + F.col("c")).alias("slot"))
+                .agg(F.sum("n").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.pmod(h, F.lit(1_000_003))).alias("y")).collect()}
+
+    def moved(self, labels: DataFrame, centroids: DataFrame, sizes: dict[int, int]) -> DataFrame:
         """Centroids of labelled documents, rounded to whole numbers."""
-        sizes = {r["slot"]: r["n"] for r in labels.select("n", F.posexplode("labels").alias("start", "c"))
-                 .groupBy((F.col("start") * self.k + F.col("c")).alias("slot")).agg(F.sum("n").alias("n")).collect()}
         size = F.array(*[F.lit(sizes.get(s)).cast("long") for s in range(self.slots)])
         sums = (self.rows.join(labels, "doc_id").select("term_id", "salts", (F.col("w") * F.col("n")).alias("v"), F.posexplode("labels").alias("start", "c"))
                 .groupBy("term_id", "salts", (F.col("start") * self.k + F.col("c")).cast("int").alias("slot")).agg(F.sum("v").alias("v")))
@@ -164,18 +169,12 @@ class KMeans:
         centroids = written(self.seeds(), "centroids")
         labels, was = written(self.labelled(centroids), "labels"), None
         for _ in range(self.max_iter):
-            print_now = self._print(labels)
-            if print_now == was:
+            now = self.members(labels)
+            if now == was:
                 break
-            was = print_now
-            centroids = written(self.moved(labels, centroids), "centroids")
+            was = now
+            centroids = written(self.moved(labels, centroids, {s: m[0] for s, m in now.items()}), "centroids")
             labels = written(self.labelled(centroids), "labels")
         costs = labels.agg(*[F.sum(F.col("costs")[s].cast("decimal(38,0)") * F.col("n")).alias(str(s)) for s in range(self.starts)]).first()
         best = min(range(self.starts), key=lambda s: (costs[s] or 0, s)) if self.starts else 0
         return labels, centroids, best
-
-    @staticmethod
-    def _print(labels: DataFrame) -> tuple:
-        """Stands for all labels: two rounds with the same one have the same labels."""
-        h = F.xxhash64("doc_id", "labels")
-        return tuple(labels.agg(F.bit_xor(h), F.sum(F.pmod(h, F.lit(1_000_003)))).first())

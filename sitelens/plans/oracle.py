@@ -365,6 +365,78 @@ SELECT "Tema_Semantico", count(*) AS n_keywords,
 FROM rk GROUP BY 1"""
 
 
+# K-Means: the same definition (draws by digests, whole-number weights and means)
+# as two recursions over all pairs of documents and clusters.
+def _kmeans_sql(keywords: str, k: int, seed: int = 42, starts: int = 10, max_iter: int = 300) -> str:
+    return f"""
+WITH RECURSIVE kw AS ({keywords}),
+docs AS (SELECT row_number() OVER (ORDER BY "Keyword") AS doc, "Keyword", count(*) AS n FROM kw WHERE "Keyword" IS NOT NULL GROUP BY "Keyword"),
+nd AS (SELECT sum(n) AS total, greatest(2, least({k}, sum(n) // 3)) AS k FROM docs),
+toks AS (SELECT doc, n, regexp_extract_all(lower("Keyword"), '\\b\\w\\w+\\b') AS t FROM docs),
+terms AS (SELECT doc, n, unnest(t) AS term FROM toks
+          UNION ALL SELECT doc, n, unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))]) FROM toks),
+tf AS (SELECT doc, n, term, count(*) AS tf FROM terms GROUP BY ALL),
+dfq AS (SELECT term, sum(n) AS df FROM tf GROUP BY term),
+raw AS (SELECT doc, term, tf * (ln((1 + nd.total) / (1 + df)) + 1) AS w FROM tf JOIN dfq USING (term), nd),
+wt AS (SELECT doc, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS weight FROM raw),
+x AS MATERIALIZED (SELECT doc, term, CAST(round(weight * 1048576) AS BIGINT) AS w FROM wt),
+base AS MATERIALIZED (SELECT doc, "Keyword", n, coalesce(x2, 0) AS x2 FROM docs LEFT JOIN (SELECT doc, CAST(sum(w * w) AS BIGINT) AS x2 FROM x GROUP BY doc) USING (doc)),
+pairs AS MATERIALIZED (SELECT a.doc AS a, b.doc AS b, CAST(sum(a.w * b.w) AS BIGINT) AS dot FROM x a JOIN x b USING (term) GROUP BY ALL),
+draws(turn, start, doc, d, pick) AS (
+  SELECT 0, s, doc, CAST(1 AS BIGINT), CAST(NULL AS BIGINT) FROM base, range({starts}) r(s)
+  UNION ALL
+  SELECT * FROM (
+    WITH picks AS (
+      SELECT turn, start, arg_min(doc, (-ln((CAST('0x' || substr(md5('{seed}|' || start || '|' || turn || '|' || "Keyword"), 1, 13) AS BIGINT) + 0.5)
+                                        / 4503599627370496.0) / (n * CAST(d AS DOUBLE)), "Keyword")) AS pick
+      FROM draws JOIN base USING (doc), nd WHERE d > 0 AND turn < nd.k GROUP BY turn, start)
+    SELECT draws.turn + 1, draws.start, draws.doc,
+           greatest(0, CASE WHEN draws.turn = 0 THEN me.x2 + it.x2 - 2 * coalesce(dot, 0) ELSE least(draws.d, me.x2 + it.x2 - 2 * coalesce(dot, 0)) END),
+           picks.pick
+    FROM draws JOIN picks USING (start) JOIN base me ON me.doc = draws.doc JOIN base it ON it.doc = picks.pick
+      LEFT JOIN pairs ON pairs.a = draws.doc AND pairs.b = picks.pick)
+), chosen AS (SELECT DISTINCT start, turn - 1 AS cluster, pick AS doc FROM draws WHERE turn > 0),
+lloyd(iter, start, cluster, term, m) AS (
+  SELECT 0, start, cluster, term, w FROM chosen JOIN x USING (doc)
+  UNION ALL SELECT 0, start, cluster, '', 0 FROM chosen
+  UNION ALL
+  SELECT * FROM (
+    WITH prev AS (SELECT * FROM lloyd),
+    norms AS (SELECT iter, start, cluster, sum(m * m) AS v FROM prev GROUP BY ALL),
+    dots AS (SELECT start, cluster, doc, sum(w * m) AS dot FROM prev JOIN x USING (term) GROUP BY ALL),
+    labels AS (SELECT start, base.doc, any_value(n) AS n, arg_min(cluster, (v - 2 * coalesce(dot, 0), cluster)) AS cluster
+               FROM norms CROSS JOIN base LEFT JOIN dots USING (start, cluster, doc) GROUP BY start, base.doc),
+    sizes AS (SELECT start, cluster, sum(n) AS size FROM labels GROUP BY ALL),
+    means AS (SELECT start, cluster, term, CAST((2 * sum(w * n) + any_value(size)) // (2 * any_value(size)) AS BIGINT) AS m
+              FROM labels JOIN x USING (doc) JOIN sizes USING (start, cluster) GROUP BY start, cluster, term),
+    new AS (SELECT * FROM means WHERE m > 0
+            UNION ALL SELECT start, cluster, '', 0 FROM sizes
+            UNION ALL SELECT start, cluster, term, m FROM prev ANTI JOIN sizes USING (start, cluster))
+    SELECT (SELECT max(iter) FROM prev) + 1, * FROM new
+    WHERE (SELECT max(iter) FROM prev) < {max_iter}
+      AND EXISTS ((SELECT * FROM new) EXCEPT (SELECT start, cluster, term, m FROM prev)))
+), final AS (SELECT start, cluster, term, m FROM lloyd WHERE iter = (SELECT max(iter) FROM lloyd)),
+norms AS (SELECT start, cluster, sum(m * m) AS v FROM final GROUP BY ALL),
+dots AS (SELECT start, cluster, doc, sum(w * m) AS dot FROM final JOIN x USING (term) GROUP BY ALL),
+near AS (SELECT start, base.doc, any_value(n) AS n, min(v - 2 * coalesce(dot, 0) + x2) AS cost, arg_min(cluster, (v - 2 * coalesce(dot, 0), cluster)) AS cluster
+         FROM norms CROSS JOIN base LEFT JOIN dots USING (start, cluster, doc) GROUP BY start, base.doc),
+costs AS (SELECT start, sum(cost * n) AS cost FROM near GROUP BY start),
+best AS (SELECT doc, n, cluster FROM near WHERE start = (SELECT arg_min(start, (cost, start)) FROM costs)),
+ids AS (SELECT cluster, CAST(row_number() OVER (ORDER BY min("Keyword")) - 1 AS INTEGER) AS "Cluster_ID" FROM best JOIN docs USING (doc) GROUP BY cluster),
+asg AS (SELECT doc, "Keyword", docs.n, "Cluster_ID" FROM best JOIN docs USING (doc) JOIN ids USING (cluster)),
+sizes AS (SELECT "Cluster_ID", sum(n) AS size FROM asg GROUP BY ALL),
+cent AS (SELECT "Cluster_ID", term, round(sum(weight * n) / any_value(size), 9) AS c FROM wt JOIN asg USING (doc) JOIN sizes USING ("Cluster_ID") GROUP BY ALL),
+names AS (SELECT "Cluster_ID", upper(string_agg(term, ' - ' ORDER BY r)) AS "Tema_Semantico"
+          FROM (SELECT *, row_number() OVER (PARTITION BY "Cluster_ID" ORDER BY c DESC, term DESC) AS r FROM cent WHERE c > 0) t WHERE r <= 2 GROUP BY 1)
+SELECT kw."Keyword", asg."Cluster_ID", names."Tema_Semantico"
+FROM kw JOIN asg ON asg."Keyword" = kw."Keyword" LEFT JOIN names USING ("Cluster_ID")"""
+
+
+ORACLE["keyword_cluster"] = _kmeans_sql(f'SELECT "Keyword" FROM ({ORACLE["keyword_expand"]}) e', 7)
+# 25 brands ask for 20 clusters: the number is clamped
+ORACLE["keyword_cluster_clamped"] = _kmeans_sql("SELECT DISTINCT CASE WHEN p_partkey % 9 <> 0 THEN p_brand END AS \"Keyword\" FROM part", 20)
+
+
 # Vitals: arg_max / arg_min with FILTER over the same derived entries.
 _TARGETS = " UNION ALL ".join(f"SELECT '{k}' AS label, '{v}' AS url" for k, v in derive.PAGES_TO_TEST.items())
 _VITALS = f"""

@@ -22,7 +22,7 @@ from ..operators import vitals as vitals_ops
 from ..session import scratch_path
 from ..sinks.csv import write_csv
 from ..sources.csv import read_csv
-from ..sources.tables import read_table, stream_table
+from ..sources.tables import on_all_cores, read_table, stream_table
 from ..streaming import page_audit as page_stream
 from ..streaming import vitals as vitals_stream
 from . import derive
@@ -39,7 +39,7 @@ def register(name: str):
 
 
 def site_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.page_snapshots(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return derive.page_snapshots(on_all_cores(read_table(spark, sf_dir, "pages", "page_id", "url", "html")))
 
 
 def site_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def audit_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_csv_rule_report(spark, sf_dir):
     path = _run_dir(spark, "csv_rule_report")
     write_csv(audit_export(spark, sf_dir), path, bom=True)
-    return rule_ops.rule_summary(read_csv(spark, path))
+    return rule_ops.rule_summary(read_csv(spark, path, multiLine=True))     # headings can hold line breaks
 
 
 # -- step 4: structured data ----------------------------------------------
@@ -97,7 +97,7 @@ def q_csv_rule_report(spark, sf_dir):
 def shop_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and product pages together, as one crawl of one site would be."""
     products = derive.product_snapshots(
-        read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice"))
+        on_all_cores(read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")))
     cols = ["url", "status", "content_type", "html", "fetch_error"]
     return site_snapshots(spark, sf_dir).select(*cols).unionByName(products.select(*cols))
 
@@ -122,7 +122,7 @@ def q_url_column_detect(spark, sf_dir):
 
 @register("backlink_audit")
 def q_backlink_audit(spark, sf_dir):
-    snaps = derive.backlink_snapshots(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    snaps = derive.backlink_snapshots(on_all_cores(read_table(spark, sf_dir, "pages", "page_id", "url", "html")))
     return backlink_ops.backlink_audit(backlink_export(spark, sf_dir), snaps, derive.OWN_DOMAIN)
 
 
@@ -231,6 +231,13 @@ def q_keyword_cluster(spark, sf_dir):
     return cluster_ops.cluster_keywords(kw, k=7)
 
 
+@register("keyword_cluster_clamped")
+def q_keyword_cluster_clamped(spark, sf_dir):
+    """More clusters asked for than a third of the keywords (the brands, one of them null)."""
+    kw = _part(spark, sf_dir, "p_partkey", "p_brand").select(F.when(F.col("p_partkey") % 9 != 0, F.col("p_brand")).alias("Keyword")).distinct()
+    return cluster_ops.cluster_keywords(kw, k=20)
+
+
 # -- step 9: vitals ---------------------------------------------------------
 
 def _entries(spark, events):
