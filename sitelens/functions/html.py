@@ -15,6 +15,7 @@ so ``<p><p>`` nests.  ``script``/``style`` bodies are raw text.
 
 from __future__ import annotations
 
+import json
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -29,6 +30,7 @@ VOID_TAGS = frozenset((
     "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
 ))
 RAW_TEXT_TAGS = frozenset(("script", "style"))
+LD_JSON = "application/ld+json"
 REJECTED = "markup could not be parsed"
 
 DEFAULT_TAGS = ("title", "meta", "link", "h1", "h2", "img", "a", "script")
@@ -53,6 +55,28 @@ ELEMENTS_ARROW = pa.list_(pa.struct(
     + [("text", pa.string()), ("string", pa.string()), ("ancestors", pa.list_(pa.string()))]))
 
 
+def last_keys(text):
+    """JSON text in which no object repeats a key: the last value counts, as Python's parser has it.
+
+    Text without repeated keys, and text that is no JSON, is returned as it is.
+    Spark's JSON parsers take or refuse repeated keys by session settings, and
+    some keep the first.
+    """
+    repeated = []
+
+    def pairs(items):
+        found = dict(items)
+        if len(found) < len(items):
+            repeated.append(True)
+        return found
+
+    try:
+        value = json.loads(text, object_pairs_hook=pairs)
+        return json.dumps(value, ensure_ascii=False, allow_nan=False) if repeated else text
+    except (ValueError, RecursionError):
+        return text
+
+
 class _Tree(HTMLParser):
     """Builds the kept elements in one pass; O(1) work per parser event.
 
@@ -159,6 +183,8 @@ class _Tree(HTMLParser):
             else:
                 text = "".join(self.chunks[start:end])
                 mixed = at_close > at_open
+            if el["tag"] == "script" and el["type"] == LD_JSON:
+                text = last_keys(text)
             el["text"] = text
             el["string"] = text if (text and not mixed) else None
         return self.elements, ("".join(self.chunks) if self.want_text else None)

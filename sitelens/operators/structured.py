@@ -4,7 +4,8 @@ All per-page work is done inside the page row with higher-order functions over
 VARIANT values, so the operator adds no shuffle beyond the URL join.
 
 Semantics per page (blocks and their items in document order):
-* a block that does not parse is skipped;
+* a block that does not parse is skipped; of a repeated key the last value
+  counts (``html.last_keys``), whatever the session's settings;
 * a block is a list of items or a single item;
 * an item whose ``@type`` (as text) contains ``Product`` marks the product as
   found; its first offer (or the offer object) then sets price and currency,
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import page_error, with_elements
+from ..functions.html import LD_JSON, page_error, with_elements
 from ..functions.text import py_float_text
 from ..functions.url import is_product_url
 from ..plans.bloom import maybe_listed
@@ -36,7 +37,6 @@ HTTP_ERROR = "Errore HTTP"
 IN_STOCK = "🟢 Disponibile"
 OUT_OF_STOCK = "🔴 Esaurito"
 UNSPECIFIED = "⚠️ Non specificata"
-LD_JSON = "application/ld+json"
 NO_SNAPSHOT = "no snapshot for URL"
 
 RESULT_COLUMNS = ("URL", "Prodotto Trovato", "Prezzo", "Valuta", "Disponibilità", "Errore")

@@ -34,12 +34,12 @@ _TIPO = """CASE WHEN lower(url) LIKE '%/content/%' THEN 'Pagina (CMS)'
   ELSE 'Categoria' END"""
 
 
-def _audit_sql(strict: bool = False) -> str:
+def _audit_sql(strict: bool = False, source: str = "") -> str:
     strict_filter = ("WHERE NOT (canon_tag <> '' AND NOT regexp_matches(canon_tag, ' href=\"')) "
                      "AND NOT (robots_tag <> '' AND NOT regexp_matches(robots_tag, ' content=\"'))"
                      if strict else "")
     return f"""
-WITH snap AS ({_snap()}),
+WITH snap AS ({source or _snap()}),
 ok AS (SELECT * FROM snap
        WHERE fetch_error IS NULL AND coalesce(content_type, '') LIKE '%text/html%'),
 x AS (
@@ -109,6 +109,13 @@ ORACLE["audit_rule_summary"] = f"""
 WITH a AS ({_audit_sql()}), w AS ({_rule_counts("a")})
 UNPIVOT w ON COLUMNS(*) INTO NAME rule VALUE n_pages"""
 
+_SEVERITY = ", ".join(f"('{r}', '{s}')" for s, rules in {
+    "error": "broken_status priority", "warning": "title_missing title_short title_long meta_desc_missing h1_missing",
+    "notice": "img_missing_alt noindex duplicate_title"}.items() for r in rules.split())
+ORACLE["audit_rule_report"] = f"""
+SELECT rule, severity, n_pages, (SELECT n_pages FROM ({ORACLE["audit_rule_summary"]}) t WHERE rule = 'total') AS n_total
+FROM ({ORACLE["audit_rule_summary"]}) s JOIN (VALUES {_SEVERITY}) v(rule, severity) USING (rule)"""
+
 # The export's NA tokens read back as null; a time over two seconds is slow.
 ORACLE["csv_rule_report"] = f"""
 WITH a AS (
@@ -129,6 +136,25 @@ SELECT page_id, "URL", "Title" FROM (
 WHERE rn > 1"""
 
 
+ORACLE["priority_export"] = f"""
+SELECT CAST(page_id AS VARCHAR) AS page_id, "URL", CAST("Status" AS VARCHAR) AS "Status", nullif("Title", '') AS "Title", nullif("H1", '') AS "H1"
+FROM ({ORACLE["priority_pages"]}) p"""
+
+# Captures: of each URL the latest one counts; duplicates in input order.
+_CAPTURES = f"""
+SELECT * FROM (
+  SELECT *, page_id AS captured FROM ({_snap()}) a
+  UNION ALL
+  SELECT * REPLACE (regexp_replace(html, '<title>[^<]*</title>', '<title>Pagina ' || (page_id // 15) || '</title>', 'g') AS html), page_id + 86400
+  FROM ({_snap()}) b WHERE page_id % 3 = 0) c
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY captured DESC) = 1"""
+ORACLE["report_duplicates"] = f"""
+SELECT "URL", "Title", row_number() OVER (ORDER BY page_id) - 1 AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY "Title" ORDER BY page_id) AS rn
+  FROM ({_audit_sql(source=_CAPTURES)}) a WHERE "Title" IS DISTINCT FROM 'Mancante') d
+WHERE rn > 1"""
+
+
 # Structured data: DuckDB reads the JSON-LD itself -- blocks by regex, JSON
 # functions for the items, a window for the "rest of the block is skipped"
 # cut and arg_max for "the last product wins".
@@ -257,6 +283,9 @@ SELECT url AS "URL Sorgente",
 FROM v"""
 
 
+ORACLE["backlink_audit_gaps"] = ORACLE["backlink_audit"] + " WHERE page_id % 9 <> 0"
+
+
 # Sitemaps: the same site as an edge relation; reachability by recursive UNION.
 _SHOP = derive.SHOP
 _EDGES = f"""
@@ -318,6 +347,8 @@ ORACLE["keyword_preview"] = f"""{_SUGGEST},
 kw AS (SELECT DISTINCT seed, keyword AS "Keyword" FROM hits)
 SELECT * FROM (SELECT seed, "Keyword", CAST(row_number() OVER (PARTITION BY seed ORDER BY "Keyword") AS INTEGER) AS pos
                FROM kw) WHERE pos <= 30"""
+ORACLE["keyword_order"] = f"""
+SELECT *, row_number() OVER (ORDER BY seed, "Keyword") - 1 AS position FROM ({ORACLE["keyword_expand"]}) e"""
 ORACLE["keyword_payloads"] = """
 WITH p AS (
   SELECT split_part(p_name, ' ', 1) AS seed, p_partkey, p_name, p_type, p_brand FROM part),
@@ -365,6 +396,11 @@ SELECT "Tema_Semantico", count(*) AS n_keywords,
 FROM rk GROUP BY 1"""
 
 
+ORACLE["cluster_order"] = f"""WITH {_NAMES},
+cl AS (SELECT d.kw AS "Keyword", n."Tema_Semantico" FROM docs d JOIN asg USING (doc_id) LEFT JOIN names n USING ("Cluster_ID"))
+SELECT *, row_number() OVER (ORDER BY "Tema_Semantico" NULLS FIRST, "Keyword") - 1 AS position FROM cl"""
+
+
 # K-Means: the same definition (draws by digests, whole-number weights and means)
 # as two recursions over all pairs of documents and clusters.
 def _kmeans_sql(keywords: str, k: int, seed: int = 42, starts: int = 10, max_iter: int = 300) -> str:
@@ -468,3 +504,4 @@ FROM f"""
 ORACLE["vitals_report"] = f"WITH {_VITALS}"
 ORACLE["stream_vitals"] = f"WITH {_VITALS}"
 ORACLE["stream_page_audit"] = _audit_sql()
+ORACLE["stream_page_audit_once"] = f"SELECT *, page_id + {derive.FIRST_CAPTURE} AS fetched_at FROM ({_audit_sql()}) a"

@@ -20,12 +20,13 @@ from ..operators import sitemap as sitemap_ops
 from ..operators import structured as structured_ops
 from ..operators import vitals as vitals_ops
 from ..session import scratch_path
-from ..sinks.csv import write_csv
+from ..sinks.csv import write_csv, write_if_not_empty
 from ..sources.csv import read_csv
-from ..sources.tables import on_all_cores, read_table, stream_table
+from ..sources.tables import on_all_cores, read_table, stream_table, with_input_position
 from ..streaming import page_audit as page_stream
 from ..streaming import vitals as vitals_stream
-from . import derive
+from . import derive, flows
+from .ranking import with_position
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -80,6 +81,20 @@ def q_duplicate_titles(spark, sf_dir):
     return dups.select("page_id", "URL", "Title")
 
 
+@register("audit_rule_report")
+def q_rule_report(spark, sf_dir):
+    return rule_ops.rule_report(site_audit(spark, sf_dir).drop("page_id"))
+
+
+@register("report_duplicates")
+def q_report_duplicates(spark, sf_dir):
+    """The site report's duplicate titles, in input order, where pages were captured twice."""
+    pages = derive.captures(on_all_cores(with_input_position(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))))
+    dups = flows.site_reports(pages, pages.select("url")).duplicates
+    listed = dups.select("URL", "Title", F.monotonically_increasing_id().alias("_order"))     # as the list stands
+    return with_position(listed, ["_order"], "place").drop("_order")
+
+
 def audit_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit as another crawler's export: with load times, and NA tokens in two columns."""
     return site_audit(spark, sf_dir).selectExpr(*derive.audit_export_exprs())
@@ -92,6 +107,16 @@ def q_csv_rule_report(spark, sf_dir):
     return rule_ops.rule_summary(read_csv(spark, path, multiLine=True))     # headings can hold line breaks
 
 
+@register("priority_export")
+def q_priority_export(spark, sf_dir):
+    """The list of pages to fix first, written only if there are any, and read again."""
+    path = _run_dir(spark, "priority_export")
+    pages = rule_ops.priority_pages(site_audit(spark, sf_dir)).select("page_id", "URL", "Status", "Title", "H1")
+    if not write_if_not_empty(pages, path):
+        return spark.createDataFrame([], "page_id string, URL string, Status string, Title string, H1 string")
+    return read_csv(spark, path, multiLine=True)
+
+
 # -- step 4: structured data ----------------------------------------------
 
 def shop_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +151,14 @@ def q_backlink_audit(spark, sf_dir):
     return backlink_ops.backlink_audit(backlink_export(spark, sf_dir), snaps, derive.OWN_DOMAIN)
 
 
+@register("backlink_audit_gaps")
+def q_backlink_audit_gaps(spark, sf_dir):
+    """An export that lacks some of its URLs."""
+    snaps = derive.backlink_snapshots(on_all_cores(read_table(spark, sf_dir, "pages", "page_id", "url", "html")))
+    export = read_table(spark, sf_dir, "pages", "page_id", "url").select(F.when(F.col("page_id") % 9 != 0, F.col("url")).alias("Pagina"))
+    return backlink_ops.backlink_audit(export, snaps, derive.OWN_DOMAIN, url_col="Pagina")
+
+
 # -- step 6: sitemap expansion ---------------------------------------------
 
 def site_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +218,11 @@ def q_keyword_preview(spark, sf_dir):
     return keyword_ops.keyword_preview(keyword_ops.expand_keywords(_suggestions(spark, sf_dir)))
 
 
+@register("keyword_order")
+def q_keyword_order(spark, sf_dir):
+    return flows.keyword_table(keyword_ops.expand_keywords(_suggestions(spark, sf_dir)), position="position")
+
+
 @register("keyword_payloads")
 def q_keyword_payloads(spark, sf_dir):
     payloads = _part(spark, sf_dir, "p_partkey", "p_name", "p_type", "p_brand").selectExpr(
@@ -225,6 +263,15 @@ def q_theme_preview(spark, sf_dir):
     return cluster_ops.theme_preview(clustered)
 
 
+@register("cluster_order")
+def q_cluster_order(spark, sf_dir):
+    docs = _part_docs(spark, sf_dir)
+    asg = _fixed_assignment(docs)
+    names = cluster_ops.cluster_names(cluster_ops.tfidf_long(docs), asg)
+    clustered = docs.join(asg, "doc_id").join(names, "Cluster_ID", "left").select("Keyword", "Tema_Semantico")
+    return flows.clustered_table(clustered, position="position")
+
+
 @register("keyword_cluster")
 def q_keyword_cluster(spark, sf_dir):
     kw = keyword_ops.expand_keywords(_suggestions(spark, sf_dir)).select("Keyword")
@@ -267,10 +314,30 @@ def q_stream_page_audit(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@register("stream_page_audit_once")
+def q_stream_page_audit_once(spark, sf_dir):
+    """Every capture is delivered twice, and audited once."""
+    base = _run_dir(spark, "stream_page_audit_once")
+    pages = stream_table(spark, sf_dir, "pages", "page_id long, url string, html string")
+    again = stream_table(spark, sf_dir, "pages", "page_id long, url string, html string")
+    q = page_stream.start_page_audit_stream(pages.unionByName(again), f"{base}/out", f"{base}/ckpt", prepare=derive.timed_page_snapshots,
+                                            once_within="3650 days", keep=("page_id",))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").withColumn("fetched_at", F.unix_timestamp("fetched_at"))
+
+
 @register("stream_vitals")
 def q_stream_vitals(spark, sf_dir):
     base = _run_dir(spark, "stream_vitals")
-    events = stream_table(spark, sf_dir, "events", read_table(spark, sf_dir, "events").schema)
-    q = vitals_stream.start_vitals_stream(_entries(spark, events), f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
-    return vitals_stream.latest_rows(spark, f"{base}/out")
+    table = read_table(spark, sf_dir, "events")
+    entries = _entries(spark, stream_table(spark, sf_dir, "events", table.schema))
+
+    def run():
+        vitals_stream.start_vitals_stream(entries, f"{base}/out", f"{base}/ckpt", closing=f"{base}/closing").awaitTermination()
+
+    run()
+    last = _entries(spark, table).agg(F.max("ts")).first()[0]
+    if last is not None:        # the capture has ended: no entry comes to close the last views
+        vitals_stream.close_views(spark, f"{base}/closing", entries.schema, last)
+        run()
+    return spark.read.schema("view_id string, Tipo string, URL string, TTFB string, LCP string, CLS double, Giudizio string, Errore string, lcp_observed boolean").parquet(f"{base}/out")

@@ -35,8 +35,6 @@ def build_session(master: str | None = None, app: str = "sitelens",
         # Pages vary from 1 KB to 150 KB: bound Arrow batches in rows and bytes.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
-        # JSON-LD with a repeated key: the last value wins, as in Python's json
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", os.environ.get("SITELENS_DRIVER_MEM", "16g"))
     )
     spark = builder.getOrCreate()

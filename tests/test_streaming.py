@@ -18,19 +18,30 @@ def test_stream_vitals_equals_batch(spark):
     assert rows(q["stream_vitals"](spark, SMALL)) == rows(q["vitals_report"](spark, SMALL))
 
 
-def test_vitals_stream_compaction(spark):
+def test_stream_audit_of_redelivered_pages(spark):
+    q = se.queries()
+    once = q["stream_page_audit_once"](spark, SMALL)
+    assert rows(once.drop("fetched_at")) == rows(q["page_audit"](spark, SMALL))
+
+
+def test_a_capture_delivered_again_later_gives_one_row(spark):
     import tempfile
 
-    from sitelens.plans import derive
-    from sitelens.operators import vitals as vitals_ops
-    from sitelens.sources.tables import read_table, stream_table
-    from sitelens.streaming import vitals as vs
+    from pyspark.sql import functions as F
+
+    from sitelens.operators.audit import page_audit
+    from sitelens.plans.queries import site_snapshots
+    from sitelens.sources.snapshots import PAGE_SNAPSHOT
+    from sitelens.streaming.page_audit import start_page_audit_stream
     d = tempfile.mkdtemp(prefix="sitelens-test-")
-    events = stream_table(spark, SMALL, "events", read_table(spark, SMALL, "events").schema)
-    entries = derive.perf_entries(events, vitals_ops.pages_to_test(spark, derive.PAGES_TO_TEST))
-    vs.start_vitals_stream(entries, f"{d}/out", f"{d}/ckpt").awaitTermination()
-    n = vs.compact(spark, f"{d}/out", f"{d}/compact")
-    assert n == se.queries()["vitals_report"](spark, SMALL).count()
+    snaps = site_snapshots(spark, SMALL).withColumn("fetched_at", F.timestamp_seconds(F.col("page_id") + 1_700_000_000)).drop("page_id")
+    recaptured = snaps.limit(5).withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 hour"))
+    for i, part in enumerate([snaps.where("url < 'https://n'"), snaps, snaps, recaptured]):     # twice again, then new captures
+        part.select(*PAGE_SNAPSHOT.names).write.parquet(f"{d}/in/part={i}")
+        src = spark.readStream.schema(PAGE_SNAPSHOT).parquet(f"{d}/in/*")
+        start_page_audit_stream(src, f"{d}/out", f"{d}/ckpt", once_within="2 days").awaitTermination()
+    want = page_audit(snaps.unionByName(recaptured), keep=("fetched_at",))
+    assert rows(spark.read.parquet(f"{d}/out")) == rows(want)
 
 
 def test_incremental_audit_resumes_from_checkpoint(spark):
@@ -59,9 +70,11 @@ def test_incremental_audit_resumes_from_checkpoint(spark):
     assert out.count() == se.queries()["page_audit"](spark, SMALL).count()
 
 
-def test_stream_joins_a_view_across_midnight(spark):
+def test_stream_writes_each_view_once_also_across_midnight(spark):
     import tempfile
 
+    from pyspark.sql import functions as F
+
     from sitelens.operators.vitals import vitals_report
     from sitelens.streaming import vitals as vs
     d = tempfile.mkdtemp(prefix="sitelens-test-")
@@ -79,10 +92,25 @@ def test_stream_joins_a_view_across_midnight(spark):
                           "false as had_recent_input", "1000D as load_ms")
     entries.write.parquet(f"{d}/in")
     stored = spark.read.parquet(f"{d}/in")
-    source = spark.readStream.schema(stored.schema).parquet(f"{d}/in")
-    vs.start_vitals_stream(source, f"{d}/out", f"{d}/ckpt").awaitTermination()
-    streamed = vs.latest_rows(spark, f"{d}/out")
-    assert rows(streamed) == rows(vitals_report(stored))
+
+    def run():
+        source = spark.readStream.schema(stored.schema).parquet(f"{d}/in")
+        vs.start_vitals_stream(source, f"{d}/out", f"{d}/ckpt", gap="1 hour", closing=f"{d}/closing").awaitTermination()
+        return spark.read.schema("view_id string, TTFB string, LCP string, CLS double, Errore string, Tipo string, URL string, Giudizio string, lcp_observed boolean").parquet(f"{d}/out")
+
+    assert run().count() == 0                       # both views are open
+    # the next day moves the watermark past them: one row each, x stays open
+    later = entries.where("view_id = 'v'").withColumn("view_id", F.lit("x")).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 day"))
+    later.write.mode("append").parquet(f"{d}/in")
+    assert rows(run().select("view_id")) == [("v",), ("w",)]
+    # an entry of v that comes too late changes nothing
+    entries.where("view_id = 'v' AND seq = 4").withColumn("seq", F.lit(9).cast("long")).write.mode("append").parquet(f"{d}/in")
+    vs.close_views(spark, f"{d}/closing", stored.schema, later.agg(F.max("ts")).first()[0], gap="1 hour")
+    streamed = run()
+    batch = vitals_report(entries.unionByName(later))
+    cols = sorted(batch.columns)
+    assert rows(streamed.select(*cols)) == rows(batch.select(*cols))
+    assert rows(run().select(*cols)) == rows(batch.select(*cols))       # nothing is written twice
     out = {r["view_id"]: r for r in streamed.collect()}
     assert (out["v"]["TTFB"], out["v"]["LCP"], out["v"]["CLS"]) == ("120ms", "2.8s", 0.3)
-    assert out["w"]["Errore"] == "first"
+    assert out["w"]["Errore"] == "first" and len(out) == 3

@@ -77,3 +77,19 @@ def test_latest_capture_of_a_product_page_counts(spark):
     snaps = spark.createDataFrame(rows, "url string, status int, html string, fetch_error string, fetched_at timestamp")
     urls = spark.createDataFrame([("http://s/a.html",)], "URL string")
     assert [r["Prezzo"] for r in structured_data_audit(urls, snaps).collect()] == ["7"]
+
+
+@pytest.mark.parametrize("allowed", ["true", "false"])
+def test_repeated_keys_do_not_depend_on_the_session(spark, allowed):
+    """The last value counts at every level, as Python's parser has it."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    was = spark.conf.get(key, None)
+    block = ('[{"@type":"Thing","@type":"Product","offers":{"price":1},"offers":[{"price":2.50,"price":19.90,'
+             '"priceCurrency":"EUR","priceCurrency":"è€","availability":"x","availability":"InStock"}]}]')
+    df = snap_df(spark, [("https://s/1.html", 200, ld(block, '{"a":1,"a":', '{"a":NaN,"a":2}'))])
+    try:
+        spark.conf.set(key, allowed)
+        r = structured_data_audit(df.select("url"), df, url_col="url").first()
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+    assert (r["Prodotto Trovato"], r["Prezzo"], r["Valuta"], r["Disponibilità"]) == ("✅ SI", "19.9", "è€", "🟢 Disponibile")
