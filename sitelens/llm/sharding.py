@@ -2,7 +2,8 @@
 
 ``shard_by_bytes`` gives every row a shard and a gapless slot in it.
 
-Method: rows are ordered by a 16-byte key (hash of the group, then id).  To
+Method: rows are ordered by a 24-byte key (hash of the group, id, number of
+the row), so no two rows share one and any order can be cut anywhere.  To
 find the keys that cut the order into equal bytes, a round counts the exact
 bytes and rows below a set of probe keys, one partial histogram a task, summed
 by Spark; every cut keeps the interval that holds its target, narrowed to the
@@ -14,7 +15,7 @@ no second pass.
 
 Equal texts share the hash and lie next to each other: a group stays in one
 shard unless a cut within tolerance must go through it, as when it is larger
-than a shard; it is then cut by id.
+than a shard; it is then cut by id, and rows of one id by their numbers.
 
 Shards are made of ranges of about ``RANGE_ROWS`` rows, so the last sort is
 spread over tasks however few the shards are.  The driver holds PROBES keys a
@@ -38,26 +39,27 @@ from sitelens.llm.common import gauge, saved
 PROBES = 32
 TOLERANCE = 0.001  # of a shard
 RANGE_ROWS = 1_000_000
-TOP = 1 << 128
+WIDTH = 24  # bytes of a key
+TOP = 1 << (8 * WIDTH)
 
 
 def order_key(group: Column, id: Column) -> Column:
-    """16 bytes that sort by the group's hash, then by id (null first)."""
+    """16 bytes that sort by the group's hash, then by id (null first); the row's number follows later."""
     low = F.coalesce(id.cast("long"), F.lit(-(1 << 63))).bitwiseXOR(F.lit(-(1 << 63)))
     return F.unhex(F.concat(F.lpad(F.hex(group), 16, "0"), F.lpad(F.hex(low), 16, "0")))
 
 
 def _bytes(k: int) -> bytes:
-    return min(k, TOP - 1).to_bytes(16, "big")
+    return min(k, TOP - 1).to_bytes(WIDTH, "big")
 
 
 def _probe_array(keys: list[int]) -> np.ndarray:
     # fixed width: zero bytes at the end compare like the padding they are
-    return np.array([_bytes(k) for k in keys], "S16") if keys else np.empty(0, "S16")
+    return np.array([_bytes(k) for k in keys], f"S{WIDTH}") if keys else np.empty(0, f"S{WIDTH}")
 
 
 def _keys(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), "S16")
+    return np.frombuffer(b"".join(col.to_pylist()), f"S{WIDTH}")
 
 
 def _histogram(rows: DataFrame, probes: list[int]) -> list[tuple[int, int, int, int]]:
@@ -78,7 +80,7 @@ def _histogram(rows: DataFrame, probes: list[int]) -> list[tuple[int, int, int,
             first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
             last = np.append(first[1:], len(a)) - 1
             for x, f, e in zip(a[first].tolist(), order[first], order[last]):
-                f, e = k[f].ljust(16, b"\0"), k[e].ljust(16, b"\0")
+                f, e = k[f].ljust(WIDTH, b"\0"), k[e].ljust(WIDTH, b"\0")
                 lo[x], hi[x] = min(lo.get(x, f), f), max(hi.get(x, e), e)
         x = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"i": pa.array(x, pa.int32()), "size": pa.array(size[x]), "n": pa.array(n[x]),
@@ -126,7 +128,8 @@ def shard_by_bytes(df: DataFrame, size: str, key: Column, shards: int = 16, tole
     """df with shard (from 0) and slot (gapless from 0 in its shard); columns of those names are replaced."""
     spark = df.sparkSession
     names = [c for c in df.columns if c not in ("shard", "slot")]
-    rows = saved(df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{size}`").cast("long").alias("size"), key.alias("key")), "shards")
+    rows = saved(df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{size}`").cast("long").alias("size"),
+                           F.concat(key, F.unhex(F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))).alias("key")), "shards")
     sums = gauge(rows, F.count("*").alias("n"), F.sum("size").alias("size"))
     per_shard = max(1, -(-sums["n"] // (shards * RANGE_ROWS)))
     cuts = find_cuts(rows, sums["size"], shards, per_shard, tolerance) if sums["n"] else []
@@ -138,7 +141,7 @@ def shard_by_bytes(df: DataFrame, size: str, key: Column, shards: int = 16, tole
     def run(batches):
         p = _probe_array(keys.value)
         for batch in batches:
-            k = _keys(batch.column(2)) if batch.num_rows else np.empty(0, "S16")
+            k = _keys(batch.column(2)) if batch.num_rows else np.empty(0, f"S{WIDTH}")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.searchsorted(p, k, "right"), pa.int32())], names=schema.names)
 
     placed = rows.mapInArrow(run, schema)

@@ -149,6 +149,27 @@ def test_sharding(table):
     assert sums.max() <= got["size"].sum() / 4 + 2 * got["size"].max()
 
 
+@pytest.mark.parametrize("same", ["rows", "ids", "texts"])
+def test_sharding_law_holds_for_repeated_rows(spark, same):
+    """Half of the rows share doc_id and text, or one of them; every slot and shard against a plain sort."""
+    i = F.col("id")
+    half = i < 2000
+    df = spark.range(4000).select(F.when(half & (same != "texts"), 7).otherwise(i).alias("doc_id"),
+                                  F.when(half & (same != "ids"), "same text").otherwise(F.concat(F.lit("t"), i.cast("string"))).alias("text"),
+                                  (i % 9 + 1).alias("size"), i.alias("shard"), i.alias("slot"))
+    key = sharding.order_key(F.xxhash64("text"), F.col("doc_id"))
+    got = sharding.shard_by_bytes(df, "size", key, shards=16).toPandas()
+    total, sums = got["size"].sum(), got.groupby("shard")["size"].sum()
+    assert len(got) == 4000 and sorted(sums.index) == list(range(16))
+    assert abs(sums - total / 16).max() <= 0.001 * total / 16 * 2 + 9
+    for _, g in got.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+    order = df.select("doc_id", "text", key.alias("k")).distinct().toPandas().set_index(["doc_id", "text"])["k"].map(bytes)
+    placed = got.sort_values(["shard", "slot"])
+    keys = [order[(r.doc_id, r.text)] for r in placed.itertuples()]
+    assert keys == sorted(keys)         # shards and slots follow the order of keys
+
+
 def test_sharding_hot_group(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1500, "same").otherwise(F.col("id").cast("string")).alias("text"), F.lit(5).cast("long").alias("size"))
     got = sharding.shard_by_bytes(df, "size", sharding.order_key(F.xxhash64("text"), F.col("doc_id")), shards=8).toPandas()
@@ -442,7 +463,7 @@ def test_clashing_columns_pass_through(odd):
 
 
 def test_registry_names():
-    assert [n.split("_")[0] for n in REGISTRY] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in REGISTRY] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline(spark, docs):
