@@ -27,14 +27,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of SimHash near duplicates: the smallest doc_id.
+    """One document of every group of SimHash near duplicates: the smallest doc_id, of rows that share it the smallest digest of the text.
 
-    Rows without a doc_id stay (nothing can name them a copy of another); rows
-    that repeat the kept doc_id are kept once.
+    Rows that share a doc_id but no near text each stay with their own group.
+    A row without a doc_id comes after all others of its group, and stays if it
+    has none beside it; rows that repeat a kept doc_id and text are kept once.
     """
-    keep = simhash.near_duplicates(docs).where("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct()
-    named = docs.select(*COLUMNS).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.select(*COLUMNS).where("doc_id is null"))
+    rows = docs.select(*COLUMNS, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"),
+                                          F.col("text").isNull().alias("no_text")).alias("who"))
+    keep = simhash.near_duplicates(rows, key="who").select(F.col("component_id").alias("who")).distinct()
+    return rows.dropDuplicates(["who"]).join(keep, "who", "left_semi").select(*COLUMNS)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
