@@ -49,19 +49,23 @@ def filter_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
             .select("_block", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0).cast("long"))).alias("_words")))
 
 
-def maybe_listed(df: DataFrame, key: str, keys: DataFrame, list_key: str | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may be among ``keys``: all that are, and a few that are not.
+def with_maybe(df: DataFrame, key: str, keys: DataFrame, name: str, list_key: str | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``df`` with boolean ``name``: false only where ``key`` is surely not among ``keys``.
 
     ``keys`` is read twice (counted, then put into the filter).  A list that is
-    too long for ``max_bytes`` lets more rows pass, never fewer.  Null keys go.
+    too long for ``max_bytes`` leaves more rows unsure.  A null key is not listed.
     """
-    list_key = list_key or key
     blocks = block_count(keys.count(), max_bytes)
     k = F.col(f"`{key}`")
-    tests = [F.call_function("shiftright", F.get("_words", F.floor(_place(k, i) / 64).cast("int")), _place(k, i) % 64).bitwiseAND(F.lit(1).cast("long")) == 1 for i in range(PROBES)]
-    hit = tests[0]
-    for t in tests[1:]:
-        hit = hit & t
-    table = F.broadcast(filter_blocks(keys, list_key, blocks))     # at most max_bytes
-    return (df.where(k.isNotNull()).withColumn("_block", _block(k, blocks)).join(table, "_block").where(hit)
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    hit = k.isNotNull()
+    for i in range(PROBES):
+        word = F.get("_words", F.floor(_place(k, i) / 64).cast("int"))
+        hit = hit & (F.call_function("shiftright", word, _place(k, i) % 64).bitwiseAND(F.lit(1).cast("long")) == 1)
+    table = F.broadcast(filter_blocks(keys, list_key or key, blocks))     # at most max_bytes
+    return (df.withColumn("_block", _block(k, blocks)).join(table, "_block", "left")
+            .select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.coalesce(hit, F.lit(False)).alias(name)))
+
+
+def maybe_listed(df: DataFrame, key: str, keys: DataFrame, list_key: str | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among ``keys``: all that are, and a few that are not.  Null keys go."""
+    return with_maybe(df, key, keys, "_listed", list_key, max_bytes).where("_listed").drop("_listed")
