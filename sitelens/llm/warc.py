@@ -15,8 +15,9 @@ a payload that another record holds.
 
 Of records with equal payloads of at least ``at_least`` bytes the one with the
 largest page id (then the largest record id) is the response.  The choice is
-made on digests and ids alone: the largest per (digest, salt), then per digest,
-and back by the salt, so a payload held by a third of all records is spread over tasks.
+made on digests and ids alone.  A Bloom filter of the payloads that several records
+hold lets all other records be written where they are read; the rest are joined
+to their response by digest and salt, so a payload held by a third of all records is spread over tasks.
 
 Files are written and read with Spark's text source, as each format ends its
 records with fixed bytes (ARC: a line feed, WARC: two line ends), so any file
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitelens.llm.common import saved, scratch, spread_join
+from sitelens.plans.bloom import with_maybe
 
 # Formats, names and profile of the archive standards.
 ARC_FIELDS = {1: 5, 2: 10}
@@ -55,6 +57,7 @@ PAGE_ID = "X-Page-Id"
 PAYLOAD_LENGTH = "WARC-Payload-Length"  # of a revisit, whose HTTP headers may not say it
 
 DEFAULT_DATE = "19970101000000"
+GZIP = {"compression": "gzip", "zlib.compress.level": "THREE"}  # half the work of the usual level, a few per cent more bytes
 BATCH_BYTES = 4 << 20  # bytes of records that leave a task at a time
 
 RECORD = "record_id string, uri string, address string, date string, kind string, page_id string, http binary, payload binary, payload_bytes long, payload_digest string, block_digest string, truncated boolean"
@@ -183,7 +186,7 @@ def write_arc(pages: DataFrame, out: str, key: str = "page_id", url: str = "url"
                                  F.when(F.col("v") == 2, F.lit("200 - - 0 -")), F.octet_length(block).cast("string")), F.lit("\n"), block, F.lit("\n"))
     first = F.when(F.col("n").bitwiseAND(F.lit((1 << 33) - 1)) == 0, first).otherwise(F.lit(""))  # the first row of a task
     (rows.select(_join(first, head, "\n", F.col("http"), F.col("body")).cast("string").alias("value"))
-     .write.option("compression", "gzip").option("lineSep", ARC_END).text(out))
+     .write.options(**GZIP).option("lineSep", ARC_END).text(out))
 
 
 def arc_records(name: str, chunks: Iterator[bytes], payload: bool = True) -> Iterator[dict]:
@@ -279,10 +282,10 @@ def iso_date(date: str | Column) -> Column:
 
 
 def responses(records: DataFrame, at_least: int = 0, key_type: str = "long") -> DataFrame:
-    """(payload_digest, response_id, response_page): the record that stands for each payload of at least at_least bytes."""
+    """(payload_digest, response_id, response_page): the record that stands for each payload of at least at_least bytes that several hold."""
     rank = F.struct(F.col("page_id").try_cast(key_type).alias("page"), F.col("record_id").alias("id"))
     large = records.where((F.col("payload_bytes") >= at_least) & F.col("http").isNotNull())
-    return (large.groupBy("payload_digest").agg(F.max(rank).alias("r"))
+    return (large.groupBy("payload_digest").agg(F.max(rank).alias("r"), F.count("*").alias("n")).where("n > 1")
             .select("payload_digest", F.col("r.id").alias("response_id"), F.col("r.page").cast("string").alias("response_page")))
 
 
@@ -292,7 +295,11 @@ def convert(spark: SparkSession, arc: str, out: str, at_least: int = 0, key_type
     A revisit keeps its HTTP headers, names the response that holds its payload and has that payload's digest.
     """
     slim = saved(read_arc(spark, arc, payload=False).drop("payload", "block_digest"), "arc-records")
-    got = spread_join(read_arc(spark, arc), responses(slim, at_least, key_type), ["payload_digest"], "record_id", "left", slim=slim)
+    best = saved(responses(slim, at_least, key_type), "responses")
+    # records whose payload surely is their own alone are written where they are read
+    flagged, shared = with_maybe(read_arc(spark, arc), "payload_digest", best, "shared"), with_maybe(slim, "payload_digest", best, "shared").where("shared")
+    alone = flagged.where("not shared").withColumns({"response_id": F.lit(None).cast("string"), "response_page": F.lit(None).cast("string")})
+    got = alone.unionByName(spread_join(flagged.where("shared"), best, ["payload_digest"], "record_id", "left", slim=shared))
     revisit = (F.col("response_id") != F.col("record_id")) & (F.col("payload_bytes") >= at_least) & F.col("http").isNotNull()
     kind = F.when(F.col("http").isNull(), "resource").when(revisit, "revisit").otherwise("response")
     rows = got.withColumn("type", kind).withColumn("block", F.concat(F.coalesce("http", F.lit("").cast("binary")), F.when(F.col("type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))))
@@ -320,7 +327,7 @@ def convert(spark: SparkSession, arc: str, out: str, at_least: int = 0, key_type
                     F.lit(f"{LINE_END}Content-Type: application/warc-fields{LINE_END}Content-Length: {len(fields)}{WARC_END}{fields}{WARC_END}"))
     first = F.when(F.col("n").bitwiseAND(F.lit((1 << 33) - 1)) == 0, info).otherwise(F.lit(""))
     (rows.withColumn("n", F.monotonically_increasing_id()).select(_join(first, head, F.col("block")).cast("string").alias("value"))
-     .write.option("compression", "gzip").option("lineSep", WARC_END).text(out))
+     .write.options(**GZIP).option("lineSep", WARC_END).text(out))
 
 
 WARC_RECORD = "type string, record_id string, uri string, date string, page_id string, payload binary, payload_bytes long, payload_digest string, refers_to_id string, truncated boolean"
