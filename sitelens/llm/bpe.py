@@ -4,8 +4,9 @@
 ``decode_documents`` turns ids back into text; both run per Arrow batch inside
 ``mapInArrow`` (no shuffle, rows are independent).
 
-Method: the vocabulary is a trie (the goto function of an Aho-Corasick
-automaton) that yields the longest token starting at a position.  A word is
+Method: an Aho-Corasick automaton of the tokens, read from their ends, walks each
+word once from its end and so yields the longest token that begins at every
+position; its failure links also name the next shorter one.  A word is then
 encoded left to right: the longest match is kept if it is *compatible* with
 the token before it, otherwise the next shorter token of the same position is
 tried, and when none is left the previous token is withdrawn and shortened.  A
@@ -22,15 +23,17 @@ Defined results: a null or empty text has no tokens and decodes to the empty
 text; other columns pass through unchanged; the strings of special tokens in a
 text become the special ids (as the tokenizers library does by default).
 Memory per task is bounded by ``CHUNK_BYTES`` of text at a time: longer texts
-are cut before a space between two ASCII letters, where every supported
-pattern starts a new word.
+are cut where every supported pattern starts a new word, whatever is around it:
+at white space between letters, after digits and marks (``_safe_cut``).  Only a
+single word longer than that is held whole.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,7 +118,7 @@ class Bpe:
         order = np.argsort(keys)
         self.pair_keys, self.pair_made = keys[order], np.arange(len(base), n)[order]
         self.n = n
-        self._build_trie(names)
+        self._build_automaton(names)
         self.seen = np.full(PAIR_SLOTS, -1, np.int64)
         self.fits = np.zeros(PAIR_SLOTS, bool)
         self.classes = _latin_classes()
@@ -134,35 +137,68 @@ class Bpe:
         syms[-1] += last
         return syms
 
-    def _build_trie(self, names: list[str]) -> None:
+    def _build_automaton(self, names: list[str]) -> None:
+        """Aho-Corasick automaton of the tokens read from their ends.
+
+        Walked over a word from its last symbol to its first, its state after a
+        symbol is the longest token part that begins there, and ``token_at`` of
+        the state the longest token that begins there.
+        """
+        symbols = [self._symbols(name)[::-1] for name in names]
+        self.length = np.array([len(x) for x in symbols], np.int64)
+        wide = 512 if self.suffix else 256
         goto: dict[int, int] = {}
-        ends = {0: -1}
-        self.length = np.zeros(self.n, np.int64)
-        self.shorter = np.full(self.n, -1, np.int64)
-        paths = []
-        for t, name in enumerate(names):
-            node, path = 0, []
-            for s in self._symbols(name):
+        node_of = np.zeros(self.n, np.int64)
+        for t, syms in enumerate(symbols):
+            node = 0
+            for s in syms:
                 node = goto.setdefault(node * 512 + s, len(goto) + 1)
-                path.append(node)
-            ends[node] = t
-            paths.append(path)
-            self.length[t] = len(path)
-        for t, path in enumerate(paths):
-            self.shorter[t] = next((ends[x] for x in reversed(path[:-1]) if x in ends), -1)
+            node_of[t] = node
+        # states with children come first, so that only they have a row of moves
         inner = sorted({k // 512 for k in goto} | {0})
-        number = {x: i for i, x in enumerate(inner)}
-        for x in sorted(set(goto.values()) - set(inner)):
-            number[x] = len(number)
+        number = np.zeros(len(goto) + 1, np.int64)
+        number[inner] = np.arange(len(inner))
+        leaves = np.setdiff1d(np.arange(len(goto) + 1), inner)
+        number[leaves] = len(inner) + np.arange(len(leaves))
         self.inner = len(inner)
-        self.goto = np.full((self.inner, 512 if self.suffix else 256), -1, np.int32)
-        k = np.fromiter(goto.keys(), np.int64, len(goto))
-        num = np.zeros(len(goto) + 1, np.int32)
-        num[list(number.keys())] = list(number.values())
-        self.goto[num[k // 512], k % 512] = num[np.fromiter(goto.values(), np.int64, len(goto))]
+        keys = np.fromiter(goto.keys(), np.int64, len(goto))
+        to = number[np.fromiter(goto.values(), np.int64, len(goto))]
+        parent, sym = number[keys // 512], keys % 512
+        self.goto = np.full((self.inner, wide), -1, np.int32)
+        self.goto[parent, sym] = to
         self.token_at = np.full(len(number), -1, np.int64)
-        for x, t in ends.items():
-            self.token_at[number[x]] = t
+        self.token_at[number[node_of]] = np.arange(self.n)
+        # failure links, level by level: the longest other token part that begins at the same place
+        self.fail = np.zeros(len(number), np.int32)
+        own = self.token_at.copy()
+        level = np.flatnonzero(parent == 0)
+        by_parent = np.argsort(parent, kind="stable")
+        starts = np.searchsorted(parent[by_parent], np.arange(self.inner + 1))
+        self.shorter = np.full(self.n, -1, np.int64)
+        while level.size:
+            at = level[parent[level] > 0]
+            self.fail[to[at]] = self._move(self.fail[parent[at]], sym[at])
+            nodes = to[level]
+            behind = self.token_at[self.fail[nodes]]
+            mine = own[nodes]
+            self.shorter[mine[mine >= 0]] = behind[mine >= 0]       # the next shorter token of the same place
+            self.token_at[nodes] = np.where(mine >= 0, mine, behind)
+            grown = nodes[nodes < self.inner]
+            level = by_parent[ragged(starts[grown], starts[grown + 1] - starts[grown])]
+
+    def _move(self, state: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """States after one symbol each: along a move, or along failure links to a state that has it, or the root."""
+        out = np.zeros(len(state), np.int32)
+        act = np.arange(len(state))
+        while act.size:
+            has = state < self.inner
+            to = np.full(len(act), -1, np.int32)
+            to[has] = self.goto[state[has], sym[has]]
+            found = to >= 0
+            out[act[found]] = to[found]
+            on = ~found & (state > 0)       # the root itself has no other place to try
+            act, state, sym = act[on], self.fail[state[on]], sym[on]
+        return out
 
     def _build_offsets(self, vocab: dict[str, int]) -> None:
         """The offset table: bytes of id i are blob[off[i]:off[i+1]]."""
@@ -181,19 +217,18 @@ class Bpe:
 
     # ---- encoding of words given as symbols
 
-    def _longest(self, syms: np.ndarray, pos: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Longest token at each position (trie walk of all positions together)."""
-        best = np.full(len(pos), -1, np.int64)
-        act, cur, node = np.arange(len(pos)), pos.copy(), np.zeros(len(pos), np.int32)
-        while act.size:
-            node = self.goto[node, syms[cur]]
-            on = node >= 0
-            act, node, cur = act[on], node[on], cur[on] + 1
-            t = self.token_at[node]
-            hit = t >= 0
-            best[act[hit]] = t[hit]
-            on = (node < self.inner) & (cur < end[act])
-            act, node, cur = act[on], node[on], cur[on]
+    def _longest(self, syms: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Longest token at every symbol of the words, one word after the other (one walk from each word's end)."""
+        room = np.cumsum(size) - size
+        best = np.full(int(size.sum()), -1, np.int64)
+        order = np.argsort(-size, kind="stable")        # longer words are walked on when shorter ones have ended
+        state = np.zeros(len(order), np.int32)
+        far = size[order]
+        for i in range(1, int(far[0]) + 1 if len(far) else 1):
+            live = int(np.searchsorted(-far, -i, "right"))
+            w = order[:live]
+            state[:live] = self._move(state[:live], syms[start[w] + size[w] - i])
+            best[room[w] + size[w] - i] = self.token_at[state[:live]]
         return best
 
     def _compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -242,11 +277,11 @@ class Bpe:
         out = np.empty(int(size.sum()), np.int32)
         border = room + np.arange(n)  # size+1 borders a word
         free = np.ones(len(out) + n, bool)
-        end = start + size
+        longest = self._longest(syms, start, size)
         pos, count, last = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1, np.int64)
         act = np.flatnonzero(size > 0)
         tok = np.full(n, -1, np.int64)
-        tok[act] = self._longest(syms, start[act], end[act])
+        tok[act] = longest[room[act]]
         while act.size:
             t = tok[act]
             e = pos[act] + self.length[t]
@@ -261,7 +296,7 @@ class Bpe:
             pos[w], last[w] = e[ok], tw
             on = w[pos[w] < size[w]]
             if on.size:
-                tok[on] = self._longest(syms, start[on] + pos[on], end[on])
+                tok[on] = longest[room[on] + pos[on]]
             w = act[~ok]
             if w.size:
                 less = self.shorter[t[~ok]]
@@ -401,23 +436,11 @@ class Bpe:
         syms = word.astype(np.int32)
         if self.suffix:
             syms[-1] += 256
-        syms, n = syms.tolist(), len(word)
-        goto, token_at, inner = self.goto, self.token_at, self.inner
+        n = len(word)
+        longest = self._walk(syms.tolist())
         known: dict[int, bool] = {}
-
-        def longest(p: int) -> int:
-            node, best = 0, -1
-            while p < n and node < inner:
-                node = goto[node, syms[p]]
-                if node < 0:
-                    break
-                if token_at[node] >= 0:
-                    best = int(token_at[node])
-                p += 1
-            return best
-
         length, shorter = self.length, self.shorter
-        free, out, pos, tok = bytearray(b"\1" * (n + 1)), [], 0, longest(0)
+        free, out, pos, tok = bytearray(b"\1" * (n + 1)), [], 0, longest[0]
         while pos < n:
             e = pos + int(length[tok])
             ok = bool(free[e])
@@ -429,7 +452,7 @@ class Bpe:
             if ok:
                 out.append(tok)
                 pos = e
-                tok = longest(pos) if pos < n else -1
+                tok = longest[pos] if pos < n else -1
                 continue
             tok = int(shorter[tok])
             if tok < 0:
@@ -438,6 +461,23 @@ class Bpe:
                 pos -= int(length[tok])
         return np.array(out, np.int32)
 
+    def _walk(self, syms: list[int]) -> list[int]:
+        """Longest token at every symbol of one word."""
+        goto, fail, token_at, inner = self.goto, self.fail, self.token_at, self.inner
+        best, state = [0] * len(syms), 0
+        for i in range(len(syms) - 1, -1, -1):
+            s = syms[i]
+            while True:
+                to = goto[state, s] if state < inner else -1
+                if to >= 0:
+                    state = to
+                    break
+                if not state:
+                    break
+                state = fail[state]
+            best[i] = int(token_at[state])
+        return best
+
     def _ids_other(self, text: str) -> np.ndarray:
         """Texts with other scripts, control characters or special tokens: split by the library."""
         import regex
@@ -529,23 +569,57 @@ def _padded(raw: np.ndarray, a: int, e: int) -> np.ndarray:
     return out
 
 
+def _cut_marks() -> tuple[np.ndarray, np.ndarray]:
+    """Bytes after which, before a letter, a new word starts in every pattern: digits and ASCII marks.
+
+    No quote (it may begin "'s") and none of the marks of special tokens.
+    """
+    marks = np.zeros(256, bool)
+    marks[[c for c in range(33, 127) if not chr(c).isalpha() and chr(c) not in "'<|>"]] = True
+    letters = np.zeros(256, bool)
+    letters[[c for c in range(128) if chr(c).isalpha()]] = True
+    return marks, letters
+
+
+_MARKS, _LETTERS = _cut_marks()
+# Full stops, commas and the like of Chinese and Japanese, in UTF-8.
+CJK_MARKS = [x.encode() for x in "。，、！？；："]
+
+
 def _safe_cut(raw: np.ndarray, a: int, end: int) -> int:
-    """The first space between two ASCII letters after CHUNK_BYTES, or the end."""
+    """The first place after CHUNK_BYTES where a new word starts whatever is around it, or the end.
+
+    That is a space or line feed between two ASCII letters, a letter after a digit or ASCII mark,
+    or a Chinese character after a Chinese mark.
+    """
     at = a + CHUNK_BYTES
     while at < end - 1:
         b = raw[at: min(at + CHUNK_BYTES, end)]
-        letter = ((b | 0x20) >= 0x61) & ((b | 0x20) <= 0x7A)
-        hit = np.flatnonzero((b[1:-1] == 0x20) & letter[:-2] & letter[2:])
-        if hit.size:
-            return at + 1 + int(hit[0])
-        at += max(len(b) - 2, 1)
+        if len(b) < 4:
+            break
+        letter = _LETTERS[b]
+        hit = np.zeros(len(b), bool)
+        hit[1:-1] = ((b[1:-1] == 0x20) | (b[1:-1] == 0x0A)) & letter[:-2] & letter[2:]
+        hit[1:] |= _MARKS[b[:-1]] & letter[1:]
+        for x in CJK_MARKS:
+            hit[3:] |= (b[:-3] == x[0]) & (b[1:-2] == x[1]) & (b[2:-1] == x[2]) & (b[3:] >= 0xE4) & (b[3:] <= 0xE9)
+        found = np.flatnonzero(hit)
+        if found.size:
+            return at + int(found[0])
+        at += max(len(b) - 4, 1)
     return end
 
 
-@functools.lru_cache(maxsize=4)
 def load(path: str) -> Bpe:
-    """Tables of a vocabulary file, built once per Python worker."""
-    return Bpe(path)
+    """Tables of a vocabulary file, built once per Python worker.
+
+    The functions of this module reach a worker by value, anew with every task, so
+    the tables are kept under a name of their own.
+    """
+    kept = sys.modules.setdefault("_sitelens_vocabularies", types.ModuleType("_sitelens_vocabularies")).__dict__
+    if path not in kept:
+        kept[path] = Bpe(path)
+    return kept[path]
 
 
 def _add_columns(batch: pa.RecordBatch, new: dict[str, pa.Array], drop: tuple[str, ...] = ()) -> pa.RecordBatch:
