@@ -5,10 +5,10 @@ end-of-document id follows every document; nothing says where documents
 start.  ``write_token_files`` makes such files from texts, ``scan_token_files``
 counts them.
 
-Method: each file is read in blocks of ``BLOCK`` tokens; a vectorised compare
-finds the separators of a block.  A block reports its separators' places, and
-two prefix scans over the blocks of a file stitch the borders: the running
-number of separators gives the number of a block's first document, the last
+Method: byte ranges of a file are read by different tasks, in blocks of about
+``BLOCK`` tokens; a vectorised compare finds where a block holds the separator's
+bytes.  Prefix scans over the blocks of a file stitch the borders: the
+running number of bytes says which of these places begin a token, the running number of separators gives the number of a block's first document, the last
 separator before the block gives where that document began.  A document's
 length is the distance between its two separators, wherever blocks end.
 
@@ -18,9 +18,10 @@ the id itself; its name says how often, so that its parts are put together.
 
 Defined results: an empty document (null or empty text) has 0 tokens; ids
 after the last separator form a last, unterminated document; an empty file has
-none.  A file whose separators are not those its names tell of is an error.  A
-file is read whole by one task, so a file gets no further document once it
-holds ``FILE_BYTES`` of ids.
+none; bytes after the last whole token are no token.  A file whose separators are
+not those its names tell of is an error.  Files may be of any size: a task holds
+a block, or one document if that is longer.  Only where the separator's bytes
+overlap with themselves (id 0, for one) is a file read whole by one task (2 GB at most).
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitelens.llm.bpe import load, row_slices
-from sitelens.llm.common import scratch
+from sitelens.llm.common import saved, scratch
 
 BLOCK = 1 << 18
 FILE_BYTES = 8 << 20
@@ -130,41 +131,112 @@ def read_names(spark: SparkSession, out: str, key_type: T.DataType, key: str = "
     return lines.select(_unit("path").alias("file"), text_of(0).cast("long").alias("ordinal"), own.alias("own"), text_of(2).cast(key_type).alias(key))
 
 
-def scan_token_files(spark: SparkSession, path: str, end_id: int = SEPARATOR, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """Columns path, ordinal (from 0), start (token place), n_tokens, terminated."""
-    kind = "<u2" if width == 2 else "<u4"
+def _find(raw: np.ndarray, pattern: bytes) -> np.ndarray:
+    """Every place of raw where the pattern begins, overlaps too."""
+    n = len(raw) - len(pattern) + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    hit = raw[:n] == pattern[0]
+    for i in range(1, len(pattern)):
+        hit &= raw[i: n + i] == pattern[i]
+    return np.flatnonzero(hit)
+
+
+BLOCKS = "path string, split long, seq long, size long, file_size long, hits array<long>"
+
+
+def _block(at: tuple, seq: int, size: int, hits: np.ndarray) -> pa.RecordBatch:
+    path, split, file_size = at
+    return pa.RecordBatch.from_pydict({"path": pa.array([path], pa.string()), "split": pa.array([split], pa.int64()), "seq": pa.array([seq], pa.int64()), "size": pa.array([size], pa.int64()),
+                                       "file_size": pa.array([file_size], pa.int64()), "hits": pa.array([hits], pa.list_(pa.int64()))})
+
+
+def _range_blocks(spark: SparkSession, path: str, pattern: bytes, block: int) -> DataFrame:
+    """(path, split, seq, size, file_size, hits) of every block of all files below path.
+
+    Spark's text source reads byte ranges of a file in different tasks and ends
+    lines at the separator's bytes; a task joins its lines with those bytes again and so
+    has its part of the file as it is, in blocks of at least ``block`` bytes that end with the
+    separator's bytes.  hits: places of those bytes from the block's start, whether or not a token begins there.
+    """
+    lines = (spark.read.option("lineSep", pattern.decode("latin-1")).option("encoding", "ISO-8859-1").option("recursiveFileLookup", "true").text(path)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("_metadata.file_size").alias("file_size"),
+                     F.col("value").cast("binary").alias("line")))
+
+    def run(batches):
+        at, seq, held, size = None, 0, [], 0
+
+        def cut():
+            raw = b"".join(held)
+            return _block(at, seq, len(raw), _find(np.frombuffer(raw, np.uint8), pattern))
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            values = batch.column(3).to_pylist()
+            i = 0
+            while i < len(keys):
+                if keys[i] != at:
+                    if held:
+                        yield cut()
+                    at, seq, held, size = keys[i], 0, [], 0
+                j = i
+                while j < len(keys) and keys[j] == at and size < block:
+                    held += (values[j], pattern)
+                    size += len(values[j]) + len(pattern)
+                    j += 1
+                if size >= block:
+                    yield cut()
+                    seq, held, size = seq + 1, [], 0
+                i = j
+        if held:
+            yield cut()
+
+    return lines.mapInArrow(run, BLOCKS)
+
+
+def _whole_blocks(spark: SparkSession, path: str, pattern: bytes, block: int) -> DataFrame:
+    """The same of files read whole, for separators whose bytes overlap with themselves (such as id 0):
+    where ranges of a file meet in a run of such bytes, lines do not say how many there are."""
+    width = len(pattern)
 
     def run(batches):
         for batch in batches:
-            for name, raw in zip(batch.column(0), batch.column(1)):
-                ids = np.frombuffer(raw.as_buffer(), kind, len(raw.as_buffer()) // width)
-                places, sizes, ends = [], [], []
-                for a in range(0, len(ids), block):
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = np.frombuffer(raw.as_buffer(), np.uint8)
+                ids = data[: len(data) // width * width].view(f"<u{width}")
+                for seq, a in enumerate(range(0, len(ids), block)):
                     part = ids[a: a + block]
-                    places.append(a)
-                    sizes.append(len(part))
-                    ends.append(np.flatnonzero(part == end_id).astype(np.int64))
-                off = np.concatenate([[0], np.cumsum([len(x) for x in ends])]).astype(np.int32)
-                flat = np.concatenate(ends) if ends else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "path": pa.array([name.as_py()] * len(places), pa.string()), "at": pa.array(places, pa.int64()), "size": pa.array(sizes, pa.int64()),
-                    "ends": pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int64()))})
-
-    # a file's blocks leave the task together; one row a file would be enough for none to be split
-    blocks = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-              .select("path", "content").mapInArrow(run, "path string, at long, size long, ends array<long>"))
-    w = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.when(F.size("ends") > 0, F.col("at") + F.element_at("ends", -1))
-    scan = blocks.select("path", "at", "size", "ends",
-                         F.coalesce(F.sum(F.size("ends")).over(w), F.lit(0)).alias("before"),
-                         F.coalesce(F.last(last, ignorenulls=True).over(w), F.lit(-1)).alias("carry"),
-                         F.lead("at").over(Window.partitionBy("path").orderBy("at")).isNull().alias("final"))
+                    yield _block((name, 0, len(data)), seq, len(part) * width, np.flatnonzero(part == int.from_bytes(pattern, "little")) * width)
+
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, BLOCKS)
+
+
+def scan_token_files(spark: SparkSession, path: str, end_id: int = SEPARATOR, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+    """Columns path, ordinal (from 0), start (token place), n_tokens, terminated."""
+    pattern = end_id.to_bytes(width, "little")
+    overlaps = any(pattern[:i] == pattern[-i:] for i in range(1, width))
+    at = ["path", "split", "seq"]
+    blocks = saved(_whole_blocks(spark, path, pattern, block) if overlaps else _range_blocks(spark, path, pattern, block * width), "blocks")
+    order = Window.partitionBy("path").orderBy("split", "seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+
+    # first scan: bytes before a block say which of its hits are at a token's start
+    places = blocks.select(*at, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("off"))
+    byte = F.transform("hits", lambda h: h + F.col("off"))
+    ends = F.transform(F.filter(byte, lambda x: (x % width == 0) & (x + width <= F.col("file_size"))), lambda x: F.floor(x / width))
+    found = saved(blocks.join(places, at).select(*at, F.floor(F.col("file_size") / width).alias("tokens"), ends.alias("ends")), "separators")
+
+    # second scan: separators before a block, and the last of them
+    last = F.when(F.size("ends") > 0, F.element_at("ends", -1))
+    scan = found.select(*at, F.size("ends").alias("n"), last.alias("last")).select(
+        *at, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.coalesce(F.last("last", ignorenulls=True).over(before), F.lit(-1)).alias("carry"),
+        F.lead("seq").over(order).isNull().alias("final"))
+    each = found.join(scan, at)
     # the last block ends an open document, if its last token is no separator
-    stop = F.col("at") + F.col("size")
-    open_end = F.col("final") & (F.coalesce(last, F.col("carry")) < stop - 1)
-    ends = F.transform("ends", lambda e: F.struct((e + F.col("at")).alias("end"), F.lit(True).alias("terminated")))
-    ends = F.when(open_end, F.concat(ends, F.array(F.struct(stop.alias("end"), F.lit(False).alias("terminated"))))).otherwise(ends)
-    each = scan.select("path", "before", "carry", ends.alias("e"))
+    open_end = F.col("final") & (F.coalesce(last, F.col("carry")) < F.col("tokens") - 1)
+    ends = F.transform("ends", lambda e: F.struct(e.alias("end"), F.lit(True).alias("terminated")))
+    ends = F.when(open_end, F.concat(ends, F.array(F.struct(F.col("tokens").alias("end"), F.lit(False).alias("terminated"))))).otherwise(ends)
+    each = each.select("path", "before", "carry", ends.alias("e"))
     begin = F.transform("e", lambda x, i: F.when(i == 0, F.col("carry")).otherwise(F.col("e")[F.greatest(i - 1, F.lit(0))]["end"]) + 1)
     return (each.select("path", "before", F.arrays_zip(F.col("e"), begin.alias("b")).alias("z"))
             .select("path", "before", F.posexplode("z").alias("i", "d"))
