@@ -13,8 +13,10 @@ ids, whose first rows travel to the range before as well.
 
 Defined results: a null text is empty; an empty text has the empty sketch and
 two empty sketches are alike (1.0); fewer words than a shingle are one shingle;
-rows that repeat an id follow each other in the order of their text's hash; a
-null id comes last; an empty table gives an empty result.
+rows that repeat an id follow each other in the order of their text's hash (an
+id of over ``RANGE_ROWS`` rows or so: in an order that depends on how Spark reads
+them); a null id comes last; an empty table gives an empty result.  Above
+RANGE_ROWS * MAX_RANGES documents (33 million) ranges grow with the table, not their number.
 """
 
 from __future__ import annotations
@@ -101,33 +103,50 @@ def text_of(sketch: Column) -> Column:
 def with_next(df: DataFrame, columns: dict[str, Column], key: str = "doc_id", text: str = "text") -> DataFrame:
     """df with struct ``own`` of the given columns and struct ``next`` of the row after it in key order (after the last: the first).
 
-    Ranges of keys are cut at approximate quantiles.  The first row of a range
-    goes to the range before as its closing row as well, so every neighbour
-    is found in one exchange, with no window over the whole table.
+    Columns of those names are replaced.
+
+    Ranges of keys are cut at approximate quantiles.  The first rows of a range
+    go to the range before as its closing rows as well, so every neighbour
+    is found in one exchange, with no window over the whole table.  A key that
+    fills several ranges is cut by a hash of text and row, in whose order its rows then follow.
     """
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                     F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("at"), F.xxhash64(F.col(text)).alias("tie"))
-    n = rows.count()
+    key_of = F.coalesce(F.col(key).cast("long"), F.lit(LAST))
+    n = df.count()
     ranges = max(1, min(MAX_RANGES, -(-n // RANGE_ROWS)))
-    cut = gauge(rows, F.min("at").alias("lo"), F.percentile_approx("at", [i / ranges for i in range(ranges)], max(10_000, 4 * ranges)).alias("q"))
-    first = sorted({cut["lo"], *(cut["q"] or [])}) if n else [0]
-    wide = max(1, round(len(first) ** 0.5))
-    groups = [first[i: i + wide] for i in range(0, len(first), wide)]
-    # two short searches: the group of ranges, then the range in it
-    tops = F.lit([g[0] for g in groups]) if n else F.array(F.lit(0).cast("long"))
-    rows = rows.withColumn("g", F.size(F.filter(tops.cast("array<bigint>"), lambda x: x <= F.col("at"))))
-    inner = F.array(*[F.lit(g).cast("array<bigint>") for g in groups])
-    rows = rows.withColumn("f", F.filter(F.element_at(inner, F.greatest("g", F.lit(1))), lambda x: x <= F.col("at")))
-    bucket = (F.col("g") - 1) * wide + F.size("f") - 1
-    opens = F.element_at(F.col("f"), -1) == F.col("at")
-    to = F.array(F.struct(bucket.alias("bucket"), F.lit(0).alias("closing")))
-    closing = F.array(F.struct(F.pmod(bucket - 1, F.lit(len(first))).alias("bucket"), F.lit(1).alias("closing")))
+    got = gauge(df, F.min(key_of).alias("lo"), F.percentile_approx(key_of, [i / ranges for i in range(ranges)], max(10_000, 4 * ranges)).alias("q")) if n else {"lo": 0, "q": []}
+    cuts: list[tuple[int, int, int]] = []  # smallest key of a run of ranges, its first range, how many ranges that key fills
+    for v in sorted([got["lo"], *got["q"][1:]]):
+        if cuts and cuts[-1][0] == v:
+            cuts[-1] = (v, cuts[-1][1], cuts[-1][2] + 1)
+        else:
+            cuts.append((v, sum(cuts[-1][1:]) if cuts else 0, 1))
+    total = sum(cuts[-1][1:])
+    wide = max(1, round(len(cuts) ** 0.5))
+    groups = [cuts[i: i + wide] for i in range(0, len(cuts), wide)]
+    # two short searches: the group of cuts, then the cut in it
+    kind = "array<struct<v:bigint,first:bigint,many:bigint>>"
+    tops = F.lit([g[0][0] for g in groups]).cast("array<bigint>")
+    inner = F.array(*[F.array(*[F.struct(F.lit(v).cast("long").alias("v"), F.lit(f).cast("long").alias("first"), F.lit(m).cast("long").alias("many")) for v, f, m in g]).cast(kind) for g in groups])
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), key_of.alias("at"), F.xxhash64(F.col(text)).alias("hash"), F.monotonically_increasing_id().alias("n"))
+    rows = rows.withColumn("g", F.greatest(F.size(F.filter(tops, lambda x: x <= F.col("at"))), F.lit(1)))
+    rows = rows.withColumn("cut", F.element_at(F.filter(F.element_at(inner, F.col("g")), lambda x: x["v"] <= F.col("at")), -1))
+    hot = F.col("cut.many") > 1
+    rows = rows.withColumn("tie", F.when(hot, F.xxhash64("hash", "n")).otherwise(F.col("hash")))
+    # a hot key's hashes are spread evenly, so each of its ranges begins in the first eighth of its share of them
+    share = (F.col("tie").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) * F.col("cut.many")
+    part = F.when(F.col("at") == F.col("cut.v"), F.least(F.floor(share), F.col("cut.many") - 1)).otherwise(F.col("cut.many") - 1)
+    rows = rows.withColumn("bucket", F.when(hot, F.col("cut.first") + part).otherwise(F.col("cut.first")))
+    opens = (F.col("at") == F.col("cut.v")) & (~hot | (share - F.floor(share) < 0.125))
+    to = F.array(F.struct(F.col("bucket"), F.lit(0).alias("closing")))
+    closing = F.array(F.struct(F.pmod(F.col("bucket") - 1, F.lit(total)).alias("bucket"), F.lit(1).alias("closing")))
     rows = rows.withColumn("to", F.explode(F.when(opens, F.concat(to, closing)).otherwise(to)))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.select("row", "at", "tie", "to.bucket", "to.closing").repartition(parts, "bucket")
     own = rows.select("at", "tie", "bucket", "closing", "row", F.struct(*[c.alias(a) for a, c in columns.items()]).alias("own"))
+    # of the closing rows only the first can follow another one
     w = Window.partitionBy("bucket").orderBy("closing", "at", "tie")
-    return own.withColumn("next", F.lead("own").over(w)).where("closing = 0").select("row.*", "own", "next")
+    return own.withColumn("next", F.lead("own").over(w)).where("closing = 0").select(
+        *[F.col(f"row.`{c}`") for c in df.columns if c not in ("own", "next")], "own", "next")
 
 
 def edited_fingerprints(df: DataFrame, k: int = K, words: int = WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
