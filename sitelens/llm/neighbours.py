@@ -19,8 +19,9 @@ that a result can show of them, so a vector held by a third of all rows is one
 entry.  Leaves are joined to queries in blocks of at most about ``BLOCK_ROWS``
 entries and as many queries.
 
-Scores are cosines of the original vectors in double precision; ties go to the
-smaller id.  Vectors that are null, zero, or hold null or non-finite
+Scores are cosines of the original vectors in double precision; scores that
+agree to ``DIGITS`` decimal places tie, as those of vectors with one direction
+differ by rounding alone, and ties go to the smaller id.  Vectors that are null, zero, or hold null or non-finite
 components take no part, nor do rows without an id; a table without vectors
 gives an empty result; vectors must share one length.  Ids that repeat with
 the same vector count once.
@@ -47,6 +48,7 @@ RECALL = 0.97
 BLOCK_ROWS = 20_000
 QUERY_BLOCK = 512  # queries scored against a block at once
 ITERATIONS = 8
+DIGITS = 12  # scores that agree to so many decimal places tie
 
 
 @dataclass
@@ -150,17 +152,17 @@ def _best(ids: np.ndarray, groups: pd.DataFrame, q: np.ndarray, x: np.ndarray, k
     for a in range(0, len(q), QUERY_BLOCK):
         cos = (q[a: a + QUERY_BLOCK] @ x.T) / (qn[a: a + QUERY_BLOCK, None] * xn[None, :])
         # an entry may hold only the query's own id, so one more is looked at; equal scores all stay
-        cut = np.partition(cos, max(0, cos.shape[1] - k - 1), axis=1)[:, max(0, cos.shape[1] - k - 1)]
+        cut = np.partition(cos, max(0, cos.shape[1] - k - 1), axis=1)[:, max(0, cos.shape[1] - k - 1)] - 2 * 10.0 ** -DIGITS
         for i in range(len(cos)):
             own = ids[a + i]
-            found = [(-cos[i, j], v) for j in np.flatnonzero(cos[i] >= cut[i]) for v in lists[j] if v != own]
-            for s, v in sorted(found)[:k]:
-                out.append((own, v, -s))
+            found = [(-round(float(cos[i, j]), DIGITS), v, cos[i, j]) for j in np.flatnonzero(cos[i] >= cut[i]) for v in lists[j] if v != own]
+            for _, v, s in sorted(found)[:k]:
+                out.append((own, v, s))
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
 def _top(df: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", DIGITS)), "vec_id")
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -178,7 +180,7 @@ def search(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vect
     draw = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < F.lit(int(share * 1_000_003) + 1)
     picked = vectors.where(draw).select("v").distinct().orderBy("v").limit(2 * SAMPLE).toArrow()  # expected SAMPLE rows
     tree = Tree(_unit(_matrix(picked.column(0).combine_chunks())))
-    shared = spark.sparkContext.broadcast(tree)  # at most SAMPLE vectors
+    # the tree (at most SAMPLE vectors) is shipped with the functions that use it
 
     # entries: one per distinct vector, with its smallest ids
     w = Window.partitionBy("v").orderBy("id")
@@ -188,7 +190,7 @@ def search(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vect
     def assign(batches):
         for batch in batches:
             x = _unit(_matrix(batch.column(0)))
-            leaf = shared.value.assign(x) if len(x) else np.empty(0, np.int32)
+            leaf = tree.assign(x) if len(x) else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], names=["v", "ids", "leaf"])
 
     index = saved(entries.mapInArrow(assign, "v array<double>, ids array<long>, leaf int"), "index")
@@ -199,10 +201,8 @@ def search(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vect
 
     # leaves of every query; a large leaf is cut into blocks, and so are the queries that meet it
     blocks = -(-sizes // BLOCK_ROWS)
-    facts = spark.sparkContext.broadcast((met, blocks))
 
     def route(batches):
-        tree, (met, blocks) = shared.value, facts.value
         for batch in batches:
             x = _unit(_matrix(batch.column(1)))
             rows, leaf, block = [], [], []
