@@ -184,15 +184,19 @@ def _hits(place, mask):
     return F.shiftleft(place.cast("long"), BITS).bitwiseOR(mask).alias("hits")
 
 
-def _row(df: DataFrame, key: str, text: str):
-    """What a row is known by: a hash of its key and text."""
-    return F.xxhash64(df[key].cast("long"), df[text])
+def _doc(key: str):
+    return F.coalesce(F.col(key).cast("long"), F.lit(LAST))
+
+
+def _row(key: str, text: str):
+    """With ``_doc`` what a row is known by: a hash of its key and text."""
+    return F.xxhash64(F.col(key).cast("long"), F.col(text))
 
 
 def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, hits): strings of each text that a smaller document has, by gram (see ``_hits``)."""
+    """(doc, row, hits): strings of each text that a smaller document has, by gram (see ``_hits``)."""
     spark = df.sparkSession
-    docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), _row(df, key, text).alias("row"), F.col(text).alias("text")).where(F.length("text") >= 1)
+    docs = df.select(_doc(key).alias("doc"), _row(key, text).alias("row"), F.col(text).alias("text")).where(F.length("text") >= 1)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # prefix GRAM: one exchange serves both windows
@@ -207,8 +211,8 @@ def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
                                 F.shiftright(pos, 8).bitwiseAND(F.lit(255)).cast("int").alias("ahead"),
                                 pos.bitwiseAND(F.lit(255)).cast("int").alias("count"), "covered"), "runs")
     whole = F.expr("shiftleft(shiftleft(1L, count) - 1, ahead - count + 1)")
-    done = first.where("covered").select("row", _hits(F.col("start") + F.col("ahead"), whole))
-    rest = _contexts(docs, first.where("not covered").select("gram", "row", "start", "ahead", "count")).repartition(parts, "gram")
+    done = first.where("covered").select("doc", "row", _hits(F.col("start") + F.col("ahead"), whole))
+    rest = _contexts(docs, first.where("not covered").select("gram", "doc", "row", "start", "ahead", "count")).repartition(parts, "gram")
 
     # prefix 34: the gram with the bytes left (0) or right (1) of it, if a string reaches that far
     at_gram = F.col("ahead") + 1
@@ -230,26 +234,27 @@ def covered_strings(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
                        F.xxhash64(F.substring(F.col("bytes"), F.col("ahead") - F.col("o") + 1, F.lit(LENGTH))).alias("rank")))
     w = Window.partitionBy("gram", "o", "rank")
     late = (strings.withColumn("lo", F.min("doc").over(w)).where("lo < doc")
-            .groupBy("gram", "row", "place").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("mask")))
-    late = saved(late.select("row", _hits(F.col("place"), F.col("mask"))), "strings")
+            .groupBy("gram", "doc", "row", "place").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("mask")))
+    late = saved(late.select("doc", "row", _hits(F.col("place"), F.col("mask"))), "strings")
     return done.unionByName(late)
 
 
 def _contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """runs with their bytes, from one join with the texts.  Equal rows have equal runs, which count once."""
-    each = runs.groupBy("row").agg(F.collect_set(F.struct("gram", "start", "ahead", "count")).alias("runs"))  # at most a document's length
+    each = runs.groupBy("doc", "row").agg(F.collect_set(F.struct("gram", "start", "ahead", "count")).alias("runs"))  # at most a document's length
     cut = F.transform("runs", lambda r: F.struct(
         r["gram"].alias("gram"), r["start"].alias("start"), r["ahead"].alias("ahead"), r["count"].alias("count"),
         F.substring(F.col("raw"), r["start"] + 1, r["count"] + LENGTH - 1).alias("bytes")))
-    return (docs.join(each, "row").select("doc", "row", F.col("text").cast("binary").alias("raw"), "runs")
+    return (docs.join(each, ["doc", "row"]).select("doc", "row", F.col("text").cast("binary").alias("raw"), "runs")
             .select("doc", "row", F.explode(cut).alias("r")).select("r.gram", "doc", "row", "r.start", "r.ahead", "r.count", "r.bytes"))
 
 
 def with_hits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """df with ``removed``: a document's covered strings as an array, null if none."""
-    per = covered_strings(df, key, text).groupBy(F.col("row").alias("_row")).agg(F.collect_set("hits").alias("removed"))  # at most a document's length
-    d = df.drop("removed")
-    return d.join(per, _row(d, key, text) == per["_row"], "left").drop("_row")
+    per = (covered_strings(df, key, text).groupBy(F.col("doc").alias("_doc"), F.col("row").alias("_row"))
+           .agg(F.collect_set("hits").alias("removed")))  # at most a document's length
+    d = df.drop("removed").withColumns({"_doc": _doc(key), "_row": _row(key, text)})
+    return d.join(per, ["_doc", "_row"], "left").drop("_doc", "_row")
 
 
 def merge_hits(hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
