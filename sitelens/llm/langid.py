@@ -257,11 +257,10 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
     names = {f.name for f in new}
     schema = T.StructType([f for f in df.schema.fields if f.name not in names] + new)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # DIMS x CENTROIDS numbers a language
 
     def run(batches):
         import regex
-        m = shared.value
+        m = model  # DIMS x CENTROIDS numbers a language, shipped with the function
         letter = regex.compile(r"\p{L}")
         labels = np.array(m.labels + [UNKNOWN], object)
         for batch in batches:

@@ -135,11 +135,11 @@ def shard_by_bytes(df: DataFrame, size: str, key: Column, shards: int = 16, tole
     cuts = find_cuts(rows, sums["size"], shards, per_shard, tolerance) if sums["n"] else []
     under = [0] + [n for _, n in cuts]
     before = [under[i] - under[i - i % per_shard] for i in range(len(under))]  # rows of the shard's earlier ranges
-    keys = spark.sparkContext.broadcast([k for k, _ in cuts])
+    keys = [k for k, _ in cuts]
     schema = T.StructType(rows.schema.fields + [T.StructField("range", T.IntegerType())])
 
     def run(batches):
-        p = _probe_array(keys.value)
+        p = _probe_array(keys)
         for batch in batches:
             k = _keys(batch.column(2)) if batch.num_rows else np.empty(0, f"S{WIDTH}")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.searchsorted(p, k, "right"), pa.int32())], names=schema.names)
