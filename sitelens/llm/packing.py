@@ -147,8 +147,8 @@ def _sweep(waiting: dict[int, int], done: dict[int, int], gaps: np.ndarray, hi:
     return piece_rows, gap_rows, new
 
 
-PIECE_ROW = ("at", "lo", "hi", "match0", "per_gap", "x0")
-GAP_ROW = ("free_at", "lo", "hi", "match0", "new_free", "new_rank0")
+PIECE_ROW = ("at", "lo", "hi", "match0", "per_gap", "x0", "round")
+GAP_ROW = ("free_at", "lo", "hi", "match0", "new_free", "new_rank0", "round")
 
 
 def _local(spark, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
@@ -177,8 +177,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     first = order.groupBy(part.alias("part"), "length").agg(F.min("place").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = saved(first.select("part", "length", "first", before.alias("before")), "first")
-    ranked = order.withColumn("part", part).join(first, ["part", "length"]).select(
-        "row", "length", (F.col("place") - F.col("first") + F.col("before")).alias("rank"))
+    ranked = saved(order.withColumn("part", part).join(first, ["part", "length"]).select(
+        "row", "length", (F.col("place") - F.col("first") + F.col("before")).alias("rank")), "ranked")
 
     gaps = np.zeros(capacity + 1, np.int64)
     gap_df = spark.createDataFrame([], "seq long, free long, rank long")
@@ -199,15 +199,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
                 gaps[capacity] += need
             piece_rows, gap_rows, gaps = _sweep(waiting, done, gaps, hi)
             # at most one row per length and gap size met in a sweep: about 3 x capacity rows
-            p = F.broadcast(_local(spark, piece_rows, PIECE_ROW))
-            g = F.broadcast(_local(spark, gap_rows, GAP_ROW))
+            # (the round is a column, so that plans and their code are the same in every round)
+            p = F.broadcast(_local(spark, [(*r, rounds) for r in piece_rows], PIECE_ROW))
+            g = F.broadcast(_local(spark, [(*r, rounds) for r in gap_rows], GAP_ROW))
             x = F.col("x0") + F.col("rank") - F.col("lo")
             left = in_band.join(p, (F.col("length") == F.col("at")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select(
-                "row", "length", x.alias("x"), F.lit(rounds).alias("round"), (F.col("match0") + F.floor(x / F.col("per_gap"))).alias("match"))
+                "row", "length", x.alias("x"), "round", (F.col("match0") + F.floor(x / F.col("per_gap"))).alias("match"))
             met = saved(gap_df.where("free > 0").join(g, (F.col("free") == F.col("free_at")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")), "left").select(
-                "seq", "free", (F.col("match0") + F.col("rank")).alias("match"), F.coalesce("new_free", "free").alias("new_free"),
+                "seq", "free", "round", (F.col("match0") + F.col("rank")).alias("match"), F.coalesce("new_free", "free").alias("new_free"),
                 F.coalesce(F.col("new_rank0") + F.col("rank") - F.col("lo"), F.col("rank")).alias("new_rank")), "gaps")
-            sides.append((left, met.where("match is not null").select("seq", "free", F.lit(rounds).alias("round"), "match")))
+            sides.append((left, met.where("match is not null").select("seq", "free", "round", "match")))
             gap_df = met.select("seq", F.col("new_free").alias("free"), F.col("new_rank").alias("rank"))
             rounds += 1
             if len(sides) == ROUNDS_A_SAVE or not any(waiting.values()):
