@@ -9,10 +9,10 @@ over line ends and comment signs), the opening comment, and the whole text.
 Templates are notices, titles, standard headers and short texts.  Words weigh by
 their inverse document frequency, counted over all documents.  A statement
 matches the template with the largest cosine, if that is at least
-``THRESHOLD``.  The words of all documents are counted once, by their hashes; a
-text is only cut if it holds an anchor, a word without which no statement
-reaches the threshold (see ``anchors``), and only statements that can still
-match when their other words weigh the least (1) are kept.  For
+``THRESHOLD``.  Frequencies are only needed of the words of templates and of
+statements that can still match when their other words weigh the least (1):
+those words alone are counted, by their hashes, and a text is only cut if it holds an anchor, a
+word without which no statement reaches the threshold (see ``anchors``).  For
 inheritance, every distinct directory is paired with its ancestors and joined
 to the directories that hold a licence file; the deepest one counts.
 
@@ -32,10 +32,11 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import saved
+from sitelens.plans.bloom import maybe_listed
 
 THRESHOLD = 0.6
 # Notices, titles, standard headers and short texts of common licences, as their owners word them.
@@ -138,6 +139,15 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(split, lambda w: F.trim(w, F.lit("."))), lambda w: w != ""))
 
 
+def word_hashes(text: Column) -> Column:
+    """Hashes of all words of a text, repeats and the empty word's included."""
+    return F.transform(F.split(F.lower(text), WORD), lambda w: F.xxhash64(F.trim(w, F.lit("."))))
+
+
+def hashes_of(words: list[str]) -> Column:
+    return F.array(*[F.xxhash64(F.lit(w)) for w in words]) if words else F.array().cast("array<bigint>")
+
+
 def units(text: Column) -> Column:
     """What is compared with the templates: lines and their sentences, sentences and paragraphs over line ends, the opening comment, the text."""
     paragraphs = F.transform(F.split(text, PARAGRAPH), lambda p: F.regexp_replace(p, MARGIN, " "))
@@ -167,16 +177,17 @@ def anchors(of: list[tuple[str, list[str]]], idf: dict[str, float], threshold: f
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(key, licence, score, statement, row) of every row whose text states a licence; row is ``row_hash``, and rows alike are one."""
+    spark = df.sparkSession
     of = template_words(templates)
     vocabulary = sorted({w for _, ws in of for w in ws})
     known = F.array(*[F.lit(w) for w in vocabulary])
     whole = F.coalesce(F.col(text), F.lit(""))
 
-    # pass 1: in how many documents each word is, counted before the exchange; words are known by their hashes from here on
+    # pass 1: in how many documents each template word is
     total = df.count()
-    counts = saved(df.select(F.explode(F.transform(words(whole), lambda w: F.xxhash64(w))).alias("w")).groupBy("w").agg(F.count("*").alias("n")), "words")
-    own = vocabulary_hashes(counts, vocabulary)
-    freq = {r["word"]: r["n"] for r in own.collect()}  # at most the words of templates
+    has = df.select(F.explode(F.array_intersect(word_hashes(whole), hashes_of(vocabulary))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    names = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(w).alias("word"), F.xxhash64(F.lit(w)).alias("w")) for w in vocabulary])).alias("x")).select("x.*")
+    freq = {r["word"]: r["n"] for r in has.join(F.broadcast(names), "w").collect()}  # at most the words of templates
     idf = {w: math.log((1.0 + total) / (1.0 + freq.get(w, 0))) + 1 for w in vocabulary}
     square = F.create_map(*[x for w, v in idf.items() for x in (F.lit(w), F.lit(v * v))])
 
@@ -187,7 +198,8 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPL
 
     table = F.array(*[F.struct(F.lit(t).alias("licence"), F.lit(math.sqrt(sum(idf[w] ** 2 for w in ws))).alias("norm"), F.array(*map(F.lit, ws)).alias("ws"))
                       for t, ws in of])
-    anchor = F.array(*map(F.lit, anchors(of, idf, threshold)))
+    needed = anchors(of, idf, threshold)
+    anchor = F.array(*map(F.lit, needed))
 
     def let(value: Column, of_value) -> Column:
         return F.transform(F.array(value), of_value)[0]
@@ -208,13 +220,17 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPL
     parts = F.transform(parts, lambda p: F.struct(p["at"].alias("at"), p["statement"].alias("statement"), p["other"].alias("other"), p["inside"].alias("inside"),
                                                   best_template(p["known"]).alias("best")))
     near = F.filter(parts, lambda p: -p["best"]["dot"] >= reach(p))
-    rows = (df.where(F.arrays_overlap(words(whole), anchor))
+    rows = (df.where(F.arrays_overlap(word_hashes(whole), hashes_of(needed)))
             .select(F.struct(F.col(key)).alias("id"), row_hash(key, text).alias("row"), F.explode(near).alias("p")))
     rows = saved(rows.select("id", "row", "p.*").withColumn("other", F.array_sort(F.transform("other", lambda w: F.xxhash64(w)))), "statements")
 
-    # the weights of the other words of these statements; equal statements are one row from here on
+    # pass 3: in how many documents the other words of these statements are; a Bloom filter of them lets few others pass
+    asked = saved(rows.select(F.explode("other").alias("w")).distinct(), "words")
+    each = df.select(F.explode(F.array_distinct(word_hashes(whole))).alias("w"))
+    counts = maybe_listed(each, "w", asked).groupBy("w").agg(F.count("*").alias("n")).join(asked, "w")
     weight = F.log((1.0 + total) / (1.0 + F.col("n"))) + 1
-    heavy = counts.select("w", (weight * weight).alias("w2"))
+    heavy = saved(counts.select("w", (weight * weight).alias("w2")), "weights")
+    # equal statements are one row from here on
     of_words = F.xxhash64("other")
     distinct = rows.where(F.size("other") > 0).select(of_words.alias("ws"), "other").groupBy("ws").agg(F.first("other").alias("other"))
     lengths = distinct.select("ws", F.explode("other").alias("w")).join(heavy, "w").groupBy("ws").agg(F.sum("w2").alias("outside"))
@@ -230,12 +246,6 @@ def row_hash(key: str, text: str) -> Column:
     return F.xxhash64(F.col(key), F.col(text))
 
 
-def vocabulary_hashes(counts: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(word, n) of the words of the vocabulary."""
-    names = counts.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")
-    return counts.join(F.broadcast(names.select("word", F.xxhash64("word").alias("w"))), "w").select("word", "n")
-
-
 def directory(path: Column) -> Column:
     """The part before the last slash (none: the root, an empty name)."""
     return F.regexp_replace(F.when(F.instr(path, "/") > 0, path).otherwise(F.concat(F.lit("/"), path)), "/[^/]*$", "")
