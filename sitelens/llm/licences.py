@@ -9,10 +9,10 @@ over line ends and comment signs), the opening comment, and the whole text.
 Templates are notices, titles, standard headers and short texts.  Words weigh by
 their inverse document frequency, counted over all documents.  A statement
 matches the template with the largest cosine, if that is at least
-``THRESHOLD``.  Frequencies are only needed of the words of templates and of
-statements that can still match when their other words weigh the least (1):
-those words alone are counted, and a text is only cut if it holds an anchor, a
-word without which no statement reaches the threshold (see ``anchors``).  For
+``THRESHOLD``.  The words of all documents are counted once, by their hashes; a
+text is only cut if it holds an anchor, a word without which no statement
+reaches the threshold (see ``anchors``), and only statements that can still
+match when their other words weigh the least (1) are kept.  For
 inheritance, every distinct directory is paired with its ancestors and joined
 to the directories that hold a licence file; the deepest one counts.
 
@@ -124,7 +124,6 @@ TEMPLATES = [
     ("Zlib", _ZLIB),
 ]
 RESERVED = "Proprietary"  # counts only where no other licence is stated
-CANDIDATES = 100_000  # candidate words that are sent to all tasks
 WORD = r"[^a-z0-9.]+"
 STATEMENT = r"\n|(?<=[.!?])\s+"
 SENTENCE = r"(?<=[.!?])\s+"
@@ -173,10 +172,11 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPL
     known = F.array(*[F.lit(w) for w in vocabulary])
     whole = F.coalesce(F.col(text), F.lit(""))
 
-    # pass 1: in how many documents each template word is
+    # pass 1: in how many documents each word is, counted before the exchange; words are known by their hashes from here on
     total = df.count()
-    has = df.select(F.explode(F.array_intersect(words(whole), known)).alias("w"))
-    freq = {r["w"]: r["n"] for r in has.groupBy("w").agg(F.count("*").alias("n")).collect()}
+    counts = saved(df.select(F.explode(F.transform(words(whole), lambda w: F.xxhash64(w))).alias("w")).groupBy("w").agg(F.count("*").alias("n")), "words")
+    own = vocabulary_hashes(counts, vocabulary)
+    freq = {r["word"]: r["n"] for r in own.collect()}  # at most the words of templates
     idf = {w: math.log((1.0 + total) / (1.0 + freq.get(w, 0))) + 1 for w in vocabulary}
     square = F.create_map(*[x for w, v in idf.items() for x in (F.lit(w), F.lit(v * v))])
 
@@ -210,20 +210,12 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPL
     near = F.filter(parts, lambda p: -p["best"]["dot"] >= reach(p))
     rows = (df.where(F.arrays_overlap(words(whole), anchor))
             .select(F.struct(F.col(key)).alias("id"), row_hash(key, text).alias("row"), F.explode(near).alias("p")))
-    rows = saved(rows.select("id", "row", "p.*"), "statements")
-
-    # pass 3: in how many documents the other words of these statements are
-    asked = saved(rows.select(F.explode("other").alias("w")).distinct(), "words")
-    n = asked.count()
-    each = df.select(F.explode(words(whole)).alias("w"))
-    if n <= CANDIDATES:
-        counts = each.join(F.broadcast(asked), "w").groupBy("w").agg(F.count("*").alias("n"))
-    else:  # counted before the exchange
-        counts = each.groupBy("w").agg(F.count("*").alias("n")).join(asked, "w")
+    rows = saved(rows.select("id", "row", "p.*").withColumn("other", F.array_sort(F.transform("other", lambda w: F.xxhash64(w)))), "statements")
+
+    # the weights of the other words of these statements; equal statements are one row from here on
     weight = F.log((1.0 + total) / (1.0 + F.col("n"))) + 1
-    heavy = saved((counts if n else asked.withColumn("n", F.lit(0))).select("w", (weight * weight).alias("w2")), "weights")
-    # equal statements are one row from here on
-    of_words = F.xxhash64(F.array_sort("other"))
+    heavy = counts.select("w", (weight * weight).alias("w2"))
+    of_words = F.xxhash64("other")
     distinct = rows.where(F.size("other") > 0).select(of_words.alias("ws"), "other").groupBy("ws").agg(F.first("other").alias("other"))
     lengths = distinct.select("ws", F.explode("other").alias("w")).join(heavy, "w").groupBy("ws").agg(F.sum("w2").alias("outside"))
     found = rows.withColumn("ws", of_words).join(lengths, "ws", "left").withColumn("outside", F.coalesce("outside", F.lit(0.0)))
@@ -238,6 +230,13 @@ def row_hash(key: str, text: str) -> Column:
     return F.xxhash64(F.col(key), F.col(text))
 
 
+def vocabulary_hashes(counts: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(word, n) of the words of the vocabulary."""
+    each = F.array(*[F.struct(F.lit(w).alias("word"), F.xxhash64(F.lit(w)).alias("w")) for w in vocabulary])
+    names = counts.sparkSession.range(1).select(F.explode(each).alias("x")).select("x.*")
+    return counts.join(F.broadcast(names), "w").select("word", "n")
+
+
 def directory(path: Column) -> Column:
     """The part before the last slash (none: the root, an empty name)."""
     return F.regexp_replace(F.when(F.instr(path, "/") > 0, path).otherwise(F.concat(F.lit("/"), path)), "/[^/]*$", "")
