@@ -304,26 +304,27 @@ def _run_dir(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def _stream_audit(spark, sources, base, **kw):
+    """The sink's rows; its schema is given, as a run without pages writes no file to take it from."""
+    page_stream.start_page_audit_stream(sources, f"{base}/out", f"{base}/ckpt", keep=("page_id",), **kw).awaitTermination()
+    schema = page_stream.audit_stream(sources, keep=("page_id",), **kw).schema
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
 @register("stream_page_audit")
 def q_stream_page_audit(spark, sf_dir):
-    base = _run_dir(spark, "stream_page_audit")
     pages = stream_table(spark, sf_dir, "pages", "page_id long, url string, html string")
-    q = page_stream.start_page_audit_stream(pages, f"{base}/out", f"{base}/ckpt",
-                                            prepare=derive.page_snapshots, keep=("page_id",))
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return _stream_audit(spark, pages, _run_dir(spark, "stream_page_audit"), prepare=derive.page_snapshots)
 
 
 @register("stream_page_audit_once")
 def q_stream_page_audit_once(spark, sf_dir):
     """Every capture is delivered twice, and audited once."""
-    base = _run_dir(spark, "stream_page_audit_once")
     pages = stream_table(spark, sf_dir, "pages", "page_id long, url string, html string")
     again = stream_table(spark, sf_dir, "pages", "page_id long, url string, html string")
-    q = page_stream.start_page_audit_stream(pages.unionByName(again), f"{base}/out", f"{base}/ckpt", prepare=derive.timed_page_snapshots,
-                                            once_within="3650 days", keep=("page_id",))
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").withColumn("fetched_at", F.unix_timestamp("fetched_at"))
+    audit = _stream_audit(spark, pages.unionByName(again), _run_dir(spark, "stream_page_audit_once"),
+                          prepare=derive.timed_page_snapshots, once_within="3650 days")
+    return audit.withColumn("fetched_at", F.unix_timestamp("fetched_at"))
 
 
 @register("stream_vitals")

@@ -46,9 +46,12 @@ def on_all_cores(scan: DataFrame) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, schema,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """File-stream scan of one table's parquet file(s) in ``sf_dir``."""
-    reader = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", f"{name}.parquet"))
+    """File-stream scan of one table, be it a file or a folder of files, in ``sf_dir``.
+
+    A stream takes no single file as its path, so the table is named by a
+    pattern that only it matches; folders below it name partition columns as in a batch scan.
+    """
+    reader = spark.readStream.schema(schema).option("basePath", sf_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}[.]parquet")

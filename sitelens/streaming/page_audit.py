@@ -17,6 +17,18 @@ from ..operators.audit import page_audit
 CAPTURED = "fetched_at"
 
 
+def audit_stream(snapshots: DataFrame, prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 once_within: str | None = None, keep: tuple[str, ...] = (), **audit_kw) -> DataFrame:
+    """Audit rows of arriving ``snapshots`` (see ``start_page_audit_stream``)."""
+    snaps = prepare(snapshots) if prepare else snapshots
+    if once_within is not None:
+        keep = tuple(dict.fromkeys((*keep, CAPTURED)))
+    audit = page_audit(snaps, keep=keep, **audit_kw)
+    if once_within is not None:
+        audit = audit.withWatermark(CAPTURED, once_within).dropDuplicatesWithinWatermark(["URL", CAPTURED])
+    return audit
+
+
 def start_page_audit_stream(snapshots: DataFrame, sink: str, checkpoint: str,
                             prepare: Callable[[DataFrame], DataFrame] | None = None,
                             available_now: bool = True, once_within: str | None = None,
@@ -29,12 +41,7 @@ def start_page_audit_stream(snapshots: DataFrame, sink: str, checkpoint: str,
     older than that are dropped as late.  Only the audit's short rows are
     shuffled for it, never page bytes.
     """
-    snaps = prepare(snapshots) if prepare else snapshots
-    if once_within is not None:
-        keep = tuple(dict.fromkeys((*keep, CAPTURED)))
-    audit = page_audit(snaps, keep=keep, **audit_kw)
-    if once_within is not None:
-        audit = audit.withWatermark(CAPTURED, once_within).dropDuplicatesWithinWatermark(["URL", CAPTURED])
+    audit = audit_stream(snapshots, prepare, once_within, keep, **audit_kw)
     writer = (audit.writeStream.format("parquet").outputMode("append")
               .option("path", sink).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer

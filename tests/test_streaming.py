@@ -24,6 +24,51 @@ def test_stream_audit_of_redelivered_pages(spark):
     assert rows(once.drop("fetched_at")) == rows(q["page_audit"](spark, SMALL))
 
 
+def as_folder(spark, name):
+    """A copy of a small table as a folder of several files, as clusters write it."""
+    import tempfile
+    d = tempfile.mkdtemp(prefix="sitelens-test-")
+    spark.read.parquet(f"{SMALL}/{name}.parquet").repartition(3).write.parquet(f"{d}/{name}.parquet")
+    return d
+
+
+def test_stream_audit_of_a_table_in_many_files(spark):
+    q = se.queries()
+    d = as_folder(spark, "pages")
+    want = rows(q["page_audit"](spark, SMALL))
+    assert rows(q["stream_page_audit"](spark, d)) == want
+
+
+def test_stream_vitals_of_a_table_in_many_files(spark):
+    q = se.queries()
+    d = as_folder(spark, "events")
+    want = rows(q["vitals_report"](spark, SMALL))
+    assert rows(q["stream_vitals"](spark, d)) == want
+
+
+def test_stream_of_a_partitioned_table_has_its_partition_column(spark):
+    import tempfile
+
+    from sitelens.sources.tables import stream_table
+    d = tempfile.mkdtemp(prefix="sitelens-test-")
+    for k in (1, 2):
+        spark.createDataFrame([(k * 10,)], "x long").write.parquet(f"{d}/t.parquet/k={k}")
+    spark.createDataFrame([(0, 0)], "x long, k int").write.parquet(f"{d}/other.parquet")
+    t = stream_table(spark, d, "t", "x long, k int")
+    t.writeStream.format("parquet").option("path", f"{d}/out").option("checkpointLocation", f"{d}/ckpt").trigger(availableNow=True).start().awaitTermination()
+    assert rows(spark.read.schema("x long, k int").parquet(f"{d}/out")) == [(1, 10), (2, 20)]
+
+
+def test_stream_audit_of_no_pages(spark):
+    import tempfile
+    q = se.queries()
+    d = tempfile.mkdtemp(prefix="sitelens-test-")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
+    for name in ("stream_page_audit", "stream_page_audit_once"):
+        assert q[name](spark, d).collect() == []
+    assert q["stream_page_audit"](spark, d).schema.names == q["page_audit"](spark, SMALL).schema.names
+
+
 def test_a_capture_delivered_again_later_gives_one_row(spark):
     import tempfile
 
