@@ -39,6 +39,13 @@ def test_stream_audit_of_a_table_in_many_files(spark):
     assert rows(q["stream_page_audit"](spark, d)) == want
 
 
+def test_stream_audit_once_of_a_table_in_many_files(spark):
+    q = se.queries()
+    d = as_folder(spark, "pages")
+    want = rows(q["page_audit"](spark, SMALL))
+    assert rows(q["stream_page_audit_once"](spark, d).drop("fetched_at")) == want
+
+
 def test_stream_vitals_of_a_table_in_many_files(spark):
     q = se.queries()
     d = as_folder(spark, "events")
