@@ -307,5 +307,9 @@ def perf_entry_exprs() -> list[str]:
 
 
 def perf_entries(events: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets``: (label, url), a fixed 3-row relation."""
-    return events.selectExpr(*perf_entry_exprs()).join(targets, "label")
+    """``targets``: (label, url), a fixed 3-row relation.
+
+    It is sent to the entries: dealt by label, they would all lie in three tasks,
+    as a stream's plan is not changed when the relation turns out small.
+    """
+    return events.selectExpr(*perf_entry_exprs()).join(F.broadcast(targets), "label")

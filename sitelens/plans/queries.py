@@ -331,7 +331,9 @@ def q_stream_page_audit_once(spark, sf_dir):
 def q_stream_vitals(spark, sf_dir):
     base = _run_dir(spark, "stream_vitals")
     table = read_table(spark, sf_dir, "events")
-    entries = _entries(spark, stream_table(spark, sf_dir, "events", table.schema))
+    # dealt over all tasks, as narrow rows, whatever splits the backlog comes in
+    events = stream_table(spark, sf_dir, "events", table.schema).repartition("event_id", "user_id", "ts")
+    entries = _entries(spark, events)
 
     def run():
         vitals_stream.start_vitals_stream(entries, f"{base}/out", f"{base}/ckpt", closing=f"{base}/closing").awaitTermination()

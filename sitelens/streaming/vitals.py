@@ -28,7 +28,10 @@ VIEW = ("view_id", "label", "url")
 
 def vitals_views(entries: DataFrame, settle_ms: int = SETTLE_MS, watermark: str = DEFAULT_WATERMARK,
                  gap: str = VIEW_GAP) -> DataFrame:
-    """Report rows of views, each when its session has ended.  ``gap`` is longer than any pause inside a view."""
+    """Report rows of views, each when its session has ended.  ``gap`` is longer than any pause inside a view.
+
+    Each task sorts its entries to combine them: a backlog of a few large splits is dealt over more tasks beforehand.
+    """
     views = (entries.withWatermark("ts", watermark)
              .groupBy(F.session_window("ts", gap), *VIEW)
              .agg(*vitals_aggregates(settle_ms)))

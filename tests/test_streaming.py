@@ -76,6 +76,28 @@ def test_stream_audit_of_no_pages(spark):
     assert q["stream_page_audit"](spark, d).schema.names == q["page_audit"](spark, SMALL).schema.names
 
 
+def test_stream_entries_are_dealt_over_all_tasks(spark, monkeypatch):
+    """By their own key, never by the three labels of the pages under test."""
+    import contextlib
+    import io
+
+    from sitelens.plans import queries
+    start, seen = queries.vitals_stream.start_vitals_stream, []
+
+    def watched(entries, *args, **kw):
+        seen.append(entries)
+        return start(entries, *args, **kw)
+
+    monkeypatch.setattr(queries.vitals_stream, "start_vitals_stream", watched)
+    streamed = queries.q_stream_vitals(spark, SMALL)
+    assert rows(streamed) == rows(queries.q_vitals_report(spark, SMALL))
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        seen[0].explain()
+    assert "hashpartitioning(label" not in text.getvalue() and "SortMergeJoin" not in text.getvalue()
+    assert "hashpartitioning(event_id" in text.getvalue()
+
+
 def test_a_capture_delivered_again_later_gives_one_row(spark):
     import tempfile
 
